@@ -145,18 +145,20 @@ def upsert_instruments(
     instrument to another symbol.
     """
     keys = list(keys)
-    last = first_per_key(rows, keys, [F.desc(ordinal)])
-    held = catalog.select(*keys, F.col("instrument_id").alias("_held_id"))
-    incoming = (
-        last.join(held, keys, "left")
-        .withColumn("symbol_id", symbol_id())
-        .withColumn("action", F.when(F.col("_held_id").isNull(), "inserted").otherwise("updated"))
-        .withColumn("instrument_id", F.coalesce(F.col("_held_id").cast("string"), instrument_id()))
+    columns = ["symbol_id", *IDENTITY, *INSTRUMENT_FIELDS]
+    last = first_per_key(rows, keys, [F.desc(ordinal)]).withColumn("symbol_id", symbol_id())
+    new = last.select(*keys, F.struct(*columns).alias("new"), instrument_id().alias("new_id"))
+    held = catalog.select(
+        *keys, F.struct(*columns).alias("held"), F.col("instrument_id").cast("string").alias("held_id")
+    )
+    # A whole row is taken from one side, so that a new null overwrites a held value.
+    taken = F.coalesce("new", "held")
+    action = F.when(F.col("new").isNull(), "kept").when(F.col("held").isNull(), "inserted").otherwise("updated")
+    return held.join(new, keys, "full_outer").select(
+        F.coalesce("held_id", "new_id").alias("instrument_id"),
+        *[taken[c].alias(c) for c in columns],
+        action.alias("action"),
     )
-    columns = ["instrument_id", "symbol_id", *IDENTITY, *INSTRUMENT_FIELDS]
-    kept = catalog.join(last.select(*keys), keys, "left_anti").withColumn("action", F.lit("kept"))
-    kept = kept.withColumn("instrument_id", F.col("instrument_id").cast("string"))
-    return kept.select(*columns, "action").unionByName(incoming.select(*columns, "action"))
 
 
 def upsert_counts(merged: DataFrame) -> DataFrame:

@@ -14,17 +14,19 @@ def instrument_bucket(instrument_id: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(instrument_id.cast("string")), F.lit(buckets)).cast("int")
 
 
-def arrange(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def arrange(df: DataFrame, buckets: int = BUCKETS, observe: tuple[Observation, Column] | None = None) -> DataFrame:
     """Bring the rows of a (day, bucket) together, sorted.
 
     ``rebalance`` rather than ``repartition``: a hot (day, bucket) is split over several tasks and files, and small ones are
-    packed together.
+    packed together. An ``observe`` pair is measured between shuffle and sort, that is in the stage that writes, where
+    every row is counted once. The sort comes last, so the writer finds its order and does not sort again.
     """
-    return (
-        df.withColumn("instr_bucket", instrument_bucket(F.col("instrument_id"), buckets))
-        .hint("rebalance", F.col("trading_day"), F.col("instr_bucket"))
-        .sortWithinPartitions("trading_day", "instr_bucket", "instrument_id", "ts")
+    rows = df.withColumn("instr_bucket", instrument_bucket(F.col("instrument_id"), buckets)).hint(
+        "rebalance", F.col("trading_day"), F.col("instr_bucket")
     )
+    if observe is not None:
+        rows = rows.observe(*observe)
+    return rows.sortWithinPartitions("trading_day", "instr_bucket", "instrument_id", "ts")
 
 
 def write_layout(
@@ -34,15 +36,10 @@ def write_layout(
     mode: str = "append",
     observe: tuple[Observation, Column] | None = None,
 ) -> None:
-    """Append to a table, or (``overwrite``) replace just the partitions that ``df`` has rows for.
-
-    An ``observe`` pair is measured on the arranged rows, in the stage that writes them.
-    """
-    rows = arrange(df, buckets)
-    if observe is not None:
-        rows = rows.observe(*observe)
+    """Append to a table, or (``overwrite``) replace just the partitions that ``df`` has rows for."""
     (
-        rows.write.partitionBy("trading_day", "instr_bucket")
+        arrange(df, buckets, observe)
+        .write.partitionBy("trading_day", "instr_bucket")
         .option("partitionOverwriteMode", "dynamic")
         .mode(mode)
         .parquet(path)

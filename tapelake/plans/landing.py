@@ -38,7 +38,7 @@ def land_raw(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
 def land_requested(requests: DataFrame, catalog: DataFrame, raw: DataFrame, spec: Feed, path: str) -> None:
     """Land the requested instrument-days; unknown instruments are left out."""
     rows = for_requests(raw, requested_instruments(requests, catalog))
-    land_raw(landed_rows(rows, spec, F.col("exchange"), F.col("file_day")), path)
+    land_raw(landed_rows(rows, spec, F.col("venue"), F.col("file_day")), path)
 
 
 def read_landed(spark: SparkSession, spec: Feed, path: str) -> DataFrame:

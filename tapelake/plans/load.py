@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tapelake.functions.venues import exchange_slug
 from tapelake.operators import dedup
 from tapelake.operators.layout import BUCKETS, write_layout
 from tapelake.operators.normalize import normalize_levels, normalize_trades, sequence_arrival, sequence_sorted
@@ -82,7 +83,6 @@ def _load(
         return report
     target = _of_days(read_feed(spark, spec, path), report.days)
     fresh = choose(valid(checked), target)
-    # Observed in the last stage, right before the write, where every row is counted once.
     written = Observation(f"written-{uuid.uuid4().hex}")
     write_layout(fresh, path, buckets, observe=(written, F.count(F.lit(1)).alias("rows")))
     report.inserted = written.get["rows"]
@@ -174,11 +174,19 @@ def unknown_requests(requests: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def for_requests(raw: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Raw rows (with dataset and file_day) of the wanted data sets and days, with their instrument id."""
+    """Raw rows (with dataset and file_day) of the wanted data sets and days, with instrument id and exchange.
+
+    Where the rows know the slug of their exchange it must agree too: two exchanges may use one data set name.
+    """
     days = wanted.select(
-        F.upper("dataset").alias("dataset"), F.col("trading_day").alias("file_day"), "instrument_id"
+        exchange_slug(F.col("exchange")).alias("slug"),
+        F.upper("dataset").alias("dataset"),
+        F.col("trading_day").alias("file_day"),
+        "instrument_id",
+        F.col("exchange").alias("venue"),
     ).distinct()
-    return raw.join(days, ["dataset", "file_day"])
+    key = [c for c in ("slug", "dataset", "file_day") if c in raw.columns]
+    return raw.drop("venue").join(days, key)
 
 
 def load_trades(

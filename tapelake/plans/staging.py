@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -45,11 +44,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder at ``path`` (which may hold wildcards), on whatever file system it names?"""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = file_system.globStatus(hadoop_path)
+    return found is not None and len(found) > 0
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table, or no rows if nothing has been written there yet."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in (error.getCondition() or ""):
-            return spark.createDataFrame([], schema)
-        raise
+    return spark.createDataFrame([], schema)

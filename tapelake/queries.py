@@ -331,13 +331,13 @@ def level_seq_sorted(fx: Fixtures) -> DataFrame:
     return normalize.sequence_sorted(fx.raw_levels(), ["instrument_id", "file_day"]).drop("exchange", "symbol")
 
 
-@query(f"""SELECT symbol, timestamp, local_timestamp, price, amount, side, is_snapshot,
-  row_number() OVER (PARTITION BY symbol {SORTED}) AS update_seq FROM raw_levels""")
+@query("""SELECT side, symbol, timestamp, local_timestamp, price, amount, is_snapshot, row_number() OVER (
+  PARTITION BY side ORDER BY timestamp, local_timestamp, price, amount, symbol, is_snapshot) AS update_seq FROM raw_levels""")
 def level_seq_large_groups(fx: Fixtures) -> DataFrame:
-    """Few large groups, numbered in slices."""
-    return normalize.sequence_sorted(fx.raw_levels(), ["symbol"], group_rows=200).select(
-        "symbol", "timestamp", "local_timestamp", "price", "amount", "side", "is_snapshot", "update_seq"
-    )
+    """Three large groups, numbered in slices."""
+    rows = fx.raw_levels().select("side", "symbol", "timestamp", "local_timestamp", "price", "amount", "is_snapshot")
+    order = ["timestamp", "local_timestamp", "price", "amount", "symbol", "is_snapshot"]
+    return sequence.number_rows(rows, ["side"], order, group_rows=rows.count() // 20 + 1)
 
 
 @query("""SELECT instrument_id, file_day, id, row_number() OVER (PARTITION BY instrument_id, file_day ORDER BY id) - 1 AS update_seq

@@ -10,6 +10,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A join side is broadcast if Spark's size estimate for it is below this; otherwise both sides are shuffled.
+    "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
     # Hot instruments: split oversized join partitions, also where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -5,20 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapelake.functions.locations import parse_cache_location
 from tapelake.functions.times import date_mode
+from tapelake.plans.staging import path_exists
 from tapelake.schemas import INSTRUMENTS_RAW, LEVELS, TRADES, Feed
 
 
-def _nothing(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def csv_options(malformed: str = "FAILFAST") -> dict[str, str]:
     """CSV options shared by batch and stream reads.
 
@@ -48,13 +44,10 @@ def read_raw(
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     extra = T.StructType([T.StructField("_file", T.StringType()), T.StructField("_arrival", T.LongType())])
-    try:
-        rows = reader.csv(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in (error.getCondition() or ""):
-            return _nothing(spark, T.StructType([*spec.raw.fields, *extra.fields]))
-        raise
-    return rows.select(
+    paths = [p for p in ([path] if isinstance(path, str) else path) if path_exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], T.StructType([*spec.raw.fields, *extra.fields]))
+    return reader.csv(paths).select(
         *spec.raw.names, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_arrival")
     )
 
@@ -69,9 +62,9 @@ def read_level_updates(spark: SparkSession, path: str | list[str], **options) ->
 
 def read_instruments(spark: SparkSession, path: str | list[str], exchange: str) -> DataFrame:
     """Elements of JSON arrays (one array per file) with the exchange the caller asked for; null elements are skipped."""
-    rows = spark.read.schema(INSTRUMENTS_RAW).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    some_field = F.coalesce(*[F.col(c).cast("string") for c in INSTRUMENTS_RAW.names]).isNotNull()
-    return rows.filter(some_field).withColumn("exchange", F.lit(exchange))
+    elements = F.from_json("value", T.ArrayType(INSTRUMENTS_RAW), {"mode": "FAILFAST"})
+    rows = spark.read.text(path, wholetext=True).select(F.explode(elements).alias("element"))
+    return rows.filter(F.col("element").isNotNull()).select("element.*").withColumn("exchange", F.lit(exchange))
 
 
 def cache_glob(spec: Feed, first: dt.date, last: dt.date) -> str:
@@ -101,14 +94,11 @@ def scan_cache(
 
 
 def list_cache(spark: SparkSession, root: str) -> DataFrame:
-    """Path, size and location parts of every file below ``root``. File contents are not read."""
-    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType())])
-    try:
+    """Path, size and location parts of the files below ``root``. Contents are not read, empty files are not listed."""
+    if path_exists(spark, root):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
-            raise
-        files = _nothing(spark, schema)
+    else:
+        files = spark.createDataFrame([], "path string, length bigint")
     return files.withColumns(parse_cache_location(F.col("path"), root.split(":", 1)[-1]))
 
 

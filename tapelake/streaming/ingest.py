@@ -43,12 +43,14 @@ def ingest_new_files(
 ) -> StreamingQuery:
     """Start one pass over the files that are new since the last pass; wait on the result with ``awaitTermination``.
 
-    ``names`` maps upper-cased symbol (``dataset``) to instrument id; rows of unknown symbols are left out.
+    ``names`` maps upper-cased symbol (``dataset``), and the raw exchange if it has that column too, to instrument id; rows
+    of unknown symbols are left out.
     """
+    key = [c for c in ("exchange", "dataset") if c in names.columns]
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         rows = batch.withColumn("_arrival", F.monotonically_increasing_id())
-        known = rows.withColumn("dataset", F.upper("symbol")).join(names, "dataset")
+        known = rows.withColumn("dataset", F.upper("symbol")).join(names, key)
         if spec is TRADES:
             facts = normalize_trades(known)
         else:
