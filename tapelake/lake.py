@@ -166,6 +166,20 @@ class Lake:
     def info(self, requests: DataFrame) -> DataFrame:
         return coverage.feed_day_info(requests, self.catalog, self.feeds)
 
+    def info_one(
+        self,
+        base_asset: str,
+        quote_asset: str,
+        exchange: str,
+        instrument_type: str,
+        day: dt.date | str,
+        feed: str,
+    ) -> DataFrame:
+        """Count, first and last time of one feed-day, or no row."""
+        identity = catalog_ops.has_identity(base_asset, quote_asset, exchange, instrument_type)
+        tables = {spec.name: facts.read_feed(self.spark, spec, self.table(spec)) for spec in (TRADES, LEVELS)}
+        return coverage.feed_day_info_one(self.catalog, tables, identity, feed, day, self.buckets)
+
     def missing_days(
         self, requests: DataFrame, start: dt.date | str, as_of: dt.date | str | None = None
     ) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.functions.times import day_range, days_between
+from tapelake.operators.layout import bucket_filter
 from tapelake.schemas import FEEDS, IDENTITY
 from tapelake.sources.facts import in_days
 
@@ -65,14 +66,24 @@ def feed_day_info(requests: DataFrame, catalog: DataFrame, facts: dict[str, Data
 
 
 def feed_day_info_one(
-    catalog: DataFrame, facts: dict[str, DataFrame], identity: Column, feed: str, day: dt.date | str
+    catalog: DataFrame,
+    facts: dict[str, DataFrame],
+    identity: Column,
+    feed: str,
+    day: dt.date | str,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """One feed-day. The identity is unique, so its id becomes a literal filter that the scan can use."""
+    """One feed-day. The identity is unique, so its id becomes a literal filter that the scan can use.
+
+    With the table's number of ``buckets`` (and its bucket column) only one folder is opened.
+    """
     spark = catalog.sparkSession
     found = catalog.filter(identity).select("instrument_id").limit(1).collect()
     if feed not in facts or feed not in FEEDS or not found:
         return spark.createDataFrame([], "items_count bigint, first_ts timestamp, last_ts timestamp")
     rows = in_days(facts[feed], day).filter(F.col("instrument_id") == found[0][0])
+    if buckets and "instr_bucket" in rows.columns:
+        rows = rows.filter(bucket_filter([found[0][0]], buckets))
     return feed_days(rows, feed).select("items_count", "first_ts", "last_ts")
 
 
