@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapelake.operators.catalog import symbol_id
-from tapelake.schemas import FEE, IDENTITY, INSTRUMENT_FIELDS, PRICE
+from tapelake.schemas import FEE, IDENTITY, INSTRUMENT_FIELDS, PRICE, TRADES
 
 
 def money(column: str) -> Column:
@@ -219,3 +219,29 @@ class Fixtures:
             null.alias("expiry"),
             key.alias("ordinal"),
         )
+
+    def write_cache(self, root: str, slug: str, kind: str) -> None:
+        """The raw trades as a cache tree with one data set per venue.
+
+        Spark writes the text files, as many per venue and day as their size demands; then each gets the name a cached file
+        has (a list of files, on whatever file system ``root`` is on).
+        """
+        text = f"{root}-text"
+        day = F.col("file_day").alias("day")
+        rows = self.raw_trades().select(*TRADES.raw.names, F.col("venue").alias("dataset"), day)
+        (
+            rows.hint("rebalance", F.col("dataset"), F.col("day"))
+            .write.partitionBy("dataset", "day")
+            .option("header", True)
+            .option("compression", "gzip")
+            .csv(text)
+        )
+        to_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        file_system = to_path(text).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in file_system.globStatus(to_path(f"{text}/*/*/part-*")):
+            file = status.getPath()
+            part, day, dataset = file.getName(), file.getParent().getName(), file.getParent().getParent().getName()
+            folder = f"{root}/{slug}/{kind}/{dataset.removeprefix('dataset=')}"
+            file_system.mkdirs(to_path(folder))
+            name = f"{part.split('.')[0]}_{day.removeprefix('day=')}_{TRADES.tag}.csv.gz"
+            file_system.rename(file, to_path(f"{folder}/{name}"))

@@ -1,6 +1,6 @@
 """The SQL twins of the queries, for DuckDB over the same tables.
 
-Rules shared with ``queries.present``: days as text, decimals as double, integers as bigint, timestamps without zone.
+Rules shared with ``queries.present``: days and open flags as text, decimals as double, integers as bigint, timestamps without zone.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ SELECT c.c_custkey AS instrument_id,
   CAST(1 AS DOUBLE) AS min_trade_amount,
   CAST(c.c_nationkey - 2 AS DOUBLE) AS maker_fee,
   CAST(x.n_regionkey AS DOUBLE) AS taker_fee,
-  c.c_custkey % 2 = 0 AS margin,
-  CAST(NULL AS BOOLEAN) AS inverse,
+  CAST(c.c_custkey % 2 = 0 AS VARCHAR) AS margin,
+  CAST(NULL AS VARCHAR) AS inverse,
   CAST(CAST(c.c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS contract_multiplier,
   CASE WHEN c.c_custkey % 10 <> 0 THEN CAST(DATE '2024-01-01' + CAST(c.c_custkey % 30 AS INT) AS TIMESTAMP) END AS listing,
   CASE WHEN c.c_custkey % 4 = 0 THEN CAST(DATE '2024-01-15' + CAST(c.c_custkey % 60 AS INT) AS TIMESTAMP) END AS expiration
@@ -70,7 +70,7 @@ SELECT CASE WHEN o.o_orderstatus = 'P' THEN 'N' ELSE 'A' END || CAST(o.o_custkey
   o.o_orderdate AS available_since, CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price_increment,
   CAST(1 AS DOUBLE) AS amount_increment, CAST(2 AS DOUBLE) AS min_trade_amount,
   CAST(0 AS DOUBLE) AS maker_fee, CAST(0 AS DOUBLE) AS taker_fee,
-  CASE WHEN o.o_orderpriority <> '1-URGENT' THEN true END AS margin, false AS inverse,
+  CASE WHEN o.o_orderpriority <> '1-URGENT' THEN 'true' END AS margin, 'false' AS inverse,
   CASE WHEN o.o_orderpriority <> '1-URGENT' THEN CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS contract_multiplier,
   CASE WHEN o.o_orderpriority <> '1-URGENT' THEN o.o_orderdate END AS listing,
   CAST(NULL AS TIMESTAMP) AS expiration, o.o_orderkey AS ordinal

@@ -29,13 +29,20 @@ FIRST, LAST, DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 31), dt.date(2024, 1, 1
 LEVEL_FIRST, LEVEL_LAST = dt.date(2000, 1, 1), dt.date(2000, 1, 31)
 
 
+# Catalog flags that may be unknown.
+OPEN_FLAGS = ("margin", "inverse")
+
+
 def present(df: DataFrame) -> DataFrame:
-    """One spelling of values for comparisons: days as text, decimals as double, integers as bigint, times without zone."""
+    """One spelling of values for comparisons: days and open flags as text, decimals as double, integers as bigint, times
+    without zone."""
     columns = []
     for field in df.schema:
         column, kind = F.col(field.name), field.dataType
         if isinstance(kind, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd")
+        elif field.name in OPEN_FLAGS:
+            column = column.cast("string")
         elif isinstance(kind, T.DecimalType):
             column = column.cast("double")
         elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
@@ -538,14 +545,14 @@ def _stored(fx: Fixtures, spec, path: str) -> DataFrame:
     return rows.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
 
 
-@query("SELECT * FROM fx_trades")
+@query("SELECT * FROM fx_trades WHERE price > 0 AND quantity >= 0")
 def load_trades(fx: Fixtures) -> DataFrame:
-    """A first load of some trades, then of all of them: the second adds what is missing."""
+    """A first load of some trades, then of all of them: the second adds what is missing. Invalid rows are reported."""
     path = new_folder(fx.spark, "load-trades")
     names = fx.instruments().withColumn("instrument_id", F.col("instrument_id").cast("string"))
     rows = as_stored(fx.trades())
     for batch in (rows.filter("side <> 0"), rows):
-        load.append_trades(batch, path, catalog=names, on_invalid="fail", buckets=BUCKETS)
+        load.append_trades(batch, path, catalog=names, on_invalid="reject", buckets=BUCKETS)
     return _stored(fx, TRADES, path)
 
 
@@ -559,20 +566,24 @@ def load_level_updates(fx: Fixtures) -> DataFrame:
     rows = as_stored(fx.levels())
     monthly = rows.withColumn("trading_day", F.trunc("trading_day", "month"))
     for batch in (monthly.filter("is_snapshot"), monthly):
-        load.append_level_updates(batch, path, buckets=BUCKETS)
+        load.append_level_updates(batch, path, on_invalid="reject", buckets=BUCKETS)
     return _stored(fx, LEVELS, path).withColumn("trading_day", F.to_date("ts"))
 
 
-@query("""SELECT CAST(load AS BIGINT) AS load, CAST(n AS BIGINT) AS received, CAST(CASE load WHEN 1 THEN n ELSE 0 END AS BIGINT) AS inserted,
-  CAST(CASE load WHEN 1 THEN 0 ELSE n END AS BIGINT) AS skipped FROM (SELECT count(*) AS n FROM fx_trades) CROSS JOIN (VALUES (1), (2)) l(load)""")
+@query("""SELECT CAST(load AS BIGINT) AS load, n AS received, CASE load WHEN 1 THEN good ELSE 0 END AS inserted,
+  CASE load WHEN 1 THEN 0 ELSE good END AS skipped, n - good AS rejected
+FROM (SELECT count(*) AS n, count(*) FILTER (price > 0 AND quantity >= 0) AS good FROM fx_trades) CROSS JOIN (VALUES (1), (2)) l(load)""")
 def reload_is_noop(fx: Fixtures) -> DataFrame:
     path = new_folder(fx.spark, "reload")
-    reports = [load.append_trades(as_stored(fx.trades()), path, buckets=BUCKETS) for _ in range(2)]
-    counts = [(n, r.received, r.inserted, r.skipped) for n, r in enumerate(reports, 1)]
-    return fx.spark.createDataFrame(counts, "load bigint, received bigint, inserted bigint, skipped bigint")
+    counts = []
+    for number in (1, 2):
+        report = load.append_trades(as_stored(fx.trades()), path, on_invalid="reject", buckets=BUCKETS)
+        counts.append((number, report.received, report.inserted, report.skipped, report.rejected))
+    columns = "load bigint, received bigint, inserted bigint, skipped bigint, rejected bigint"
+    return fx.spark.createDataFrame(counts, columns)
 
 
-@query(f"""WITH coarse AS ({COARSE}),
+@query(f"""WITH coarse AS ({COARSE} WHERE price > 0 AND quantity >= 0),
 held AS (SELECT * FROM coarse WHERE side = 1 QUALIFY row_number() OVER (PARTITION BY instrument_id, trading_day, trade_id ORDER BY ts, side, price, quantity) = 1)
 SELECT * FROM held UNION ALL SELECT * FROM (
   SELECT * FROM coarse t WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.instrument_id = t.instrument_id AND h.trading_day = t.trading_day AND h.trade_id = t.trade_id)
@@ -581,7 +592,7 @@ def merge_trades_by_day(fx: Fixtures) -> DataFrame:
     path = new_folder(fx.spark, "merge-trades")
     rows = as_stored(_coarse(fx))
     for batch in (rows.filter("side = 1"), rows):
-        load.merge_trades_by_day(batch, path, buckets=BUCKETS)
+        load.merge_trades_by_day(batch, path, on_invalid="reject", buckets=BUCKETS)
     return _stored(fx, TRADES, path)
 
 
@@ -601,7 +612,7 @@ def land_raw(fx: Fixtures) -> DataFrame:
 
 NORMALIZED_SQL = """SELECT ts, instrument_id, CAST(CASE side WHEN 'buy' THEN 1 WHEN 'sell' THEN -1 ELSE 0 END AS BIGINT) AS side,
   price, amount AS quantity, id AS trade_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS trading_day
-FROM raw_trades WHERE timestamp IS NOT NULL"""
+FROM raw_trades WHERE timestamp IS NOT NULL AND price > 0 AND amount >= 0"""
 
 
 def _landed_csv(fx: Fixtures, path: str) -> None:
@@ -617,7 +628,8 @@ def ingest_new_files(fx: Fixtures) -> DataFrame:
     names = facts.dataset_map(fx.instruments()).withColumn("instrument_id", F.col("instrument_id").cast("string"))
     for _ in range(2):
         ingest.ingest_new_files(
-            fx.spark, TRADES, f"{base}/landed", names, f"{base}/trades", f"{base}/checkpoint", buckets=BUCKETS
+            fx.spark, TRADES, f"{base}/landed", names, f"{base}/trades", f"{base}/checkpoint",
+            on_invalid="reject", buckets=BUCKETS
         ).awaitTermination()
     return _stored(fx, TRADES, f"{base}/trades")
 
@@ -625,7 +637,7 @@ def ingest_new_files(fx: Fixtures) -> DataFrame:
 @query("""SELECT ts, r.instrument_id, CAST(CASE side WHEN 'buy' THEN 1 WHEN 'sell' THEN -1 ELSE 0 END AS BIGINT) AS side,
   price, amount AS quantity, id AS trade_id, file_day AS trading_day
 FROM raw_trades r JOIN fx_instruments i ON i.instrument_id = r.instrument_id
-WHERE timestamp IS NOT NULL AND i.instrument_type = 'spot' AND file_day BETWEEN '2024-01-05' AND '2024-01-25'""")
+WHERE timestamp IS NOT NULL AND price > 0 AND amount >= 0 AND i.instrument_type = 'spot' AND file_day BETWEEN '2024-01-05' AND '2024-01-25'""")
 def load_by_request(fx: Fixtures) -> DataFrame:
     """Requested instrument-days (all spot instruments, three weeks) loaded from raw rows."""
     path = new_folder(fx.spark, "by-request")
@@ -633,10 +645,78 @@ def load_by_request(fx: Fixtures) -> DataFrame:
     days = coverage.calendar(F.lit(dt.date(2024, 1, 5)), F.lit(dt.date(2024, 1, 25)))
     requests = names.filter("instrument_type = 'spot'").select(*IDENTITY).withColumn("trading_day", days)
     raw = fx.raw_trades().drop("instrument_id")
-    load.load_trades(requests, names, raw, path, buckets=BUCKETS)
+    load.load_trades(requests, names, raw, path, on_invalid="reject", buckets=BUCKETS)
     return _stored(fx, TRADES, path)
 
 
+@query(f"""SELECT ts, instrument_id, CAST(CASE side WHEN 'bid' THEN 1 WHEN 'ask' THEN -1 ELSE 0 END AS BIGINT) AS side, price,
+  amount AS quantity, is_snapshot, row_number() OVER (PARTITION BY instrument_id, file_day {SORTED}) AS update_seq, file_day AS trading_day
+FROM raw_levels WHERE file_day BETWEEN '{LEVEL_FIRST}' AND '{LEVEL_LAST}'""")
+def load_levels_by_request(fx: Fixtures) -> DataFrame:
+    """A month of level updates of all instruments, requested by id and numbered per data set and day."""
+    path = new_folder(fx.spark, "levels-by-request")
+    key = F.col("s_suppkey").cast("string")
+    names = fx.table("supplier").select(
+        key.alias("instrument_id"),
+        F.concat(F.lit("l"), key).alias("dataset"),
+        *[F.lit("any").alias(c) for c in IDENTITY],
+    )
+    days = coverage.calendar(F.lit(LEVEL_FIRST), F.lit(LEVEL_LAST))
+    requests = names.select("instrument_id", days.alias("trading_day"))
+    raw = fx.raw_levels().drop("instrument_id").withColumn("dataset", F.upper("symbol"))
+    load.load_level_updates(
+        requests, names, raw, path, sequence="sorted", source=["dataset", "file_day"], on_invalid="reject", buckets=BUCKETS
+    )
+    return _stored(fx, LEVELS, path)
+
+
+@query(f"""SELECT * FROM fx_levels QUALIFY row_number() OVER (
+  PARTITION BY instrument_id, trading_day, update_seq ORDER BY ts, {LEVEL_REST}) = 1""")
+def load_strict(fx: Fixtures) -> DataFrame:
+    """A strict load of rows without repeated keys; stored by month, so that the fixture does not make one file per day."""
+    path = new_folder(fx.spark, "strict")
+    rows = dedup.first_per_key(as_stored(fx.levels()), LEVELS.day_key, ["ts", *LEVELS.rest])
+    monthly = rows.withColumn("trading_day", F.trunc("trading_day", "month"))
+    load.append_strict(monthly, LEVELS, path, buckets=BUCKETS)
+    return _stored(fx, LEVELS, path).withColumn("trading_day", F.to_date("ts"))
+
+
+@query("""SELECT DISTINCT instrument_id, ts, update_seq FROM fx_levels""")
+def unique_stream(fx: Fixtures) -> DataFrame:
+    """Keys of an endless stream of level updates, each once."""
+    base = new_folder(fx.spark, "unique")
+    rows = as_stored(fx.levels()).select(*LEVELS.key)
+    rows.write.parquet(f"{base}/in")
+    stream = fx.spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+    unique = ingest.unique_stream(stream, LEVELS.key).writeStream.format("parquet").option("path", f"{base}/out")
+    unique.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    stored = fx.spark.read.schema(rows.schema).parquet(f"{base}/out")
+    return stored.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
+
+
+@query("""SELECT ts, venue AS dataset, CAST(CASE side WHEN 'buy' THEN 1 WHEN 'sell' THEN -1 ELSE 0 END AS BIGINT) AS side,
+  price, amount AS quantity, id AS trade_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS trading_day
+FROM raw_trades WHERE timestamp IS NOT NULL AND price > 0 AND amount >= 0 AND venue <> 'KucoinSpot'""")
+def import_cache(fx: Fixtures) -> DataFrame:
+    """A cache tree with one folder per venue, imported by a catalog that knows all of them but one."""
+    base = new_folder(fx.spark, "cache")
+    fx.write_cache(f"{base}/cache", "okx-futures", "future")
+    venue = fx.instruments().select("exchange").distinct()
+    names = venue.filter("exchange <> 'KucoinSpot'").select(
+        F.col("exchange").alias("instrument_id"),
+        F.col("exchange").alias("dataset"),
+        F.lit("OkexFutures").alias("exchange"),
+        F.lit("future").alias("instrument_type"),
+    )
+    tables = {TRADES.name: f"{base}/trades", LEVELS.name: f"{base}/levels"}
+    importing.import_cache(
+        fx.spark, f"{base}/cache", names, "OkexFutures", "future", tables, start=FIRST, end=dt.date(2024, 2, 10),
+        on_invalid="reject", buckets=BUCKETS,
+    )
+    rows = facts.read_feed(fx.spark, TRADES, f"{base}/trades")
+    return rows.withColumnRenamed("instrument_id", "dataset").drop("instr_bucket")
+
+
 @query("SELECT * FROM fx_trades")
 def compact_cold(fx: Fixtures) -> DataFrame:
     path = new_folder(fx.spark, "compact")
@@ -706,15 +786,15 @@ REFRESHED = """SELECT upper(base) AS base_asset, upper(quote) AS quote_asset, 'O
 FROM fx_list WHERE base IS NOT NULL AND dataset_own IS NOT NULL AND kind <> 'option'"""
 
 
-@query(f"""SELECT md5(concat_ws('|', base_asset, quote_asset, exchange, instrument_type)) AS instrument_id, *, 'inserted' AS action
+@query(f"""SELECT md5(concat_ws('|', base_asset, quote_asset, exchange, instrument_type)) AS instrument_id, *
 FROM ({REFRESHED}) WHERE price_increment > 0""")
 def refresh_instruments(fx: Fixtures) -> DataFrame:
-    """An instrument list taken into a catalog that has no such exchange yet."""
-    empty = fx.instruments().filter("exchange = 'OkexSwap'")
-    rows = refresh.refreshed(empty.withColumns({c: F.col(c).cast("timestamp") for c in ("available_since", "listing", "expiration")}), fx.instrument_list())
-    return rows.select(
-        "instrument_id", *IDENTITY, "dataset", "active", "available_since", "price_increment", "action"
-    )
+    """An instrument list taken into a catalog table: inserted by the first refresh, updated in place by the second."""
+    path = new_folder(fx.spark, "catalog")
+    for _ in range(2):
+        refresh.refresh_instruments(fx.spark, fx.instrument_list(), "OkexSwap", path)
+    rows = facts.read_catalog(fx.spark, path)
+    return rows.select("instrument_id", *IDENTITY, "dataset", "active", "available_since", "price_increment")
 
 
 @query(f"SELECT dataset, 'price increment' AS reason FROM ({REFRESHED}) WHERE price_increment <= 0")

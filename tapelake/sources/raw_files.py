@@ -14,6 +14,9 @@ from tapelake.functions.times import date_mode
 from tapelake.plans.staging import path_exists
 from tapelake.schemas import INSTRUMENTS_RAW, LEVELS, TRADES, Feed
 
+# A scan of up to this many days names them one by one.
+NAMED_DAYS = 31
+
 
 def csv_options(malformed: str = "FAILFAST") -> dict[str, str]:
     """CSV options shared by batch and stream reads.
@@ -68,10 +71,13 @@ def read_instruments(spark: SparkSession, path: str | list[str], exchange: str)
 
 
 def cache_glob(spec: Feed, first: dt.date, last: dt.date) -> str:
-    """File names of one feed for a range of days."""
-    count = (last - first).days + 1
-    days = ",".join((first + dt.timedelta(days=i)).isoformat() for i in range(count))
-    return f"*_{{{days}}}_{spec.tag}.csv.gz"
+    """File names of one feed for a range of days: every day by name, or for a long range its months."""
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    if len(days) <= NAMED_DAYS:
+        dates = [day.isoformat() for day in days]
+    else:
+        dates = sorted({f"{day:%Y-%m}-??" for day in days})
+    return f"*_{{{','.join(dates)}}}_{spec.tag}.csv.gz"
 
 
 def scan_cache(
@@ -90,7 +96,8 @@ def scan_cache(
     folder = f"{root.rstrip('/')}/{slug}/{instrument_type}"
     rows = read_raw(spark, spec, folder, name_glob=cache_glob(spec, first, last), **options)
     parts = parse_cache_location(F.col("_file"))
-    return rows.withColumns({"dataset": parts["dataset"], "file_day": parts["file_day"]})
+    rows = rows.withColumns({"dataset": parts["dataset"], "file_day": parts["file_day"]})
+    return rows.filter(F.col("file_day").between(F.lit(first), F.lit(last)))
 
 
 def list_cache(spark: SparkSession, root: str) -> DataFrame:
