@@ -181,7 +181,7 @@ class Lake:
         return coverage.feed_day_info_one(self.catalog, tables, identity, feed, day, self.buckets)
 
     def missing_days(
-        self, requests: DataFrame, start: dt.date | str, as_of: dt.date | str | None = None
+        self, requests: DataFrame, start: dt.date | str | None = None, as_of: dt.date | str | None = None
     ) -> DataFrame:
         return coverage.in_day_order(coverage.missing_days(requests, self.catalog, self.feeds, start, as_of))
 

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.functions.times import day_range, days_between
+from tapelake.functions.times import as_day, days_between
 from tapelake.operators.layout import bucket_filter
 from tapelake.schemas import FEEDS, IDENTITY
 from tapelake.sources.facts import in_days
@@ -109,16 +109,24 @@ def missing_days(
     requests: DataFrame,
     catalog: DataFrame,
     facts: dict[str, DataFrame],
-    start: dt.date | str,
+    start: dt.date | str | None = None,
     as_of: dt.date | str | None = None,
 ) -> DataFrame:
     """Days from ``start`` through ``as_of`` (default: today, UTC) on which a requested feed has no rows.
 
-    An unknown instrument and an unsupported feed miss every day. Facts before ``start`` cannot matter and are not scanned.
+    Without ``start`` every request starts at its own ``trading_day``. An unknown instrument and an unsupported feed miss
+    every day. Facts before the first start cannot matter and are not scanned.
     """
-    first, last = day_range(start, as_of or dt.datetime.now(dt.timezone.utc).date())
-    wanted = resolve(requests, catalog).withColumn("trading_day", calendar(F.lit(first), F.lit(last)))
-    present = both_feeds({feed: present_days(in_days(df, first, last), feed) for feed, df in facts.items()})
+    last = as_day(as_of or dt.datetime.now(dt.timezone.utc).date())
+    if start is None:
+        first = requests.agg(F.min("trading_day")).first()[0] or last
+        starts = requests.withColumnRenamed("trading_day", "_start")
+    else:
+        first = as_day(start)
+        starts = requests.drop("trading_day").withColumn("_start", F.lit(first))
+    wanted = resolve(starts, catalog).withColumn("trading_day", calendar(F.col("_start"), F.lit(last)))
+    scanned = (min(first, last), last)
+    present = both_feeds({feed: present_days(in_days(df, *scanned), feed) for feed, df in facts.items()})
     return wanted.join(present, FEED_DAY, "left_anti").select(*IDENTITY, "feed", "trading_day")
 
 

@@ -14,8 +14,13 @@ def instrument_bucket(instrument_id: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(instrument_id.cast("string")), F.lit(buckets)).cast("int")
 
 
-def arrange(df: DataFrame, buckets: int = BUCKETS, observe: tuple[Observation, Column] | None = None) -> DataFrame:
-    """Bring the rows of a (day, bucket) together, sorted.
+def arrange(
+    df: DataFrame,
+    buckets: int = BUCKETS,
+    observe: tuple[Observation, Column] | None = None,
+    segment_by: str = "instrument_id",
+) -> DataFrame:
+    """Bring the rows of a (day, bucket) together, sorted by ``segment_by`` and time.
 
     ``rebalance`` rather than ``repartition``: a hot (day, bucket) is split over several tasks and files, and small ones are
     packed together. An ``observe`` pair is measured between shuffle and sort, that is in the stage that writes, where
@@ -26,7 +31,7 @@ def arrange(df: DataFrame, buckets: int = BUCKETS, observe: tuple[Observation, C
     )
     if observe is not None:
         rows = rows.observe(*observe)
-    return rows.sortWithinPartitions("trading_day", "instr_bucket", "instrument_id", "ts")
+    return rows.sortWithinPartitions("trading_day", "instr_bucket", segment_by, "ts")
 
 
 def write_layout(
@@ -35,10 +40,11 @@ def write_layout(
     buckets: int = BUCKETS,
     mode: str = "append",
     observe: tuple[Observation, Column] | None = None,
+    segment_by: str = "instrument_id",
 ) -> None:
     """Append to a table, or (``overwrite``) replace just the partitions that ``df`` has rows for."""
     (
-        arrange(df, buckets, observe)
+        arrange(df, buckets, observe, segment_by)
         .write.partitionBy("trading_day", "instr_bucket")
         .option("partitionOverwriteMode", "dynamic")
         .mode(mode)

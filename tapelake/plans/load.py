@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tapelake.functions.times import yesterday
 from tapelake.functions.venues import exchange_slug
 from tapelake.operators import dedup
 from tapelake.operators.layout import BUCKETS, write_layout
@@ -158,11 +159,12 @@ def append_strict(
 def requested_instruments(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     """Catalog rows and days of the requests, which name an instrument by id or by identity.
 
-    Requests for an unknown instrument are left out (see ``unknown_requests``). A known instrument without a data set
-    fails the job.
+    A request without a day means yesterday. Requests for an unknown instrument are left out (see ``unknown_requests``). A
+    known instrument without a data set fails the job.
     """
     key = ["instrument_id"] if "instrument_id" in requests.columns else IDENTITY
-    found = requests.select(*key, "trading_day").distinct().join(catalog, key)
+    day = F.coalesce("trading_day", yesterday()) if "trading_day" in requests.columns else yesterday()
+    found = requests.select(*key, day.alias("trading_day")).distinct().join(catalog, key)
     missing = F.col("dataset").isNull() | (F.col("dataset") == "")
     dataset = F.when(missing, F.raise_error(F.lit("instrument has no data set"))).otherwise(F.col("dataset"))
     return found.select("instrument_id", *IDENTITY, dataset.alias("dataset"), "trading_day")

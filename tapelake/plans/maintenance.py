@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapelake.functions.times import as_day, instant_like
-from tapelake.operators.layout import BUCKETS, arrange, write_layout
+from tapelake.operators.layout import BUCKETS, write_layout
 from tapelake.plans.staging import stage
 
 # Ages of the documented policies.
 COMPACT_AFTER_DAYS = 7
 RETAIN_DAYS = 90
+# A compacted file may reach about this size.
+COMPACT_FILE_BYTES = 512 << 20
 REFRESH_FROM = dt.timedelta(days=7)
 REFRESH_TO = dt.timedelta(hours=1)
 
@@ -78,42 +80,63 @@ def drop_expired(spark: SparkSession, table: str, as_of: dt.date | str, days: in
     return len(old)
 
 
+def table_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path and length of the Parquet files below ``path``, from the listing alone (contents are not read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return files.load(path).select("path", "length")
+
+
+def fragmented_days(
+    spark: SparkSession, path: str, before: dt.date | str, file_bytes: int = COMPACT_FILE_BYTES
+) -> DataFrame:
+    """Days before ``before`` that have a bucket with more files than its size needs."""
+    day = F.to_date(F.regexp_extract("path", r"trading_day=(\d{4}-\d{2}-\d{2})", 1))
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return (
+        table_files(spark, path)
+        .groupBy(day.alias("trading_day"), folder.alias("folder"))
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("total_bytes"))
+        .filter(F.col("trading_day") < F.lit(as_day(before)))
+        .filter(F.col("files") > F.ceil(F.col("total_bytes") / file_bytes))
+        .select("trading_day")
+        .distinct()
+    )
+
+
 def compact_cold(
     spark: SparkSession,
     path: str,
     as_of: dt.date | str,
     days: int = COMPACT_AFTER_DAYS,
     buckets: int = BUCKETS,
+    segment_by: str = "instrument_id",
+    file_bytes: int = COMPACT_FILE_BYTES,
 ) -> int:
-    """Rewrite the partitions older than ``days``, few files each, sorted by (instrument, ts). Returns the number of rows.
+    """Rewrite the fragmented days older than ``days`` as few files, sorted by ``segment_by`` and time. Returns the number of
+    rows rewritten.
 
-    The compacted rows are staged and counted before they replace anything; a job that dies while replacing leaves them in
-    the shared folder.
+    Days that are compact already are left alone, so a daily run costs what became cold since the last one. The compacted
+    rows are staged and counted before they replace anything; a job that dies while replacing leaves them in the shared
+    folder.
     """
-    table = spark.read.parquet(path)
-    cold = table.filter(F.col("trading_day") < F.lit(as_day(as_of) - dt.timedelta(days=days)))
-    before = cold.count()
-    if not before:
+    before = as_day(as_of) - dt.timedelta(days=days)
+    cold_days = [r.trading_day for r in fragmented_days(spark, path, before, file_bytes).collect()]
+    if not cold_days:
         return 0
-    staged = stage(arrange(cold, buckets), "compact")
-    after = staged.count()
-    if after != before:
-        raise RuntimeError(f"compaction read {before} rows but staged {after}")
-    write_layout(staged.drop("instr_bucket"), path, buckets, mode="overwrite")
-    return after
+    cold = spark.read.parquet(path).filter(F.col("trading_day").isin(cold_days))
+    staged = stage(cold, "compact")
+    rows, staged_rows = cold.count(), staged.count()
+    if staged_rows != rows:
+        raise RuntimeError(f"compaction read {rows} rows but staged {staged_rows}")
+    write_layout(staged.drop("instr_bucket"), path, buckets, mode="overwrite", segment_by=segment_by)
+    return rows
 
 
 def storage_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """Files and bytes per table, from the file listing alone (contents are not read)."""
     report = None
     for name, path in tables.items():
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .load(path)
-            .select(F.lit(name).alias("table_name"), "path", "length")
-        )
+        files = table_files(spark, path).withColumn("table_name", F.lit(name))
         report = files if report is None else report.unionByName(files)
     return report.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("total_bytes")
@@ -122,13 +145,6 @@ def storage_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
 
 def day_sizes(spark: SparkSession, path: str) -> DataFrame:
     """Files and bytes per trading day of one table."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-    )
     day = F.to_date(F.regexp_extract("path", r"trading_day=(\d{4}-\d{2}-\d{2})", 1))
-    return files.groupBy(day.alias("trading_day")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("total_bytes")
-    )
+    sizes = table_files(spark, path).groupBy(day.alias("trading_day"))
+    return sizes.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("total_bytes"))

@@ -24,8 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# The days the trade fixtures cover, and one day and instant inside them.
-FIRST, LAST, DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 31), dt.date(2024, 1, 15)
+# The days the trade fixtures cover, and a month of the level updates.
+FIRST, LAST = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
 LEVEL_FIRST, LEVEL_LAST = dt.date(2000, 1, 1), dt.date(2000, 1, 31)
 
 
@@ -88,9 +88,14 @@ def feed_day_info_levels(fx: Fixtures) -> DataFrame:
     return coverage.feed_days(fx.levels(), LEVELS.name).drop("feed")
 
 
-def _requests(fx: Fixtures, *feeds: str, day: dt.date = DAY) -> DataFrame:
-    tags = F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed")
-    return fx.instruments().select(*IDENTITY, tags).withColumn("trading_day", F.lit(day))
+def _requests(fx: Fixtures, *feeds: str) -> DataFrame:
+    """Every instrument with every given feed."""
+    return fx.instruments().select(*IDENTITY, F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed"))
+
+
+def _daily(requests: DataFrame) -> DataFrame:
+    """A request for each day of the trades' month."""
+    return requests.withColumn("trading_day", coverage.calendar(F.lit(FIRST), F.lit(LAST)))
 
 
 def _facts(fx: Fixtures) -> dict[str, DataFrame]:
@@ -100,9 +105,9 @@ def _facts(fx: Fixtures) -> dict[str, DataFrame]:
 @query("""SELECT i.base_asset, i.quote_asset, i.exchange, i.instrument_type, 'Trades' AS feed, i.instrument_id,
   t.trading_day, count(*) AS items_count, min(t.ts) AS first_ts, max(t.ts) AS last_ts
 FROM fx_instruments i JOIN fx_trades t ON t.instrument_id = i.instrument_id
-WHERE t.ts >= TIMESTAMP '2024-01-15' AND t.ts < TIMESTAMP '2024-01-16' GROUP BY ALL""")
+WHERE t.ts >= TIMESTAMP '2024-01-01' AND t.ts < TIMESTAMP '2024-02-01' GROUP BY ALL""")
 def feed_day_info_requests(fx: Fixtures) -> DataFrame:
-    requests = _requests(fx, "Trades", "LevelUpdates", "OrdersLog")
+    requests = _daily(_requests(fx, "Trades", "LevelUpdates", "OrdersLog"))
     return coverage.feed_day_info(requests, fx.instruments(), _facts(fx))
 
 
@@ -148,15 +153,29 @@ def missing_days_unsupported_feed(fx: Fixtures) -> DataFrame:
     return coverage.missing_days(requests, fx.instruments(), _facts(fx), dt.date(2024, 1, 10), dt.date(2024, 1, 20))
 
 
-@query("""SELECT i.base_asset, i.quote_asset, i.exchange, i.instrument_type, f.feed, '2024-01-15' AS trading_day,
-  coalesce(f.feed = 'Trades' AND i.instrument_id IN (SELECT instrument_id FROM fx_trades WHERE trading_day = '2024-01-15')
-    OR f.feed = 'LevelUpdates' AND i.instrument_id IN (SELECT instrument_id FROM fx_levels WHERE trading_day = '2024-01-15'), false) AS has_data
-FROM fx_instruments i CROSS JOIN (VALUES ('Trades'), ('LevelUpdates'), ('OrdersLog')) f(feed)""")
+@query("""WITH present AS (SELECT DISTINCT 'Trades' AS feed, instrument_id, trading_day FROM fx_trades
+  UNION ALL SELECT DISTINCT 'LevelUpdates', instrument_id, trading_day FROM fx_levels)
+SELECT i.base_asset, i.quote_asset, i.exchange, i.instrument_type, f.feed, CAST(CAST(d.d AS DATE) AS VARCHAR) AS trading_day,
+  p.feed IS NOT NULL AS has_data
+FROM fx_instruments i CROSS JOIN (VALUES ('Trades'), ('LevelUpdates'), ('OrdersLog')) f(feed)
+CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS d) d
+LEFT JOIN present p ON p.feed = f.feed AND p.instrument_id = i.instrument_id AND p.trading_day = CAST(CAST(d.d AS DATE) AS VARCHAR)""")
 def exists_feed_on_day(fx: Fixtures) -> DataFrame:
-    requests = _requests(fx, "Trades", "LevelUpdates", "OrdersLog")
+    requests = _daily(_requests(fx, "Trades", "LevelUpdates", "OrdersLog"))
     return coverage.exists_feed_on_day(requests, fx.instruments(), _facts(fx))
 
 
+@query("""WITH starts AS (SELECT base_asset, quote_asset, exchange, instrument_type, instrument_id, CAST(coalesce(listing, TIMESTAMP '2024-01-25') AS DATE) AS first FROM fx_instruments),
+days AS (SELECT s.*, CAST(CAST(unnest(generate_series(CAST(first AS TIMESTAMP), TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS VARCHAR) AS trading_day FROM starts s)
+SELECT base_asset, quote_asset, exchange, instrument_type, 'Trades' AS feed, trading_day FROM days d WHERE NOT EXISTS (
+  SELECT 1 FROM (SELECT DISTINCT instrument_id, trading_day FROM fx_trades) p WHERE p.instrument_id = d.instrument_id AND p.trading_day = d.trading_day)""")
+def missing_days_since_listing(fx: Fixtures) -> DataFrame:
+    """Every instrument from its own first day on."""
+    first = F.to_date(F.coalesce("listing", F.lit("2024-01-25").cast("timestamp_ntz")))
+    requests = fx.instruments().select(*IDENTITY, F.lit("Trades").alias("feed"), first.alias("trading_day"))
+    return coverage.missing_days(requests, fx.instruments(), _facts(fx), as_of=LAST)
+
+
 @query("""SELECT DISTINCT 'Trades' AS feed, instrument_id, trading_day FROM fx_trades
 UNION ALL SELECT DISTINCT 'LevelUpdates', instrument_id, trading_day FROM fx_levels""")
 def present_days(fx: Fixtures) -> DataFrame:
@@ -637,13 +656,12 @@ def ingest_new_files(fx: Fixtures) -> DataFrame:
 @query("""SELECT ts, r.instrument_id, CAST(CASE side WHEN 'buy' THEN 1 WHEN 'sell' THEN -1 ELSE 0 END AS BIGINT) AS side,
   price, amount AS quantity, id AS trade_id, file_day AS trading_day
 FROM raw_trades r JOIN fx_instruments i ON i.instrument_id = r.instrument_id
-WHERE timestamp IS NOT NULL AND price > 0 AND amount >= 0 AND i.instrument_type = 'spot' AND file_day BETWEEN '2024-01-05' AND '2024-01-25'""")
+WHERE timestamp IS NOT NULL AND price > 0 AND amount >= 0 AND file_day BETWEEN '2024-01-01' AND '2024-01-31'""")
 def load_by_request(fx: Fixtures) -> DataFrame:
-    """Requested instrument-days (all spot instruments, three weeks) loaded from raw rows."""
+    """The trades of every instrument-day of the month, requested by identity and loaded from raw rows."""
     path = new_folder(fx.spark, "by-request")
     names = fx.instruments().withColumn("instrument_id", F.col("instrument_id").cast("string"))
-    days = coverage.calendar(F.lit(dt.date(2024, 1, 5)), F.lit(dt.date(2024, 1, 25)))
-    requests = names.filter("instrument_type = 'spot'").select(*IDENTITY).withColumn("trading_day", days)
+    requests = _daily(names.select(*IDENTITY))
     raw = fx.raw_trades().drop("instrument_id")
     load.load_trades(requests, names, raw, path, on_invalid="reject", buckets=BUCKETS)
     return _stored(fx, TRADES, path)
@@ -651,23 +669,21 @@ def load_by_request(fx: Fixtures) -> DataFrame:
 
 @query(f"""SELECT ts, instrument_id, CAST(CASE side WHEN 'bid' THEN 1 WHEN 'ask' THEN -1 ELSE 0 END AS BIGINT) AS side, price,
   amount AS quantity, is_snapshot, row_number() OVER (PARTITION BY instrument_id, file_day {SORTED}) AS update_seq, file_day AS trading_day
-FROM raw_levels WHERE file_day BETWEEN '{LEVEL_FIRST}' AND '{LEVEL_LAST}'""")
-def load_levels_by_request(fx: Fixtures) -> DataFrame:
-    """A month of level updates of all instruments, requested by id and numbered per data set and day."""
-    path = new_folder(fx.spark, "levels-by-request")
+FROM raw_levels""")
+def requested_levels(fx: Fixtures) -> DataFrame:
+    """What a load by request writes: the level updates of all instruments, requested by id, numbered per data set and day."""
     key = F.col("s_suppkey").cast("string")
     names = fx.table("supplier").select(
         key.alias("instrument_id"),
         F.concat(F.lit("l"), key).alias("dataset"),
         *[F.lit("any").alias(c) for c in IDENTITY],
     )
-    days = coverage.calendar(F.lit(LEVEL_FIRST), F.lit(LEVEL_LAST))
+    days = coverage.calendar(F.lit(dt.date(1995, 1, 1)), F.lit(dt.date(2001, 12, 31)))
     requests = names.select("instrument_id", days.alias("trading_day"))
     raw = fx.raw_levels().drop("instrument_id").withColumn("dataset", F.upper("symbol"))
-    load.load_level_updates(
-        requests, names, raw, path, sequence="sorted", source=["dataset", "file_day"], on_invalid="reject", buckets=BUCKETS
-    )
-    return _stored(fx, LEVELS, path)
+    rows = load.for_requests(raw, load.requested_instruments(requests, names))
+    levels = normalize.normalize_levels(load.numbered_levels(rows, "sorted", ["dataset", "file_day"]))
+    return levels.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
 
 
 @query(f"""SELECT * FROM fx_levels QUALIFY row_number() OVER (

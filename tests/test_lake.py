@@ -177,6 +177,24 @@ def test_present_and_missing_make_the_calendar(lake):
     assert not missing & present and len(missing | present) == 11
 
 
+def test_missing_days_from_each_request_on(lake):
+    lake.load_trades(btc(lake))
+    requests = btc(lake, day="2024-01-14", feed="Trades").unionByName(btc(lake, feed="LevelUpdates"))
+    missing = lake.missing_days(requests, as_of="2024-01-16").collect()
+    assert [(r.feed, r.trading_day.day) for r in missing] == [
+        ("LevelUpdates", 15),
+        ("LevelUpdates", 16),
+        ("Trades", 14),
+        ("Trades", 16),
+    ]
+    assert lake.missing_days(requests, as_of="2024-01-01").count() == 0
+
+
+def test_no_day_means_yesterday(lake):
+    wanted = load.requested_instruments(btc(lake, day=None), lake.catalog).first()
+    assert wanted.trading_day == dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
+
+
 def test_unresolved_default_end(lake):
     today = dt.datetime.now(dt.timezone.utc).date()
     unknown = lake.request("NO", "USDT", "BinanceFutures", feed="Trades").drop("trading_day")

@@ -24,6 +24,7 @@ def test_compact_cold(spark, folder):
     assert sorted(map(tuple, after.collect())) == rows
     assert len(glob.glob(f"{path}/**/*.parquet", recursive=True)) < files
     assert maintenance.compact_cold(spark, path, as_of="2000-01-01", buckets=2) == 0
+    assert maintenance.compact_cold(spark, path, as_of=days[2], buckets=2) == 0  # compact already
     sizes = maintenance.day_sizes(spark, path).collect()
     assert {r.trading_day for r in sizes} == set(days) and all(r.total_bytes > 0 for r in sizes)
 
