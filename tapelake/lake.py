@@ -52,7 +52,7 @@ class Lake:
 
     @property
     def feeds(self) -> dict[str, DataFrame]:
-        return {spec.name: self.facts(spec) for spec in (TRADES, LEVELS)}
+        return {spec.name: facts.read_feed(self.spark, spec, self.table(spec)) for spec in (TRADES, LEVELS)}
 
     def request(
         self,
@@ -164,7 +164,7 @@ class Lake:
 
     # ---- coverage -------------------------------------------------------------------------------------------------
     def info(self, requests: DataFrame) -> DataFrame:
-        return coverage.feed_day_info(requests, self.catalog, self.feeds)
+        return coverage.feed_day_info(requests, self.catalog, self.feeds, self.buckets)
 
     def info_one(
         self,
@@ -177,16 +177,16 @@ class Lake:
     ) -> DataFrame:
         """Count, first and last time of one feed-day, or no row."""
         identity = catalog_ops.has_identity(base_asset, quote_asset, exchange, instrument_type)
-        tables = {spec.name: facts.read_feed(self.spark, spec, self.table(spec)) for spec in (TRADES, LEVELS)}
-        return coverage.feed_day_info_one(self.catalog, tables, identity, feed, day, self.buckets)
+        return coverage.feed_day_info_one(self.catalog, self.feeds, identity, feed, day, self.buckets)
 
     def missing_days(
         self, requests: DataFrame, start: dt.date | str | None = None, as_of: dt.date | str | None = None
     ) -> DataFrame:
-        return coverage.in_day_order(coverage.missing_days(requests, self.catalog, self.feeds, start, as_of))
+        missing = coverage.missing_days(requests, self.catalog, self.feeds, start, as_of, self.buckets)
+        return coverage.in_day_order(missing)
 
     def exists(self, requests: DataFrame) -> DataFrame:
-        return coverage.exists_feed_on_day(requests, self.catalog, self.feeds)
+        return coverage.exists_feed_on_day(requests, self.catalog, self.feeds, self.buckets)
 
     def storage_report(self) -> DataFrame:
         return maintenance.storage_report(self.spark, {spec.name: self.table(spec) for spec in (TRADES, LEVELS)})

@@ -17,6 +17,8 @@ from tapelake.schemas import FEEDS, IDENTITY
 from tapelake.sources.facts import in_days
 
 FEED_DAY = ["feed", "instrument_id", "trading_day"]
+# Up to this many requests have their instruments named one by one in the filter on the facts.
+NAMED_REQUESTS = 500
 
 
 def feed_days(facts: DataFrame, feed: str) -> DataFrame:
@@ -51,18 +53,55 @@ def resolve(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     return requests.join(catalog.select(*IDENTITY, "instrument_id"), IDENTITY, "left")
 
 
-def feed_day_info(requests: DataFrame, catalog: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
+def _narrowed(
+    requests: DataFrame,
+    catalog: DataFrame,
+    facts: dict[str, DataFrame],
+    first: dt.date,
+    last: dt.date,
+    buckets: int | None,
+) -> dict[str, DataFrame]:
+    """The facts that can matter to some requests: their feeds and range of days and, for few requests, their instruments.
+
+    All of it becomes literal filters, so other tables, partitions and row groups are not read. What is collected is at most
+    the two feed names and ``NAMED_REQUESTS`` ids.
+    """
+    feeds = {r.feed for r in requests.filter(F.col("feed").isin(list(FEEDS))).select("feed").distinct().collect()}
+    rows = {feed: in_days(df, first, last) for feed, df in facts.items() if feed in feeds}
+    if rows and requests.limit(NAMED_REQUESTS + 1).count() <= NAMED_REQUESTS:
+        found = resolve(requests, catalog).select("instrument_id").filter(F.col("instrument_id").isNotNull())
+        ids = [r.instrument_id for r in found.distinct().collect()]
+        rows = {feed: of_instruments(df, ids, buckets) for feed, df in rows.items()}
+    return rows
+
+
+def of_instruments(df: DataFrame, ids: list, buckets: int | None = None) -> DataFrame:
+    """Rows of some instruments; with the number of ``buckets`` of a stored table, from their buckets only."""
+    rows = df.filter(F.col("instrument_id").isin(ids))
+    return rows.filter(bucket_filter(ids, buckets)) if buckets and "instr_bucket" in df.columns else rows
+
+
+def _requested_days(requests: DataFrame) -> tuple[dt.date, dt.date] | None:
+    first, last = requests.agg(F.min("trading_day"), F.max("trading_day")).first()
+    return None if first is None else (first, last)
+
+
+def feed_day_info(
+    requests: DataFrame, catalog: DataFrame, facts: dict[str, DataFrame], buckets: int | None = None
+) -> DataFrame:
     """``items_count``, ``first_ts`` and ``last_ts`` of every requested feed-day that has rows.
 
-    Requests with an unknown instrument, an unsupported feed or an empty day give no row. Days that no request names are
-    not scanned: the range of requested days becomes a filter on the facts.
+    Requests with an unknown instrument, an unsupported feed or an empty day give no row.
     """
-    bounds = requests.agg(F.min("trading_day"), F.max("trading_day")).first()
-    if bounds[0] is None:
-        bounds = (dt.date(1970, 1, 1), dt.date(1970, 1, 1))
-    days = both_feeds({feed: feed_days(in_days(df, *bounds), feed) for feed, df in facts.items()})
+    columns = [*IDENTITY, *FEED_DAY, "items_count", "first_ts", "last_ts"]
     wanted = resolve(requests, catalog).filter(F.col("instrument_id").isNotNull())
-    return wanted.join(days, FEED_DAY).select(*IDENTITY, *FEED_DAY, "items_count", "first_ts", "last_ts")
+    span = _requested_days(requests)
+    rows = _narrowed(requests, catalog, facts, *span, buckets) if span else {}
+    if not rows:
+        nothing = {feed: feed_days(df, feed).limit(0) for feed, df in facts.items()}
+        return wanted.join(both_feeds(nothing), FEED_DAY).select(*columns)
+    days = both_feeds({feed: feed_days(df, feed) for feed, df in rows.items()})
+    return wanted.join(days, FEED_DAY).select(*columns)
 
 
 def feed_day_info_one(
@@ -73,26 +112,24 @@ def feed_day_info_one(
     day: dt.date | str,
     buckets: int | None = None,
 ) -> DataFrame:
-    """One feed-day. The identity is unique, so its id becomes a literal filter that the scan can use.
-
-    With the table's number of ``buckets`` (and its bucket column) only one folder is opened.
-    """
+    """One feed-day. The identity is unique, so its id becomes a literal filter that the scan can use."""
     spark = catalog.sparkSession
-    found = catalog.filter(identity).select("instrument_id").limit(1).collect()
+    found = [r.instrument_id for r in catalog.filter(identity).select("instrument_id").limit(1).collect()]
     if feed not in facts or feed not in FEEDS or not found:
         return spark.createDataFrame([], "items_count bigint, first_ts timestamp, last_ts timestamp")
-    rows = in_days(facts[feed], day).filter(F.col("instrument_id") == found[0][0])
-    if buckets and "instr_bucket" in rows.columns:
-        rows = rows.filter(bucket_filter([found[0][0]], buckets))
+    rows = of_instruments(in_days(facts[feed], day), found, buckets)
     return feed_days(rows, feed).select("items_count", "first_ts", "last_ts")
 
 
-def exists_feed_on_day(requests: DataFrame, catalog: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
+def exists_feed_on_day(
+    requests: DataFrame, catalog: DataFrame, facts: dict[str, DataFrame], buckets: int | None = None
+) -> DataFrame:
     """Every request with ``has_data``; false for an unknown instrument and for an unsupported feed."""
-    bounds = requests.agg(F.min("trading_day"), F.max("trading_day")).first()
-    if bounds[0] is None:
+    span = _requested_days(requests)
+    rows = _narrowed(requests, catalog, facts, *span, buckets) if span else {}
+    if not rows:
         return requests.withColumn("has_data", F.lit(False))
-    present = both_feeds({feed: present_days(in_days(df, *bounds), feed) for feed, df in facts.items()})
+    present = both_feeds({feed: present_days(df, feed) for feed, df in rows.items()})
     return (
         resolve(requests, catalog)
         .join(present.withColumn("_present", F.lit(True)), FEED_DAY, "left")
@@ -111,6 +148,7 @@ def missing_days(
     facts: dict[str, DataFrame],
     start: dt.date | str | None = None,
     as_of: dt.date | str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Days from ``start`` through ``as_of`` (default: today, UTC) on which a requested feed has no rows.
 
@@ -119,15 +157,19 @@ def missing_days(
     """
     last = as_day(as_of or dt.datetime.now(dt.timezone.utc).date())
     if start is None:
-        first = requests.agg(F.min("trading_day")).first()[0] or last
+        span = _requested_days(requests)
+        first = span[0] if span else last
         starts = requests.withColumnRenamed("trading_day", "_start")
     else:
         first = as_day(start)
         starts = requests.drop("trading_day").withColumn("_start", F.lit(first))
+    columns = [*IDENTITY, "feed", "trading_day"]
     wanted = resolve(starts, catalog).withColumn("trading_day", calendar(F.col("_start"), F.lit(last)))
-    scanned = (min(first, last), last)
-    present = both_feeds({feed: present_days(in_days(df, *scanned), feed) for feed, df in facts.items()})
-    return wanted.join(present, FEED_DAY, "left_anti").select(*IDENTITY, "feed", "trading_day")
+    rows = _narrowed(requests, catalog, facts, first, last, buckets) if first <= last else {}
+    if not rows:
+        return wanted.select(*columns)
+    present = both_feeds({feed: present_days(df, feed) for feed, df in rows.items()})
+    return wanted.join(present, FEED_DAY, "left_anti").select(*columns)
 
 
 def in_day_order(missing: DataFrame) -> DataFrame:

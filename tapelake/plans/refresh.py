@@ -67,22 +67,33 @@ def refresh_rejects(raw: DataFrame) -> DataFrame:
     return rejected(check_instruments(complete(catalog_rows(raw))))
 
 
-def refresh_instruments(spark: SparkSession, raw: DataFrame, exchange: str, path: str) -> dict[str, int]:
+class RefreshRejected(ValueError):
+    """The list breaks a catalog check; nothing was written."""
+
+
+def refresh_instruments(
+    spark: SparkSession, raw: DataFrame, exchange: str, path: str, on_invalid: str = "reject"
+) -> dict[str, int]:
     """Upsert one exchange's instruments into the catalog table at ``path`` and return the counts per action.
 
-    The new state is staged before it replaces the exchange's partition, so the table is never read and overwritten by one
-    job. An empty list changes nothing.
+    Rows that break a check are left out and counted as ``rejected``, or with ``on_invalid="fail"`` stop the refresh. The new
+    state is staged before it replaces the exchange's partition, so the table is never read and overwritten by one job. An
+    empty list changes nothing.
     """
+    listed = raw.filter(F.col("exchange") == exchange)
+    rejects = refresh_rejects(listed).count()
+    if rejects and on_invalid == "fail":
+        raise RefreshRejected(f"{rejects} instruments of {exchange} break a check")
     catalog = read_catalog(spark, path).filter(F.col("exchange") == exchange)
-    merged = stage(refreshed(catalog, raw.filter(F.col("exchange") == exchange)), "catalog")
+    merged = stage(refreshed(catalog, listed), "catalog")
     counts = {r.action: r.instruments for r in upsert_counts(merged).collect()}
     if set(counts) - {"kept"}:
         (
             merged.select("instrument_id", "symbol_id", *IDENTITY, *INSTRUMENT_FIELDS)
-            .repartition("exchange")
+            .hint("rebalance", F.col("exchange"))
             .write.partitionBy("exchange")
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite")
             .parquet(path)
         )
-    return counts
+    return {**counts, **({"rejected": rejects} if rejects else {})}

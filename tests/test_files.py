@@ -150,7 +150,10 @@ def test_instrument_list(spark, folder, write_json, instrument_json):
     raw = raw_files.read_instruments(spark, path, "BinanceFutures")
     assert raw.count() == 6 and {r.exchange for r in raw.collect()} == {"BinanceFutures"}
     table = f"{folder}/instruments"
-    assert refresh.refresh_instruments(spark, raw, "BinanceFutures", table) == {"inserted": 3}
+    with pytest.raises(refresh.RefreshRejected):
+        refresh.refresh_instruments(spark, raw, "BinanceFutures", table, on_invalid="fail")
+    assert not os.path.exists(table)
+    assert refresh.refresh_instruments(spark, raw, "BinanceFutures", table) == {"inserted": 3, "rejected": 1}
     rows = {r.dataset: r for r in facts.read_catalog(spark, table).collect()}
     assert set(rows) == {"BTCUSDT", "ETHUSDT", "USDTUSDT"}
     assert rows["BTCUSDT"].listing == dt.datetime(2024, 1, 1) and rows["USDTUSDT"].active

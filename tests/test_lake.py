@@ -166,7 +166,21 @@ def test_coverage_prunes_days_and_never_runs_python(lake):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
         filters = [p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:]]
-        assert any("trading_day" in f for f in filters)
+        assert any("trading_day" in f and "instr_bucket" in f for f in filters)
+        assert "level_updates" not in plan  # a feed nobody asked for is not read
+
+
+def test_few_and_many_requests_agree(lake, monkeypatch):
+    lake.load_trades(btc(lake).unionByName(btc(lake, day="2024-01-16")))
+    requests = btc(lake, feed="Trades").unionByName(lake.request("NO", "USDT", "OkexSwap", day=DAY, feed="Trades"))
+
+    def answers():
+        frames = (lake.info(requests), lake.exists(requests), lake.missing_days(requests, "2024-01-10", "2024-01-20"))
+        return [sorted(map(tuple, df.collect())) for df in frames]
+
+    few = answers()
+    monkeypatch.setattr(coverage, "NAMED_REQUESTS", 0)
+    assert answers() == few and [len(a) for a in few] == [1, 2, 20]
 
 
 def test_present_and_missing_make_the_calendar(lake):
