@@ -81,7 +81,7 @@ def of_instruments(df: DataFrame, ids: list, buckets: int | None = None) -> Data
     return rows.filter(bucket_filter(ids, buckets)) if buckets and "instr_bucket" in df.columns else rows
 
 
-def _requested_days(requests: DataFrame) -> tuple[dt.date, dt.date] | None:
+def requested_days(requests: DataFrame) -> tuple[dt.date, dt.date] | None:
     first, last = requests.agg(F.min("trading_day"), F.max("trading_day")).first()
     return None if first is None else (first, last)
 
@@ -95,7 +95,7 @@ def feed_day_info(
     """
     columns = [*IDENTITY, *FEED_DAY, "items_count", "first_ts", "last_ts"]
     wanted = resolve(requests, catalog).filter(F.col("instrument_id").isNotNull())
-    span = _requested_days(requests)
+    span = requested_days(requests)
     rows = _narrowed(requests, catalog, facts, *span, buckets) if span else {}
     if not rows:
         nothing = {feed: feed_days(df, feed).limit(0) for feed, df in facts.items()}
@@ -125,7 +125,7 @@ def exists_feed_on_day(
     requests: DataFrame, catalog: DataFrame, facts: dict[str, DataFrame], buckets: int | None = None
 ) -> DataFrame:
     """Every request with ``has_data``; false for an unknown instrument and for an unsupported feed."""
-    span = _requested_days(requests)
+    span = requested_days(requests)
     rows = _narrowed(requests, catalog, facts, *span, buckets) if span else {}
     if not rows:
         return requests.withColumn("has_data", F.lit(False))
@@ -157,7 +157,7 @@ def missing_days(
     """
     last = as_day(as_of or dt.datetime.now(dt.timezone.utc).date())
     if start is None:
-        span = _requested_days(requests)
+        span = requested_days(requests)
         first = span[0] if span else last
         starts = requests.withColumnRenamed("trading_day", "_start")
     else:

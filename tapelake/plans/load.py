@@ -2,7 +2,7 @@
 
 Parquet has no unique index and no transaction, so a load stages its batch once, checks all of it, leaves out the keys the
 touched days already hold, and makes one append. A load that fails leaves the table as it was; a load that is repeated
-inserts nothing. One writer per feed and day is assumed.
+inserts nothing, also after a driver was lost while committing. One writer per feed and day is assumed.
 """
 
 from __future__ import annotations
@@ -24,10 +24,7 @@ from tapelake.operators.sequence import continue_sequence
 from tapelake.operators.validate import check_facts, rejected, valid
 from tapelake.plans.staging import stage
 from tapelake.schemas import IDENTITY, LEVELS, TRADES, Feed
-from tapelake.sources.facts import read_feed
-
-# Up to this many days are named one by one in the filter on the target; more become a range.
-NAMED_DAYS = 1000
+from tapelake.sources.facts import read_feed_days
 
 
 class LoadRejected(ValueError):
@@ -51,10 +48,9 @@ class LoadReport:
         return self.received - self.rejected - self.inserted
 
 
-def _of_days(target: DataFrame, days: list[dt.date]) -> DataFrame:
-    if len(days) <= NAMED_DAYS:
-        return target.filter(F.col("trading_day").isin(days))
-    return target.filter(F.col("trading_day").between(min(days), max(days)))
+def _target(spark: SparkSession, spec: Feed, path: str, days: list[dt.date]) -> DataFrame:
+    """What the table holds for some days."""
+    return read_feed_days(spark, spec, path, set(days).__contains__)
 
 
 def _load(
@@ -82,7 +78,7 @@ def _load(
         raise LoadRejected(f"{report.rejected} of {report.received} rows rejected: {report.reasons}")
     if not report.days:
         return report
-    target = _of_days(read_feed(spark, spec, path), report.days)
+    target = _target(spark, spec, path, report.days)
     fresh = choose(valid(checked), target)
     written = Observation(f"written-{uuid.uuid4().hex}")
     write_layout(fresh, path, buckets, observe=(written, F.count(F.lit(1)).alias("rows")))
@@ -228,6 +224,6 @@ def numbered_levels(raw: DataFrame, sequence: str, source: list[str]) -> DataFra
 def continued_levels(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame:
     """Normalized 0-based level updates whose numbers go on after the highest one stored for (instrument, day)."""
     days = [r.trading_day for r in batch.select("trading_day").distinct().collect()]
-    target = _of_days(read_feed(spark, LEVELS, path), days)
+    target = _target(spark, LEVELS, path, days)
     shifted = continue_sequence(batch, target, ["instrument_id", "trading_day"])
     return shifted.withColumn("update_seq", F.col("update_seq").cast("int"))

@@ -123,7 +123,7 @@ def compact_cold(
     cold_days = [r.trading_day for r in fragmented_days(spark, path, before, file_bytes).collect()]
     if not cold_days:
         return 0
-    cold = spark.read.parquet(path).filter(F.col("trading_day").isin(cold_days))
+    cold = spark.read.option("basePath", path).parquet(*[f"{path}/trading_day={day}" for day in cold_days])
     staged = stage(cold, "compact")
     rows, staged_rows = cold.count(), staged.count()
     if staged_rows != rows:

@@ -52,6 +52,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries right below ``path``; none if there is no such folder."""
+    if not path_exists(spark, path):
+        return []
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(status.getPath().getName() for status in file_system.listStatus(hadoop_path))
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table, or no rows if nothing has been written there yet."""
     if path_exists(spark, path):

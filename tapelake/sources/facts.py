@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapelake.functions.times import day_range, instant_like
 from tapelake.operators.layout import BUCKETS, bucket_filter
-from tapelake.plans.staging import read_or_empty
+from tapelake.plans.staging import child_names, read_or_empty
 from tapelake.schemas import INSTRUMENT, Feed
 
 
@@ -18,6 +18,20 @@ def read_feed(spark: SparkSession, spec: Feed, path: str) -> DataFrame:
     return read_or_empty(spark, path, spec.fact)
 
 
+def read_feed_days(spark: SparkSession, spec: Feed, path: str, wanted: Callable[[dt.date], bool]) -> DataFrame:
+    """The rows of the days that ``wanted`` accepts.
+
+    One listing of the table's folder gives its days; the folders of other days, of which a long history has very many, are
+    not even listed.
+    """
+    prefix = "trading_day="
+    names = [name for name in child_names(spark, path) if name.startswith(prefix)]
+    folders = [f"{path}/{name}" for name in names if wanted(dt.date.fromisoformat(name.removeprefix(prefix)))]
+    if not folders:
+        return spark.createDataFrame([], spec.fact)
+    return spark.read.schema(spec.fact).option("basePath", path).parquet(*folders)
+
+
 def in_days(df: DataFrame, start: dt.date | str, end: dt.date | str | None = None) -> DataFrame:
     """Rows of the half-open range [start 00:00, end + 1 day 00:00) in UTC.
 
@@ -42,7 +56,8 @@ def scan_feed(
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Rows of a day range and, if given, of some instruments; other days and buckets are not opened."""
-    rows = in_days(read_feed(spark, spec, path), start, end)
+    first, last = day_range(start, end)
+    rows = in_days(read_feed_days(spark, spec, path, lambda day: first <= day <= last), first, last)
     if instruments is not None:
         ids = list(instruments)
         rows = rows.filter(bucket_filter(ids, buckets)).filter(F.col("instrument_id").isin(ids))

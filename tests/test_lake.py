@@ -137,14 +137,14 @@ def test_land(lake, spark):
 def test_one_feed_day(lake):
     lake.load_trades(btc(lake))
     is_btc = (F.col("base_asset") == "BTC") & (F.col("exchange") == "BinanceFutures")
-    one = coverage.feed_day_info_one(lake.catalog, lake.feeds, is_btc, "Trades", DAY)
+    one = coverage.feed_day_info_one(lake.catalog, lake.feeds(), is_btc, "Trades", DAY)
     assert one.first().items_count == 5
     one = lake.info_one("BTC", "USDT", "BinanceFutures", "perpetual", DAY, "Trades")
     assert one.first().items_count == 5
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"instrument_id#\d+ = ", plan) and "instr_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
     for feed, day in (("OrdersLog", DAY), ("Trades", "2024-01-16"), ("LevelUpdates", DAY)):
-        assert coverage.feed_day_info_one(lake.catalog, lake.feeds, is_btc, feed, day).count() == 0
+        assert coverage.feed_day_info_one(lake.catalog, lake.feeds(), is_btc, feed, day).count() == 0
 
 
 def test_manifest(lake, folder, write_json, instrument_json, trades_file):
