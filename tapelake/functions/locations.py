@@ -67,3 +67,21 @@ def parse_cache_location(path: Column, root: str = "") -> dict[str, Column]:
         "file_day": F.to_date(part(CACHE_FILE, 2)),
         "tag": part(CACHE_FILE, 3),
     }
+
+
+# The two below run once per row, on names that a file scan has matched already: plain string cuts, no patterns.
+def cached_parts(path: Column) -> dict[str, Column]:
+    """Data set and day of a cached file's location."""
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    day = F.substring_index(F.substring_index(F.substring_index(path, "/", -1), "_", -2), "_", 1)
+    return {"dataset": F.upper(folder), "file_day": F.to_date(day)}
+
+
+def delivered_parts(path: Column) -> dict[str, Column]:
+    """Slug, data set and day of a source location."""
+    day = F.substring_index(F.substring_index(path, "/", -4), "/", 3)
+    return {
+        "slug": F.substring_index(F.substring_index(path, "/", -6), "/", 1),
+        "dataset": F.upper(F.substring_index(F.substring_index(path, "/", -1), ".csv.gz", 1)),
+        "file_day": F.to_date(F.translate(day, "/", "-")),
+    }

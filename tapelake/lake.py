@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.functions.locations import source_location
+from tapelake.functions.locations import delivered_parts, source_location
 from tapelake.functions.times import as_day
 from tapelake.functions.venues import exchange_slug
 from tapelake.operators import catalog as catalog_ops
@@ -111,10 +111,7 @@ class Lake:
         A file that is not there is a day without trading: no rows.
         """
         raw = raw_files.read_raw(self.spark, spec, self.source_paths(spec, wanted))
-        location = r"/([^/]+)/[^/]+/(\d{4})/(\d{2})/(\d{2})/([^/]+)\.csv\.gz$"
-        parts = [F.regexp_extract("_file", location, i) for i in range(1, 6)]
-        day = F.to_date(F.concat_ws("-", *parts[1:4]))
-        return raw.withColumns({"slug": parts[0], "file_day": day, "dataset": F.upper(parts[4])})
+        return raw.withColumns(delivered_parts(F.col("_file")))
 
     def _page(self, spec: Feed, exchange: str, dataset: str, day: dt.date | str, count: int, skip: int) -> DataFrame:
         slug = exchange_slug(F.lit(exchange))

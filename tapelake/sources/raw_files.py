@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapelake.functions.locations import parse_cache_location
+from tapelake.functions.locations import cached_parts, parse_cache_location
 from tapelake.functions.times import date_mode
 from tapelake.plans.staging import path_exists
 from tapelake.schemas import INSTRUMENTS_RAW, LEVELS, TRADES, Feed
@@ -95,8 +95,9 @@ def scan_cache(
     first, last = date_mode(date, start, end)
     folder = f"{root.rstrip('/')}/{slug}/{instrument_type}"
     rows = read_raw(spark, spec, folder, name_glob=cache_glob(spec, first, last), **options)
-    parts = parse_cache_location(F.col("_file"))
-    rows = rows.withColumns({"dataset": parts["dataset"], "file_day": parts["file_day"]})
+    rows = rows.withColumns(cached_parts(F.col("_file")))
+    if (last - first).days < NAMED_DAYS:
+        return rows
     return rows.filter(F.col("file_day").between(F.lit(first), F.lit(last)))
 
 
