@@ -64,7 +64,7 @@ def parse_cache_location(path: Column, root: str = "") -> dict[str, Column]:
         "slug": part(below + r"([^/]+)/([^/]+)/", 1),
         "instrument_type": part(below + r"([^/]+)/([^/]+)/", 2),
         "dataset": F.upper(part(CACHE_FILE, 1)),
-        "file_day": F.to_date(part(CACHE_FILE, 2)),
+        "file_day": part(CACHE_FILE, 2).try_cast("date"),
         "tag": part(CACHE_FILE, 3),
     }
 
@@ -74,7 +74,7 @@ def cached_parts(path: Column) -> dict[str, Column]:
     """Data set and day of a cached file's location."""
     folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
     day = F.substring_index(F.substring_index(F.substring_index(path, "/", -1), "_", -2), "_", 1)
-    return {"dataset": F.upper(folder), "file_day": F.to_date(day)}
+    return {"dataset": F.upper(folder), "file_day": day.try_cast("date")}
 
 
 def delivered_parts(path: Column) -> dict[str, Column]:
@@ -83,5 +83,5 @@ def delivered_parts(path: Column) -> dict[str, Column]:
     return {
         "slug": F.substring_index(F.substring_index(path, "/", -6), "/", 1),
         "dataset": F.upper(F.substring_index(F.substring_index(path, "/", -1), ".csv.gz", 1)),
-        "file_day": F.to_date(F.translate(day, "/", "-")),
+        "file_day": F.translate(day, "/", "-").try_cast("date"),
     }

@@ -170,3 +170,21 @@ def test_parse_location(spark):
         ("okex", "spot", "BTC", day, "trades"),
         ("okex", "spot", None, None, None),
     ]
+
+
+def test_parts_of_matched_files(spark):
+    row = one(
+        spark,
+        **{f"c_{n}": c for n, c in locations.cached_parts(F.lit("file:/c/okex/spot/btc-usd/x_y_2025-10-07_l2.csv.gz")).items()},
+        **{f"d_{n}": c for n, c in locations.delivered_parts(F.lit("s3://b/v1/okex/trades/2025/10/07/Btc.Usd.csv.gz")).items()},
+        bad=locations.cached_parts(F.lit("file:/c/BTC/x_2025-13-07_l2.csv.gz"))["file_day"],
+    ).asDict()
+    day = dt.date(2025, 10, 7)
+    assert row == {
+        "c_dataset": "BTC-USD",
+        "c_file_day": day,
+        "d_slug": "okex",
+        "d_dataset": "BTC.USD",
+        "d_file_day": day,
+        "bad": None,
+    }

@@ -228,3 +228,34 @@ def test_numbering_expands_copies_in_blocks(spark, monkeypatch):
 def test_buckets(spark):
     row = spark.range(1).select(layout.instrument_bucket(F.lit("abc"), 64).alias("b")).first()
     assert 0 <= row.b < 64
+
+
+def test_hot_instrument_is_split_in_a_shuffled_join(spark):
+    """Requests too large to broadcast: the hot data set's rows are spread over several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 2 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 100))
+        raw = spark.range(0, 80_000, 1, 8).select(
+            hot.alias("dataset"), F.lit(DAY).alias("file_day"), F.md5(F.col("id").cast("string")).alias("price")
+        )
+        wanted = raw.select("dataset").distinct().select(
+            "dataset", F.lit(DAY).alias("trading_day"), F.col("dataset").alias("instrument_id"), F.lit("OkexSpot").alias("exchange")
+        )
+        joined = load.for_requests(raw, wanted)
+        assert joined.count() == 80_000
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        configure(spark)
+    assert "skew=true" in plan or "isSkew=true" in plan or "AQEShuffleRead skewed" in plan
