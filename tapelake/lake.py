@@ -50,11 +50,10 @@ class Lake:
     def facts(self, spec: Feed) -> DataFrame:
         return facts.read_feed(self.spark, spec, self.table(spec)).drop("instr_bucket")
 
-    def feeds(self, span: tuple[dt.date, dt.date] | None = None) -> dict[str, DataFrame]:
-        """Both fact tables, or just their days from ``span[0]`` to ``span[1]``."""
-        if span is None:
+    def feeds(self, first: dt.date | None = None, last: dt.date | None = None) -> dict[str, DataFrame]:
+        """Both fact tables, or just their days from ``first`` to ``last``."""
+        if first is None or last is None:
             return {spec.name: facts.read_feed(self.spark, spec, self.table(spec)) for spec in (TRADES, LEVELS)}
-        first, last = span
         return {
             spec.name: facts.read_feed_days(self.spark, spec, self.table(spec), lambda day: first <= day <= last)
             for spec in (TRADES, LEVELS)
@@ -167,8 +166,10 @@ class Lake:
 
     # ---- coverage -------------------------------------------------------------------------------------------------
     def info(self, requests: DataFrame) -> DataFrame:
-        feeds = self.feeds(coverage.requested_days(requests))
-        return coverage.feed_day_info(requests, self.catalog, feeds, self.buckets)
+        scope = coverage.scope_of(requests)
+        return coverage.feed_day_info(
+            requests, self.catalog, self.feeds(scope.first, scope.last), self.buckets, scope
+        )
 
     def info_one(
         self,
@@ -181,21 +182,25 @@ class Lake:
     ) -> DataFrame:
         """Count, first and last time of one feed-day, or no row."""
         identity = catalog_ops.has_identity(base_asset, quote_asset, exchange, instrument_type)
-        feeds = self.feeds((as_day(day), as_day(day)))
+        feeds = self.feeds(as_day(day), as_day(day))
         return coverage.feed_day_info_one(self.catalog, feeds, identity, feed, day, self.buckets)
 
     def missing_days(
         self, requests: DataFrame, start: dt.date | str | None = None, as_of: dt.date | str | None = None
     ) -> DataFrame:
         last = as_day(as_of or dt.datetime.now(dt.timezone.utc).date())
-        span = coverage.requested_days(requests) if start is None else (as_day(start), last)
-        feeds = self.feeds((span[0], last) if span else None)
-        missing = coverage.missing_days(requests, self.catalog, feeds, start, last, self.buckets)
+        scope = coverage.scope_of(requests)
+        first = scope.first if start is None else as_day(start)
+        missing = coverage.missing_days(
+            requests, self.catalog, self.feeds(first, last), start, last, self.buckets, scope
+        )
         return coverage.in_day_order(missing)
 
     def exists(self, requests: DataFrame) -> DataFrame:
-        feeds = self.feeds(coverage.requested_days(requests))
-        return coverage.exists_feed_on_day(requests, self.catalog, feeds, self.buckets)
+        scope = coverage.scope_of(requests)
+        return coverage.exists_feed_on_day(
+            requests, self.catalog, self.feeds(scope.first, scope.last), self.buckets, scope
+        )
 
     def storage_report(self) -> DataFrame:
         return maintenance.storage_report(self.spark, {spec.name: self.table(spec) for spec in (TRADES, LEVELS)})

@@ -7,6 +7,7 @@ before they meet requests or catalog, so a hot instrument never crosses a shuffl
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,22 +54,39 @@ def resolve(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     return requests.join(catalog.select(*IDENTITY, "instrument_id"), IDENTITY, "left")
 
 
+@dataclass(frozen=True)
+class Scope:
+    """What some requests can touch: how many they are, their range of days, their supported feeds."""
+
+    requests: int
+    first: dt.date | None
+    last: dt.date | None
+    feeds: frozenset[str]
+
+
+def scope_of(requests: DataFrame) -> Scope:
+    """One pass over the requests; the result has a fixed size."""
+    day = F.col("trading_day") if "trading_day" in requests.columns else F.lit(None).cast("date")
+    supported = F.when(F.col("feed").isin(list(FEEDS)), F.col("feed"))
+    row = requests.agg(F.count(F.lit(1)), F.min(day), F.max(day), F.collect_set(supported)).first()
+    return Scope(row[0], row[1], row[2], frozenset(row[3]))
+
+
 def _narrowed(
     requests: DataFrame,
+    scope: Scope,
     catalog: DataFrame,
     facts: dict[str, DataFrame],
-    first: dt.date,
-    last: dt.date,
+    days: tuple[dt.date, dt.date],
     buckets: int | None,
 ) -> dict[str, DataFrame]:
     """The facts that can matter to some requests: their feeds and range of days and, for few requests, their instruments.
 
-    All of it becomes literal filters, so other tables, partitions and row groups are not read. What is collected is at most
-    the two feed names and ``NAMED_REQUESTS`` ids.
+    All of it becomes literal filters, so other tables, partitions and row groups are not read. At most ``NAMED_REQUESTS``
+    ids are collected.
     """
-    feeds = {r.feed for r in requests.filter(F.col("feed").isin(list(FEEDS))).select("feed").distinct().collect()}
-    rows = {feed: in_days(df, first, last) for feed, df in facts.items() if feed in feeds}
-    if rows and requests.limit(NAMED_REQUESTS + 1).count() <= NAMED_REQUESTS:
+    rows = {feed: in_days(df, *days) for feed, df in facts.items() if feed in scope.feeds}
+    if rows and scope.requests <= NAMED_REQUESTS:
         found = resolve(requests, catalog).select("instrument_id").filter(F.col("instrument_id").isNotNull())
         ids = [r.instrument_id for r in found.distinct().collect()]
         rows = {feed: of_instruments(df, ids, buckets) for feed, df in rows.items()}
@@ -81,13 +99,12 @@ def of_instruments(df: DataFrame, ids: list, buckets: int | None = None) -> Data
     return rows.filter(bucket_filter(ids, buckets)) if buckets and "instr_bucket" in df.columns else rows
 
 
-def requested_days(requests: DataFrame) -> tuple[dt.date, dt.date] | None:
-    first, last = requests.agg(F.min("trading_day"), F.max("trading_day")).first()
-    return None if first is None else (first, last)
-
-
 def feed_day_info(
-    requests: DataFrame, catalog: DataFrame, facts: dict[str, DataFrame], buckets: int | None = None
+    requests: DataFrame,
+    catalog: DataFrame,
+    facts: dict[str, DataFrame],
+    buckets: int | None = None,
+    scope: Scope | None = None,
 ) -> DataFrame:
     """``items_count``, ``first_ts`` and ``last_ts`` of every requested feed-day that has rows.
 
@@ -95,8 +112,8 @@ def feed_day_info(
     """
     columns = [*IDENTITY, *FEED_DAY, "items_count", "first_ts", "last_ts"]
     wanted = resolve(requests, catalog).filter(F.col("instrument_id").isNotNull())
-    span = requested_days(requests)
-    rows = _narrowed(requests, catalog, facts, *span, buckets) if span else {}
+    scope = scope or scope_of(requests)
+    rows = _narrowed(requests, scope, catalog, facts, (scope.first, scope.last), buckets) if scope.first else {}
     if not rows:
         nothing = {feed: feed_days(df, feed).limit(0) for feed, df in facts.items()}
         return wanted.join(both_feeds(nothing), FEED_DAY).select(*columns)
@@ -122,11 +139,15 @@ def feed_day_info_one(
 
 
 def exists_feed_on_day(
-    requests: DataFrame, catalog: DataFrame, facts: dict[str, DataFrame], buckets: int | None = None
+    requests: DataFrame,
+    catalog: DataFrame,
+    facts: dict[str, DataFrame],
+    buckets: int | None = None,
+    scope: Scope | None = None,
 ) -> DataFrame:
     """Every request with ``has_data``; false for an unknown instrument and for an unsupported feed."""
-    span = requested_days(requests)
-    rows = _narrowed(requests, catalog, facts, *span, buckets) if span else {}
+    scope = scope or scope_of(requests)
+    rows = _narrowed(requests, scope, catalog, facts, (scope.first, scope.last), buckets) if scope.first else {}
     if not rows:
         return requests.withColumn("has_data", F.lit(False))
     present = both_feeds({feed: present_days(df, feed) for feed, df in rows.items()})
@@ -149,6 +170,7 @@ def missing_days(
     start: dt.date | str | None = None,
     as_of: dt.date | str | None = None,
     buckets: int | None = None,
+    scope: Scope | None = None,
 ) -> DataFrame:
     """Days from ``start`` through ``as_of`` (default: today, UTC) on which a requested feed has no rows.
 
@@ -156,16 +178,16 @@ def missing_days(
     every day. Facts before the first start cannot matter and are not scanned.
     """
     last = as_day(as_of or dt.datetime.now(dt.timezone.utc).date())
+    scope = scope or scope_of(requests)
     if start is None:
-        span = requested_days(requests)
-        first = span[0] if span else last
+        first = scope.first or last
         starts = requests.withColumnRenamed("trading_day", "_start")
     else:
         first = as_day(start)
         starts = requests.drop("trading_day").withColumn("_start", F.lit(first))
     columns = [*IDENTITY, "feed", "trading_day"]
     wanted = resolve(starts, catalog).withColumn("trading_day", calendar(F.col("_start"), F.lit(last)))
-    rows = _narrowed(requests, catalog, facts, first, last, buckets) if first <= last else {}
+    rows = _narrowed(requests, scope, catalog, facts, (first, last), buckets) if first <= last else {}
     if not rows:
         return wanted.select(*columns)
     present = both_feeds({feed: present_days(df, feed) for feed, df in rows.items()})
