@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,11 +156,20 @@ class Lake:
             self.spark, cache, self.catalog, exchange, instrument_type, tables, buckets=self.buckets, **options
         )
 
-    def manifest(self, listing: str, exchange: str, instrument_type: str, cache: str, **dates) -> DataFrame:
-        """Files of an exchange and type that should be fetched and are not in the cache yet."""
+    def manifest(
+        self,
+        listing: str,
+        exchange: str,
+        instrument_type: str,
+        cache: str,
+        feeds: Iterable[str] = ("trades", "l2"),
+        **dates,
+    ) -> DataFrame:
+        """Files of an exchange and type that should be fetched and are not in the cache yet; without dates, yesterday's."""
+        dates = dates or {"date": dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)}
         raw = raw_files.read_instruments(self.spark, listing, exchange)
         listed = manifest.listed_instruments(raw).filter(F.col("instrument_type") == instrument_type.strip().lower())
-        wanted = manifest.download_manifest(listed, exchange_slug(F.col("exchange"), "download"), **dates)
+        wanted = manifest.download_manifest(listed, exchange_slug(F.col("exchange"), "download"), feeds, **dates)
         files = raw_files.list_cache(self.spark, cache)
         below = F.regexp_replace("path", r"^.*/([^/]+/[^/]+/[^/]+/[^/]+)$", "$1")
         return manifest.remaining(wanted, files.select(below.alias("cache"), "length"))

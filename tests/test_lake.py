@@ -158,6 +158,13 @@ def test_manifest(lake, folder, write_json, instrument_json, trades_file):
     ]
 
 
+def test_manifest_of_yesterday(lake, folder, write_json, instrument_json):
+    path = write_json(f"{folder}/lists/y.json", [instrument_json()])
+    yesterday = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
+    rows = lake.manifest(path, "BinanceFutures", "perpetual", f"{folder}/no-cache", feeds=["trades"]).collect()
+    assert [r.trading_day for r in rows] == [yesterday]
+
+
 def test_coverage_prunes_days_and_never_runs_python(lake):
     lake.load_trades(btc(lake).unionByName(btc(lake, day="2024-01-16")))
     lake.load_level_updates(btc(lake))
