@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapelake.llm import jaccard_join
+from tapelake.llm import contamination, jaccard_join, mixing, url_rules
 from tapelake.llm.common import table
+from tapelake.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,24 @@ def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contained_items(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark", "item_id", "text"))
+
+
+def op8_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents", "doc_id", "text", "source"))
+
+
+def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    return url_rules.judge(table(spark, folder, "pages", "page_id", "url"), spark.createDataFrame(rules, "host string, path string, verdict string"))
+
+
 QUERIES: dict[str, Query] = {
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_mixing_sources": op8_mixing_sources,
+    "op10_url_filters": op10_url_filters,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
