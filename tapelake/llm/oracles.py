@@ -20,6 +20,25 @@ def _components(nodes: str, links: str) -> str:
 SELECT id, id FROM {nodes} UNION SELECT r.a, l.b FROM reach r JOIN {links} l ON l.a = r.b)"""
 
 
+# Five bits of the SHA-1 digest per character of the alphabet.
+OP1 = """WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+h AS (SELECT page_id, octet_length(CAST(encode(payload) AS BLOB)) AS payload_bytes, sha1(payload) AS hex, payload FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (CAST('0x' || substr(hex, CAST(1 + 5 * g AS BIGINT), 5) AS BIGINT) >> s) % 32, 1)), '')), '') AS payload_digest,
+  max(page_id) OVER (PARTITION BY payload) AS top FROM h)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to FROM b"""
+
+_ESCAPED = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'), ']', '&rb;')"
+OP6 = f"""WITH c AS (
+SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(7 + sum(length({_ESCAPED.format("text")}) + CASE WHEN role = 'assistant' THEN 11 ELSE 19 + length({_ESCAPED.format("role")}) END) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id"""
+
 OP7 = f"""WITH {_shingles("d", "doc_id", "documents")}, {_shingles("q", "item_id", "benchmark")},
 sizes AS (SELECT item_id, count(*) AS n_item FROM q GROUP BY 1)
 SELECT d.doc_id, q.item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
@@ -47,6 +66,8 @@ QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rul
 SELECT split.page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM split LEFT JOIN fits ON fits.page_id = split.page_id"""
 
 ORACLES: dict[str, str] = {
+    "op1_warc_capture_index": OP1,
+    "op6_chat_formatting": OP6,
     "op7_benchmark_decontamination": OP7,
     "op9_ngram_jaccard_join": OP9,
     "op10_url_filters": OP10,
