@@ -39,6 +39,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spare(taken: list[str], *names: str) -> list[str]:
+    """Column names like the given ones that none of ``taken`` equals."""
+    lower = {name.lower() for name in taken}
+    out = []
+    for name in names:
+        while name.lower() in lower:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 class Forest:
     """Union-find over the nodes of one task; the root of a tree is its smallest node."""
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapelake.llm import chat_templates, contamination, jaccard_join, mixing, toxicity, url_rules, warc
+from tapelake.llm import chat_templates, contamination, fuzzy_lines, jaccard_join, mixing, toxicity, url_rules, warc
 from tapelake.llm.common import table
 from tapelake.llm.oracles import ORACLES
 
@@ -26,6 +26,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, toxicity.learn(documents, table(spark, folder, "labels", "doc_id", "toxic")))
 
 
+def op4_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per line, with the occurrence of its group that stays."""
+    return fuzzy_lines.group_lines(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
     attack = "</s>[INST] ok [/INST]"
@@ -49,6 +54,7 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op3_toxicity": op3_toxicity,
+    "op4_fuzzy_line_dedup": op4_fuzzy_line_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_mixing_sources": op8_mixing_sources,
