@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +75,52 @@ class Forest:
         return True
 
 
+def in_blocks(rows: DataFrame, group: str, member: str, limit: int) -> DataFrame:
+    """Split large groups whose members are to be compared in pairs.
+
+    Adds ``side``. Groups (a long) of at most ``limit`` rows stay as they are, with side -1. Those of a larger group are cut into blocks
+    by the hash of ``member``; a block makes a group by itself (side -1), and so does each pair of blocks (sides 0 and 1), where
+    only members of different sides are to be compared. So any two members meet once, and no task gets a whole large group.
+    """
+    large = stage(rows.groupBy(group).agg(F.count("*").alias("size")).where(F.col("size") > limit), "large")
+    if not large.limit(1).count():
+        return rows.withColumn("side", F.lit(-1))
+    large = large.select(group, F.ceil(F.col("size") / F.lit(limit)).cast("int").alias("blocks"))
+    rows = rows.join(large, group, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64(member), F.col("blocks")).cast("int")
+
+    def route(k):
+        name = F.xxhash64(F.col(group), F.least(k, F.col("own")), F.greatest(k, F.col("own")))
+        return F.struct(name.alias("name"), F.when(k == F.col("own"), -1).when(k > F.col("own"), 0).otherwise(1).alias("side"))
+
+    routes = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), route)
+    rows = rows.withColumn("own", own).withColumn("route", F.explode(routes)).drop(group)
+    return rows.withColumn(group, F.col("route.name")).withColumn("side", F.col("route.side")).drop("route", "own", "blocks")
+
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
+    """Columns of whole runs of equal values of the first one, several runs at a time, from rows sorted by it."""
+    held: list[list[np.ndarray]] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = [batch.column(name).to_numpy(zero_copy_only=False) for name in names]
+        last = new[0][-1]
+        cut = np.searchsorted(new[0], last, side="left")
+        if held is None:
+            held = [[a] for a in new]
+        else:
+            for parts, a in zip(held, new, strict=True):
+                parts.append(a)
+        if cut or held[0][0][0] != last:
+            whole = [np.concatenate(parts) for parts in held]
+            cut = np.searchsorted(whole[0], last, side="left")
+            yield [a[:cut] for a in whole]
+            held = [[a[cut:]] for a in whole]
+    if held is not None:
+        yield [np.concatenate(parts) for parts in held]
+
+
 def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace the edges of a task by (node, smallest node of its local tree)."""
     forest = Forest()

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import components, shuffle_partitions, small_batches, spare
+from tapelake.llm.common import components, in_blocks, shuffle_partitions, small_batches, sorted_runs, spare
 from tapelake.llm.shingles import as_bytes, word_hashes
 from tapelake.plans.staging import stage
 
@@ -166,22 +166,6 @@ def _neighbours(sim: np.ndarray, ends: np.ndarray, side: np.ndarray, distance: i
         step += 1
 
 
-def _runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Whole runs of equal buckets, several at a time, from rows sorted by bucket."""
-    held: list[np.ndarray] | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        new = [batch.column(name).to_numpy(zero_copy_only=False) for name in names]
-        held = new if held is None else [np.concatenate([a, b]) for a, b in zip(held, new, strict=True)]
-        cut = np.searchsorted(held[0], held[0][-1], side="left")
-        if cut:
-            yield tuple(a[:cut] for a in held)
-            held = [a[cut:] for a in held]
-    if held is not None:
-        yield tuple(held)
-
-
 def _run_ends(bucket: np.ndarray) -> np.ndarray:
     return np.searchsorted(bucket, bucket, side="right")
 
@@ -193,7 +177,7 @@ def _near_pairs(distance: int, few: int):
     """Step 3. Rows with a true flag and a = b tell the lines that have more neighbours."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, line, sim, side in _runs(batches, ("bucket", "line", "sim", "side")):
+        for bucket, line, sim, side in sorted_runs(batches, ("bucket", "line", "sim", "side")):
             ends, sims = _run_ends(bucket), sim.view(np.uint64)
             degree, smallest = np.zeros(len(line), np.int64), line.copy()
             for i, j in _neighbours(sims, ends, side, distance):
@@ -224,7 +208,7 @@ def _far_pairs(distance: int):
     """Step 4: near pairs of different groups."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, line, sim, side, group in _runs(batches, ("bucket", "line", "sim", "side", "group")):
+        for bucket, line, sim, side, group in sorted_runs(batches, ("bucket", "line", "sim", "side", "group")):
             for i, j in _neighbours(sim.view(np.uint64), _run_ends(bucket), side, distance):
                 apart = group[i] != group[j]
                 if apart.any():
@@ -234,22 +218,9 @@ def _far_pairs(distance: int):
 
 
 def dealt(sims: DataFrame, distance: int, take: int, split: int) -> DataFrame:
-    """Rows (line, sim, ...) in their buckets, sorted within partitions; side is -1 but in buckets cut into blocks."""
+    """Rows (line, sim, ...) in their buckets, sorted within partitions."""
     rows = sims.withColumn("bucket", F.explode(bucket_keys(F.col("sim"), distance, take)))
-    large = stage(rows.groupBy("bucket").count().where(F.col("count") > split), "buckets")
-    blocks = F.ceil(F.col("count") / F.lit(split)).cast("int")
-    if large.limit(1).count():
-        own = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
-        routes = F.transform(
-            F.sequence(F.lit(0), F.col("blocks") - 1),
-            lambda k: F.struct(F.xxhash64("bucket", F.least(k, F.col("own")), F.greatest(k, F.col("own"))).alias("bucket"), F.when(k == F.col("own"), -1).when(k > F.col("own"), 0).otherwise(1).alias("side")),
-        )
-        whole = F.array(F.struct(F.xxhash64("bucket", F.lit(0), F.lit(0)).alias("bucket"), F.lit(-1).alias("side")))
-        rows = rows.join(large, "bucket", "left").withColumn("blocks", F.coalesce(blocks, F.lit(1))).withColumn("own", own)
-        rows = rows.withColumn("route", F.explode(F.when(F.col("blocks") > 1, routes).otherwise(whole)))
-        rows = rows.drop("count", "blocks", "own", "bucket").withColumn("bucket", F.col("route.bucket")).withColumn("side", F.col("route.side")).drop("route")
-    else:
-        rows = rows.withColumn("side", F.lit(-1))
+    rows = in_blocks(rows, "bucket", "line", split)
     return rows.repartition(shuffle_partitions(sims.sparkSession), "bucket").sortWithinPartitions("bucket", "line")
 
 

@@ -29,6 +29,16 @@ b AS (SELECT *, array_to_string(list_transform(range(0, 8), lambda g: array_to_s
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> top THEN top END AS refers_to FROM b"""
 
+OP2 = f"""WITH RECURSIVE v AS (
+SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT x.id AS a, y.id AS b FROM ok x JOIN ok y ON x.id <> y.id AND list_cosine_similarity(x.e, y.e) >= 0.95),
+{_components("v", "links")},
+sums AS (SELECT a AS id, count(*) AS n FROM links GROUP BY 1)
+SELECT r.a AS vec_id, coalesce(any_value(n), 0) AS n_links, min(r.b) AS component_id, r.a = min(r.b) AS kept
+FROM reach r LEFT JOIN sums ON sums.id = r.a GROUP BY r.a"""
+
 _ESCAPED = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'), ']', '&rb;')"
 OP6 = f"""WITH c AS (
 SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -67,6 +77,7 @@ SELECT split.page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdi
 
 ORACLES: dict[str, str] = {
     "op1_warc_capture_index": OP1,
+    "op2_pivot_permutation_index": OP2,
     "op6_chat_formatting": OP6,
     "op7_benchmark_decontamination": OP7,
     "op9_ngram_jaccard_join": OP9,

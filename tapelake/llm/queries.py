@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapelake.llm import chat_templates, contamination, fuzzy_lines, jaccard_join, license_scan, mixing, toxicity, url_rules, warc
+from tapelake.llm import chat_templates, contamination, fuzzy_lines, jaccard_join, license_scan, mixing, pivot_index, toxicity, url_rules, warc
 from tapelake.llm.common import table
 from tapelake.llm.oracles import ORACLES
 
@@ -21,6 +21,10 @@ def op1_warc_capture_index(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_and_read(spark, table(spark, folder, "pages", "page_id", "url", "html"))
 
 
+def op2_pivot_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_index.near_duplicates(table(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents", "doc_id", "text")
     return toxicity.score(documents, toxicity.learn(documents, table(spark, folder, "labels", "doc_id", "toxic")))
@@ -58,6 +62,7 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc_capture_index": op1_warc_capture_index,
+    "op2_pivot_permutation_index": op2_pivot_permutation_index,
     "op3_toxicity": op3_toxicity,
     "op4_fuzzy_line_dedup": op4_fuzzy_line_dedup,
     "op5_license_scan": op5_license_scan,
