@@ -36,6 +36,15 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = B
         yield batch.slice(start)
 
 
+# Keys of a join side that may be broadcast once they are counted: 16 MB of longs.
+FEW_KEYS = 1_000_000
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """``keys`` (staged), marked for broadcasting if there are at most ``FEW_KEYS``; beyond that Spark shuffles both sides."""
+    return F.broadcast(keys) if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS else keys
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import components, in_blocks, shuffle_partitions, small_batches, sorted_runs, spare
+from tapelake.llm.common import components, few, in_blocks, shuffle_partitions, small_batches, sorted_runs, spare
 from tapelake.llm.shingles import as_bytes, word_hashes
 from tapelake.plans.staging import stage
 
@@ -40,9 +40,8 @@ DISTANCE = 4
 SIMILARITY = 0.8
 FEW = 16
 SPLIT = 20_000
-# Lines per bucket that the choice of ``take`` aims at, and keys that may be broadcast (16 MB).
+# Lines per bucket that the choice of ``take`` aims at.
 AIM = 64
-BROADCAST_KEYS = 1_000_000
 
 _UPPER_TO_LOWER = bytes(range(256)).lower()
 _TABLE = bytes(
@@ -173,7 +172,7 @@ def _run_ends(bucket: np.ndarray) -> np.ndarray:
 PAIR = "a long, b long, crowded boolean"
 
 
-def _near_pairs(distance: int, few: int):
+def _near_pairs(distance: int, crowd: int):
     """Step 3. Rows with a true flag and a = b tell the lines that have more neighbours."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +184,7 @@ def _near_pairs(distance: int, few: int):
                 np.add.at(degree, j, 1)
                 np.minimum.at(smallest, i, line[j])
                 np.minimum.at(smallest, j, line[i])
-            crowded = degree > few
+            crowded = degree > crowd
             out = [(line[crowded], smallest[crowded], np.zeros(crowded.sum(), bool)), (line[crowded], line[crowded], np.ones(crowded.sum(), bool))]
             for i, j in _neighbours(sims, ends, side, distance):
                 kept = ~(crowded[i] & crowded[j])
@@ -224,28 +223,22 @@ def dealt(sims: DataFrame, distance: int, take: int, split: int) -> DataFrame:
     return rows.repartition(shuffle_partitions(sims.sparkSession), "bucket").sortWithinPartitions("bucket", "line")
 
 
-def among(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` is among ``keys`` (staged, distinct); the keys are broadcast if they are few."""
-    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return rows.join(F.broadcast(keys) if few else keys, column, "left_semi")
-
-
 def similar(documents: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of lines whose normalised forms reach the edit similarity."""
     asked = stage(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct(), "asked")
     texts = _texts(documents).select("text").mapInArrow(_line_texts, "line long, norm string")
-    texts = stage(among(texts, asked, "line").groupBy("line").agg(F.first("norm").alias("norm")), "norms")
+    texts = stage(texts.join(few(asked), "line", "left_semi").groupBy("line").agg(F.first("norm").alias("norm")), "norms")
     joined = pairs.join(texts.select(F.col("line").alias("a"), F.col("norm").alias("x")), "a").join(texts.select(F.col("line").alias("b"), F.col("norm").alias("y")), "b")
     joined = joined.withColumn("room", F.expr(f"cast(floor(round((1 - {similarity}) * greatest(length(x), length(y)), 6)) as int)"))
     near = F.abs(F.length("x") - F.length("y")) <= F.col("room")
     return joined.where(near & (F.expr("levenshtein(x, y, room)") >= 0)).select("a", "b")
 
 
-def line_groups(documents: DataFrame, found: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, few: int = FEW, split: int = SPLIT, take: int | None = None) -> DataFrame:
+def line_groups(documents: DataFrame, found: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, crowd: int = FEW, split: int = SPLIT, take: int | None = None) -> DataFrame:
     """(node, component) for the lines that have similar lines, from staged rows of ``lines``."""
     sims = stage(found.where("line IS NOT NULL").select("line", "sim").dropDuplicates(["line"]), "sims")
     take = take or choose_take(sims.count(), distance)
-    pairs = dealt(sims, distance, take, split).mapInArrow(_near_pairs(distance, few), PAIR)
+    pairs = dealt(sims, distance, take, split).mapInArrow(_near_pairs(distance, crowd), PAIR)
     pairs = stage(pairs.distinct(), "pairs")
     links = stage(similar(documents, pairs.where("NOT crowded").select("a", "b"), similarity), "links")
     groups = components(links, "a", "b")
@@ -286,8 +279,7 @@ def dedup_lines(documents: DataFrame, least: int = LEAST, **options) -> DataFram
     doc, tie, gone, left = spare(documents.columns, "doc", "tie", "gone", "left")
     mine = dropped.select(F.col("doc_id").alias(doc), F.col("tie").alias(tie), F.col("dropped").alias(gone))
     same = documents["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(documents["text"].cast("string")) == F.col(tie))
-    few = mine.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    joined = documents.join(F.broadcast(mine) if few else mine, same, "left")
+    joined = documents.join(few(mine), same, "left")
     stays = F.filter(F.split("text", "\n", -1), lambda line, at: ~F.array_contains(gone, at))
     joined = joined.withColumn(left, F.when(F.col(gone).isNotNull(), F.array_join(stays, "\n")))
     joined = joined.where(F.col(left).isNull() | F.col(left).rlike(r"\S"))

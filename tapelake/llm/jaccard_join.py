@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import Forest, components, shuffle_partitions, small_batches
+from tapelake.llm.common import Forest, components, few, shuffle_partitions, small_batches, spare
 from tapelake.llm.shingles import WIDTH, as_bytes, distinct_shingles, split_words
 from tapelake.plans.staging import stage
 
@@ -68,6 +68,7 @@ def _class_rows(width: int):
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
+                    "tie": batch.column("tie"),
                     "class": pa.array(keys, pa.binary()),
                     "owner": pa.array(owners, pa.int64()),
                     "n_shingles": pa.array(counts, pa.int64()),
@@ -78,9 +79,10 @@ def _class_rows(width: int):
 
 
 def classes(documents: DataFrame, width: int = WIDTH) -> DataFrame:
-    """A row per document: doc_id, class (null without words), owner (the class's number in step 2), n_shingles."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_class_rows(width), "doc_id long, class binary, owner long, n_shingles long")
+    """A row per document: doc_id, tie (of its text), class (null without words), owner (the class's number in step 2), n_shingles."""
+    text = F.col("text").cast("string")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    return rows.mapInArrow(_class_rows(width), "doc_id long, tie long, class binary, owner long, n_shingles long")
 
 
 def _prefix_blobs(width: int, percent: int, parts: int):
@@ -303,15 +305,45 @@ def links(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFr
     return found.unionByName(paired.groupBy("task").applyInPandas(_search(percent), "a long, b long"))
 
 
-def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """A row per document (doc_id, text): doc_id, n_shingles, component_id, the smallest doc_id reachable by links."""
+def labelled(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Staged rows (doc_id, tie, class, owner, n_shingles) of all documents, and (class, node, label) of the classes: the smallest
+    doc_id of the class and of its component."""
     rows = stage(classes(documents, width), "classes")
     owned = rows.where("doc_id IS NOT NULL AND class IS NOT NULL")
     heads = stage(owned.groupBy("class", "owner").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n")), "heads")
     chosen = stage(likely(documents, heads, width, percent), "likely")
     found = stage(links(inverted(documents, chosen, width, percent), percent, block), "links")
     joined = heads.join(components(found, "a", "b"), "node", "left")
-    labels = joined.select("class", F.coalesce("component", "node").alias("label"))
-    out = rows.join(labels, "class", "left")
+    return rows, joined.select("class", "node", F.coalesce("component", "node").alias("label"))
+
+
+def jaccard_components(documents: DataFrame, **options) -> DataFrame:
+    """A row per document (doc_id, text): doc_id, n_shingles, component_id, the smallest doc_id reachable by links."""
+    rows, labels = labelled(documents, **options)
     label = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
-    return out.select("doc_id", "n_shingles", label.alias("component_id"))
+    return rows.join(labels, "class", "left").select("doc_id", "n_shingles", label.alias("component_id"))
+
+
+def keep_one(documents: DataFrame, **options) -> DataFrame:
+    """One document of each component, that of the smallest doc_id, all columns as they are.
+
+    Documents without a doc_id or words stay; rows that repeat a doc_id and a text count as copies.
+    """
+    rows, labels = labelled(documents, **options)
+    first = labels.groupBy("label").agg(F.min(F.struct("node", "class")).alias("first"))
+    owned = rows.where("doc_id IS NOT NULL AND class IS NOT NULL")
+    leaders = first.select(F.col("first.class").alias("class"), F.col("first.node").alias("doc_id"))
+    kept = owned.join(leaders, ["class", "doc_id"]).groupBy("class", "doc_id").agg(F.min("tie").alias("tie"))
+    doc, tie = spare(documents.columns, "doc", "tie")
+    named = [F.col("doc_id").alias(doc), F.col("tie").alias(tie)]
+    gone = stage(owned.join(kept, ["class", "doc_id", "tie"], "left_anti").select(*named).distinct(), "gone")
+    same = (documents["doc_id"].cast("long") == F.col(doc)) & (F.xxhash64(documents["text"].cast("string")) == F.col(tie))
+    left = documents.join(few(gone), same, "left_anti")
+    # What stays may still be repeated row by row.
+    repeated = owned.join(kept, ["class", "doc_id", "tie"], "left_semi").groupBy("doc_id", "tie").count().where("count > 1").select(*named)
+    repeated = stage(repeated, "repeated")
+    if not repeated.limit(1).count():
+        return left
+    same = (left["doc_id"].cast("long") == F.col(doc)) & (F.xxhash64(left["text"].cast("string")) == F.col(tie))
+    copies = left.join(few(repeated), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(few(repeated), same, "left_anti").unionByName(copies)
