@@ -63,42 +63,36 @@ def plain(word: str) -> str:
     return re.sub(r"[^\w]", "", inner)
 
 
-class Word(NamedTuple):
-    """Properties of one word; the weights and hits come from a lexicon."""
-
-    word_hit: float
-    word_weight: float
-    stem_hit: float
-    stem_weight: float
-    second: float
-    chars: float
-    capitals: float
-    shouted: float
-    punctuation: float
-    marks: float
-    inside: float
-    stretched: float
-
-
-def properties(word: str, words: dict[str, float], stems: dict[str, float]) -> Word:
-    bare = plain(word)
+_OUTER = ".,;:!?\"'()[]{}<>-_*|"
+_THRICE = re.compile(r"(.)\1\1")
+# What is known of a word: hit and weight in the word lexicon, the same for stems, whether it is in the second person, its length,
+# capitals, whether it is all capitals, punctuation, exclamation and question marks, signs inside, stretched letters.
+N_PROPERTIES = 12
+
+
+def properties(word: str, words: dict[str, float], stems: dict[str, float]) -> tuple:
+    core = word.strip(_OUTER)
+    if core.isalpha():  # most words
+        bare, letters, punctuation, inside = core.lower(), len(core), len(word) - len(core), 0
+    else:
+        bare, letters = plain(word), sum(map(str.isalpha, word))
+        punctuation, inside = len(word) - sum(map(str.isalnum, word)), int(letters > 0)
+    capitals = 0 if word.islower() else sum(map(str.isupper, word))
+    marks = word.count("!") + word.count("?") if punctuation else 0
     weight, stem = words.get(bare, 0.0), stems.get(bare[:STEM], 0.0) if len(bare) > STEM else 0.0
-    letters = sum(c.isalpha() for c in word)
-    capitals = sum(c.isupper() for c in word)
-    core = word.strip(".,;:!?\"'()[]{}<>-_*|")
-    return Word(
-        float(weight > 0),
+    return (
+        weight > 0,
         weight,
-        float(stem > 0),
+        stem > 0,
         stem,
-        float(bare in SECOND_PERSON),
-        float(len(word)),
-        float(capitals),
-        float(letters > 1 and capitals == letters),
-        float(sum(not c.isalnum() for c in word)),
-        float(word.count("!") + word.count("?")),
-        float(letters > 0 and any(not c.isalpha() for c in core)),
-        float(re.search(r"(.)\1\1", word) is not None),
+        bare in SECOND_PERSON,
+        len(word),
+        capitals,
+        letters > 1 and capitals == letters,
+        punctuation,
+        marks,
+        inside,
+        _THRICE.search(word) is not None,
     )
 
 
@@ -111,27 +105,32 @@ class Featurizer:
     def __init__(self, words: dict[str, float], stems: dict[str, float]) -> None:
         self.words, self.stems = words, stems
         self.numbers: dict[bytes, int] = {}
-        self.table = np.empty((1024, len(Word._fields)))
-
-    def number(self, word: bytes) -> int:
-        found = self.numbers.get(word)
-        if found is None:
-            found = self.numbers[word] = len(self.numbers)
-            if found == len(self.table):
-                self.table = np.concatenate([self.table, np.empty_like(self.table)])
-            self.table[found] = properties(word.decode("utf-8", "replace"), self.words, self.stems)
-        return found
-
-    def row(self, text: bytes | None) -> np.ndarray:
-        words = text.split() if text else []
-        if not words:
-            return np.zeros(N_FEATURES)
+        self.table = np.empty((1024, N_PROPERTIES))
+
+    def learn(self, words: set[bytes]) -> None:
+        """Find the properties of words that aren't known."""
         if len(self.numbers) > VOCABULARY:
             self.numbers.clear()
+        numbers, first = self.numbers, len(self.numbers)
+        found = []
+        for word in words - numbers.keys():
+            numbers[word] = len(numbers)
+            found.append(properties(word.decode("utf-8", "replace"), self.words, self.stems))
+        if len(numbers) > len(self.table):
+            self.table = np.concatenate([self.table[:first], np.empty((2 * len(numbers) - first, N_PROPERTIES))])
+        if found:
+            self.table[first : len(numbers)] = found
+
+    def rows(self, texts: list[bytes | None]) -> np.ndarray:
+        """Feature rows of a batch of texts."""
+        split = [text.split() if text else [] for text in texts]
+        self.learn(set().union(*split))
+        return np.stack([self.row(words) for words in split]) if split else np.zeros((0, N_FEATURES))
+
+    def row(self, words: list[bytes]) -> np.ndarray:
+        if not words:
+            return np.zeros(N_FEATURES)
         known = self.numbers
-        for word in set(words):
-            if word not in known:
-                self.number(word)
         rows = self.table[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
         sums = rows.sum(axis=0)
         n, chars = len(words), max(sums[5], 1.0)
@@ -312,7 +311,7 @@ def _features(models: dict[int, tuple[dict, dict]]):
         made = {fold: Featurizer(*model) for fold, model in models.items()}
         for batch in small_batches(batches, "text"):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            out = [made[fold].row(text).tolist() for fold, text in zip(batch.column("fold").to_pylist(), texts, strict=True)]
+            out = [made[fold].rows([text])[0].tolist() for fold, text in zip(batch.column("fold").to_pylist(), texts, strict=True)]
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "fold": batch.column("fold"), "label": batch.column("label"), "row": pa.array(out, pa.list_(pa.float64()))})
 
     return rows
@@ -364,7 +363,7 @@ def _scored(model: Model):
         make = Featurizer(model.words, model.stems)
         for batch in small_batches(batches, "text"):
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(scores(model, np.stack([make.row(text) for text in texts])))})
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(scores(model, make.rows(texts)))})
 
     return rows
 
@@ -382,7 +381,7 @@ def _accepted(model: Model, threshold: float):
         make = Featurizer(model.words, model.stems)
         for batch in small_batches(batches, "text"):
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-            yield batch.filter(pa.array(scores(model, np.stack([make.row(text) for text in texts])) < threshold))
+            yield batch.filter(pa.array(scores(model, make.rows(texts)) < threshold))
 
     return rows
 
