@@ -71,7 +71,7 @@ FILES = [
 ]
 
 
-@pytest.mark.parametrize("files", [FILES, FILES * 2, FILES[:1], [(k, f"s{k % 3}/{k}", "words and words") for k in range(50)] + FILES])
+@pytest.mark.parametrize("files", [FILES, FILES * 2, FILES[:1], [(100 + k, f"s{k % 3}/{k}", "words and words") for k in range(50)] + FILES])
 def test_against_brute_force(spark, files):
     table = spark.createDataFrame([(*f, "x", 1) for f in files], "file_id long, path string, text string, license string, tie int")
     got = scan.scan(table).collect()
