@@ -36,8 +36,6 @@ BLOCK = 256
 MOST = 3
 WEIGHTS = (1, 2, 3)
 SHARD_SLOTS = 4096
-# Documents whose positions are summed up by one task.
-CHUNK = 50_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -84,7 +82,7 @@ def planned(sources: DataFrame, block: int) -> DataFrame:
 def placed(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """sized with source_no and ``start``, the number of words before a document in its source."""
     count = sized.agg(F.count("*")).first()[0]
-    chunks = max(1, math.ceil(count / CHUNK))
+    chunks = max(1, math.isqrt(count))  # as many as documents in one, so neither sum grows with the table
     rows = sized.join(sources.select("source", "source_no"), sized.source.eqNullSafe(sources.source)).drop(sources.source)
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(chunks)))
     before = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
