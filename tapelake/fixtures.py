@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapelake.operators.catalog import symbol_id
-from tapelake.schemas import FEE, IDENTITY, INSTRUMENT_FIELDS, PRICE, TRADES
+from tapelake.schemas import FEE, IDENTITY, INSTRUMENT, INSTRUMENT_FIELDS, LEVELS, PRICE, TRADES
 
 
 def money(column: str) -> Column:
@@ -220,6 +220,73 @@ class Fixtures:
             key.alias("ordinal"),
         )
 
+    def level_files(self) -> DataFrame:
+        """All line items as level updates of 28 days and five data sets, with the order of their lines."""
+        day = F.date_add(F.lit("2024-01-01").cast("date"), (F.datediff(F.to_date("l_shipdate"), F.lit("1992-01-01").cast("date")) % 28).cast("int"))
+        micros = F.unix_micros(day.cast("timestamp")) + (F.col("l_orderkey") % 86400) * 1_000_000
+        flag = F.col("l_returnflag")
+        return self.table("lineitem").select(
+            F.lit("binance-futures").alias("exchange"),
+            F.concat(F.lit("lvl"), (F.col("l_suppkey") % 5).cast("string")).alias("symbol"),
+            micros.alias("timestamp"),
+            (micros + F.col("l_linenumber")).alias("local_timestamp"),
+            (F.col("l_linestatus") == "F").alias("is_snapshot"),
+            F.when(flag == "R", "bid").when(flag == "A", "ask").otherwise("BID").alias("side"),
+            money("l_extendedprice").alias("price"),
+            money("l_quantity").alias("amount"),
+            F.upper(F.concat(F.lit("lvl"), (F.col("l_suppkey") % 5).cast("string"))).alias("dataset"),
+            day.alias("day"),
+            F.col("l_orderkey").alias("order_key"),
+            F.col("l_linenumber").alias("line"),
+        )
+
+    def level_catalog(self) -> DataFrame:
+        """The instruments of ``level_files``, ids as text; LVL4 is listed after the month."""
+        number = F.col("id").cast("string")
+        later = F.when(F.col("id") == 4, F.lit("2024-02-01").cast("timestamp"))
+        known = {
+            "instrument_id": F.concat(F.lit("i"), number),
+            "symbol_id": number,
+            "base_asset": F.concat(F.lit("L"), number),
+            "quote_asset": F.lit("USDT"),
+            "exchange": F.lit("BinanceFutures"),
+            "instrument_type": F.lit("perpetual"),
+            "dataset": F.concat(F.lit("LVL"), number),
+            "available_since": later,
+        }
+        return self.spark.range(5).select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in INSTRUMENT])
+
+    def deliver_levels(self, root: str) -> None:
+        """``level_files`` as delivered files below ``root``, one per data set and day, lines in order; the files of LVL3 on
+        even days are left out."""
+        text = f"{root}-text"
+        rows = self.level_files().filter("NOT (dataset = 'LVL3' AND dayofmonth(day) % 2 = 0)")
+        (
+            rows.repartition("dataset", "day")
+            .sortWithinPartitions("dataset", "day", "order_key", "line")
+            .drop("order_key", "line")
+            .write.partitionBy("dataset", "day")
+            .option("header", True)
+            .option("compression", "gzip")
+            .csv(text)
+        )
+        to_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        file_system = to_path(text).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in file_system.globStatus(to_path(f"{text}/*/*/part-*")):
+            file = status.getPath()
+            day = file.getParent().getName().removeprefix("day=").replace("-", "/")
+            folder = to_path(f"{root}/v1/binance-futures/{LEVELS.segment}/{day}")
+            file_system.mkdirs(folder)
+            name = file.getParent().getParent().getName().removeprefix("dataset=")
+            file_system.rename(file, to_path(f"{folder}/{name.lower()}.csv.gz"))
+
+    def write_list(self, root: str) -> None:
+        """``instrument_list`` as JSON arrays, one per file."""
+        fields = [c for c in self.instrument_list().columns if c not in ("exchange", "ordinal")]
+        rows = self.instrument_list().withColumn("part", F.col("ordinal") % 8)
+        arrays = rows.groupBy("part").agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
+        arrays.write.partitionBy("part").text(root)
+
     def write_cache(self, root: str, slug: str, kind: str) -> None:
         """The raw trades as a cache tree with one data set per venue.
 

@@ -14,19 +14,20 @@ from tapelake.functions.times import as_day
 from tapelake.functions.venues import exchange_slug
 from tapelake.operators import catalog as catalog_ops
 from tapelake.operators import coverage, manifest
-from tapelake.operators.layout import BUCKETS
+from tapelake.operators.layout import BUCKETS, stored_buckets
 from tapelake.plans import importing, landing, load, maintenance, refresh
+from tapelake.plans.staging import stage
 from tapelake.schemas import FEEDS, IDENTITY, LEVELS, TRADES, Feed
 from tapelake.session import configure
 from tapelake.sources import facts, raw_files
 
-# A request for up to this many files names them one by one.
-NAMED_FILES = 1000
-
 
 @dataclass
 class Lake:
-    """``root`` holds the tables; ``source`` holds delivered files as ``v1/<slug>/<feed>/<yyyy>/<mm>/<dd>/<dataset>.csv.gz``."""
+    """``root`` holds the tables; ``source`` holds delivered files as ``v1/<slug>/<feed>/<yyyy>/<mm>/<dd>/<dataset>.csv.gz``.
+
+    ``buckets`` counts for new tables; a table keeps the number it was written with.
+    """
 
     spark: SparkSession
     root: str
@@ -92,25 +93,27 @@ class Lake:
         return refresh.refresh_instruments(self.spark, raw, exchange, self.catalog_path)
 
     # ---- source files ---------------------------------------------------------------------------------------------
-    def source_paths(self, spec: Feed, wanted: DataFrame) -> list[str]:
-        """The files of a small request one by one; for a large one the day folders of its exchanges.
+    def source_files(self, spec: Feed, wanted: DataFrame) -> DataFrame:
+        """The delivered files of the wanted data sets and days: path, length, slug, dataset, file_day.
 
-        The list is bounded: by ``NAMED_FILES``, or by exchanges times days.
+        The day folders of the wanted exchanges are listed, month by month, and the listing is joined with the wanted names,
+        letter case aside. The driver sees one folder per exchange and day.
         """
         slug, day = exchange_slug(F.col("exchange")), F.col("trading_day")
-        name = source_location(slug, F.lit(spec.segment), day, F.col("dataset"))
-        files = wanted.select(name.alias("name")).distinct().limit(NAMED_FILES + 1).collect()
-        if len(files) > NAMED_FILES:
-            folder = F.regexp_replace(name, "/[^/]*$", "")
-            files = wanted.select(folder.alias("name")).distinct().collect()
-        return sorted(f"{self.source.rstrip('/')}/{row.name}" for row in files)
-
-    def source_rows(self, spec: Feed, wanted: DataFrame) -> DataFrame:
-        """Raw rows of the wanted data sets and days; slug, data set and day are taken from each file's location.
-
-        A file that is not there is a day without trading: no rows.
-        """
-        raw = raw_files.read_raw(self.spark, spec, self.source_paths(spec, wanted))
+        folders = wanted.select(slug.alias("slug"), day.alias("day")).where("slug IS NOT NULL").distinct().collect()
+        months: dict[tuple, set[str]] = {}
+        for row in folders:
+            months.setdefault((row.slug, f"{row.day:%Y/%m}"), set()).add(f"{row.day:%d}")
+        base = self.source.rstrip("/")
+        patterns = [f"{base}/v1/{name}/{spec.segment}/{month}/{{{','.join(sorted(days))}}}" for (name, month), days in sorted(months.items())]
+        names = wanted.select(slug.alias("slug"), F.upper("dataset").alias("dataset"), day.alias("file_day")).distinct()
+        files = raw_files.list_delivered(self.spark, patterns)
+        return stage(files.join(names, ["slug", "dataset", "file_day"], "left_semi"), "source-files")
+
+    def source_rows(self, spec: Feed, files: DataFrame) -> DataFrame:
+        """Raw rows of some delivered files; slug, data set and day are taken from each file's location."""
+        paths = sorted(row.path for row in files.select("path").collect())
+        raw = raw_files.read_raw(self.spark, spec, paths, check=False)
         return raw.withColumns(delivered_parts(F.col("_file")))
 
     def _page(self, spec: Feed, exchange: str, dataset: str, day: dt.date | str, count: int, skip: int) -> DataFrame:
@@ -129,25 +132,41 @@ class Lake:
         return self._page(LEVELS, exchange, dataset, day, count, skip)
 
     # ---- loads ----------------------------------------------------------------------------------------------------
-    def load_trades(self, requests: DataFrame, **options) -> load.LoadReport:
-        """Load instrument-days of trades; requests name an identity or an ``instrument_id``, and a ``trading_day``."""
-        wanted = load.requested_instruments(requests, self.catalog)
-        raw = self.source_rows(TRADES, wanted)
-        return load.load_trades(
-            requests, self.catalog, raw, self.table(TRADES), buckets=self.buckets, **options
-        )
+    def buckets_of(self, spec: Feed) -> int:
+        return stored_buckets(self.spark, self.table(spec)) or self.buckets
+
+    def _stored(self) -> dict[str, int | None]:
+        return {spec.name: stored_buckets(self.spark, self.table(spec)) for spec in (TRADES, LEVELS)}
+
+    def _load(self, spec: Feed, requests: DataFrame, on_absent: str, options: dict) -> load.LoadReport:
+        catalog = self.catalog
+        wanted = load.requested_instruments(requests, catalog)
+        files = self.source_files(spec, wanted)
+        absent = stage(load.source_gaps(wanted, files, catalog), "absent")
+        expected = absent.filter("expected").count()
+        if expected and on_absent == "fail":
+            raise load.FilesMissing(f"{expected} source files of trading days are not there")
+        run = load.load_trades if spec is TRADES else load.load_level_updates
+        report = run(requests, catalog, self.source_rows(spec, files), self.table(spec), buckets=self.buckets_of(spec), **options)
+        report.unknown = load.unknown_requests(requests, catalog).count()
+        report.absent, report.absent_expected = absent, expected
+        return report
+
+    def load_trades(self, requests: DataFrame, on_absent: str = "report", **options) -> load.LoadReport:
+        """Load instrument-days of trades; requests name an identity or an ``instrument_id``, and a ``trading_day``.
+
+        Files of trading days that aren't there are reported, or with ``on_absent="fail"`` stop the load.
+        """
+        return self._load(TRADES, requests, on_absent, options)
 
-    def load_level_updates(self, requests: DataFrame, **options) -> load.LoadReport:
-        wanted = load.requested_instruments(requests, self.catalog)
-        raw = self.source_rows(LEVELS, wanted)
-        return load.load_level_updates(
-            requests, self.catalog, raw, self.table(LEVELS), buckets=self.buckets, **options
-        )
+    def load_level_updates(self, requests: DataFrame, on_absent: str = "report", **options) -> load.LoadReport:
+        return self._load(LEVELS, requests, on_absent, options)
 
     def land(self, requests: DataFrame, feed: str) -> None:
-        """Keep the delivered rows of instrument-days as they are."""
+        """Keep the delivered rows of instrument-days as they are; what other data sets have landed stays."""
         spec = FEEDS[feed]
-        raw = self.source_rows(spec, load.requested_instruments(requests, self.catalog))
+        files = self.source_files(spec, load.requested_instruments(requests, self.catalog))
+        raw = self.source_rows(spec, files)
         landing.land_requested(requests, self.catalog, raw, spec, f"{self.root.rstrip('/')}/landed/{spec.tag}")
 
     def import_cache(self, cache: str, exchange: str, instrument_type: str, **options) -> dict[str, load.LoadReport]:
@@ -178,7 +197,7 @@ class Lake:
     def info(self, requests: DataFrame) -> DataFrame:
         scope = coverage.scope_of(requests)
         return coverage.feed_day_info(
-            requests, self.catalog, self.feeds(scope.first, scope.last), self.buckets, scope
+            requests, self.catalog, self.feeds(scope.first, scope.last), self._stored(), scope
         )
 
     def info_one(
@@ -193,7 +212,7 @@ class Lake:
         """Count, first and last time of one feed-day, or no row."""
         identity = catalog_ops.has_identity(base_asset, quote_asset, exchange, instrument_type)
         feeds = self.feeds(as_day(day), as_day(day))
-        return coverage.feed_day_info_one(self.catalog, feeds, identity, feed, day, self.buckets)
+        return coverage.feed_day_info_one(self.catalog, feeds, identity, feed, day, self._stored().get(feed))
 
     def missing_days(
         self, requests: DataFrame, start: dt.date | str | None = None, as_of: dt.date | str | None = None
@@ -202,15 +221,23 @@ class Lake:
         scope = coverage.scope_of(requests)
         first = scope.first if start is None else as_day(start)
         missing = coverage.missing_days(
-            requests, self.catalog, self.feeds(first, last), start, last, self.buckets, scope
+            requests, self.catalog, self.feeds(first, last), start, last, self._stored(), scope
         )
         return coverage.in_day_order(missing)
 
     def exists(self, requests: DataFrame) -> DataFrame:
         scope = coverage.scope_of(requests)
         return coverage.exists_feed_on_day(
-            requests, self.catalog, self.feeds(scope.first, scope.last), self.buckets, scope
+            requests, self.catalog, self.feeds(scope.first, scope.last), self._stored(), scope
         )
 
     def storage_report(self) -> DataFrame:
         return maintenance.storage_report(self.spark, {spec.name: self.table(spec) for spec in (TRADES, LEVELS)})
+
+    # ---- maintenance ----------------------------------------------------------------------------------------------
+    def compact(self, feed: str, as_of: dt.date | str, **options) -> int:
+        spec = FEEDS[feed]
+        return maintenance.compact_cold(self.spark, self.table(spec), as_of, buckets=self.buckets_of(spec), **options)
+
+    def drop_expired(self, feed: str, as_of: dt.date | str, days: int = maintenance.RETAIN_DAYS) -> int:
+        return maintenance.drop_expired_days(self.spark, self.table(FEEDS[feed]), as_of, days)

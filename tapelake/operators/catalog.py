@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapelake.functions.times import instant_like
 from tapelake.operators.dedup import first_per_key
+from tapelake.plans.staging import stage
 from tapelake.schemas import IDENTITY, INSTRUMENT_FIELDS
 
 SYMBOL = ["base_asset", "quote_asset", "exchange"]
@@ -132,6 +133,55 @@ def list_instruments(
 
 
 # ---- upsert -----------------------------------------------------------------------------------------------------------
+def _merged(catalog: DataFrame, last: DataFrame, keys: list[str]) -> DataFrame:
+    """The catalog after taking over ``last`` (one row per key), with ``action``."""
+    columns = ["symbol_id", *IDENTITY, *INSTRUMENT_FIELDS]
+    new = last.select(*keys, F.struct(*columns).alias("new"))
+    held = catalog.select(
+        *keys, F.struct(*columns).alias("held"), F.col("instrument_id").cast("string").alias("held_id")
+    )
+    # A whole row is taken from one side, so that a new null overwrites a held value.
+    taken = F.coalesce("new", "held")
+    action = F.when(F.col("new").isNull(), "kept").when(F.col("held").isNull(), "inserted").otherwise("updated")
+    rows = held.join(new, keys, "full_outer").select("held_id", *[taken[c].alias(c) for c in columns], action.alias("action"))
+    if keys == IDENTITY:
+        return rows.select(F.coalesce("held_id", instrument_id()).alias("instrument_id"), *columns, "action")
+    # An instrument that moved keeps its id, which is the digest of its first identity: whoever takes that identity
+    # next gets a digest that tells its own key too.
+    ids = catalog.select(F.col("instrument_id").cast("string").alias("_id"), F.lit(True).alias("_used"))
+    rows = rows.withColumn("_id", instrument_id()).join(ids, "_id", "left")
+    minted = F.when(F.col("_used"), natural_id(F.col("_id"), *[F.col(k) for k in keys])).otherwise(F.col("_id"))
+    return rows.select(F.coalesce("held_id", minted).alias("instrument_id"), *columns, "action")
+
+
+def _last_rows(rows: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
+    return first_per_key(rows, keys, [F.desc(ordinal)]).withColumn("symbol_id", symbol_id())
+
+
+def identity_conflicts(catalog: DataFrame, rows: DataFrame, keys: Sequence[str], ordinal: str = "ordinal") -> DataFrame:
+    """The rows, one per key, that would give two instruments one identity, with ``reason``.
+
+    Of several incoming rows of one identity the last counts; a row that meets an instrument which stays as it is, or stays
+    because its own row was turned down, is turned down. What turning a row down brings about is looked at again until
+    nothing changes: an exchange of identities is fine, a chain is turned down from the end that is blocked.
+    """
+    keys = list(keys)
+    last = stage(_last_rows(rows, keys, ordinal), "upsert")
+    refused = last.limit(0).select(*keys, F.lit("").alias("reason"))
+    if keys == IDENTITY:
+        return refused
+    while True:
+        accepted = last.join(refused.select(*keys), keys, "left_anti")
+        stays = catalog.join(accepted.select(*keys), keys, "left_anti")
+        blocked = accepted.join(stays.select(*IDENTITY), IDENTITY, "left_semi").select(*keys, F.lit("identity is held").alias("reason"))
+        rank = F.row_number().over(Window.partitionBy(*IDENTITY).orderBy(F.desc(ordinal), *keys))
+        doubled = accepted.withColumn("_rank", rank).filter(F.col("_rank") > 1).select(*keys, F.lit("identity comes twice").alias("reason"))
+        more = stage(first_per_key(blocked.unionByName(doubled), keys, ["reason"]), "refused")
+        if not more.limit(1).count():
+            return refused
+        refused = stage(refused.unionByName(more), "refused")
+
+
 def upsert_instruments(
     catalog: DataFrame,
     rows: DataFrame,
@@ -142,23 +192,14 @@ def upsert_instruments(
 
     A row whose key is in the catalog overwrites every other column except the id, with nulls too; the last of several
     rows with one key (by ``ordinal``) counts. With keys (exchange, instrument_type, dataset) a row may also move its
-    instrument to another symbol.
+    instrument to another symbol; rows that would give two instruments one identity are left out (see
+    ``identity_conflicts``). No two instruments get one id.
     """
     keys = list(keys)
-    columns = ["symbol_id", *IDENTITY, *INSTRUMENT_FIELDS]
-    last = first_per_key(rows, keys, [F.desc(ordinal)]).withColumn("symbol_id", symbol_id())
-    new = last.select(*keys, F.struct(*columns).alias("new"), instrument_id().alias("new_id"))
-    held = catalog.select(
-        *keys, F.struct(*columns).alias("held"), F.col("instrument_id").cast("string").alias("held_id")
-    )
-    # A whole row is taken from one side, so that a new null overwrites a held value.
-    taken = F.coalesce("new", "held")
-    action = F.when(F.col("new").isNull(), "kept").when(F.col("held").isNull(), "inserted").otherwise("updated")
-    return held.join(new, keys, "full_outer").select(
-        F.coalesce("held_id", "new_id").alias("instrument_id"),
-        *[taken[c].alias(c) for c in columns],
-        action.alias("action"),
-    )
+    last = _last_rows(rows, keys, ordinal)
+    if keys != IDENTITY:
+        last = last.join(identity_conflicts(catalog, rows, keys, ordinal).select(*keys), keys, "left_anti")
+    return _merged(catalog, last, keys)
 
 
 def upsert_counts(merged: DataFrame) -> DataFrame:

@@ -13,13 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.functions.times import as_day, days_between
-from tapelake.operators.layout import bucket_filter
+from tapelake.operators.layout import bucket_filter, instrument_bucket
 from tapelake.schemas import FEEDS, IDENTITY
 from tapelake.sources.facts import in_days
 
 FEED_DAY = ["feed", "instrument_id", "trading_day"]
-# Up to this many requests have their instruments named one by one in the filter on the facts.
-NAMED_REQUESTS = 500
 
 
 def feed_days(facts: DataFrame, feed: str) -> DataFrame:
@@ -78,18 +76,20 @@ def _narrowed(
     catalog: DataFrame,
     facts: dict[str, DataFrame],
     days: tuple[dt.date, dt.date],
-    buckets: int | None,
+    buckets: dict[str, int | None] | None,
 ) -> dict[str, DataFrame]:
-    """The facts that can matter to some requests: their feeds and range of days and, for few requests, their instruments.
+    """The facts that can matter to some requests: their feeds, range of days, and the buckets of their instruments.
 
-    All of it becomes literal filters, so other tables, partitions and row groups are not read. At most ``NAMED_REQUESTS``
-    ids are collected.
+    All of it becomes literal filters, so other tables and partitions are not read. Any number of requests makes the same
+    plan: what is collected is a list of bucket numbers, at most as many as the table has.
     """
     rows = {feed: in_days(df, *days) for feed, df in facts.items() if feed in scope.feeds}
-    if rows and scope.requests <= NAMED_REQUESTS:
-        found = resolve(requests, catalog).select("instrument_id").filter(F.col("instrument_id").isNotNull())
-        ids = [r.instrument_id for r in found.distinct().collect()]
-        rows = {feed: of_instruments(df, ids, buckets) for feed, df in rows.items()}
+    for feed, df in rows.items():
+        count = (buckets or {}).get(feed)
+        if count and "instr_bucket" in df.columns:
+            found = resolve(requests, catalog).filter(F.col("instrument_id").isNotNull())
+            numbers = found.select(instrument_bucket(F.col("instrument_id"), count)).distinct().collect()
+            rows[feed] = df.filter(F.col("instr_bucket").isin([r[0] for r in numbers]))
     return rows
 
 
@@ -103,7 +103,7 @@ def feed_day_info(
     requests: DataFrame,
     catalog: DataFrame,
     facts: dict[str, DataFrame],
-    buckets: int | None = None,
+    buckets: dict[str, int | None] | None = None,
     scope: Scope | None = None,
 ) -> DataFrame:
     """``items_count``, ``first_ts`` and ``last_ts`` of every requested feed-day that has rows.
@@ -142,7 +142,7 @@ def exists_feed_on_day(
     requests: DataFrame,
     catalog: DataFrame,
     facts: dict[str, DataFrame],
-    buckets: int | None = None,
+    buckets: dict[str, int | None] | None = None,
     scope: Scope | None = None,
 ) -> DataFrame:
     """Every request with ``has_data``; false for an unknown instrument and for an unsupported feed."""
@@ -169,7 +169,7 @@ def missing_days(
     facts: dict[str, DataFrame],
     start: dt.date | str | None = None,
     as_of: dt.date | str | None = None,
-    buckets: int | None = None,
+    buckets: dict[str, int | None] | None = None,
     scope: Scope | None = None,
 ) -> DataFrame:
     """Days from ``start`` through ``as_of`` (default: today, UTC) on which a requested feed has no rows.

@@ -4,10 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tapelake.plans.staging import path_exists
+
 BUCKETS = 64
+# Kept beside the day folders, hidden from readers of the table.
+LAYOUT = "_layout"
+
+
+def stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets a table is written with; none if there is no table yet."""
+    place = f"{path.rstrip('/')}/{LAYOUT}"
+    if not path_exists(spark, place):
+        return None
+    # Hidden folders are read by the names of their files.
+    return spark.read.schema("buckets int").json(f"{place}/part-*.json").first()[0]
+
+
+def settle_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Note the number of buckets of a new table; another number than the noted one is an error."""
+    held = stored_buckets(spark, path)
+    if held is None:
+        note = spark.createDataFrame([(buckets,)], "buckets int").coalesce(1)
+        note.write.mode("overwrite").json(f"{path.rstrip('/')}/{LAYOUT}")
+    elif held != buckets:
+        raise ValueError(f"{path} has {held} buckets, not {buckets}")
 
 
 def instrument_bucket(instrument_id: Column, buckets: int = BUCKETS) -> Column:
@@ -43,6 +66,7 @@ def write_layout(
     segment_by: str = "instrument_id",
 ) -> None:
     """Append to a table, or (``overwrite``) replace just the partitions that ``df`` has rows for."""
+    settle_buckets(df.sparkSession, path, buckets)
     (
         arrange(df, buckets, observe, segment_by)
         .write.partitionBy("trading_day", "instr_bucket")

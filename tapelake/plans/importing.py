@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapelake.functions.venues import exchange_slug
-from tapelake.operators.layout import BUCKETS
+from tapelake.operators.layout import BUCKETS, stored_buckets
 from tapelake.operators.normalize import normalize_levels, normalize_trades
 from tapelake.plans.load import LoadReport, append_feed, append_strict, numbered_levels
 from tapelake.schemas import LEVELS, TRADES, Feed
@@ -47,7 +47,8 @@ def import_cache(
 ) -> dict[str, LoadReport]:
     """Import both feeds into ``tables`` (feed name to path).
 
-    ``strict`` has no conflict rule, so that importing a file twice fails; otherwise it inserts nothing.
+    ``strict`` has no conflict rule, so that importing a file twice fails; otherwise it inserts nothing. ``buckets`` counts for
+    new tables; others keep theirs.
     """
     names = dataset_map(catalog, exchange, instrument_type)
     slug = slug_of(spark, exchange, slug_style)
@@ -55,10 +56,12 @@ def import_cache(
     for spec in (TRADES, LEVELS):
         raw = scan_cache(spark, root, slug, instrument_type, spec, date, start, end)
         rows = imported_rows(raw, names, spec, side_coding, sequence)
+        path = tables[spec.name]
+        held = stored_buckets(spark, path) or buckets
         if strict:
-            reports[spec.name] = append_strict(rows, spec, tables[spec.name], buckets=buckets)
+            reports[spec.name] = append_strict(rows, spec, path, buckets=held)
         else:
-            reports[spec.name] = append_feed(rows, spec, tables[spec.name], on_invalid=on_invalid, buckets=buckets)
+            reports[spec.name] = append_feed(rows, spec, path, on_invalid=on_invalid, buckets=held)
     return reports
 
 

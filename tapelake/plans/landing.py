@@ -1,50 +1,66 @@
-"""Landing raw rows: the day file of a data set, kept as delivered."""
+"""Landing raw rows: the day file of a data set, kept as delivered, with its name and the order of its lines."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tapelake.plans.load import for_requests, requested_instruments
+from tapelake.plans.staging import path_exists, stage
 from tapelake.schemas import Feed
 
-LANDED = ["feed", "trading_day", "venue"]
+VENUE_DAY = ["feed", "trading_day", "venue"]
+# What is replaced by landing it again, and the folders that hold it.
+LANDED = [*VENUE_DAY, "dataset"]
+FOLDERS = [*VENUE_DAY, "ds_bucket"]
+# Where each row comes from: file and place in it, so that arrival order can be rebuilt.
+ORIGIN = ["_file", "_arrival"]
+# Fixed: the data sets of a venue's day share so many folders.
+DATASET_BUCKETS = 4
 
 
 def landed_rows(raw: DataFrame, spec: Feed, venue: Column, day: Column) -> DataFrame:
-    """Raw rows with the folder columns of the landing table."""
-    return raw.select(
-        *spec.raw.names, F.lit(spec.tag).alias("feed"), day.alias("trading_day"), venue.alias("venue")
-    )
+    """Raw rows with their origin (null where they have none) and the folder columns of the landing table."""
+    kinds = dict(zip(ORIGIN, ("string", "bigint"), strict=True))
+    origin = [(F.col(c) if c in raw.columns else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()]
+    folder = [F.lit(spec.tag).alias("feed"), day.alias("trading_day"), venue.alias("venue"), F.upper("dataset").alias("dataset")]
+    return raw.select(*spec.raw.names, *origin, *folder)
 
 
-def land_raw(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write raw rows; an existing (feed, day, venue) is replaced, every other one stays.
+def land_raw(rows: DataFrame, path: str) -> None:
+    """Write raw rows; an existing (feed, day, venue, data set) is replaced, every other one stays.
 
-    A venue-day is split over several files as its size demands. ``fmt="csv"`` writes gzip text with a header.
+    The folders that new rows fall into are rewritten with what they hold of other data sets. A folder is split over several
+    files as its size demands.
     """
-    writer = (
-        rows.hint("rebalance", *[F.col(c) for c in LANDED])
-        .write.partitionBy(*LANDED)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-    )
-    if fmt == "csv":
-        writer.option("header", True).option("compression", "gzip").csv(path)
-    else:
-        writer.parquet(path)
+    spark = rows.sparkSession
+    new = stage(rows.withColumn("ds_bucket", F.pmod(F.crc32(F.col("dataset").cast("binary")), F.lit(DATASET_BUCKETS)).cast("int")), "landing")
+    merged = new
+    if path_exists(spark, path):
+        held = spark.read.schema(new.schema).parquet(path).join(new.select(*FOLDERS).distinct(), FOLDERS, "left_semi")
+        held = held.join(new.select(*LANDED).distinct(), LANDED, "left_anti").select(*new.columns)
+        merged = stage(new.unionByName(held), "landing")  # a table is never read and overwritten by one job
+    _write_folders(merged, FOLDERS).parquet(path)
+
+
+def export_text(rows: DataFrame, path: str) -> None:
+    """Write raw rows as gzip text with a header, just the delivered columns; exported venue-days are replaced as a whole."""
+    writer = _write_folders(rows.drop(*ORIGIN, "dataset"), VENUE_DAY)
+    writer.option("header", True).option("compression", "gzip").csv(path)
+
+
+def _write_folders(rows: DataFrame, folders: list[str]) -> DataFrameWriter:
+    dealt = rows.hint("rebalance", *[F.col(c) for c in folders])
+    return dealt.write.partitionBy(*folders).option("partitionOverwriteMode", "dynamic").mode("overwrite")
 
 
 def land_requested(requests: DataFrame, catalog: DataFrame, raw: DataFrame, spec: Feed, path: str) -> None:
-    """Land the requested instrument-days; unknown instruments are left out."""
+    """Land the requested instrument-days, each data set by itself; unknown instruments are left out."""
     rows = for_requests(raw, requested_instruments(requests, catalog))
     land_raw(landed_rows(rows, spec, F.col("venue"), F.col("file_day")), path)
 
 
 def read_landed(spark: SparkSession, spec: Feed, path: str) -> DataFrame:
     fields = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in spec.raw.fields])
-    return (
-        spark.read.schema(f"{fields}, feed string, trading_day date, venue string")
-        .parquet(path)
-        .filter(F.col("feed") == spec.tag)
-    )
+    rows = spark.read.schema(f"{fields}, _file string, _arrival bigint, dataset string, feed string, trading_day date, venue string, ds_bucket int")
+    return rows.parquet(path).filter(F.col("feed") == spec.tag).drop("ds_bucket")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tapelake.functions.times import yesterday
 from tapelake.functions.venues import exchange_slug
 from tapelake.operators import dedup
+from tapelake.operators.catalog import available_on
 from tapelake.operators.layout import BUCKETS, write_layout
 from tapelake.operators.normalize import normalize_levels, normalize_trades, sequence_arrival, sequence_sorted
 from tapelake.operators.sequence import continue_sequence
@@ -33,7 +34,11 @@ class LoadRejected(ValueError):
 
 @dataclass
 class LoadReport:
-    """What a load did. ``rejects`` holds the rows left out for a reason, staged, with that reason."""
+    """What a load did. ``rejects`` holds the rows left out for a reason, staged, with that reason.
+
+    A load by request also tells the requests whose instrument the catalog lacks (``unknown``), and the wanted instrument-days
+    without a source file (``absent``, staged; ``expected`` says that the instrument was available that day).
+    """
 
     received: int = 0
     inserted: int = 0
@@ -41,6 +46,9 @@ class LoadReport:
     reasons: dict[str, int] = field(default_factory=dict)
     days: list[dt.date] = field(default_factory=list)
     rejects: DataFrame | None = None
+    unknown: int = 0
+    absent_expected: int = 0
+    absent: DataFrame | None = None
 
     @property
     def skipped(self) -> int:
@@ -171,6 +179,24 @@ def unknown_requests(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     return requests.join(catalog.select(*key), key, "left_anti")
 
 
+class FilesMissing(ValueError):
+    """Source files of days on which their instruments were available are not there; nothing was written."""
+
+
+def source_gaps(wanted: DataFrame, files: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Wanted instrument-days without a file: instrument_id, dataset, trading_day, expected.
+
+    ``files`` names slug, upper-cased data set and day of what was delivered. A file is expected on days in [available since,
+    expiration); outside of them its absence is a day without data.
+    """
+    named = wanted.withColumn("slug", exchange_slug(F.col("exchange"))).withColumn("_name", F.upper("dataset"))
+    there = files.select("slug", F.col("dataset").alias("_name"), F.col("file_day").alias("trading_day")).distinct()
+    gaps = named.join(there, ["slug", "_name", "trading_day"], "left_anti")
+    spans = catalog.select("instrument_id", F.to_date("available_since").alias("_since"), F.to_date("expiration").alias("_to"))
+    expected = available_on(F.col("trading_day"), F.col("_since"), F.col("_to"))
+    return gaps.join(spans, "instrument_id").select("instrument_id", "dataset", "trading_day", expected.alias("expected"))
+
+
 def for_requests(raw: DataFrame, wanted: DataFrame) -> DataFrame:
     """Raw rows (with dataset and file_day) of the wanted data sets and days, with instrument id and exchange.
 

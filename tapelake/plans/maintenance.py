@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapelake.functions.times import as_day, instant_like
 from tapelake.operators.layout import BUCKETS, write_layout
-from tapelake.plans.staging import stage
+from tapelake.plans.staging import child_names, delete_folder, path_exists, stage
 
 # Ages of the documented policies.
 COMPACT_AFTER_DAYS = 7
@@ -80,6 +80,21 @@ def drop_expired(spark: SparkSession, table: str, as_of: dt.date | str, days: in
     return len(old)
 
 
+def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
+    """The days a table has folders of, from one listing."""
+    prefix = "trading_day="
+    return sorted(dt.date.fromisoformat(n.removeprefix(prefix)) for n in child_names(spark, path) if n.startswith(prefix))
+
+
+def drop_expired_days(spark: SparkSession, path: str, as_of: dt.date | str, days: int = RETAIN_DAYS) -> int:
+    """Drop the expired day folders of a table at a path; contents are not read. Returns the number of days."""
+    cutoff = as_day(as_of) - dt.timedelta(days=days)
+    old = [day for day in stored_days(spark, path) if day < cutoff]
+    for day in old:
+        delete_folder(spark, f"{path}/trading_day={day}")
+    return len(old)
+
+
 def table_files(spark: SparkSession, path: str) -> DataFrame:
     """Path and length of the Parquet files below ``path``, from the listing alone (contents are not read)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
@@ -89,7 +104,11 @@ def table_files(spark: SparkSession, path: str) -> DataFrame:
 def fragmented_days(
     spark: SparkSession, path: str, before: dt.date | str, file_bytes: int = COMPACT_FILE_BYTES
 ) -> DataFrame:
-    """Days before ``before`` that have a bucket with more files than its size needs."""
+    """Days before ``before`` that have a bucket with clearly more files than a rewrite would leave.
+
+    A rewrite aims at files of ``file_bytes`` before compression and sorting, so what it leaves is taken to reach a quarter of
+    that at least; a bucket of a single file has nothing to gain.
+    """
     day = F.to_date(F.regexp_extract("path", r"trading_day=(\d{4}-\d{2}-\d{2})", 1))
     folder = F.regexp_replace("path", "/[^/]*$", "")
     return (
@@ -97,12 +116,34 @@ def fragmented_days(
         .groupBy(day.alias("trading_day"), folder.alias("folder"))
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("total_bytes"))
         .filter(F.col("trading_day") < F.lit(as_day(before)))
-        .filter(F.col("files") > F.ceil(F.col("total_bytes") / file_bytes))
+        .filter(F.col("files") > F.greatest(F.lit(1), F.ceil(F.col("total_bytes") / F.lit(file_bytes // 4))))
         .select("trading_day")
         .distinct()
     )
 
 
+# Where a compaction notes what it is replacing, beside the table's day folders and hidden from its readers.
+PENDING = "_compacting"
+
+
+def resume_compaction(spark: SparkSession, path: str, buckets: int = BUCKETS, segment_by: str = "instrument_id") -> int:
+    """Finish a compaction whose driver was lost while it replaced folders; returns the rows written again, 0 if there was none.
+
+    The note is written after the staged copy is whole, and removed after the last folder is replaced.
+    """
+    note = f"{path.rstrip('/')}/{PENDING}"
+    if not path_exists(spark, note):
+        return 0
+    held = [r.staged for r in spark.read.schema("staged string").json(f"{note}/part-*.json").collect()]
+    rows = 0
+    for folder in held:
+        staged = spark.read.parquet(folder)
+        rows += staged.count()
+        write_layout(staged.drop("instr_bucket"), path, buckets, mode="overwrite", segment_by=segment_by)
+    delete_folder(spark, note)
+    return rows
+
+
 def compact_cold(
     spark: SparkSession,
     path: str,
@@ -116,20 +157,34 @@ def compact_cold(
     rows rewritten.
 
     Days that are compact already are left alone, so a daily run costs what became cold since the last one. The compacted
-    rows are staged and counted before they replace anything; a job that dies while replacing leaves them in the shared
-    folder.
+    rows are staged, counted and noted before they replace anything; a job that dies while replacing is finished by the next
+    one (``resume_compaction``).
     """
+    done = resume_compaction(spark, path, buckets, segment_by)
     before = as_day(as_of) - dt.timedelta(days=days)
     cold_days = [r.trading_day for r in fragmented_days(spark, path, before, file_bytes).collect()]
     if not cold_days:
-        return 0
+        return done
     cold = spark.read.option("basePath", path).parquet(*[f"{path}/trading_day={day}" for day in cold_days])
     staged = stage(cold, "compact")
     rows, staged_rows = cold.count(), staged.count()
     if staged_rows != rows:
         raise RuntimeError(f"compaction read {rows} rows but staged {staged_rows}")
-    write_layout(staged.drop("instr_bucket"), path, buckets, mode="overwrite", segment_by=segment_by)
-    return rows
+    note = f"{path.rstrip('/')}/{PENDING}"
+    folder = staged.inputFiles()[0].rsplit("/", 1)[0]
+    spark.createDataFrame([(folder,)], "staged string").coalesce(1).write.mode("overwrite").json(note)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    held = spark.conf.get(key, None)
+    spark.conf.set(key, str(file_bytes))  # what a task of the rewrite, and so a file, may reach
+    try:
+        write_layout(staged.drop("instr_bucket"), path, buckets, mode="overwrite", segment_by=segment_by)
+    finally:
+        if held is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, held)
+    delete_folder(spark, note)
+    return done + rows
 
 
 def storage_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:

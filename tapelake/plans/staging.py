@@ -52,6 +52,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def existing_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The files or folders that match a pattern."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(status.getPath().toString() for status in file_system.globStatus(hadoop_path) or [])
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries right below ``path``; none if there is no such folder."""
     if not path_exists(spark, path):
@@ -61,6 +68,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in file_system.listStatus(hadoop_path))
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, on whatever file system it is."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table, or no rows if nothing has been written there yet."""
     if path_exists(spark, path):

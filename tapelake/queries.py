@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapelake.fixtures import Fixtures
+from tapelake.lake import Lake
 from tapelake.functions import locations, sides, times, venues
 from tapelake.operators import catalog, coverage, dedup, layout, manifest, normalize, sequence, validate
 from tapelake.oracles import sql
@@ -111,6 +112,33 @@ def feed_day_info_requests(fx: Fixtures) -> DataFrame:
     return coverage.feed_day_info(requests, fx.instruments(), _facts(fx))
 
 
+LEVEL_DAYS = f"ts >= TIMESTAMP '{LEVEL_FIRST}' AND ts < TIMESTAMP '{LEVEL_LAST}' + INTERVAL 1 DAY"
+
+
+@query(f"""SELECT i.base_asset, i.quote_asset, i.exchange, i.instrument_type, 'LevelUpdates' AS feed, i.instrument_id,
+  t.trading_day, count(*) AS items_count, min(t.ts) AS first_ts, max(t.ts) AS last_ts
+FROM fx_instruments i JOIN fx_levels t ON t.instrument_id = i.instrument_id WHERE {LEVEL_DAYS} GROUP BY ALL""")
+def feed_day_info_level_requests(fx: Fixtures) -> DataFrame:
+    days = coverage.calendar(F.lit(LEVEL_FIRST), F.lit(LEVEL_LAST))
+    requests = _requests(fx, "Trades", "LevelUpdates").withColumn("trading_day", days)
+    return coverage.feed_day_info(requests, fx.instruments(), _facts(fx))
+
+
+@query(f"""SELECT i.base_asset, i.quote_asset, i.exchange, i.instrument_type, 'LevelUpdates' AS feed, CAST(CAST(d.d AS DATE) AS VARCHAR) AS trading_day,
+  EXISTS (SELECT 1 FROM (SELECT DISTINCT instrument_id, trading_day FROM fx_levels) p WHERE p.instrument_id = i.instrument_id
+    AND p.trading_day = CAST(CAST(d.d AS DATE) AS VARCHAR)) AS has_data
+FROM fx_instruments i CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '{LEVEL_FIRST}', TIMESTAMP '{LEVEL_LAST}', INTERVAL 1 DAY)) AS d) d""")
+def exists_levels_on_day(fx: Fixtures) -> DataFrame:
+    requests = _requests(fx, "LevelUpdates").withColumn("trading_day", coverage.calendar(F.lit(LEVEL_FIRST), F.lit(LEVEL_LAST)))
+    return coverage.exists_feed_on_day(requests, fx.instruments(), _facts(fx))
+
+
+@query("""SELECT count(*) AS items_count, min(t.ts) AS first_ts, max(t.ts) AS last_ts FROM fx_instruments i
+JOIN fx_trades t ON t.instrument_id = i.instrument_id WHERE i.base_asset = 'A7' AND t.trading_day = '2024-01-10' HAVING count(*) > 0""")
+def feed_day_info_one(fx: Fixtures) -> DataFrame:
+    return coverage.feed_day_info_one(fx.instruments(), _facts(fx), F.col("base_asset") == "A7", "Trades", "2024-01-10")
+
+
 MISSING = """SELECT i.base_asset, i.quote_asset, i.exchange, i.instrument_type, '{feed}' AS feed,
   CAST(CAST(d.d AS DATE) AS VARCHAR) AS trading_day
 FROM fx_instruments i CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '{first}', TIMESTAMP '{last}', INTERVAL 1 DAY)) AS d) d
@@ -616,7 +644,7 @@ def merge_trades_by_day(fx: Fixtures) -> DataFrame:
 
 
 LANDED_SQL = """SELECT exchange, symbol, timestamp, local_timestamp, id, side, price, amount, 'trades' AS feed,
-  file_day AS trading_day, venue FROM raw_trades"""
+  file_day AS trading_day, venue, dataset FROM raw_trades"""
 
 
 @query(LANDED_SQL)
@@ -626,7 +654,87 @@ def land_raw(fx: Fixtures) -> DataFrame:
     rows = landing.landed_rows(fx.raw_trades(), TRADES, F.col("venue"), F.col("file_day"))
     for _ in range(2):
         landing.land_raw(rows, path)
-    return landing.read_landed(fx.spark, TRADES, path)
+    return landing.read_landed(fx.spark, TRADES, path).drop(*landing.ORIGIN)
+
+
+@query(LANDED_SQL)
+def land_two_datasets(fx: Fixtures) -> DataFrame:
+    """Half of the data sets of every venue and day landed in one call, the others in a second, which is repeated."""
+    path = new_folder(fx.spark, "landed")
+    rows = landing.landed_rows(fx.raw_trades(), TRADES, F.col("venue"), F.col("file_day"))
+    other = F.pmod(F.crc32(F.col("dataset").cast("binary")), F.lit(2)) == 1
+    for part in (rows.filter(~other), rows.filter(other), rows.filter(other)):
+        landing.land_raw(part, path)
+    return landing.read_landed(fx.spark, TRADES, path).drop(*landing.ORIGIN)
+
+
+def _delivered(fx: Fixtures) -> Lake:
+    """A lake with two buckets over the delivered files of five data sets."""
+    base = new_folder(fx.spark, "lake")
+    fx.deliver_levels(f"{base}/delivered")
+    fx.level_catalog().write.partitionBy("exchange").parquet(f"{base}/lake/instruments")
+    return Lake(fx.spark, f"{base}/lake", f"{base}/delivered", buckets=2)
+
+
+def _level_requests(fx: Fixtures) -> DataFrame:
+    """Every instrument and day of the delivered month, and an instrument nobody knows."""
+    ids = fx.level_catalog().select("instrument_id").unionByName(fx.spark.createDataFrame([("nobody",)], "instrument_id string"))
+    return ids.withColumn("trading_day", coverage.calendar(F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 1, 28))))
+
+
+@query("""SELECT make_timestamp(timestamp) AS ts, instrument_id, CAST(CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN -1 ELSE 0 END AS BIGINT) AS side,
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price, CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DOUBLE) AS quantity,
+  l_linestatus = 'F' AS is_snapshot, place AS update_seq, CAST(day AS VARCHAR) AS trading_day FROM level_files""")
+def load_levels_from_files(fx: Fixtures) -> DataFrame:
+    """Delivered gzip text to the fact table, in two loads that overlap: parsed, numbered by arrival, appended by day and bucket."""
+    lake = _delivered(fx)
+    requests = _level_requests(fx)
+    for part in (requests.filter("instrument_id IN ('i0', 'i1')"), requests):
+        lake.load_level_updates(part)
+    return lake.facts(LEVELS)
+
+
+@query("""SELECT 'i' || CAST(n AS VARCHAR) AS instrument_id, 'LVL' || CAST(n AS VARCHAR) AS dataset, CAST(CAST(d AS DATE) AS VARCHAR) AS trading_day, n <> 4 AS expected
+FROM (SELECT unnest(range(5)) AS n) CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-05', INTERVAL 1 DAY)) AS d)
+WHERE NOT EXISTS (SELECT 1 FROM level_files f WHERE f.dataset = 'LVL' || CAST(n AS VARCHAR) AND f.day = CAST(d AS DATE)) AND (d < TIMESTAMP '2024-02-01' OR n <> 4)
+UNION ALL SELECT 'i4', 'LVL4', CAST(CAST(d AS DATE) AS VARCHAR), true FROM (SELECT unnest(generate_series(TIMESTAMP '2024-02-01', TIMESTAMP '2024-02-05', INTERVAL 1 DAY)) AS d)""")
+def load_gaps(fx: Fixtures) -> DataFrame:
+    """The instrument-days without a file that a load reports; those before an instrument was available are not expected."""
+    lake = _delivered(fx)
+    days = coverage.calendar(F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 2, 5)))
+    requests = fx.level_catalog().select("instrument_id", days.alias("trading_day"))
+    return lake.load_level_updates(requests).absent
+
+
+@query("""SELECT exchange, symbol, timestamp, local_timestamp, is_snapshot, side, price, amount FROM (
+SELECT 'binance-futures' AS exchange, lower(dataset) AS symbol, timestamp, timestamp + l_linenumber AS local_timestamp, l_linestatus = 'F' AS is_snapshot,
+  CASE l_returnflag WHEN 'R' THEN 'bid' WHEN 'A' THEN 'ask' ELSE 'BID' END AS side, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price,
+  CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DOUBLE) AS amount, place FROM level_files WHERE dataset = 'LVL2' AND day = DATE '2024-01-09' ORDER BY place LIMIT 20 OFFSET 5)""")
+def page_source_file(fx: Fixtures) -> DataFrame:
+    """Twenty lines straight from a delivered file."""
+    return _delivered(fx).page_level_updates("BinanceFutures", "lvl2", "2024-01-09", 20, 5).drop("_file", "_arrival")
+
+
+@query("SELECT * FROM fx_trades WHERE side <> 0 AND price > 0 AND quantity >= 0")
+def load_all_or_nothing(fx: Fixtures) -> DataFrame:
+    """A batch with invalid rows is refused as a whole: the table stays as the load before left it."""
+    path = new_folder(fx.spark, "all-or-nothing")
+    rows = as_stored(fx.trades())
+    load.append_trades(rows.filter("side <> 0"), path, on_invalid="reject", buckets=BUCKETS)
+    bad = rows.withColumn("price", F.when(F.col("side") == 0, F.lit(-1).cast(PRICE)).otherwise(F.col("price")))
+    try:
+        load.append_trades(bad, path, on_invalid="fail", buckets=BUCKETS)
+    except load.LoadRejected:
+        pass
+    return _stored(fx, TRADES, path)
+
+
+@query("""SELECT DISTINCT 'okx-futures' AS slug, 'future' AS instrument_type, upper(venue) AS dataset, file_day, 'trades' AS tag FROM raw_trades""")
+def cache_listing(fx: Fixtures) -> DataFrame:
+    """What the cache tree holds, from the names of its files."""
+    base = new_folder(fx.spark, "cache")
+    fx.write_cache(f"{base}/cache", "okx-futures", "future")
+    return raw_files.list_cache(fx.spark, f"{base}/cache").drop("path", "length").distinct()
 
 
 NORMALIZED_SQL = """SELECT ts, instrument_id, CAST(CASE side WHEN 'buy' THEN 1 WHEN 'sell' THEN -1 ELSE 0 END AS BIGINT) AS side,
@@ -636,7 +744,7 @@ FROM raw_trades WHERE timestamp IS NOT NULL AND price > 0 AND amount >= 0"""
 
 def _landed_csv(fx: Fixtures, path: str) -> None:
     rows = landing.landed_rows(fx.raw_trades(), TRADES, F.col("venue"), F.col("file_day"))
-    landing.land_raw(rows, path, fmt="csv")
+    landing.export_text(rows, path)
 
 
 @query(NORMALIZED_SQL)
@@ -791,6 +899,37 @@ def upsert_instruments_by_dataset(fx: Fixtures) -> DataFrame:
     return catalog.upsert_instruments(fx.instruments(), fx.refresh_rows(), BY_DATASET)
 
 
+def _moved(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """A catalog whose ids are digests, and rows: every third instrument moves to another base asset, a new data set takes its
+    identity, and other new data sets claim identities that are held."""
+    held = fx.instruments().withColumn("instrument_id", catalog.instrument_id())
+    number = F.regexp_extract("base_asset", r"\d+", 0).cast("int")
+    rows = held.drop("instrument_id", "symbol_id").withColumn("number", number)
+    moved = rows.filter("number % 3 = 0").withColumn("base_asset", F.concat(F.lit("M"), "base_asset"))
+    taken = rows.filter("number % 3 = 0").withColumn("dataset", F.concat(F.lit("NEW"), "dataset"))
+    claimed = rows.filter("number % 3 = 1").withColumn("dataset", F.concat(F.lit("DUP"), "dataset"))
+    return held, moved.unionByName(taken).unionByName(claimed).withColumnRenamed("number", "ordinal")
+
+
+_DIGEST = "md5(concat_ws('|', base_asset, quote_asset, exchange, instrument_type))"
+
+
+@query(f"""WITH i AS (SELECT *, {_DIGEST} AS digest, CAST(substr(base_asset, 2) AS INT) AS number FROM fx_instruments)
+SELECT digest AS instrument_id, CASE WHEN number % 3 = 0 THEN 'M' ELSE '' END || base_asset AS base_asset, quote_asset, exchange, instrument_type,
+  dataset, CASE WHEN number % 3 = 0 THEN 'updated' ELSE 'kept' END AS action FROM i
+UNION ALL SELECT md5(concat_ws('|', digest, exchange, instrument_type, 'NEW' || dataset)), base_asset, quote_asset, exchange, instrument_type,
+  'NEW' || dataset, 'inserted' FROM i WHERE number % 3 = 0""")
+def upsert_moved_instruments(fx: Fixtures) -> DataFrame:
+    """Who takes the identity of an instrument that moved gets an id of its own."""
+    rows = catalog.upsert_instruments(*_moved(fx), BY_DATASET)
+    return rows.select("instrument_id", *IDENTITY, "dataset", "action")
+
+
+@query("""SELECT exchange, instrument_type, 'DUP' || dataset AS dataset, 'identity is held' AS reason FROM fx_instruments WHERE CAST(substr(base_asset, 2) AS INT) % 3 = 1""")
+def upsert_refused(fx: Fixtures) -> DataFrame:
+    return catalog.identity_conflicts(*_moved(fx), BY_DATASET)
+
+
 @query(f"SELECT action, count(*) AS instruments FROM ({_upsert_sql(IDENTITY).replace('WITH last AS (', 'SELECT action FROM (WITH last AS (', 1)})) GROUP BY 1")
 def upsert_counts(fx: Fixtures) -> DataFrame:
     return catalog.upsert_counts(catalog.upsert_instruments(fx.instruments(), fx.refresh_rows()))
@@ -813,6 +952,17 @@ def refresh_instruments(fx: Fixtures) -> DataFrame:
     return rows.select("instrument_id", *IDENTITY, "dataset", "active", "available_since", "price_increment")
 
 
+@query(f"""SELECT md5(concat_ws('|', base_asset, quote_asset, exchange, instrument_type)) AS instrument_id, *
+FROM ({REFRESHED}) WHERE price_increment > 0""")
+def refresh_from_list(fx: Fixtures) -> DataFrame:
+    """The same list read from JSON files."""
+    base = new_folder(fx.spark, "list")
+    fx.write_list(f"{base}/list")
+    refresh.refresh_instruments(fx.spark, raw_files.read_instruments(fx.spark, f"{base}/list", "OkexSwap"), "OkexSwap", f"{base}/catalog")
+    rows = facts.read_catalog(fx.spark, f"{base}/catalog")
+    return rows.select("instrument_id", *IDENTITY, "dataset", "active", "available_since", "price_increment")
+
+
 @query(f"SELECT dataset, 'price increment' AS reason FROM ({REFRESHED}) WHERE price_increment <= 0")
 def refresh_rejects(fx: Fixtures) -> DataFrame:
     return refresh.refresh_rejects(fx.instrument_list()).select("dataset", "reason")
@@ -912,10 +1062,11 @@ def outcome_summary(fx: Fixtures) -> DataFrame:
     return manifest.outcome_summary(results)
 
 
-@query()
+@query("""SELECT * FROM (VALUES ('events', CAST(1 AS BIGINT)), ('lineitem', 1), ('customer', 1), ('orders', 1)) t(table_name, files)""")
 def storage_report(fx: Fixtures) -> DataFrame:
+    """Each given table is one file; sizes are no SQL matter."""
     tables = {name: f"{fx.folder}/{name}.parquet" for name in ("events", "lineitem", "customer", "orders")}
-    return maintenance.storage_report(fx.spark, tables)
+    return maintenance.storage_report(fx.spark, tables).drop("total_bytes")
 
 
 # ---- paging, rollups, retention ---------------------------------------------------------------------------------------
@@ -959,8 +1110,8 @@ def continuous_rollup(fx: Fixtures) -> DataFrame:
     schema = fx.spark.read.parquet(f"{base}/trades").schema
     stream = fx.spark.readStream.schema(schema).parquet(f"{base}/trades")
     hourly = rollup.hourly_stream(stream, "instrument_id", "price")
-    rollup.write_rollup(hourly, f"{base}/rollup", f"{base}/checkpoint", once=True).awaitTermination()
-    rows = rollup.latest_rollup(fx.spark.read.parquet(f"{base}/rollup"), "instrument_id")
+    rollup.write_rollup(hourly, f"{base}/rollup", f"{base}/checkpoint", "instrument_id", once=True).awaitTermination()
+    rows = rollup.read_rollup(fx.spark, f"{base}/rollup")
     return rows.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
 
 

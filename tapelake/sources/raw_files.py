@@ -9,14 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapelake.functions.locations import cached_parts, parse_cache_location
+from tapelake.functions.locations import cached_parts, delivered_parts, parse_cache_location
 from tapelake.functions.times import date_mode
-from tapelake.plans.staging import path_exists
+from tapelake.plans.staging import existing_paths, path_exists
 from tapelake.schemas import INSTRUMENTS_RAW, LEVELS, TRADES, Feed
 
-# A scan of up to this many days names them one by one.
-NAMED_DAYS = 31
-
 
 def csv_options(malformed: str = "FAILFAST") -> dict[str, str]:
     """CSV options shared by batch and stream reads.
@@ -37,17 +34,18 @@ def read_raw(
     path: str | list[str],
     name_glob: str | None = None,
     malformed: str = "FAILFAST",
+    check: bool = True,
 ) -> DataFrame:
     """Raw rows plus ``_file`` and ``_arrival``.
 
     A gzip file is read by one task from top to bottom, so ``_arrival`` follows the line order within a file. A path that
-    does not exist is a day without trading: no rows, no error.
+    does not exist gives no rows; with ``check=False`` the paths are known to exist.
     """
     reader = spark.read.schema(spec.raw).options(**csv_options(malformed))
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     extra = T.StructType([T.StructField("_file", T.StringType()), T.StructField("_arrival", T.LongType())])
-    paths = [p for p in ([path] if isinstance(path, str) else path) if path_exists(spark, p)]
+    paths = [p for p in ([path] if isinstance(path, str) else path) if not check or path_exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], T.StructType([*spec.raw.fields, *extra.fields]))
     return reader.csv(paths).select(
@@ -71,12 +69,9 @@ def read_instruments(spark: SparkSession, path: str | list[str], exchange: str)
 
 
 def cache_glob(spec: Feed, first: dt.date, last: dt.date) -> str:
-    """File names of one feed for a range of days: every day by name, or for a long range its months."""
-    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
-    if len(days) <= NAMED_DAYS:
-        dates = [day.isoformat() for day in days]
-    else:
-        dates = sorted({f"{day:%Y-%m}-??" for day in days})
+    """File names of one feed for the months of a range of days."""
+    days = (first + dt.timedelta(days=i) for i in range((last - first).days + 1))
+    dates = sorted({f"{day:%Y-%m}-??" for day in days})
     return f"*_{{{','.join(dates)}}}_{spec.tag}.csv.gz"
 
 
@@ -96,8 +91,6 @@ def scan_cache(
     folder = f"{root.rstrip('/')}/{slug}/{instrument_type}"
     rows = read_raw(spark, spec, folder, name_glob=cache_glob(spec, first, last), **options)
     rows = rows.withColumns(cached_parts(F.col("_file")))
-    if (last - first).days < NAMED_DAYS:
-        return rows
     return rows.filter(F.col("file_day").between(F.lit(first), F.lit(last)))
 
 
@@ -110,6 +103,16 @@ def list_cache(spark: SparkSession, root: str) -> DataFrame:
     return files.withColumns(parse_cache_location(F.col("path"), root.split(":", 1)[-1]))
 
 
+def list_delivered(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """Path, size, slug, data set and day of the delivered files in some day folders (patterns); contents are not read."""
+    found = [path for pattern in folders for path in existing_paths(spark, pattern)]
+    if found:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv.gz").load(found).select("path", "length")
+    else:
+        files = spark.createDataFrame([], "path string, length bigint")
+    return files.withColumns(delivered_parts(F.col("path")))
+
+
 def filled_files(listing: DataFrame) -> DataFrame:
     """Files that count as cached: the non-empty ones."""
     return listing.filter(F.col("length") > 0)

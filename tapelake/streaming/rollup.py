@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tapelake.plans.staging import read_or_empty, stage
+
 # How far back an hour may still change, and how often it is refreshed.
 LATENESS = "7 days"
 EVERY = "15 minutes"
@@ -25,12 +27,22 @@ def hourly_stream(stream: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def write_rollup(rollup: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Write the changed hours of every trigger as one version; ``latest_rollup`` reads the newest version of an hour."""
+def write_rollup(rollup: DataFrame, path: str, checkpoint: str, key: str, once: bool = False) -> StreamingQuery:
+    """Keep the rollup table at ``path``, one folder per day: each trigger replaces the folders of the days it changed.
+
+    The unchanged rows of those days are carried over from what is held, so the table never holds an hour twice, and a trigger
+    that is replayed, or a stream begun anew, gives the same table.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/version={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
+        spark = batch.sparkSession
+        changed = stage(batch.withColumn("day", F.to_date("bucket")), "rollup")
+        held = read_or_empty(spark, path, changed.schema)
+        days = changed.select("day").distinct()
+        same = held.join(days, "day", "left_semi").join(changed.select("bucket", key), ["bucket", key], "left_anti")
+        merged = stage(same.select(*changed.columns).unionByName(changed), "rollup")
+        writer = merged.hint("rebalance", F.col("day")).write.partitionBy("day")
+        writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
     trigger = {"availableNow": True} if once else {"processingTime": EVERY}
     return (
@@ -42,7 +54,6 @@ def write_rollup(rollup: DataFrame, path: str, checkpoint: str, once: bool = Fal
     )
 
 
-def latest_rollup(versions: DataFrame, key: str) -> DataFrame:
-    """The newest version of every hour (combined before the shuffle)."""
-    newest = F.max_by("avg_value", "version")
-    return versions.groupBy("bucket", key).agg(newest.alias("avg_value"))
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """Bucket, key and average of every hour."""
+    return spark.read.parquet(path).drop("day")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapelake.lake import Lake
 from tapelake.operators import coverage
-from tapelake.plans import load
+from tapelake.plans import landing, load
 from tapelake.schemas import TRADES
 from tapelake.sources import facts
 
@@ -100,8 +100,50 @@ def test_load_by_id_and_unknown(lake, spark):
     assert lake.load_trades(btc(lake, day="2024-03-01")).inserted == 0  # no such file
 
 
-def test_many_files_are_read_by_folder(lake, monkeypatch):
-    monkeypatch.setattr("tapelake.lake.NAMED_FILES", 1)
+def test_letter_case_of_file_names(lake, folder, trades_file):
+    """A file is found by its data set whatever the letter case, for any number of requests."""
+    day = DAY + dt.timedelta(days=4)
+    trades_file(f"{folder}/source/v1/binance-futures/trades/{day:%Y/%m/%d}/btcusdt.csv.gz", day=MIDNIGHT + 4 * DAY_MICROS)
+    assert lake.load_trades(btc(lake, day=day)).inserted == 5
+    report = lake.load_trades(btc(lake, day=day).unionByName(btc(lake)).unionByName(lake.request("NO", "USDT", "OkexSwap", day=DAY)))
+    assert (report.inserted, report.unknown, report.absent.count()) == (5, 1, 0)
+    files = lake.source_files(TRADES, load.requested_instruments(btc(lake), lake.catalog))
+    assert [r.path.rsplit("/", 1)[1] for r in files.collect()] == ["BTCUSDT.csv.gz"]  # nothing else of the folder
+
+
+def test_absent_files(lake):
+    days = [lake.request("ETH", "USDT", "BinanceFutures", day=day) for day in ("2023-12-31", "2024-01-01", "2024-01-19", "2024-01-20")]
+    requests = btc(lake)
+    for one in days:
+        requests = requests.unionByName(one)
+    report = lake.load_trades(requests)
+    assert report.inserted == 5 and report.absent_expected == 2
+    assert sorted((str(r.trading_day), r.expected) for r in report.absent.collect()) == [
+        ("2023-12-31", False), ("2024-01-01", True), ("2024-01-19", True), ("2024-01-20", False)
+    ]
+    with pytest.raises(load.FilesMissing):
+        lake.load_trades(requests, on_absent="fail")
+
+
+def test_buckets_are_kept_with_the_table(lake, spark):
+    lake.load_trades(btc(lake))
+    other = Lake(spark, lake.root, lake.source, buckets=64)
+    requests = btc(lake, feed="Trades")
+    assert other.info(requests).count() == 1 and other.exists(requests).first().has_data
+    assert other.missing_days(requests, DAY, DAY).count() == 0
+    assert other.load_trades(btc(lake, day="2024-01-16")).inserted == 5  # with the table's own number
+    with pytest.raises(ValueError, match="2 buckets"):
+        load.append_trades(lake.facts(TRADES), lake.table(TRADES), buckets=64)
+
+
+def test_maintenance_of_the_lake(lake):
+    lake.load_trades(btc(lake).unionByName(btc(lake, day="2024-01-16")))
+    assert lake.drop_expired("Trades", DAY + dt.timedelta(days=91)) == 1
+    assert [r.trading_day for r in lake.facts(TRADES).select("trading_day").distinct().collect()] == [DAY + dt.timedelta(days=1)]
+    assert lake.compact("Trades", "2024-03-01") == 0
+
+
+def test_several_files(lake):
     both = btc(lake).unionByName(btc(lake, day="2024-01-16"))
     assert lake.load_trades(both).inserted == 10
     assert lake.load_trades(btc(lake, exchange="OkexSwap")).inserted == 5
@@ -127,13 +169,24 @@ def test_land(lake, spark):
     for _ in range(2):
         lake.land(btc(lake), "Trades")
     lake.land(btc(lake, exchange="OkexSwap"), "Trades")
-    landed = spark.read.parquet(f"{lake.root}/landed/trades")
+    landed = landing.read_landed(spark, TRADES, f"{lake.root}/landed/trades")
     assert {(r.venue, r["count"]) for r in landed.groupBy("venue").count().collect()} == {
         ("BinanceFutures", 7),
         ("OkexSwap", 7),
     }
 
 
+def test_land_keeps_other_data_sets(lake, spark, folder, trades_file):
+    trades_file(f"{folder}/source/v1/binance-futures/trades/2024/01/15/ETHUSDT.csv.gz", "ETHUSDT")
+    lake.land(btc(lake), "Trades")
+    for _ in range(2):
+        lake.land(lake.request("ETH", "USDT", "BinanceFutures", day=DAY), "Trades")
+    landed = landing.read_landed(spark, TRADES, f"{lake.root}/landed/trades")
+    assert {(r.dataset, r["count"]) for r in landed.groupBy("dataset").count().collect()} == {("BTCUSDT", 7), ("ETHUSDT", 7)}
+    lines = landed.filter("dataset = 'ETHUSDT'").orderBy("_file", "_arrival").collect()
+    assert [r.id for r in lines] == [1, 2, 2, 3, 4, 5, 6] and all("ETHUSDT" in r._file for r in lines)
+
+
 def test_one_feed_day(lake):
     lake.load_trades(btc(lake))
     is_btc = (F.col("base_asset") == "BTC") & (F.col("exchange") == "BinanceFutures")
@@ -177,17 +230,11 @@ def test_coverage_prunes_days_and_never_runs_python(lake):
         assert "level_updates" not in plan  # a feed nobody asked for is not read
 
 
-def test_few_and_many_requests_agree(lake, monkeypatch):
+def test_requests_with_unknown_instruments(lake):
     lake.load_trades(btc(lake).unionByName(btc(lake, day="2024-01-16")))
     requests = btc(lake, feed="Trades").unionByName(lake.request("NO", "USDT", "OkexSwap", day=DAY, feed="Trades"))
-
-    def answers():
-        frames = (lake.info(requests), lake.exists(requests), lake.missing_days(requests, "2024-01-10", "2024-01-20"))
-        return [sorted(map(tuple, df.collect())) for df in frames]
-
-    few = answers()
-    monkeypatch.setattr(coverage, "NAMED_REQUESTS", 0)
-    assert answers() == few and [len(a) for a in few] == [1, 2, 20]
+    frames = (lake.info(requests), lake.exists(requests), lake.missing_days(requests, "2024-01-10", "2024-01-20"))
+    assert [df.count() for df in frames] == [1, 2, 20]
 
 
 def test_present_and_missing_make_the_calendar(lake):

@@ -7,7 +7,7 @@ from test_loads import DAY, trade, trades
 
 from tapelake.operators import catalog, layout, manifest
 from tapelake.plans import maintenance, staging
-from tapelake.schemas import TRADES
+from tapelake.schemas import INSTRUMENT, TRADES
 from tapelake.sources import facts
 
 
@@ -29,6 +29,100 @@ def test_compact_cold(spark, folder):
     assert {r.trading_day for r in sizes} == set(days) and all(r.total_bytes > 0 for r in sizes)
 
 
+def test_compaction_settles(spark, folder):
+    """A bucket well above Spark's advisory size is rewritten once."""
+    path = f"{folder}/t"
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(60_000).select(
+        F.timestamp_seconds(F.lit(1_705_276_800) + F.col("id") % 80_000).alias("ts"),
+        F.lit("i1").alias("instrument_id"), F.lit(1).cast("short").alias("side"), F.rand(1).cast("decimal(38,18)").alias("price"),
+        F.rand(2).cast("decimal(38,18)").alias("quantity"), F.col("id").alias("trade_id"), F.lit(DAY).alias("trading_day"),
+    )
+    spark.conf.set(key, str(64 << 10))
+    try:
+        layout.write_layout(rows, path, buckets=1)
+        counts = [maintenance.compact_cold(spark, path, "2024-03-01", buckets=1, file_bytes=8 << 20) for _ in range(3)]
+        assert spark.conf.get(key) == str(64 << 10)
+    finally:
+        spark.conf.unset(key)
+    assert counts == [60_000, 0, 0] and facts.read_feed(spark, TRADES, path).count() == 60_000
+
+
+def test_compaction_is_finished_by_the_next(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    for part in range(3):
+        layout.write_layout(trades(spark, *[trade(10 * part + n, n) for n in range(5)]), path, buckets=1)
+    before = sorted(map(tuple, facts.read_feed(spark, TRADES, path).collect()))
+
+    def lost(*_args, **_options):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(maintenance, "write_layout", lost)
+        maintenance.compact_cold(spark, path, "2024-03-01", buckets=1)
+    staging.delete_folder(spark, f"{path}/trading_day={DAY}")  # as if lost between deleting and writing
+    assert maintenance.compact_cold(spark, path, "2024-03-01", buckets=1) == 15
+    assert sorted(map(tuple, facts.read_feed(spark, TRADES, path).collect())) == before
+    assert maintenance.compact_cold(spark, path, "2024-03-01", buckets=1) == 0
+
+
+def test_drop_expired_days(spark, folder):
+    path = f"{folder}/t"
+    layout.write_layout(trades(spark, *[trade(n, day=DAY + dt.timedelta(days=n)) for n in range(5)]), path, buckets=1)
+    assert maintenance.drop_expired_days(spark, path, DAY + dt.timedelta(days=93)) == 3
+    assert maintenance.stored_days(spark, path) == [DAY + dt.timedelta(days=3), DAY + dt.timedelta(days=4)]
+    assert maintenance.drop_expired_days(spark, path, DAY + dt.timedelta(days=93)) == 0
+
+
+BY_DATASET = ["exchange", "instrument_type", "dataset"]
+
+
+def named(spark, *rows):
+    known = {"base_asset": 0, "dataset": 1, "ordinal": 2}
+    frame = spark.createDataFrame(rows, "base_asset string, dataset string, ordinal int")
+    fixed = {"quote_asset": "Q", "exchange": "E", "instrument_type": "spot"}
+    columns = [F.lit(fixed[f.name]) if f.name in fixed else F.col(f.name) if f.name in known else F.lit(None) for f in INSTRUMENT if not f.name.endswith("_id")]
+    names = [f for f in INSTRUMENT if not f.name.endswith("_id")]
+    return frame.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, names, strict=True)], "ordinal")
+
+
+def after(catalog_rows, rows):
+    merged = catalog.upsert_instruments(catalog_rows, rows, BY_DATASET).drop("action")
+    found = [(r.dataset, r.base_asset, r.instrument_id) for r in merged.collect()]
+    assert len({i for *_, i in found}) == len({b for _, b, _ in found}) == len(found)
+    return merged, {d: (b, i) for d, b, i in found}
+
+
+def test_moved_instruments_keep_their_ids(spark):
+    nothing = spark.createDataFrame([], INSTRUMENT)
+    held, first = after(nothing, named(spark, ("A", "d1", 1), ("B", "d2", 2)))
+    held, second = after(held, named(spark, ("C", "d1", 1), ("A", "d3", 2)))  # d1 moves, d3 takes its identity
+    assert second["d1"] == ("C", first["d1"][1]) and second["d3"][0] == "A" and second["d3"][1] != first["d1"][1]
+    held, third = after(held, named(spark, ("B", "d1", 1), ("C", "d2", 2)))  # an exchange of identities
+    assert third["d1"] == ("B", first["d1"][1]) and third["d2"] == ("C", first["d2"][1])
+
+
+def test_identities_stay_unique(spark):
+    held, _ = after(spark.createDataFrame([], INSTRUMENT), named(spark, ("A", "d1", 1), ("B", "d2", 2), ("C", "d3", 3)))
+    # d9 claims what d3 holds; d2 wants what d9 would leave free, and so on down the chain; two new ones want one identity.
+    rows = named(spark, ("C", "d2", 1), ("B", "d1", 2), ("X", "d7", 3), ("X", "d8", 4))
+    refused = {(r.dataset, r.reason) for r in catalog.identity_conflicts(held, rows, BY_DATASET).collect()}
+    assert refused == {("d2", "identity is held"), ("d1", "identity is held"), ("d7", "identity comes twice")}
+    _, merged = after(held, rows)
+    assert {d: b for d, (b, _) in merged.items()} == {"d1": "A", "d2": "B", "d3": "C", "d8": "X"}
+
+
+def test_latest_of_several_listings(spark):
+    """Instruments that share an identity: the latest listing counts, without one last."""
+    rows = [("1", None), ("2", dt.datetime(2024, 1, 1)), ("4", dt.datetime(2024, 2, 1)), ("3", dt.datetime(2024, 2, 1))]
+    frame = spark.createDataFrame(rows, "instrument_id string, listing timestamp")
+    for name in ("base_asset", "quote_asset", "exchange", "instrument_type"):
+        frame = frame.withColumn(name, F.lit("x"))
+    frame = frame.withColumn("expiration", F.lit(None).cast("timestamp"))
+    assert catalog.current_instrument(frame, frame).first().instrument_id == "3"
+    assert catalog.current_instrument(frame, frame, "2024-01-15").first().instrument_id == "2"
+
+
 def test_retention_boundaries(spark):
     days = [DAY + dt.timedelta(days=n) for n in range(3)]
     rows = trades(spark, *[trade(n, day=day) for n, day in enumerate(days)])

@@ -58,8 +58,9 @@ def test_continuous_rollup(spark, folder):
         frame.withColumn("v", F.col("v").cast("decimal(18,2)")).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
         hourly = rollup.hourly_stream(stream, "host", "v")
-        rollup.write_rollup(hourly, f"{folder}/out", f"{folder}/cp", once=True).awaitTermination()
-        latest = rollup.latest_rollup(spark.read.parquet(f"{folder}/out"), "host")
+        rollup.write_rollup(hourly, f"{folder}/out", f"{folder}/cp", "host", once=True).awaitTermination()
+        latest = rollup.read_rollup(spark, f"{folder}/out")
+        assert latest.count() == latest.select("bucket", "host").distinct().count()
         return {(r.bucket.day, r.bucket.hour, r.host): r.avg_value for r in latest.collect()}
 
     assert feed(event(1, 0, "a", 1.0), event(1, 30, "a", 2.0), event(2, 0, "b", 5.0)) == {
