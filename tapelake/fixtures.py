@@ -263,7 +263,7 @@ class Fixtures:
         rows = self.level_files().filter("NOT (dataset = 'LVL3' AND dayofmonth(day) % 2 = 0)")
         (
             rows.repartition("dataset", "day")
-            .sortWithinPartitions("dataset", "day", "order_key", "line")
+            .sortWithinPartitions("dataset", "day", "order_key", "line", "price", "amount", "side", "is_snapshot")
             .drop("order_key", "line")
             .write.partitionBy("dataset", "day")
             .option("header", True)

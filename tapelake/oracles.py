@@ -91,7 +91,8 @@ FROM customer)"""
 
 LEVEL_FILES = """level_files AS (
 SELECT *, epoch_us(CAST(day AS TIMESTAMP)) + (l_orderkey % 86400) * 1000000 AS timestamp,
-  row_number() OVER (PARTITION BY dataset, day ORDER BY l_orderkey, l_linenumber) - 1 AS place
+  row_number() OVER (PARTITION BY dataset, day ORDER BY l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(18,2)),
+    CAST(l_quantity AS DECIMAL(18,2)), CASE l_returnflag WHEN 'R' THEN 'bid' WHEN 'A' THEN 'ask' ELSE 'BID' END, l_linestatus = 'F') - 1 AS place
 FROM (SELECT *, 'LVL' || CAST(l_suppkey % 5 AS VARCHAR) AS dataset, 'i' || CAST(l_suppkey % 5 AS VARCHAR) AS instrument_id,
   CAST(DATE '2024-01-01' + CAST((CAST(l_shipdate AS DATE) - DATE '1992-01-01') % 28 AS INT) AS DATE) AS day FROM lineitem)
 WHERE NOT (dataset = 'LVL3' AND day(day) % 2 = 0))"""

@@ -19,7 +19,7 @@ from tapelake.functions.times import yesterday
 from tapelake.functions.venues import exchange_slug
 from tapelake.operators import dedup
 from tapelake.operators.catalog import available_on
-from tapelake.operators.layout import BUCKETS, write_layout
+from tapelake.operators.layout import BUCKETS, instrument_bucket, settle_buckets, write_layout
 from tapelake.operators.normalize import normalize_levels, normalize_trades, sequence_arrival, sequence_sorted
 from tapelake.operators.sequence import continue_sequence
 from tapelake.operators.validate import check_facts, rejected, valid
@@ -56,9 +56,10 @@ class LoadReport:
         return self.received - self.rejected - self.inserted
 
 
-def _target(spark: SparkSession, spec: Feed, path: str, days: list[dt.date]) -> DataFrame:
-    """What the table holds for some days."""
-    return read_feed_days(spark, spec, path, set(days).__contains__)
+def _target(spark: SparkSession, spec: Feed, path: str, days: list[dt.date], buckets: list[int] | None = None) -> DataFrame:
+    """What the table holds for some days, in some of its buckets."""
+    rows = read_feed_days(spark, spec, path, set(days).__contains__)
+    return rows if buckets is None else rows.filter(F.col("instr_bucket").isin(buckets))
 
 
 def _load(
@@ -71,10 +72,12 @@ def _load(
     buckets: int,
 ) -> LoadReport:
     spark = batch.sparkSession
+    settle_buckets(spark, path, buckets)
     staged = stage(batch.select(*spec.columns), f"load-{spec.tag}")
     checked = check_facts(staged, spec, catalog)
-    # One row per (day, reason): bounded by the calendar, not by the data.
-    summary = checked.groupBy("trading_day", "reason").agg(F.count(F.lit(1)).alias("n")).collect()
+    # One row per (day, bucket, reason): bounded by the calendar and the layout, not by the data.
+    bucket = instrument_bucket(F.col("instrument_id"), buckets).alias("bucket")
+    summary = checked.groupBy("trading_day", bucket, "reason").agg(F.count(F.lit(1)).alias("n")).collect()
     report = LoadReport(received=sum(r.n for r in summary))
     for row in summary:
         if row.reason is not None:
@@ -86,7 +89,7 @@ def _load(
         raise LoadRejected(f"{report.rejected} of {report.received} rows rejected: {report.reasons}")
     if not report.days:
         return report
-    target = _target(spark, spec, path, report.days)
+    target = _target(spark, spec, path, report.days, sorted({r.bucket for r in summary if r.reason is None}))
     fresh = choose(valid(checked), target)
     written = Observation(f"written-{uuid.uuid4().hex}")
     write_layout(fresh, path, buckets, observe=(written, F.count(F.lit(1)).alias("rows")))

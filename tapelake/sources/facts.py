@@ -80,8 +80,10 @@ def dataset_map(instruments: DataFrame, exchange: str | None = None, instrument_
     return rows.filter(F.col("dataset").isNotNull() & (name != "")).select(name.alias("dataset"), "instrument_id")
 
 
-def rows_from_arrays(df: DataFrame, columns: dict[str, str], sort: bool = True) -> DataFrame:
-    """Parallel array columns to rows, each array cast to the given type; shorter arrays are filled up with nulls."""
+def rows_from_arrays(df: DataFrame, columns: dict[str, str], sort: bool = False) -> DataFrame:
+    """Parallel array columns to rows, each array cast to the given type; shorter arrays are filled up with nulls.
+
+    ``sort`` orders each partition by instrument and time; a write sorts anyway."""
     zipped = F.arrays_zip(*[F.col(name).alias(name) for name in columns])
     rows = df.select(F.inline(zipped)).select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])
     return rows.sortWithinPartitions("instrument_id", "ts") if sort else rows
