@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tapelake.llm.license_scan import FILE_COSINE, LINE_COSINE, TEMPLATES
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -39,6 +41,33 @@ sums AS (SELECT a AS id, count(*) AS n FROM links GROUP BY 1)
 SELECT r.a AS vec_id, coalesce(any_value(n), 0) AS n_links, min(r.b) AS component_id, r.a = min(r.b) AS kept
 FROM reach r LEFT JOIN sums ON sums.id = r.a GROUP BY r.a"""
 
+_TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+_WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
+# Units are the lines of a document (line_no from 0) and the whole of it (line_no -1).
+OP5 = f"""WITH t(k, name, txt) AS (VALUES {_TEMPLATE_ROWS}),
+tw AS (SELECT k, name, w, count(*) AS c FROM (SELECT k, name, unnest({_WORDS.format("txt")}) AS w FROM t) GROUP BY ALL),
+dw AS (SELECT w, count(*) AS c FROM (SELECT doc_id, unnest(list_distinct({_WORDS.format("text")})) AS w FROM documents) WHERE w IN (SELECT w FROM tw) GROUP BY w),
+n AS (SELECT count(*) AS total FROM documents),
+idf AS (SELECT w, ln((1 + total) / (1 + coalesce(c, 0))) + 1 AS x FROM (SELECT DISTINCT w FROM tw) LEFT JOIN dw USING (w) CROSS JOIN n),
+tv AS (SELECT k, name, w, tw.c * x / sqrt(sum((tw.c * x) * (tw.c * x)) OVER (PARTITION BY k)) AS v FROM tw JOIN idf USING (w)),
+lines AS (SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+units AS (SELECT doc_id, line_no, {_WORDS.format("line")} AS words FROM lines UNION ALL SELECT doc_id, -1, {_WORDS.format("text")} FROM documents),
+uw AS (SELECT doc_id, line_no, w, count(*) AS tf FROM (SELECT doc_id, line_no, unnest(words) AS w FROM units) GROUP BY ALL),
+weighted AS (SELECT doc_id, line_no, w, tf * coalesce(x, ln(1 + total) + 1) AS y FROM uw LEFT JOIN idf USING (w) CROSS JOIN n),
+lengths AS (SELECT doc_id, line_no, sqrt(sum(y * y)) AS length FROM weighted GROUP BY ALL),
+dots AS (SELECT doc_id, line_no, name, k, sum(y * v) AS dot FROM weighted JOIN tv USING (w) GROUP BY ALL),
+best AS (SELECT doc_id, line_no, name, round(dot / length, 6) AS score FROM dots JOIN lengths USING (doc_id, line_no)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, line_no ORDER BY round(dot / length, 6) DESC, name) = 1),
+own AS (SELECT doc_id, name, score FROM best WHERE line_no >= 0 AND score >= {LINE_COSINE}
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line_no) = 1),
+paths AS (SELECT doc_id, concat_ws('/', coalesce(source, 'unknown'), coalesce(lang, 'unknown'), CAST(doc_id // 1000 AS VARCHAR)) AS directory FROM documents),
+told AS (SELECT directory, CASE WHEN b.score >= coalesce(own.score, 0) THEN b.name ELSE own.name END AS license, greatest(b.score, own.score) AS score
+  FROM best b JOIN paths USING (doc_id) LEFT JOIN own USING (doc_id) WHERE line_no = -1 AND b.score >= {FILE_COSINE}),
+licensed AS (SELECT directory, license FROM told QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, license) = 1)
+SELECT p.doc_id, p.directory || '/' || CAST(p.doc_id AS VARCHAR) || '.txt' AS path, own.name AS own_license, own.score AS own_score,
+  coalesce(own.name, l.license) AS license, CASE WHEN own.name IS NULL THEN l.directory END AS from_directory
+FROM paths p LEFT JOIN own ON own.doc_id = p.doc_id LEFT JOIN licensed l ON l.directory = p.directory"""
+
 _ESCAPED = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'), ']', '&rb;')"
 OP6 = f"""WITH c AS (
 SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -78,6 +107,7 @@ SELECT split.page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdi
 ORACLES: dict[str, str] = {
     "op1_warc_capture_index": OP1,
     "op2_pivot_permutation_index": OP2,
+    "op5_license_scan": OP5,
     "op6_chat_formatting": OP6,
     "op7_benchmark_decontamination": OP7,
     "op9_ngram_jaccard_join": OP9,
