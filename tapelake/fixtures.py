@@ -240,6 +240,20 @@ class Fixtures:
             F.col("l_linenumber").alias("line"),
         )
 
+    def month_levels(self) -> DataFrame:
+        """The rows of ``level_files`` as facts; the line number of an order stands for the update sequence."""
+        side = F.when(F.col("side") == "bid", 1).when(F.col("side") == "ask", -1).otherwise(0)
+        return self.level_files().select(
+            F.timestamp_micros("timestamp").alias("ts"),
+            F.concat(F.lit("i"), F.substring("dataset", 4, 1)).alias("instrument_id"),
+            side.cast("smallint").alias("side"),
+            "price",
+            F.col("amount").alias("quantity"),
+            "is_snapshot",
+            F.col("line").cast("int").alias("update_seq"),
+            F.col("day").alias("trading_day"),
+        )
+
     def level_catalog(self) -> DataFrame:
         """The instruments of ``level_files``, ids as text; LVL4 is listed after the month."""
         number = F.col("id").cast("string")

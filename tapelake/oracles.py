@@ -97,7 +97,16 @@ FROM (SELECT *, 'LVL' || CAST(l_suppkey % 5 AS VARCHAR) AS dataset, 'i' || CAST(
   CAST(DATE '2024-01-01' + CAST((CAST(l_shipdate AS DATE) - DATE '1992-01-01') % 28 AS INT) AS DATE) AS day FROM lineitem)
 WHERE NOT (dataset = 'LVL3' AND day(day) % 2 = 0))"""
 
+MONTH_LEVELS = """fx_month AS (
+SELECT make_timestamp(epoch_us(CAST(day AS TIMESTAMP)) + (l_orderkey % 86400) * 1000000) AS ts, instrument_id,
+  CAST(CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN -1 ELSE 0 END AS BIGINT) AS side,
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price, CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DOUBLE) AS quantity,
+  l_linestatus = 'F' AS is_snapshot, CAST(l_linenumber AS BIGINT) AS update_seq, CAST(day AS VARCHAR) AS trading_day
+FROM (SELECT *, 'i' || CAST(l_suppkey % 5 AS VARCHAR) AS instrument_id,
+  CAST(DATE '2024-01-01' + CAST((CAST(l_shipdate AS DATE) - DATE '1992-01-01') % 28 AS INT) AS DATE) AS day FROM lineitem))"""
+
 VIEWS = {
+    "fx_month": (MONTH_LEVELS, []),
     "level_files": (LEVEL_FILES, []),
     "fx_instruments": (INSTRUMENTS, []),
     "fx_trades": (TRADES, []),

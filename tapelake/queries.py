@@ -603,18 +603,29 @@ def load_trades(fx: Fixtures) -> DataFrame:
     return _stored(fx, TRADES, path)
 
 
-@query(f"""WITH held AS (SELECT * FROM fx_levels WHERE is_snapshot QUALIFY row_number() OVER (PARTITION BY instrument_id, ts, update_seq ORDER BY {LEVEL_REST}) = 1)
+@query(f"""WITH held AS (SELECT * FROM fx_month WHERE is_snapshot QUALIFY row_number() OVER (PARTITION BY instrument_id, ts, update_seq ORDER BY {LEVEL_REST}) = 1)
 SELECT * FROM held UNION ALL SELECT * FROM (
-  SELECT * FROM fx_levels t WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.instrument_id = t.instrument_id AND h.ts = t.ts AND h.update_seq = t.update_seq)
+  SELECT * FROM fx_month t WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.instrument_id = t.instrument_id AND h.ts = t.ts AND h.update_seq = t.update_seq)
   QUALIFY row_number() OVER (PARTITION BY instrument_id, ts, update_seq ORDER BY {LEVEL_REST}) = 1)""")
 def load_level_updates(fx: Fixtures) -> DataFrame:
-    """Stored by month, so that the small fixture does not make one file per day."""
+    """A first load of the snapshots, then of all level updates, by day and two buckets."""
     path = new_folder(fx.spark, "load-levels")
-    rows = as_stored(fx.levels())
-    monthly = rows.withColumn("trading_day", F.trunc("trading_day", "month"))
-    for batch in (monthly.filter("is_snapshot"), monthly):
-        load.append_level_updates(batch, path, on_invalid="reject", buckets=BUCKETS)
-    return _stored(fx, LEVELS, path).withColumn("trading_day", F.to_date("ts"))
+    rows = fx.month_levels()
+    for batch in (rows.filter("is_snapshot"), rows):
+        load.append_level_updates(batch, path, on_invalid="reject", buckets=2)
+    return facts.read_feed(fx.spark, LEVELS, path).drop("instr_bucket")
+
+
+@query(f"""WITH held AS (SELECT * FROM fx_month WHERE is_snapshot QUALIFY row_number() OVER (PARTITION BY instrument_id, trading_day, update_seq ORDER BY ts, {LEVEL_REST}) = 1)
+SELECT * FROM held UNION ALL SELECT * FROM (
+  SELECT * FROM fx_month t WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.instrument_id = t.instrument_id AND h.trading_day = t.trading_day AND h.update_seq = t.update_seq)
+  QUALIFY row_number() OVER (PARTITION BY instrument_id, trading_day, update_seq ORDER BY ts, {LEVEL_REST}) = 1)""")
+def merge_levels_by_day(fx: Fixtures) -> DataFrame:
+    path = new_folder(fx.spark, "merge-levels")
+    rows = fx.month_levels()
+    for batch in (rows.filter("is_snapshot"), rows):
+        load.merge_level_updates_by_day(batch, path, on_invalid="reject", buckets=2)
+    return facts.read_feed(fx.spark, LEVELS, path).drop("instr_bucket")
 
 
 @query("""SELECT CAST(load AS BIGINT) AS load, n AS received, CASE load WHEN 1 THEN good ELSE 0 END AS inserted,
@@ -794,15 +805,14 @@ def requested_levels(fx: Fixtures) -> DataFrame:
     return levels.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
 
 
-@query(f"""SELECT * FROM fx_levels QUALIFY row_number() OVER (
+@query(f"""SELECT * FROM fx_month QUALIFY row_number() OVER (
   PARTITION BY instrument_id, trading_day, update_seq ORDER BY ts, {LEVEL_REST}) = 1""")
 def load_strict(fx: Fixtures) -> DataFrame:
-    """A strict load of rows without repeated keys; stored by month, so that the fixture does not make one file per day."""
+    """A strict load of rows without repeated keys, by day and two buckets."""
     path = new_folder(fx.spark, "strict")
-    rows = dedup.first_per_key(as_stored(fx.levels()), LEVELS.day_key, ["ts", *LEVELS.rest])
-    monthly = rows.withColumn("trading_day", F.trunc("trading_day", "month"))
-    load.append_strict(monthly, LEVELS, path, buckets=BUCKETS)
-    return _stored(fx, LEVELS, path).withColumn("trading_day", F.to_date("ts"))
+    rows = dedup.first_per_key(fx.month_levels(), LEVELS.day_key, ["ts", *LEVELS.rest])
+    load.append_strict(rows, LEVELS, path, buckets=2)
+    return facts.read_feed(fx.spark, LEVELS, path).drop("instr_bucket")
 
 
 @query("""SELECT DISTINCT instrument_id, ts, update_seq FROM fx_levels""")
