@@ -130,17 +130,26 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> It
         yield [np.concatenate(parts) for parts in held]
 
 
+# Nodes that a task contracts at a time.
+FOREST_NODES = 1 << 18
+
+
 def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the edges of a task by (node, smallest node of its local tree)."""
+    """Replace the edges of a task, some at a time, by (node, smallest node of its local tree)."""
     forest = Forest()
+
+    def stars() -> pa.RecordBatch:
+        found = [(node, forest.root(node)) for node in list(forest.parent)]
+        found = [(a, b) for a, b in found if a != b]
+        return pa.record_batch({"u": pa.array([a for a, _ in found], pa.int64()), "v": pa.array([b for _, b in found], pa.int64())})
+
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             forest.join(a, b)
-    stars = [(node, forest.root(node)) for node in forest.parent]
-    stars = [(a, b) for a, b in stars if a != b]
-    for start in range(0, len(stars), 100_000):
-        part = stars[start : start + 100_000]
-        yield pa.record_batch({"u": pa.array([a for a, _ in part], pa.int64()), "v": pa.array([b for _, b in part], pa.int64())})
+        if len(forest.parent) > FOREST_NODES:
+            yield stars()
+            forest = Forest()
+    yield stars()
 
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
