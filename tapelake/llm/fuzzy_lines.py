@@ -1,8 +1,9 @@
 """Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, one occurrence per connected group.
 
 1. Every line of every text is normalised (lower case, digits as 0, ASCII punctuation as spaces, single spaces), hashed, and given a
-   64-bit SimHash of its words. Lines whose normalised form has fewer than ``LEAST`` characters are never compared and always stay.
-   Equal normalised lines become one row, before anything else is joined.
+   64-bit SimHash of its distinct words (counted words would make all long lines alike by their common words). Lines whose
+   normalised form has fewer than ``LEAST`` characters are never compared and always stay. Equal normalised lines become one row,
+   before anything else is joined.
 2. Two SimHashes that differ in at most ``DISTANCE`` bits agree in ``take`` of ``DISTANCE + take`` blocks, whichever bits differ. A
    line is sent to one bucket per choice of ``take`` blocks. ``take`` grows with the number of lines so that buckets stay small;
    the pairs found are the same for every ``take``. Buckets of more than ``SPLIT`` lines are cut into blocks that meet in pairs.
@@ -38,10 +39,10 @@ from tapelake.plans.staging import stage
 LEAST = 20
 DISTANCE = 4
 SIMILARITY = 0.8
-FEW = 16
+FEW = 4
 SPLIT = 20_000
-# Lines per bucket that the choice of ``take`` aims at.
-AIM = 64
+# Lines per bucket that the choice of ``take`` aims at; comparing so many costs about what twice the keys would.
+AIM = 2048
 
 _UPPER_TO_LOWER = bytes(range(256)).lower()
 _TABLE = bytes(
@@ -54,17 +55,27 @@ def normalised(line: str) -> list[bytes]:
     return line.lower().encode("utf-8", "replace").translate(_TABLE).split()
 
 
+# Each byte as its eight bits in eight bytes, so that bits are counted eight at a time, up to 255 of each.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+_COUNTED = 255
+
+
 def simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """A 64-bit SimHash of each line's words."""
-    counts = np.array([len(words) for words in lines])
+    """A 64-bit SimHash of each line's distinct words."""
+    sets = [set(words) for words in lines]
+    counts = np.array([len(words) for words in sets])
     out = np.zeros(len(lines), np.uint64)
     if not counts.sum():
         return out
-    bits = np.unpackbits(word_hashes([word for words in lines for word in words]).view(np.uint8).reshape(-1, 8), axis=1)
+    spread = _SPREAD[word_hashes([word for words in sets for word in words]).view(np.uint8)].reshape(-1, 8)
     some = counts > 0
-    starts = (np.cumsum(counts) - counts)[some]
-    ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-    out[some] = np.packbits(2 * ones > counts[some][:, None], axis=1).view(np.uint64).ravel()
+    sizes = counts[some]
+    parts = -(-sizes // _COUNTED)  # of each line
+    first = np.cumsum(parts) - parts
+    starts = np.repeat(np.cumsum(sizes) - sizes - first * _COUNTED, parts) + np.arange(parts.sum()) * _COUNTED
+    bits = np.add.reduceat(spread, starts, axis=0).view(np.uint8).reshape(-1, 64)
+    ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+    out[some] = np.packbits(2 * ones > sizes[:, None], axis=1).view(np.uint64).ravel()
     return out
 
 
@@ -154,17 +165,34 @@ def bucket_keys(sim, distance: int, take: int):
     return F.array(*keys)
 
 
+# Near pairs that a task keeps at a time; of more it keeps none and finds them again.
+PAIRS = 1 << 21
+# Runs from this length on are compared row by row against the run, shorter ones all at once, step by step.
+LONG_RUN = 32
+
+
 def _neighbours(sim: np.ndarray, ends: np.ndarray, side: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows (i, j), i < j, of one run that are near; rows of two blocks only meet across the blocks."""
-    rows, step = np.arange(len(sim)), 1
+    starts = np.flatnonzero(np.append(True, ends[1:] != ends[:-1])) if len(ends) else ends
+    lengths = ends[starts] - starts
+    for start, length in zip(starts[lengths >= LONG_RUN], lengths[lengths >= LONG_RUN], strict=True):
+        run = sim[start : start + length]
+        for first in range(0, length, 512):
+            i, j = np.nonzero(np.bitwise_count(run[first : first + 512, None] ^ run[None, first:]) <= distance)
+            i, j = i[i < j] + first + start, j[i < j] + first + start
+            yield _across(i, j, side)
+    rows, step = np.flatnonzero(np.repeat(lengths < LONG_RUN, lengths)), 1
     while len(rows := rows[rows + step < ends[rows]]):
         found = rows[np.bitwise_count(sim[rows] ^ sim[rows + step]) <= distance]
-        found = found[(side[found] < 0) | (side[found] != side[found + step])]
-        if len(found):
-            yield found, found + step
+        yield _across(found, found + step, side)
         step += 1
 
 
+def _across(i: np.ndarray, j: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    kept = (side[i] < 0) | (side[i] != side[j])
+    return i[kept], j[kept]
+
+
 def _run_ends(bucket: np.ndarray) -> np.ndarray:
     return np.searchsorted(bucket, bucket, side="right")
 
@@ -179,14 +207,18 @@ def _near_pairs(distance: int, crowd: int):
         for bucket, line, sim, side in sorted_runs(batches, ("bucket", "line", "sim", "side")):
             ends, sims = _run_ends(bucket), sim.view(np.uint64)
             degree, smallest = np.zeros(len(line), np.int64), line.copy()
+            held, count = [], 0  # the pairs found, if they aren't too many to keep
             for i, j in _neighbours(sims, ends, side, distance):
+                count += len(i)
+                if len(i) and count <= PAIRS:
+                    held.append((i, j))
                 np.add.at(degree, i, 1)
                 np.add.at(degree, j, 1)
                 np.minimum.at(smallest, i, line[j])
                 np.minimum.at(smallest, j, line[i])
             crowded = degree > crowd
             out = [(line[crowded], smallest[crowded], np.zeros(crowded.sum(), bool)), (line[crowded], line[crowded], np.ones(crowded.sum(), bool))]
-            for i, j in _neighbours(sims, ends, side, distance):
+            for i, j in held if count <= PAIRS else _neighbours(sims, ends, side, distance):
                 kept = ~(crowded[i] & crowded[j])
                 out.append((line[i[kept]], line[j[kept]], np.zeros(kept.sum(), bool)))
             yield from _pair_batches(out)
@@ -223,25 +255,32 @@ def dealt(sims: DataFrame, distance: int, take: int, split: int) -> DataFrame:
     return rows.repartition(shuffle_partitions(sims.sparkSession), "bucket").sortWithinPartitions("bucket", "line")
 
 
-def similar(documents: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of lines whose normalised forms reach the edit similarity."""
-    asked = stage(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct(), "asked")
-    texts = _texts(documents).select("text").mapInArrow(_line_texts, "line long, norm string")
-    texts = stage(texts.join(few(asked), "line", "left_semi").groupBy("line").agg(F.first("norm").alias("norm")), "norms")
-    joined = pairs.join(texts.select(F.col("line").alias("a"), F.col("norm").alias("x")), "a").join(texts.select(F.col("line").alias("b"), F.col("norm").alias("y")), "b")
+def similar(documents: DataFrame, distinct: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of lines whose normalised forms reach the edit similarity; only documents that hold a first occurrence of
+    one of them are read."""
+    asked = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
+    asked = stage(asked.join(distinct.select("line", "place"), "line").select("line", F.col("place.doc_id").alias("held")), "asked")
+    holders = stage(asked.select("held").distinct(), "holders")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(few(holders), F.col("doc_id").eqNullSafe(F.col("held")), "left_semi").select("text")
+    norms = texts.mapInArrow(_line_texts, "line long, norm string").join(few(asked.select("line")), "line", "left_semi")
+    norms = stage(norms.groupBy("line").agg(F.first("norm").alias("norm")), "norms")
+    joined = pairs.join(norms.select(F.col("line").alias("a"), F.col("norm").alias("x")), "a").join(norms.select(F.col("line").alias("b"), F.col("norm").alias("y")), "b")
     joined = joined.withColumn("room", F.expr(f"cast(floor(round((1 - {similarity}) * greatest(length(x), length(y)), 6)) as int)"))
     near = F.abs(F.length("x") - F.length("y")) <= F.col("room")
-    return joined.where(near & (F.expr("levenshtein(x, y, room)") >= 0)).select("a", "b")
+    # The cost grows with the distance allowed, and most similar lines differ little: small distances are tried first.
+    close = [F.expr(f"levenshtein(x, y, least(room, {limit}))") >= 0 for limit in (8, 32, 128)]
+    return joined.where(near & (close[0] | close[1] | close[2] | (F.expr("levenshtein(x, y, room)") >= 0))).select("a", "b")
 
 
-def line_groups(documents: DataFrame, found: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, crowd: int = FEW, split: int = SPLIT, take: int | None = None) -> DataFrame:
-    """(node, component) for the lines that have similar lines, from staged rows of ``lines``."""
-    sims = stage(found.where("line IS NOT NULL").select("line", "sim").dropDuplicates(["line"]), "sims")
+def line_groups(documents: DataFrame, distinct: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, crowd: int = FEW, split: int = SPLIT, take: int | None = None) -> DataFrame:
+    """(node, component) for the lines that have similar lines, from staged (line, sim, place) of the distinct lines."""
+    sims = distinct.select("line", "sim")
     take = take or choose_take(sims.count(), distance)
     pairs = dealt(sims, distance, take, split).mapInArrow(_near_pairs(distance, crowd), PAIR)
     pairs = stage(pairs.distinct(), "pairs")
-    links = stage(similar(documents, pairs.where("NOT crowded").select("a", "b"), similarity), "links")
-    groups = components(links, "a", "b")
+    links = stage(similar(documents, distinct, pairs.where("NOT crowded").select("a", "b"), similarity), "links")
+    groups = stage(components(links, "a", "b"), "groups")
     crowded = sims.join(pairs.where("crowded").select(F.col("a").alias("line")).distinct(), "line")
     crowded = stage(crowded.join(groups.withColumnRenamed("node", "line"), "line", "left").select("line", "sim", F.coalesce("component", "line").alias("group")), "crowded")
     if not crowded.limit(1).count():
@@ -250,7 +289,7 @@ def line_groups(documents: DataFrame, found: DataFrame, distance: int = DISTANCE
     more = stage(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "more")
     if not more.limit(1).count():
         return groups
-    return components(links.unionByName(similar(documents, more, similarity)), "a", "b")
+    return components(links.unionByName(similar(documents, distinct, more, similarity)), "a", "b")
 
 
 def group_lines(documents: DataFrame, least: int = LEAST, **options) -> DataFrame:
@@ -259,10 +298,11 @@ def group_lines(documents: DataFrame, least: int = LEAST, **options) -> DataFram
     ``first_*`` tell the occurrence that stays of the line's group; a short line is its own.
     """
     found = stage(lines(documents, least), "lines")
-    groups = line_groups(documents, found, **options)
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie", "line_no")
-    distinct = found.where("line IS NOT NULL").groupBy("line").agg(F.min(place).alias("place"))
-    distinct = stage(distinct.join(groups.withColumnRenamed("node", "line"), "line", "left").withColumn("group", F.coalesce("component", "line")), "distinct")
+    distinct = found.where("line IS NOT NULL").groupBy("line").agg(F.min(place).alias("place"), F.min("sim").alias("sim"))
+    distinct = stage(distinct, "distinct")
+    groups = line_groups(documents, distinct, **options)
+    distinct = stage(distinct.join(groups.withColumnRenamed("node", "line"), "line", "left").withColumn("group", F.coalesce("component", "line")), "labels")
     firsts = distinct.groupBy("group").agg(F.min("place").alias("first"))
     labels = distinct.join(firsts, "group").select("line", "first")
     out = found.join(labels, "line", "left").withColumn("first", F.coalesce("first", place))

@@ -13,18 +13,6 @@ import xxhash
 
 WIDTH = 5
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_CACHE_WORDS = 1 << 18
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = _WordHashes()
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -42,7 +30,7 @@ def split_words(text: bytes | None) -> list[bytes]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def roll(hashes: np.ndarray, width: int) -> np.ndarray:
