@@ -46,13 +46,17 @@ AIM = 2048
 
 _UPPER_TO_LOWER = bytes(range(256)).lower()
 _TABLE = bytes(
-    ord("0") if chr(b).isdigit() and b < 128 else _UPPER_TO_LOWER[b] if b >= 128 or chr(b).isalnum() else ord(" ") for b in range(256)
+    b if b == ord("\n") else ord("0") if chr(b).isdigit() and b < 128 else _UPPER_TO_LOWER[b] if b >= 128 or chr(b).isalnum() else ord(" ") for b in range(256)
 )
 
 
-def normalised(line: str) -> list[bytes]:
-    """The words of a line's normalised form."""
-    return line.lower().encode("utf-8", "replace").translate(_TABLE).split()
+def normalised_lines(text: bytes | None) -> list[list[bytes]]:
+    """The words of the normalised form of each line."""
+    if not text:
+        return []
+    if not text.isascii():
+        text = text.decode("utf-8", "replace").lower().encode("utf-8", "replace")
+    return [line.split() for line in text.translate(_TABLE).split(b"\n")]
 
 
 # Each byte as its eight bits in eight bytes, so that bits are counted eight at a time, up to 255 of each.
@@ -79,10 +83,6 @@ def simhashes(lines: list[list[bytes]]) -> np.ndarray:
     return out
 
 
-def _split(text: bytes | None) -> list[str]:
-    return text.decode("utf-8", "replace").split("\n") if text else []
-
-
 LINE = "doc_id long, tie long, line_no int, line long, sim long"
 
 
@@ -91,12 +91,11 @@ def _line_rows(least: int):
         for batch in small_batches(batches, "text"):
             docs, numbers, keys, lines = [], [], [], []
             for at, text in enumerate(as_bytes(batch.column("text"))):
-                for number, line in enumerate(_split(text)):
-                    words = normalised(line)
+                for number, words in enumerate(normalised_lines(text)):
                     if not words:
                         continue
                     whole = b" ".join(words)
-                    long = len(whole) >= least and len(whole.decode("utf-8", "replace")) >= least
+                    long = len(whole) >= 4 * least or len(whole.decode("utf-8", "replace")) >= least
                     docs.append(at)
                     numbers.append(number)
                     keys.append(xxhash.xxh3_64_intdigest(whole) if long else None)
@@ -132,8 +131,8 @@ def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         keys, wholes, seen = [], [], set()
         for text in as_bytes(batch.column("text")):
-            for line in _split(text):
-                whole = b" ".join(normalised(line))
+            for words in normalised_lines(text):
+                whole = b" ".join(words)
                 key = xxhash.xxh3_64_intdigest(whole)
                 if whole and key not in seen:
                     seen.add(key)

@@ -21,7 +21,7 @@ def brute(docs, least=20, bits=4, similarity=0.8):
     found = []
     for doc, text in docs:
         for number, line in enumerate((text or "").split("\n")):
-            words = lines.normalised(line)
+            (words,) = lines.normalised_lines(line.encode()) or [[]]
             if words:
                 found.append((doc, number, b" ".join(words).decode()))
     long = sorted({norm for _, _, norm in found if len(norm) >= least})
@@ -98,6 +98,7 @@ def test_texts_left(spark):
 
 
 def test_pieces():
-    assert lines.normalised("The  Quick-Brown 42\tÄ_b") == [b"the", b"quick", b"brown", b"00", "ä".encode(), b"b"]
+    assert lines.normalised_lines("The  Quick-Brown 42\tÄ_b\n\nA".encode()) == [[b"the", b"quick", b"brown", b"00", "ä".encode(), b"b"], [], [b"a"]]
+    assert lines.normalised_lines(None) == []
     assert lines.choose_take(100) == 1 and lines.choose_take(10**9) > 1
     assert lines.simhashes([[]]).tolist() == [0]
