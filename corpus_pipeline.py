@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tapelake.llm import contamination, fuzzy_lines, jaccard_join, mixing, toxicity
-from tapelake.llm.common import table
+from tapelake.llm.common import bounded_batches, table
 from tapelake.plans.staging import stage
 
 
@@ -51,6 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written to the shared folder and read again."""
+    bounded_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)

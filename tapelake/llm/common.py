@@ -16,8 +16,18 @@ from tapelake.plans.staging import stage
 BATCH_CHARS = 1 << 20
 
 
+# What Spark hands to a Python worker at a time; a task holds such a batch in the JVM and in Python.
+ARROW_BYTES = "8m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the batches that tasks exchange with Python (Spark's default is 64 MB)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """Columns of one of the given tables."""
+    """Columns of one of the given tables, for jobs with bounded batches."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 

@@ -37,7 +37,7 @@ from tapelake.plans.staging import stage
 
 PERCENT = 75
 # Hashes counted by a task of step 2, and list entries held by a task of step 4.
-COUNTED = 8_000_000
+COUNTED = 2_000_000
 BLOCK = 1_000_000
 
 

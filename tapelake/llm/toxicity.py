@@ -39,7 +39,8 @@ FOLDS = (0, 1, 3)
 HELD_OUT = 2
 NEAR = 3
 STEM = 4
-VOCABULARY = 200_000  # words whose properties a worker remembers
+VOCABULARY = 60_000  # words whose properties a worker remembers
+COUNTED = 100_000  # words and stems it counts at a time
 
 # Words in the second person (English, German, French, Spanish).
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch euer sie ihnen tu te toi ton ta tes vous votre vos tú ti tuyo usted ustedes vosotros".split())
@@ -102,14 +103,14 @@ N_FEATURES = 14
 class Featurizer:
     """Feature rows of texts under one pair of lexicons; remembers the properties of words."""
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float]) -> None:
-        self.words, self.stems = words, stems
+    def __init__(self, words: dict[str, float], stems: dict[str, float], remembered: int = VOCABULARY) -> None:
+        self.words, self.stems, self.remembered = words, stems, remembered
         self.numbers: dict[bytes, int] = {}
         self.table = np.empty((1024, N_PROPERTIES))
 
     def learn(self, words: set[bytes]) -> None:
         """Find the properties of words that aren't known."""
-        if len(self.numbers) > VOCABULARY:
+        if len(self.numbers) > self.remembered:
             self.numbers.clear()
         numbers, first = self.numbers, len(self.numbers)
         found = []
@@ -275,7 +276,7 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 count = counts.setdefault((*entry, fold), [0, 0])
                 count[0] += label
                 count[1] += 1
-        if len(counts) > VOCABULARY:
+        if len(counts) > COUNTED:
             yield rows()
             counts.clear()
     if counts:
@@ -308,7 +309,7 @@ def _features(models: dict[int, tuple[dict, dict]]):
     """Rows (doc_id, fold, label, text) -> (fold, label, own features under the fold's lexicons)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = {fold: Featurizer(*model) for fold, model in models.items()}
+        made = {fold: Featurizer(*model, VOCABULARY // len(models)) for fold, model in models.items()}
         for batch in small_batches(batches, "text"):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             out = [made[fold].rows([text])[0].tolist() for fold, text in zip(batch.column("fold").to_pylist(), texts, strict=True)]
