@@ -254,6 +254,56 @@ def dealt(sims: DataFrame, distance: int, take: int, split: int) -> DataFrame:
     return rows.repartition(shuffle_partitions(sims.sparkSession), "bucket").sortWithinPartitions("bucket", "line")
 
 
+def _same_start(x: str, y: str) -> int:
+    """Characters that two texts have in common from the start."""
+    low, high = 0, min(len(x), len(y))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if x[low:middle] == y[low:middle] else (low, middle - 1)
+    return low
+
+
+def edit_distance(x: str, y: str) -> int:
+    """Levenshtein distance, a column of the table at a time as the bits of whole numbers."""
+    if not x or not y:
+        return len(x) + len(y)
+    places: dict[str, int] = {}
+    for at, char in enumerate(x):
+        places[char] = places.get(char, 0) | 1 << at
+    every, last = (1 << len(x)) - 1, 1 << (len(x) - 1)
+    up, down, score = every, 0, len(x)
+    for char in y:
+        equal = places.get(char, 0)
+        across = (((equal & up) + up) ^ up) | equal | down
+        more, less = down | ~(across | up) & every, up & across
+        score += bool(more & last) - bool(less & last)
+        more, less = (more << 1 | 1) & every, less << 1 & every
+        equal |= down
+        up, down = less | ~(equal | more) & every, more & equal
+    return score
+
+
+def alike(x: str, y: str, similarity: float) -> bool:
+    """Is the edit similarity reached? What both have at their ends costs nothing, and a short rest needs no table."""
+    room = math.floor(round((1 - similarity) * max(len(x), len(y)), 6))
+    if abs(len(x) - len(y)) > room:
+        return False
+    start = _same_start(x, y)
+    x, y = x[start:], y[start:]
+    end = _same_start(x[::-1], y[::-1])
+    x, y = x[: len(x) - end], y[: len(y) - end]
+    return max(len(x), len(y)) <= room or edit_distance(x, y) <= room
+
+
+def _alike_rows(similarity: float):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [alike(x, y, similarity) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return rows
+
+
 def similar(documents: DataFrame, distinct: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of lines whose normalised forms reach the edit similarity; only documents that hold a first occurrence of
     one of them are read."""
@@ -265,11 +315,7 @@ def similar(documents: DataFrame, distinct: DataFrame, pairs: DataFrame, similar
     norms = texts.mapInArrow(_line_texts, "line long, norm string").join(few(asked.select("line")), "line", "left_semi")
     norms = stage(norms.groupBy("line").agg(F.first("norm").alias("norm")), "norms")
     joined = pairs.join(norms.select(F.col("line").alias("a"), F.col("norm").alias("x")), "a").join(norms.select(F.col("line").alias("b"), F.col("norm").alias("y")), "b")
-    joined = joined.withColumn("room", F.expr(f"cast(floor(round((1 - {similarity}) * greatest(length(x), length(y)), 6)) as int)"))
-    near = F.abs(F.length("x") - F.length("y")) <= F.col("room")
-    # The cost grows with the distance allowed, and most similar lines differ little: small distances are tried first.
-    close = [F.expr(f"levenshtein(x, y, least(room, {limit}))") >= 0 for limit in (8, 32, 128)]
-    return joined.where(near & (close[0] | close[1] | close[2] | (F.expr("levenshtein(x, y, room)") >= 0))).select("a", "b")
+    return joined.select("a", "b", "x", "y").mapInArrow(_alike_rows(similarity), "a long, b long")
 
 
 def line_groups(documents: DataFrame, distinct: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, crowd: int = FEW, split: int = SPLIT, take: int | None = None) -> DataFrame:

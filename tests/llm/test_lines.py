@@ -97,6 +97,15 @@ def test_texts_left(spark):
     assert lines.dedup_lines(twice.unionByName(twice)).count() == 2  # one document, given twice
 
 
+def test_edit_distance():
+    draw = random.Random(9)
+    for _ in range(300):
+        x = "".join(draw.choice("abcé") for _ in range(draw.randrange(70)))
+        y = "".join(c for c in x if draw.random() < 0.8) + draw.choice(["", "b", "aé"])
+        assert lines.edit_distance(x, y) == distance(x, y)
+        assert lines.alike(x, y, 0.8) == (distance(x, y) <= 0.2 * max(len(x), len(y)) + 1e-6)
+
+
 def test_pieces():
     assert lines.normalised_lines("The  Quick-Brown 42\tÄ_b\n\nA".encode()) == [[b"the", b"quick", b"brown", b"00", "ä".encode(), b"b"], [], [b"a"]]
     assert lines.normalised_lines(None) == []
