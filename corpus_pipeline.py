@@ -19,7 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that repeat lines of other documents or their own."""
-    return fuzzy_lines.dedup_lines(docs)
+    return fuzzy_lines.dedup_lines(docs, **fuzzy_lines.WHOLE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@
 2. Two SimHashes that differ in at most ``DISTANCE`` bits agree in ``take`` of ``DISTANCE + take`` blocks, whichever bits differ. A
    line is sent to one bucket per choice of ``take`` blocks. ``take`` grows with the number of lines so that buckets stay small;
    the pairs found are the same for every ``take``. Buckets of more than ``SPLIT`` lines are cut into blocks that meet in pairs.
+   Within a bucket the bits that vary are cut into ``DISTANCE + 1`` parts, and only lines that agree in one of them are compared.
 3. A line with at most ``FEW`` neighbours in a bucket is paired with all of them; lines with more are paired with the smallest
    one. Pairs whose normalised lines reach ``SIMILARITY`` (1 - edit distance / longer length) are links.
 4. Of the lines with more neighbours, pairs that the links so far leave in different groups are verified too, so every pair of
@@ -15,6 +16,9 @@
 
 A 64-bit hash stands for a normalised line.
 
+The query and the pipeline pass ``WHOLE``. Of pairs that reach ``SIMILARITY``, 37 % are within ``DISTANCE`` bits and 91 % within those
+of ``WHOLE`` (349 pairs of sf0.01 that share a rare pair of words).
+
 Defined results: null and empty texts have no lines; blank lines always stay; rows that repeat a doc_id and a text are one document,
 each gets the same lines; a document that loses all its lines is dropped by ``dedup_lines``, documents without text stay. Further
 columns are passed through; only ``n_chars``, if there is one, follows the text.
@@ -40,9 +44,11 @@ LEAST = 20
 DISTANCE = 4
 SIMILARITY = 0.8
 FEW = 4
-SPLIT = 20_000
-# Lines per bucket that the choice of ``take`` aims at; comparing so many costs about what twice the keys would.
-AIM = 2048
+SPLIT = 1 << 17
+# Lines per bucket that the choice of ``take`` aims at.
+AIM = 1 << 16
+# What the query and the pipeline ask for.
+WHOLE = {"distance": 10}
 
 _UPPER_TO_LOWER = bytes(range(256)).lower()
 _TABLE = bytes(
@@ -168,6 +174,42 @@ def bucket_keys(sim, distance: int, take: int):
 PAIRS = 1 << 21
 # Runs from this length on are compared row by row against the run, shorter ones all at once, step by step.
 LONG_RUN = 32
+# Runs from this length on are cut by parts of their bits first.
+WIDE_RUN = 4096
+
+
+def _all_near(run: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for first in range(0, len(run), 512):
+        i, j = np.nonzero(np.bitwise_count(run[first : first + 512, None] ^ run[None, first:]) <= distance)
+        kept = i < j
+        if kept.any():
+            yield i[kept] + first, j[kept] + first
+
+
+def _near_in_run(run: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j), i < j, that are near. They agree in one of ``distance + 1`` parts of the bits, so a long run is sorted by each
+    part, and a pair is told by the first part that it agrees in."""
+    bits = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(run ^ run[0], keepdims=True).view(np.uint8), bitorder="little")).astype(np.uint64)
+    if len(run) < WIDE_RUN or len(bits) <= distance:
+        yield from _all_near(run, distance)
+        return
+    masks = [np.bitwise_or.reduce(np.uint64(1) << part) for part in np.array_split(bits, distance + 1)]
+    cuts = []
+    for mask in masks:
+        order = np.argsort(run & mask, kind="stable")
+        keys = (run & mask)[order]
+        cuts.append(np.split(order, np.flatnonzero(keys[1:] != keys[:-1]) + 1))
+    if sum(len(rows) ** 2 for cut in cuts for rows in cut) >= len(run) ** 2:
+        yield from _all_near(run, distance)
+        return
+    for number, cut in enumerate(cuts):
+        for rows in cut:
+            for i, j in _all_near(run[rows], distance):
+                i, j = rows[i], rows[j]
+                new = np.ones(len(i), bool)
+                for mask in masks[:number]:
+                    new &= (run[i] ^ run[j]) & mask != 0
+                yield i[new], j[new]
 
 
 def _neighbours(sim: np.ndarray, ends: np.ndarray, side: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -175,11 +217,8 @@ def _neighbours(sim: np.ndarray, ends: np.ndarray, side: np.ndarray, distance: i
     starts = np.flatnonzero(np.append(True, ends[1:] != ends[:-1])) if len(ends) else ends
     lengths = ends[starts] - starts
     for start, length in zip(starts[lengths >= LONG_RUN], lengths[lengths >= LONG_RUN], strict=True):
-        run = sim[start : start + length]
-        for first in range(0, length, 512):
-            i, j = np.nonzero(np.bitwise_count(run[first : first + 512, None] ^ run[None, first:]) <= distance)
-            i, j = i[i < j] + first + start, j[i < j] + first + start
-            yield _across(i, j, side)
+        for i, j in _near_in_run(sim[start : start + length], distance):
+            yield _across(i + start, j + start, side)
     rows, step = np.flatnonzero(np.repeat(lengths < LONG_RUN, lengths)), 1
     while len(rows := rows[rows + step < ends[rows]]):
         found = rows[np.bitwise_count(sim[rows] ^ sim[rows + step]) <= distance]

@@ -32,7 +32,7 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """A row per line, with the occurrence of its group that stays."""
-    return fuzzy_lines.group_lines(table(spark, folder, "documents", "doc_id", "text"))
+    return fuzzy_lines.group_lines(table(spark, folder, "documents", "doc_id", "text"), **fuzzy_lines.WHOLE)
 
 
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from helpers import WORDS, Groups
 
 from tapelake.llm import fuzzy_lines as lines
+from tapelake.llm import queries
 
 
 def distance(a, b):
@@ -97,6 +98,37 @@ def test_texts_left(spark):
     assert lines.dedup_lines(twice.unionByName(twice)).count() == 2  # one document, given twice
 
 
+def test_recall_of_edit_similarity(spark, monkeypatch):
+    """Of the line pairs that reach the similarity, whatever their SimHashes, nine in ten get into one group."""
+    draw = random.Random(11)
+    lines_of, pairs = [], []
+    for _ in range(300):
+        words = [draw.choice(WORDS) + draw.choice(["", "en", "ing"]) for _ in range(draw.randrange(15, 60))]
+        other = list(words)
+        for _ in range(max(1, len(words) * draw.randrange(5, 16) // 100)):
+            other[draw.randrange(len(other))] = draw.choice(WORDS)
+        one, two = " ".join(words), " ".join(other)
+        if one != two and distance(one, two) <= 0.2 * max(len(one), len(two)):
+            pairs.append((len(lines_of), len(lines_of) + 1))
+            lines_of += [one, two]
+    assert len(pairs) > 200
+    docs = spark.createDataFrame(list(enumerate(lines_of)), "doc_id long, text string")
+    # As the registered query asks.
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    first = {r.doc_id: r.first_doc_id for r in queries.op4_fuzzy_line_dedup(spark, "").collect()}
+    assert sum(first[a] == first[b] for a, b in pairs) >= 0.9 * len(pairs)
+
+
+def test_wide_runs(monkeypatch):
+    draw = np.random.default_rng(3)
+    run = draw.integers(0, 2**63, 400, dtype=np.uint64) & np.uint64(0x00FFFFFFFFFFFF00)
+    run[200:] = run[:200] ^ (np.uint64(1) << draw.integers(8, 56, 200, dtype=np.uint64)) ^ (np.uint64(1) << draw.integers(8, 56, 200, dtype=np.uint64))
+    want = {(i, j) for i in range(400) for j in range(i + 1, 400) if np.bitwise_count(run[i] ^ run[j]) <= 10}
+    monkeypatch.setattr(lines, "WIDE_RUN", 50)
+    got = [(int(a), int(b)) for i, j in lines._near_in_run(run, 10) for a, b in zip(i, j, strict=True)]
+    assert len(want) >= 200 and len(got) == len(set(got)) and set(got) == want
+
+
 def test_edit_distance():
     draw = random.Random(9)
     for _ in range(300):
