@@ -2,8 +2,8 @@
 
 1. Every line of every text is normalised (lower case, digits as 0, ASCII punctuation as spaces, single spaces), hashed, and given a
    64-bit SimHash of its distinct words (counted words would make all long lines alike by their common words). Lines whose
-   normalised form has fewer than ``LEAST`` characters are never compared and always stay. Equal normalised lines become one row,
-   before anything else is joined.
+   normalised form has fewer than ``LEAST`` characters have no SimHash and are never compared with different ones; with ``short``
+   equal ones are one group, without it they all stay. Equal normalised lines become one row, before anything else is joined.
 2. Two SimHashes that differ in at most ``DISTANCE`` bits agree in ``take`` of ``DISTANCE + take`` blocks, whichever bits differ. A
    line is sent to one bucket per choice of ``take`` blocks. ``take`` grows with the number of lines so that buckets stay small;
    the pairs found are the same for every ``take``. Buckets of more than ``SPLIT`` lines are cut into blocks that meet in pairs.
@@ -48,7 +48,7 @@ SPLIT = 1 << 17
 # Lines per bucket that the choice of ``take`` aims at.
 AIM = 1 << 16
 # What the query and the pipeline ask for.
-WHOLE = {"distance": 10}
+WHOLE = {"distance": 10, "short": True}
 
 _UPPER_TO_LOWER = bytes(range(256)).lower()
 _TABLE = bytes(
@@ -92,10 +92,10 @@ def simhashes(lines: list[list[bytes]]) -> np.ndarray:
 LINE = "doc_id long, tie long, line_no int, line long, sim long"
 
 
-def _line_rows(least: int):
+def _line_rows(least: int, short: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
-            docs, numbers, keys, lines = [], [], [], []
+            docs, numbers, keys, lines, compared = [], [], [], [], []
             for at, text in enumerate(as_bytes(batch.column("text"))):
                 for number, words in enumerate(normalised_lines(text)):
                     if not words:
@@ -104,8 +104,9 @@ def _line_rows(least: int):
                     long = len(whole) >= 4 * least or len(whole.decode("utf-8", "replace")) >= least
                     docs.append(at)
                     numbers.append(number)
-                    keys.append(xxhash.xxh3_64_intdigest(whole) if long else None)
+                    keys.append(xxhash.xxh3_64_intdigest(whole) if long or short else None)
                     lines.append(words if long else [])
+                    compared.append(long)
             sims = simhashes(lines).view(np.int64) if lines else np.zeros(0, np.int64)
             known = np.array([k is not None for k in keys], bool)
             key = np.array([k or 0 for k in keys], np.uint64).view(np.int64)
@@ -116,7 +117,7 @@ def _line_rows(least: int):
                     "tie": batch.column("tie").take(at),
                     "line_no": pa.array(numbers, pa.int32()),
                     "line": pa.array(key, mask=~known),
-                    "sim": pa.array(sims, mask=~known),
+                    "sim": pa.array(sims, mask=~np.array(compared, bool)),
                 }
             )
 
@@ -128,9 +129,10 @@ def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
 
 
-def lines(documents: DataFrame, least: int = LEAST) -> DataFrame:
-    """A row per line that isn't blank: doc_id, tie (of the text), line_no, line and sim (null for short lines)."""
-    return _texts(documents).mapInArrow(_line_rows(least), LINE)
+def lines(documents: DataFrame, least: int = LEAST, short: bool = False) -> DataFrame:
+    """A row per line that isn't blank: doc_id, tie (of the text), line_no, line and sim. Short lines have no sim, and a line only
+    if ``short``."""
+    return _texts(documents).mapInArrow(_line_rows(least, short), LINE)
 
 
 def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,7 +361,7 @@ def similar(documents: DataFrame, distinct: DataFrame, pairs: DataFrame, similar
 
 def line_groups(documents: DataFrame, distinct: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, crowd: int = FEW, split: int = SPLIT, take: int | None = None) -> DataFrame:
     """(node, component) for the lines that have similar lines, from staged (line, sim, place) of the distinct lines."""
-    sims = distinct.select("line", "sim")
+    sims = distinct.select("line", "sim").where("sim IS NOT NULL")
     take = take or choose_take(sims.count(), distance)
     pairs = dealt(sims, distance, take, split).mapInArrow(_near_pairs(distance, crowd), PAIR)
     pairs = stage(pairs.distinct(), "pairs")
@@ -376,12 +378,12 @@ def line_groups(documents: DataFrame, distinct: DataFrame, distance: int = DISTA
     return components(links.unionByName(similar(documents, distinct, more, similarity)), "a", "b")
 
 
-def group_lines(documents: DataFrame, least: int = LEAST, **options) -> DataFrame:
+def group_lines(documents: DataFrame, least: int = LEAST, short: bool = False, **options) -> DataFrame:
     """A row per line that isn't blank: doc_id, tie, line_no, first_doc_id, first_tie, first_line_no, kept.
 
-    ``first_*`` tell the occurrence that stays of the line's group; a short line is its own.
+    ``first_*`` tell the occurrence that stays of the line's group. A short line is of the group of its equals if ``short``, else its own.
     """
-    found = stage(lines(documents, least), "lines")
+    found = stage(lines(documents, least, short), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie", "line_no")
     distinct = found.where("line IS NOT NULL").groupBy("line").agg(F.min(place).alias("place"), F.min("sim").alias("sim"))
     distinct = stage(distinct, "distinct")

@@ -119,6 +119,22 @@ def test_recall_of_edit_similarity(spark, monkeypatch):
     assert sum(first[a] == first[b] for a, b in pairs) >= 0.9 * len(pairs)
 
 
+def test_equal_short_lines(spark, monkeypatch):
+    """Equal short lines keep one occurrence, different ones all stay, however alike."""
+    one = " ".join(WORDS[:12])
+    texts = ["Read more\nshort\n\n" + one, "read MORE!\nshorts\n" + one, "x\nx\nown", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    got = {(r.doc_id, r.line_no): (r.first_doc_id, r.first_line_no, r.kept) for r in queries.op4_fuzzy_line_dedup(spark, "").collect()}
+    assert got == {
+        (0, 0): (0, 0, True), (0, 1): (0, 1, True), (0, 3): (0, 3, True),
+        (1, 0): (0, 0, False), (1, 1): (1, 1, True), (1, 2): (0, 3, False),
+        (2, 0): (2, 0, True), (2, 1): (2, 0, False), (2, 2): (2, 2, True),
+    }
+    left = {r.doc_id: r.text for r in lines.dedup_lines(docs, **lines.WHOLE).collect()}
+    assert left == {0: texts[0], 1: "shorts", 2: "x\nown", 3: None}
+
+
 def test_wide_runs(monkeypatch):
     draw = np.random.default_rng(3)
     run = draw.integers(0, 2**63, 400, dtype=np.uint64) & np.uint64(0x00FFFFFFFFFFFF00)
