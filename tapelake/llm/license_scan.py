@@ -9,6 +9,8 @@ words that no template has weigh as words of no file. Templates are weighted ali
    times the template. By Cauchy-Schwarz a unit without anchors can't reach the threshold, so only lines with one are compared.
 3. Sparse cosines: units' words joined with templates' words, summed per unit and template; the best template of each unit, and the
    best line of each file (ties: smaller template name, earlier line).
+   Whole files are also compared to the texts of licence files (``licenses/``), with weights of those texts' own words. A file that
+   reaches ``TEXT_COSINE`` with one has that licence, whatever notices stand in it.
 4. A file is a licence file of its directory if its name says so or if as a whole it reaches ``FILE_COSINE``. A directory's licence is
    that of its most similar licence file. Each distinct directory is expanded into its ancestors, joined by path with the licensed
    ones, and takes the deepest. A file has its own licence, else its directory's.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +35,7 @@ from tapelake.plans.staging import stage
 
 LINE_COSINE = 0.6
 FILE_COSINE = 0.5
+TEXT_COSINE = 0.75
 
 # Short notices of well-known licences, by SPDX identifier.
 TEMPLATES = [
@@ -50,6 +54,8 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+# Texts of licence files by SPDX identifier, read by the driver only.
+TEXTS = [(path.stem, path.read_text("utf-8")) for path in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
 NAMES = r"(?i)^(licen[cs]e|copying|unlicense)([._-].*)?$"
 # Runs of letters and digits are words.
 GAP = r"[^\p{L}\p{N}]+"
@@ -134,7 +140,23 @@ def nearest(directories: DataFrame, licensed: DataFrame) -> DataFrame:
     return found.groupBy("directory").agg(deepest).select("directory", F.col("deepest.above").alias("from_directory"), F.col("deepest.license").alias("license"))
 
 
-def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, line_cosine: float = LINE_COSINE, file_cosine: float = FILE_COSINE) -> DataFrame:
+def has_anchor(vectors: list[dict[str, float]], idf: dict[str, float], threshold: float) -> Column:
+    words = "|".join(anchors(vectors, idf, threshold))
+    return F.lower("text").rlike(rf"(?<![\p{{L}}\p{{N}}])({words})(?![\p{{L}}\p{{N}}])")
+
+
+def whole_texts(files: DataFrame, keys: list[str], texts: list[tuple[str, str]]) -> DataFrame:
+    """(file, text_license, text_score) of the files that are the text of a licence."""
+    counts = template_words(texts)
+    total, frequency = document_frequencies(files, sorted({word for words in counts for word in words}))
+    vectors, idf, other = weights(counts, total, frequency)
+    some = files.where(has_anchor(vectors, idf, TEXT_COSINE)).dropDuplicates(keys)
+    units = some.select(F.struct(*keys).alias("unit"), words_of(F.col("text")).alias("words"))
+    found = cosines(units, ["unit"], vectors, idf, other, [name for name, _ in texts]).where(F.col("score") >= TEXT_COSINE)
+    return found.select(F.col("unit").alias("file"), F.col("license").alias("text_license"), F.col("score").alias("text_score"))
+
+
+def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, line_cosine: float = LINE_COSINE, file_cosine: float = FILE_COSINE, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """A row per file (file_id, path, text): file_id, path, own_license, own_score, license, from_directory.
 
     ``license`` is the file's own or the inherited one, null without either; ``from_directory`` tells where it is inherited from.
@@ -147,10 +169,10 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, line_
     vectors, idf, other = weights(counts, total, frequency)
 
     def anchored(threshold: float) -> Column:
-        words = "|".join(anchors(vectors, idf, threshold))
-        return F.lower("text").rlike(rf"(?<![\p{{L}}\p{{N}}])({words})(?![\p{{L}}\p{{N}}])")
+        return has_anchor(vectors, idf, threshold)
 
     keys = ["file_id", "path", "tie"]
+    full = whole_texts(files.withColumn("tie", F.xxhash64("text")), keys, TEXTS if texts is None else texts)
     some = files.withColumn("tie", F.xxhash64("text")).where(anchored(min(line_cosine, file_cosine)))
     some = stage(some.dropDuplicates(keys), "anchored")
     lines = some.select(*keys, F.posexplode(F.split("text", r"\n", -1)).alias("line_no", "text")).where(anchored(line_cosine))
@@ -162,7 +184,12 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, line_
     notices = notices.groupBy(F.col("unit.file").alias("file")).agg(own).select("file", F.col("own.license").alias("license"), F.col("own.score").alias("score"))
     whole = some.where(anchored(file_cosine)).select(unit.alias("unit"), words_of(F.col("text")).alias("words"))
     whole = cosines(whole, ["unit"], vectors, idf, other, names).select(F.col("unit").alias("file"), F.col("license").alias("whole_license"), F.col("score").alias("whole_score"))
-    notices = stage(notices.join(whole, "file", "full"), "notices")
+    notices = notices.join(whole, "file", "full").join(full, "file", "full")
+    for name in ("license", "whole_license"):
+        notices = notices.withColumn(name, F.coalesce("text_license", name))
+    for name in ("score", "whole_score"):
+        notices = notices.withColumn(name, F.coalesce("text_score", name))
+    notices = stage(notices.drop("text_license", "text_score"), "notices")
 
     # A licence file tells its directory's licence by its best notice, or by the whole of it.
     name = F.element_at(F.split("file.path", "/", -1), -1)

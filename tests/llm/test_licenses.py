@@ -92,3 +92,18 @@ def test_anchors_lose_nothing():
     chosen = scan.anchors(vectors, idf, 0.6)
     assert all(math.sqrt(sum(v * v for w, v in vector.items() if w not in chosen)) < 0.6 for vector in vectors)
     assert "the" not in chosen
+
+
+def test_texts_of_licence_files(spark):
+    """A document that is a whole licence text has that licence and gives it to its folder."""
+    texts = dict(scan.TEXTS)
+    rows = [(k, f"prose number {k} about the work of others and the use of things", "en", "web") for k in range(40)]
+    rows += [(1000, "Copyright 2024 Some One\n\n" + texts["MIT"], "en", "web"), (1001, "nothing here", "en", "web")]
+    rows += [(2000, texts["Apache-2.0"].replace("\n", " "), "en", "web"), (2001, "nor here", "en", "web")]
+    rows += [(3000, texts["GPL-3.0"], "en", "web"), (3001, None, "en", "web")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.file_id: (r.own_license, r.license) for r in scan.scan(scan.document_files(docs)).collect()}
+    assert [got[k] for k in (1000, 1001)] == [("MIT", "MIT"), (None, "MIT")]
+    assert [got[k] for k in (2000, 2001)] == [("Apache-2.0", "Apache-2.0"), (None, "Apache-2.0")]
+    assert [got[k] for k in (3000, 3001)] == [("GPL-3.0", "GPL-3.0"), (None, "GPL-3.0")]
+    assert all(got[k] == (None, None) for k in range(40))
