@@ -104,6 +104,39 @@ SELECT page_id, rule_host || rule_path AS rule, rule_verdict FROM split JOIN rul
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) = 1)
 SELECT split.page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM split LEFT JOIN fits ON fits.page_id = split.page_id"""
 
+_P = "CAST(1 + (1000000000::HUGEINT * ({0} + 1)) // ({1} + v) AS HUGEINT)"
+OP11 = rf"""WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER} AS low FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(low, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(DISTINCT id) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY 1),
+groups AS (SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(l.total, 0) AS lang_total, coalesce(c.total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN langs l USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY 1, 2) c USING (lang, source)),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {_P.format("coalesce(c.n, 0)", "total")} AS p, {_P.format("k.n", "lang_total")} AS q
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pair AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+term AS (SELECT lang, source, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value FROM cells WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pair
+UNION ALL
+SELECT lang, source, 'term', item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS r FROM term QUALIFY r <= 200"""
+
+_H = "CAST('0x' || substr(hex, {0}, 8) AS BIGINT)"
+OP12 = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents),
+h AS (SELECT doc_id, text, length(text) AS n, {_H.format(1)} AS h1, {_H.format(9)} AS h2, {_H.format(17)} AS h3, {_H.format(25)} AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+x AS (SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM x"""
+
 ORACLES: dict[str, str] = {
     "op1_warc_capture_index": OP1,
     "op2_pivot_permutation_index": OP2,
@@ -112,4 +145,6 @@ ORACLES: dict[str, str] = {
     "op7_benchmark_decontamination": OP7,
     "op9_ngram_jaccard_join": OP9,
     "op10_url_filters": OP10,
+    "op11_source_divergence_audit": OP11,
+    "op12_fill_in_middle": OP12,
 }

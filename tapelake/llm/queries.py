@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapelake.llm import chat_templates, contamination, fuzzy_lines, jaccard_join, license_scan, mixing, pivot_index, toxicity, url_rules, warc
+from tapelake.llm import (
+    chat_templates,
+    contamination,
+    fill_in_middle,
+    fuzzy_lines,
+    jaccard_join,
+    language_id,
+    license_scan,
+    mixing,
+    pivot_index,
+    source_audit,
+    toxicity,
+    url_rules,
+    warc,
+)
 from tapelake.llm.common import table
 from tapelake.llm.oracles import ORACLES
 
@@ -60,6 +74,19 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(table(spark, folder, "pages", "page_id", "url"), spark.createDataFrame(rules, "host string, path string, verdict string"))
 
 
+def op11_source_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit(table(spark, folder, "documents", "text", "lang", "source"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, folder, "documents", "doc_id", "text"))
+
+
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents", "doc_id", "text", "lang")
+    return language_id.identify(documents, language_id.learn(documents))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_pivot_permutation_index": op2_pivot_permutation_index,
@@ -70,6 +97,9 @@ QUERIES: dict[str, Query] = {
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_mixing_sources": op8_mixing_sources,
     "op10_url_filters": op10_url_filters,
+    "op11_source_divergence_audit": op11_source_divergence_audit,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_language_id": op13_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 

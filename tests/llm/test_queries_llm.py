@@ -34,8 +34,8 @@ def test_twin(spark, duck, name):
     assert plain(tuple(r) for r in got.select(*columns).collect()) == plain(want.fetchall())
 
 
-def test_ten_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
