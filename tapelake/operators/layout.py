@@ -15,22 +15,30 @@ LAYOUT = "_layout"
 
 
 def stored_buckets(spark: SparkSession, path: str) -> int | None:
-    """The number of buckets a table is written with; none if there is no table yet."""
+    """The number of buckets a table is written with; none if there is no table yet.
+
+    A note without a day folder beside it is what a first write left that didn't end; it counts for nothing.
+    """
     place = f"{path.rstrip('/')}/{LAYOUT}"
-    if not path_exists(spark, place):
+    if not path_exists(spark, place) or not path_exists(spark, f"{path.rstrip('/')}/*=*"):
         return None
     # Hidden folders are read by the names of their files.
     return spark.read.schema("buckets int").json(f"{place}/part-*.json").first()[0]
 
 
-def settle_buckets(spark: SparkSession, path: str, buckets: int) -> None:
-    """Note the number of buckets of a new table; another number than the noted one is an error."""
+def check_buckets(spark: SparkSession, path: str, buckets: int) -> int | None:
+    """The number of buckets of a table, if there is one; another number than the given one is an error. Nothing is written."""
     held = stored_buckets(spark, path)
-    if held is None:
+    if held not in (None, buckets):
+        raise ValueError(f"{path} has {held} buckets, not {buckets}")
+    return held
+
+
+def settle_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Note the number of buckets of a table that is about to get its first rows."""
+    if check_buckets(spark, path, buckets) is None:
         note = spark.createDataFrame([(buckets,)], "buckets int").coalesce(1)
         note.write.mode("overwrite").json(f"{path.rstrip('/')}/{LAYOUT}")
-    elif held != buckets:
-        raise ValueError(f"{path} has {held} buckets, not {buckets}")
 
 
 def instrument_bucket(instrument_id: Column, buckets: int = BUCKETS) -> Column:

@@ -19,7 +19,7 @@ from tapelake.functions.times import yesterday
 from tapelake.functions.venues import exchange_slug
 from tapelake.operators import dedup
 from tapelake.operators.catalog import available_on
-from tapelake.operators.layout import BUCKETS, instrument_bucket, settle_buckets, write_layout
+from tapelake.operators.layout import BUCKETS, check_buckets, instrument_bucket, write_layout
 from tapelake.operators.normalize import normalize_levels, normalize_trades, sequence_arrival, sequence_sorted
 from tapelake.operators.sequence import continue_sequence
 from tapelake.operators.validate import check_facts, rejected, valid
@@ -72,7 +72,7 @@ def _load(
     buckets: int,
 ) -> LoadReport:
     spark = batch.sparkSession
-    settle_buckets(spark, path, buckets)
+    check_buckets(spark, path, buckets)  # the note is written with the first rows, after all checks
     staged = stage(batch.select(*spec.columns), f"load-{spec.tag}")
     checked = check_facts(staged, spec, catalog)
     # One row per (day, bucket, reason): bounded by the calendar and the layout, not by the data.

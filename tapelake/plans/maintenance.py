@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tapelake.functions.times import as_day, instant_like
-from tapelake.operators.layout import BUCKETS, write_layout
-from tapelake.plans.staging import child_names, delete_folder, path_exists, stage
+from tapelake.operators.layout import BUCKETS, arrange
+from tapelake.plans import replacement
+from tapelake.plans.staging import child_names, delete_folder, file_lengths
+from tapelake.session import configure
 
 # Ages of the documented policies.
 COMPACT_AFTER_DAYS = 7
@@ -122,26 +124,35 @@ def fragmented_days(
     )
 
 
-# Where a compaction notes what it is replacing, beside the table's day folders and hidden from its readers.
-PENDING = "_compacting"
+# Files of cold days that one replacement takes at most, unless a single day has more: what the driver lists and notes at a time.
+FILES_AT_ONCE = 10_000
 
 
-def resume_compaction(spark: SparkSession, path: str, buckets: int = BUCKETS, segment_by: str = "instrument_id") -> int:
-    """Finish a compaction whose driver was lost while it replaced folders; returns the rows written again, 0 if there was none.
+def resume_compaction(spark: SparkSession, path: str) -> int:
+    """Finish a compaction whose driver was lost; returns the rows of the files it put in place, 0 if there was none."""
+    return replacement.settle(spark, path)
 
-    The note is written after the staged copy is whole, and removed after the last folder is replaced.
-    """
-    note = f"{path.rstrip('/')}/{PENDING}"
-    if not path_exists(spark, note):
-        return 0
-    held = [r.staged for r in spark.read.schema("staged string").json(f"{note}/part-*.json").collect()]
-    rows = 0
-    for folder in held:
-        staged = spark.read.parquet(folder)
-        rows += staged.count()
-        write_layout(staged.drop("instr_bucket"), path, buckets, mode="overwrite", segment_by=segment_by)
-    delete_folder(spark, note)
-    return rows
+
+def prepare_compaction(
+    spark: SparkSession,
+    path: str,
+    old: list[str],
+    buckets: int = BUCKETS,
+    segment_by: str = "instrument_id",
+    file_bytes: int = COMPACT_FILE_BYTES,
+) -> replacement.Replacement:
+    """Write the rows of some files (paths below the table) as few sorted ones, hidden, and decide that they take their place."""
+    session = configure(spark.newSession())  # has its own settings, so those of the caller stay
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))  # what a task, and so a file, may reach
+    cold = session.read.option("basePath", path).parquet(*[f"{path}/{file}" for file in old])
+    rows = cold.count()
+    name, data = replacement.new_data(path)
+    written = Observation(f"compacted-{name}")
+    dealt = arrange(cold.drop("instr_bucket"), buckets, (written, F.count(F.lit(1)).alias("rows")), segment_by)
+    dealt.write.partitionBy("trading_day", "instr_bucket").parquet(data)
+    if written.get["rows"] != rows:
+        raise RuntimeError(f"compaction read {rows} rows but wrote {written.get['rows']}")
+    return replacement.decide(spark, path, name, old, rows)
 
 
 def compact_cold(
@@ -156,35 +167,29 @@ def compact_cold(
     """Rewrite the fragmented days older than ``days`` as few files, sorted by ``segment_by`` and time. Returns the number of
     rows rewritten.
 
-    Days that are compact already are left alone, so a daily run costs what became cold since the last one. The compacted
-    rows are staged, counted and noted before they replace anything; a job that dies while replacing is finished by the next
-    one (``resume_compaction``).
+    Days that are compact already are left alone, so a daily run costs what became cold since the last one. Files are replaced as
+    a set (``replacement``): rows that a load adds meanwhile stay, and a run that dies is finished by the next one.
     """
-    done = resume_compaction(spark, path, buckets, segment_by)
+    path = path.rstrip("/")
+    done = resume_compaction(spark, path)
     before = as_day(as_of) - dt.timedelta(days=days)
-    cold_days = [r.trading_day for r in fragmented_days(spark, path, before, file_bytes).collect()]
-    if not cold_days:
-        return done
-    cold = spark.read.option("basePath", path).parquet(*[f"{path}/trading_day={day}" for day in cold_days])
-    staged = stage(cold, "compact")
-    rows, staged_rows = cold.count(), staged.count()
-    if staged_rows != rows:
-        raise RuntimeError(f"compaction read {rows} rows but staged {staged_rows}")
-    note = f"{path.rstrip('/')}/{PENDING}"
-    folder = staged.inputFiles()[0].rsplit("/", 1)[0]
-    spark.createDataFrame([(folder,)], "staged string").coalesce(1).write.mode("overwrite").json(note)
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    held = spark.conf.get(key, None)
-    spark.conf.set(key, str(file_bytes))  # what a task of the rewrite, and so a file, may reach
-    try:
-        write_layout(staged.drop("instr_bucket"), path, buckets, mode="overwrite", segment_by=segment_by)
-    finally:
-        if held is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, held)
-    delete_folder(spark, note)
-    return done + rows
+    held: list[str] = []
+
+    def rewrite() -> int:
+        return replacement.finish(spark, prepare_compaction(spark, path, held, buckets, segment_by, file_bytes)) if held else 0
+
+    for row in fragmented_days(spark, path, before, file_bytes).orderBy("trading_day").collect():
+        files = day_files(spark, path, row.trading_day)
+        if len(held) + len(files) > FILES_AT_ONCE:
+            done, held = done + rewrite(), []
+        held = held + files
+    return done + rewrite()
+
+
+def day_files(spark: SparkSession, path: str, day: dt.date) -> list[str]:
+    """The files of a day, as paths below the table."""
+    folder = f"trading_day={day}"
+    return [f"{folder}/{file}" for file in file_lengths(spark, f"{path.rstrip('/')}/{folder}") if file.endswith(".parquet")]
 
 
 def storage_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:

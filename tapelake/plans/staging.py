@@ -74,6 +74,61 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def file_lengths(spark: SparkSession, path: str) -> dict[str, int]:
+    """The data files below a folder, by their path below it, with their lengths; hidden ones are left out."""
+    if not path_exists(spark, path):
+        return {}
+    file_system, root = _file_system(spark, path)
+    prefix = file_system.makeQualified(root).toString().rstrip("/") + "/"
+    found, files = {}, file_system.listFiles(root, True)
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().toString().removeprefix(prefix)
+        if not any(part[0] in "_." for part in name.split("/")):
+            found[name] = status.getLen()
+    return found
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; its folder must be there. A file that can't be moved is an error."""
+    file_system, path = _file_system(spark, source)
+    if not file_system.rename(path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    """Remove a file, if it is there."""
+    file_system, hadoop_path = _file_system(spark, path)
+    file_system.delete(hadoop_path, False)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears under its name only when it is whole."""
+    file_system, hadoop_path = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    out = file_system.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    file_system.delete(hadoop_path, False)
+    if not file_system.rename(draft, hadoop_path):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as a text."""
+    file_system, hadoop_path = _file_system(spark, path)
+    stream = file_system.open(hadoop_path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table, or no rows if nothing has been written there yet."""
     if path_exists(spark, path):

@@ -740,6 +740,20 @@ def load_all_or_nothing(fx: Fixtures) -> DataFrame:
     return _stored(fx, TRADES, path)
 
 
+@query("SELECT * FROM fx_trades WHERE price > 0 AND quantity >= 0")
+def load_after_rejected_first(fx: Fixtures) -> DataFrame:
+    """A first load that is refused leaves no table, so the next one may choose another number of buckets."""
+    path = new_folder(fx.spark, "first-load")
+    rows = as_stored(fx.trades())
+    bad = rows.withColumn("price", F.when(F.col("side") == 0, F.lit(-1).cast(PRICE)).otherwise(F.col("price")))
+    try:
+        load.append_trades(bad, path, on_invalid="fail", buckets=BUCKETS + 2)
+    except load.LoadRejected:
+        pass
+    load.append_trades(rows, path, on_invalid="reject", buckets=BUCKETS)
+    return _stored(fx, TRADES, path)
+
+
 @query("""SELECT DISTINCT 'okx-futures' AS slug, 'future' AS instrument_type, upper(venue) AS dataset, file_day, 'trades' AS tag FROM raw_trades""")
 def cache_listing(fx: Fixtures) -> DataFrame:
     """What the cache tree holds, from the names of its files."""
@@ -861,6 +875,21 @@ def compact_cold(fx: Fixtures) -> DataFrame:
     return _stored(fx, TRADES, path)
 
 
+@query("SELECT * FROM fx_trades WHERE side <> -1 OR (price > 0 AND quantity >= 0)")
+def compact_broken_run(fx: Fixtures) -> DataFrame:
+    """A compaction whose driver is lost once it is decided; a load into the same days; the next compaction finishes the first."""
+    path = new_folder(fx.spark, "compact")
+    rows = as_stored(fx.trades())
+    for part in (rows.filter("side = 0"), rows.filter("side = 1")):
+        layout.write_layout(part, path, buckets=BUCKETS)
+    days = maintenance.stored_days(fx.spark, path)[::2]
+    old = [file for day in days for file in maintenance.day_files(fx.spark, path, day)]
+    maintenance.prepare_compaction(fx.spark, path, old, BUCKETS)
+    load.append_trades(rows, path, on_invalid="reject", buckets=BUCKETS)
+    maintenance.compact_cold(fx.spark, path, as_of="2024-01-31", buckets=BUCKETS)
+    return _stored(fx, TRADES, path)
+
+
 # ---- catalog writes ---------------------------------------------------------------------------------------------------
 @query("""SELECT DISTINCT 'asset' AS dimension, name FROM (
   SELECT base_asset AS name FROM fx_instruments UNION SELECT quote_asset FROM fx_instruments

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from tapelake.functions.times import day_range, instant_like
 from tapelake.operators.layout import BUCKETS, bucket_filter
-from tapelake.plans.staging import child_names, read_or_empty
+from tapelake.plans.replacement import read_table
+from tapelake.plans.staging import read_or_empty
 from tapelake.schemas import INSTRUMENT, Feed
 
 
 def read_feed(spark: SparkSession, spec: Feed, path: str) -> DataFrame:
-    return read_or_empty(spark, path, spec.fact)
+    return read_table(spark, spec.fact, path)
 
 
 def read_feed_days(spark: SparkSession, spec: Feed, path: str, wanted: Callable[[dt.date], bool]) -> DataFrame:
@@ -24,12 +25,7 @@ def read_feed_days(spark: SparkSession, spec: Feed, path: str, wanted: Callable[
     One listing of the table's folder gives its days; the folders of other days, of which a long history has very many, are
     not even listed.
     """
-    prefix = "trading_day="
-    names = [name for name in child_names(spark, path) if name.startswith(prefix)]
-    folders = [f"{path}/{name}" for name in names if wanted(dt.date.fromisoformat(name.removeprefix(prefix)))]
-    if not folders:
-        return spark.createDataFrame([], spec.fact)
-    return spark.read.schema(spec.fact).option("basePath", path).parquet(*folders)
+    return read_table(spark, spec.fact, path, lambda name: wanted(dt.date.fromisoformat(name.removeprefix("trading_day="))))
 
 
 def in_days(df: DataFrame, start: dt.date | str, end: dt.date | str | None = None) -> DataFrame:
@@ -80,10 +76,10 @@ def dataset_map(instruments: DataFrame, exchange: str | None = None, instrument_
     return rows.filter(F.col("dataset").isNotNull() & (name != "")).select(name.alias("dataset"), "instrument_id")
 
 
-def rows_from_arrays(df: DataFrame, columns: dict[str, str], sort: bool = False) -> DataFrame:
+def rows_from_arrays(df: DataFrame, columns: dict[str, str], sort: bool = True) -> DataFrame:
     """Parallel array columns to rows, each array cast to the given type; shorter arrays are filled up with nulls.
 
-    ``sort`` orders each partition by instrument and time; a write sorts anyway."""
+    Rows are ordered by instrument and time within each partition, unless ``sort`` is off: a write sorts anyway."""
     zipped = F.arrays_zip(*[F.col(name).alias(name) for name in columns])
     rows = df.select(F.inline(zipped)).select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])
     return rows.sortWithinPartitions("instrument_id", "ts") if sort else rows

@@ -225,6 +225,30 @@ def test_numbering_expands_copies_in_blocks(spark, monkeypatch):
     assert [r.a for r in numbered] == [0] * 3 + [1] * 100 + [2] * 16
 
 
+@pytest.mark.parametrize("how", ["fail", "reject", "strict"])
+def test_rejected_first_load_leaves_nothing(spark, folder, how):
+    path = f"{folder}/t"
+    if how == "reject":
+        assert load.append_trades(trades(spark, trade(1, price="-1")), path, on_invalid="reject", buckets=3).inserted == 0
+    else:
+        with pytest.raises(load.LoadRejected):
+            if how == "strict":
+                load.append_strict(trades(spark, trade(1), trade(1)), TRADES, path, buckets=3)
+            else:
+                load.append_trades(trades(spark, trade(1), trade(2, price="-1")), path, buckets=3)
+    assert not os.path.exists(path)
+    assert load.append_trades(trades(spark, trade(1)), path, buckets=5).inserted == 1
+    with pytest.raises(ValueError, match="has 5 buckets, not 3"):
+        load.append_trades(trades(spark, trade(2)), path, buckets=3)
+
+
+def test_note_without_rows_counts_for_nothing(spark, folder):
+    """A driver that is lost between the note and the rows of a first load."""
+    layout.settle_buckets(spark, f"{folder}/t", 3)
+    assert load.append_trades(trades(spark, trade(1)), f"{folder}/t", buckets=5).inserted == 1
+    assert layout.stored_buckets(spark, f"{folder}/t") == 5
+
+
 def test_buckets(spark):
     row = spark.range(1).select(layout.instrument_bucket(F.lit("abc"), 64).alias("b")).first()
     assert 0 <= row.b < 64

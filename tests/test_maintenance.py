@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_loads import DAY, trade, trades
 
 from tapelake.operators import catalog, layout, manifest
-from tapelake.plans import maintenance, staging
+from tapelake.plans import load, maintenance, replacement, staging
 from tapelake.schemas import INSTRUMENT, TRADES
 from tapelake.sources import facts
 
@@ -48,22 +48,79 @@ def test_compaction_settles(spark, folder):
     assert counts == [60_000, 0, 0] and facts.read_feed(spark, TRADES, path).count() == 60_000
 
 
-def test_compaction_is_finished_by_the_next(spark, folder, monkeypatch):
+def fragmented(spark, path, parts=3, rows=5):
+    for part in range(parts):
+        layout.write_layout(trades(spark, *[trade(10 * part + n, n) for n in range(rows)]), path, buckets=1)
+    return stored(spark, path)
+
+
+def stored(spark, path):
+    return sorted(map(tuple, facts.read_feed(spark, TRADES, path).collect()))
+
+
+def lost(*_args, **_options):
+    raise KeyboardInterrupt
+
+
+# Where the driver is lost: before the decision, before and while files are moved, while old ones are removed.
+@pytest.mark.parametrize("step, calls", [("decide", 0), ("finish", 0), ("move_file", 0), ("remove_file", 0), ("remove_file", 2)])
+def test_compaction_is_finished_by_the_next(spark, folder, monkeypatch, step, calls):
     path = f"{folder}/t"
-    for part in range(3):
-        layout.write_layout(trades(spark, *[trade(10 * part + n, n) for n in range(5)]), path, buckets=1)
-    before = sorted(map(tuple, facts.read_feed(spark, TRADES, path).collect()))
+    before = fragmented(spark, path)
+    do, left = getattr(replacement, step), [calls]
 
-    def lost(*_args, **_options):
-        raise KeyboardInterrupt
+    def some(*args):
+        left[0] -= 1
+        return lost() if left[0] < 0 else do(*args)
 
     with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
-        patch.setattr(maintenance, "write_layout", lost)
+        patch.setattr(replacement, step, some)
         maintenance.compact_cold(spark, path, "2024-03-01", buckets=1)
-    staging.delete_folder(spark, f"{path}/trading_day={DAY}")  # as if lost between deleting and writing
+    assert stored(spark, path) == before  # each row once, though old and new files may both be there
+    more = [trade(100 + n, n) for n in range(11)]
+    assert load.append_trades(trades(spark, *more, trade(0, 0)), path, buckets=1).inserted == 11
+    after = stored(spark, path)
+    assert len(after) == 26 and set(before) < set(after)
+    maintenance.compact_cold(spark, path, "2024-03-01", buckets=1)
+    assert stored(spark, path) == after
+    assert not glob.glob(f"{path}/{replacement.REPLACING}/*")
+    assert maintenance.compact_cold(spark, path, "2024-03-01", buckets=1) == 0 and stored(spark, path) == after
+
+
+def test_load_while_files_are_replaced(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    before = fragmented(spark, path)
+    finish = replacement.finish
+
+    def meanwhile(session, work):
+        load.append_trades(trades(spark, *[trade(200 + n, n) for n in range(4)]), path, buckets=1)
+        return finish(session, work)
+
+    monkeypatch.setattr(replacement, "finish", meanwhile)
     assert maintenance.compact_cold(spark, path, "2024-03-01", buckets=1) == 15
-    assert sorted(map(tuple, facts.read_feed(spark, TRADES, path).collect())) == before
-    assert maintenance.compact_cold(spark, path, "2024-03-01", buckets=1) == 0
+    assert len(stored(spark, path)) == 19 and set(before) < set(stored(spark, path))
+
+
+def test_dropped_days_stay_dropped(spark, folder):
+    path = f"{folder}/t"
+    fragmented(spark, path)
+    layout.write_layout(trades(spark, trade(1, day=DAY + dt.timedelta(days=100))), path, buckets=1)
+    maintenance.prepare_compaction(spark, path, maintenance.day_files(spark, path, DAY), buckets=1)
+    assert maintenance.drop_expired_days(spark, path, DAY + dt.timedelta(days=100)) == 1
+    assert len(stored(spark, path)) == 1
+    maintenance.resume_compaction(spark, path)
+    assert len(stored(spark, path)) == 1
+
+
+def test_many_days_a_few_at_a_time(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    days = [DAY + dt.timedelta(days=n) for n in range(4)]
+    for part in range(2):
+        layout.write_layout(trades(spark, *[trade(10 * part + n, n, day=day) for n in range(3) for day in days]), path, buckets=1)
+    before = stored(spark, path)
+    monkeypatch.setattr(maintenance, "FILES_AT_ONCE", 3)
+    assert maintenance.compact_cold(spark, path, "2024-03-01", buckets=1) == 24
+    assert stored(spark, path) == before and len(glob.glob(f"{path}/*/*/*.parquet")) == 4
 
 
 def test_drop_expired_days(spark, folder):
