@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,17 +46,19 @@ def _common(raw: DataFrame, spec: Feed, side_coding: str) -> DataFrame:
     )
 
 
-def normalize_trades(raw: DataFrame, side_coding: str = "service") -> DataFrame:
-    """Raw trades with an ``instrument_id`` column to fact columns."""
-    return _common(with_raw_time(raw), TRADES, side_coding).withColumnRenamed("id", "trade_id").select(*TRADES.columns)
+def normalize_trades(raw: DataFrame, side_coding: str = "service", keep: Sequence[str] = (), timed: bool = True) -> DataFrame:
+    """Raw trades with an ``instrument_id`` column to fact columns, and those to ``keep``; rows without a time stay unless ``timed``."""
+    rows = _common(with_raw_time(raw) if timed else raw, TRADES, side_coding).withColumnRenamed("id", "trade_id")
+    return rows.select(*TRADES.columns, *keep)
 
 
-def normalize_levels(raw: DataFrame, side_coding: str = "service") -> DataFrame:
-    """Raw level updates with ``instrument_id`` and ``update_seq`` columns to fact columns."""
+def normalize_levels(raw: DataFrame, side_coding: str = "service", keep: Sequence[str] = (), timed: bool = True) -> DataFrame:
+    """Raw level updates with ``instrument_id`` and ``update_seq`` columns to fact columns, and those to ``keep``; rows without a time
+    stay unless ``timed``."""
     return (
-        _common(with_raw_time(raw), LEVELS, side_coding)
+        _common(with_raw_time(raw) if timed else raw, LEVELS, side_coding)
         .withColumn("is_snapshot", F.coalesce(F.col("is_snapshot"), F.lit(False)))
-        .select(*LEVELS.columns)
+        .select(*LEVELS.columns, *keep)
     )
 
 
