@@ -15,7 +15,7 @@ from tapelake.functions.venues import exchange_slug
 from tapelake.operators import catalog as catalog_ops
 from tapelake.operators import coverage, manifest
 from tapelake.operators.layout import BUCKETS, stored_buckets
-from tapelake.plans import importing, landing, load, maintenance, refresh
+from tapelake.plans import importing, landing, load, maintenance, refresh, summaries
 from tapelake.plans.staging import stage
 from tapelake.schemas import FEEDS, IDENTITY, LEVELS, TRADES, Feed
 from tapelake.session import configure
@@ -194,11 +194,26 @@ class Lake:
         return manifest.remaining(wanted, files.select(below.alias("cache"), "length"))
 
     # ---- coverage -------------------------------------------------------------------------------------------------
+    def _day_rows(self, scope: coverage.Scope, requests: DataFrame, first: dt.date | None, last: dt.date | None) -> dict[str, DataFrame]:
+        """A row per instrument and day of the feeds and days asked for, from the kept summaries. Without a range only the days
+        of the requests count, and of days without a summary only the folders of their instruments."""
+        rows = {}
+        for spec in (TRADES, LEVELS):
+            if spec.name in scope.feeds:
+                path, pairs = self.table(spec), None
+                if first is None and set(scope.days) & summaries.table_days(self.spark, path) - summaries.kept_days(self.spark, path):
+                    pairs = coverage.requested_pairs(requests, self.catalog, self.buckets_of(spec))
+                wanted = scope.days.__contains__ if first is None else lambda day: first <= day <= last
+                rows[spec.name] = summaries.day_rows(self.spark, spec, path, wanted, pairs)
+        return rows
+
     def info(self, requests: DataFrame) -> DataFrame:
         scope = coverage.scope_of(requests)
-        return coverage.feed_day_info(
-            requests, self.catalog, self.feeds(scope.first, scope.last), self._stored(), scope
-        )
+        rows = self._day_rows(scope, requests, None, None)
+        return coverage.info_of_days(requests, self.catalog, rows or self._nothing())
+
+    def _nothing(self) -> dict[str, DataFrame]:
+        return {TRADES.name: summaries.day_rows(self.spark, TRADES, self.table(TRADES), lambda _: False)}
 
     def info_one(
         self,
@@ -219,17 +234,18 @@ class Lake:
     ) -> DataFrame:
         last = as_day(as_of or dt.datetime.now(dt.timezone.utc).date())
         scope = coverage.scope_of(requests)
-        first = scope.first if start is None else as_day(start)
-        missing = coverage.missing_days(
-            requests, self.catalog, self.feeds(first, last), start, last, self._stored(), scope
-        )
-        return coverage.in_day_order(missing)
+        first = (scope.first or last) if start is None else as_day(start)
+        rows = self._day_rows(scope, requests, first, last) if first <= last else {}
+        return coverage.in_day_order(coverage.missing_in_days(requests, self.catalog, rows, start, last))
 
     def exists(self, requests: DataFrame) -> DataFrame:
         scope = coverage.scope_of(requests)
-        return coverage.exists_feed_on_day(
-            requests, self.catalog, self.feeds(scope.first, scope.last), self._stored(), scope
-        )
+        rows = self._day_rows(scope, requests, None, None)
+        return coverage.exists_in_days(requests, self.catalog, rows or self._nothing())
+
+    def mend_summaries(self) -> dict[str, list[dt.date]]:
+        """Summarise the days that were written by other means than loads."""
+        return {spec.name: summaries.mend(self.spark, spec, self.table(spec)) for spec in (TRADES, LEVELS)}
 
     def storage_report(self) -> DataFrame:
         return maintenance.storage_report(self.spark, {spec.name: self.table(spec) for spec in (TRADES, LEVELS)})

@@ -18,6 +18,7 @@ from tapelake.schemas import FEEDS, IDENTITY
 from tapelake.sources.facts import in_days
 
 FEED_DAY = ["feed", "instrument_id", "trading_day"]
+MEASURES = ["items_count", "first_ts", "last_ts"]
 
 
 def feed_days(facts: DataFrame, feed: str) -> DataFrame:
@@ -54,20 +55,29 @@ def resolve(requests: DataFrame, catalog: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Scope:
-    """What some requests can touch: how many they are, their range of days, their supported feeds."""
+    """What some requests can touch: how many they are, their range of days, their supported feeds, their days."""
 
     requests: int
     first: dt.date | None
     last: dt.date | None
     feeds: frozenset[str]
+    days: frozenset[dt.date] = frozenset()
 
 
 def scope_of(requests: DataFrame) -> Scope:
-    """One pass over the requests; the result has a fixed size."""
+    """One pass over the requests; the result is bounded by the calendar."""
     day = F.col("trading_day") if "trading_day" in requests.columns else F.lit(None).cast("date")
     supported = F.when(F.col("feed").isin(list(FEEDS)), F.col("feed"))
-    row = requests.agg(F.count(F.lit(1)), F.min(day), F.max(day), F.collect_set(supported)).first()
-    return Scope(row[0], row[1], row[2], frozenset(row[3]))
+    row = requests.agg(F.count(F.lit(1)), F.min(day), F.max(day), F.collect_set(supported), F.collect_set(day)).first()
+    return Scope(row[0], row[1], row[2], frozenset(row[3]), frozenset(row[4]))
+
+
+def requested_pairs(requests: DataFrame, catalog: DataFrame, buckets: int) -> dict[dt.date, set[int]]:
+    """The (day, bucket) pairs that requests of known instruments touch: bounded by the calendar and the layout."""
+    found = resolve(requests, catalog).filter(F.col("instrument_id").isNotNull() & F.col("trading_day").isNotNull())
+    number = instrument_bucket(F.col("instrument_id"), buckets).alias("bucket")
+    days = found.select("trading_day", number).groupBy("trading_day").agg(F.collect_set("bucket").alias("buckets")).collect()
+    return {row.trading_day: set(row.buckets) for row in days}
 
 
 def _narrowed(
@@ -110,15 +120,18 @@ def feed_day_info(
 
     Requests with an unknown instrument, an unsupported feed or an empty day give no row.
     """
-    columns = [*IDENTITY, *FEED_DAY, "items_count", "first_ts", "last_ts"]
-    wanted = resolve(requests, catalog).filter(F.col("instrument_id").isNotNull())
     scope = scope or scope_of(requests)
     rows = _narrowed(requests, scope, catalog, facts, (scope.first, scope.last), buckets) if scope.first else {}
     if not rows:
-        nothing = {feed: feed_days(df, feed).limit(0) for feed, df in facts.items()}
-        return wanted.join(both_feeds(nothing), FEED_DAY).select(*columns)
-    days = both_feeds({feed: feed_days(df, feed) for feed, df in rows.items()})
-    return wanted.join(days, FEED_DAY).select(*columns)
+        return info_of_days(requests, catalog, {feed: feed_days(df, feed).limit(0) for feed, df in facts.items()})
+    return info_of_days(requests, catalog, {feed: feed_days(df, feed) for feed, df in rows.items()})
+
+
+def info_of_days(requests: DataFrame, catalog: DataFrame, days: dict[str, DataFrame]) -> DataFrame:
+    """``feed_day_info`` from a row per instrument and day of each feed, as summaries hold them."""
+    wanted = resolve(requests, catalog).filter(F.col("instrument_id").isNotNull())
+    found = both_feeds({feed: df.select(*FEED_DAY, *MEASURES) for feed, df in days.items()})
+    return wanted.join(found, FEED_DAY).select(*IDENTITY, *FEED_DAY, *MEASURES)
 
 
 def feed_day_info_one(
@@ -150,7 +163,12 @@ def exists_feed_on_day(
     rows = _narrowed(requests, scope, catalog, facts, (scope.first, scope.last), buckets) if scope.first else {}
     if not rows:
         return requests.withColumn("has_data", F.lit(False))
-    present = both_feeds({feed: present_days(df, feed) for feed, df in rows.items()})
+    return exists_in_days(requests, catalog, {feed: present_days(df, feed) for feed, df in rows.items()})
+
+
+def exists_in_days(requests: DataFrame, catalog: DataFrame, days: dict[str, DataFrame]) -> DataFrame:
+    """``exists_feed_on_day`` from a row per instrument and day of each feed."""
+    present = both_feeds({feed: df.select(*FEED_DAY) for feed, df in days.items()})
     return (
         resolve(requests, catalog)
         .join(present.withColumn("_present", F.lit(True)), FEED_DAY, "left")
@@ -179,18 +197,24 @@ def missing_days(
     """
     last = as_day(as_of or dt.datetime.now(dt.timezone.utc).date())
     scope = scope or scope_of(requests)
+    first = (scope.first or last) if start is None else as_day(start)
+    rows = _narrowed(requests, scope, catalog, facts, (first, last), buckets) if first <= last else {}
+    return missing_in_days(requests, catalog, {feed: present_days(df, feed) for feed, df in rows.items()}, start, last)
+
+
+def missing_in_days(
+    requests: DataFrame, catalog: DataFrame, days: dict[str, DataFrame], start: dt.date | str | None, last: dt.date
+) -> DataFrame:
+    """``missing_days`` from a row per instrument and day of each feed."""
     if start is None:
-        first = scope.first or last
         starts = requests.withColumnRenamed("trading_day", "_start")
     else:
-        first = as_day(start)
-        starts = requests.drop("trading_day").withColumn("_start", F.lit(first))
+        starts = requests.drop("trading_day").withColumn("_start", F.lit(as_day(start)))
     columns = [*IDENTITY, "feed", "trading_day"]
     wanted = resolve(starts, catalog).withColumn("trading_day", calendar(F.col("_start"), F.lit(last)))
-    rows = _narrowed(requests, scope, catalog, facts, (first, last), buckets) if first <= last else {}
-    if not rows:
+    if not days:
         return wanted.select(*columns)
-    present = both_feeds({feed: present_days(df, feed) for feed, df in rows.items()})
+    present = both_feeds({feed: df.select(*FEED_DAY) for feed, df in days.items()})
     return wanted.join(present, FEED_DAY, "left_anti").select(*columns)
 
 

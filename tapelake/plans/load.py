@@ -23,6 +23,7 @@ from tapelake.operators.layout import BUCKETS, check_buckets, instrument_bucket,
 from tapelake.operators.normalize import normalize_levels, normalize_trades, sequence_arrival, sequence_sorted
 from tapelake.operators.sequence import continue_sequence
 from tapelake.operators.validate import check_facts, rejected, valid
+from tapelake.plans import summaries
 from tapelake.plans.staging import stage
 from tapelake.schemas import IDENTITY, LEVELS, TRADES, Feed
 from tapelake.sources.facts import read_feed_days
@@ -89,11 +90,21 @@ def _load(
         raise LoadRejected(f"{report.rejected} of {report.received} rows rejected: {report.reasons}")
     if not report.days:
         return report
-    target = _target(spark, spec, path, report.days, sorted({r.bucket for r in summary if r.reason is None}))
+    pairs: dict[dt.date, set[int]] = {}
+    for r in summary:
+        if r.reason is None:
+            pairs.setdefault(r.trading_day, set()).add(r.bucket)
+    target = _target(spark, spec, path, report.days, sorted(set().union(*pairs.values())))
     fresh = choose(valid(checked), target)
     written = Observation(f"written-{uuid.uuid4().hex}")
+    sound, new = summaries.kept_days(spark, path), set(report.days) - summaries.table_days(spark, path)
+    summaries.mark(spark, path, report.days)
     write_layout(fresh, path, buckets, observe=(written, F.count(F.lit(1)).alias("rows")))
     report.inserted = written.get["rows"]
+    if report.inserted:
+        summaries.refresh(spark, spec, path, pairs, sound)
+    else:
+        summaries.unmark(spark, path, (sound | new) & set(report.days))
     return report
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapelake.functions.times import as_day, instant_like
 from tapelake.operators.layout import BUCKETS, arrange
-from tapelake.plans import replacement
+from tapelake.plans import replacement, summaries
 from tapelake.plans.staging import child_names, delete_folder, file_lengths
 from tapelake.session import configure
 
@@ -94,6 +94,7 @@ def drop_expired_days(spark: SparkSession, path: str, as_of: dt.date | str, days
     old = [day for day in stored_days(spark, path) if day < cutoff]
     for day in old:
         delete_folder(spark, f"{path}/trading_day={day}")
+        delete_folder(spark, f"{path}/{summaries.SUMMARY}/trading_day={day}")
     return len(old)
 
 

@@ -14,7 +14,7 @@ from tapelake.lake import Lake
 from tapelake.functions import locations, sides, times, venues
 from tapelake.operators import catalog, coverage, dedup, layout, manifest, normalize, sequence, validate
 from tapelake.oracles import sql
-from tapelake.plans import importing, landing, load, maintenance, refresh
+from tapelake.plans import importing, landing, load, maintenance, refresh, summaries
 from tapelake.plans.staging import new_folder, stage
 from tapelake.schemas import IDENTITY, INSTRUMENT_FIELDS, LEVELS, PRICE, TRADES
 from tapelake.session import configure
@@ -237,6 +237,46 @@ def scan_feed(fx: Fixtures) -> DataFrame:
     return rows.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
 
 
+def _lake(fx: Fixtures) -> Lake:
+    """A lake with the trades in two loads, the second of which adds to days of the first, and the catalog."""
+    lake = Lake(fx.spark, new_folder(fx.spark, "lake"), "none", buckets=2)
+    fx.instruments().withColumn("instrument_id", F.col("instrument_id").cast("string")).write.partitionBy("exchange").parquet(lake.catalog_path)
+    rows = as_stored(fx.trades())
+    for part in (rows.filter("side <> 0"), rows):
+        load.append_trades(part, lake.table(TRADES), on_invalid="reject", buckets=2)
+    return lake
+
+
+VALID = "price > 0 AND quantity >= 0"
+
+
+@query(f"""SELECT i.base_asset, i.quote_asset, i.exchange, i.instrument_type, 'Trades' AS feed, CAST(i.instrument_id AS VARCHAR) AS instrument_id,
+  t.trading_day, count(*) AS items_count, min(t.ts) AS first_ts, max(t.ts) AS last_ts
+FROM fx_instruments i JOIN fx_trades t ON t.instrument_id = i.instrument_id
+WHERE t.ts >= TIMESTAMP '2024-01-01' AND t.ts < TIMESTAMP '2024-02-01' AND {VALID} GROUP BY ALL""")
+def kept_day_info(fx: Fixtures) -> DataFrame:
+    """Infos of every instrument-day of the month, from the summaries that the loads kept."""
+    return _lake(fx).info(_daily(_requests(fx, "Trades", "LevelUpdates", "OrdersLog")))
+
+
+@query(MISSING.format(feed="Trades", first=FIRST, last=LAST, view=f"(SELECT * FROM fx_trades WHERE {VALID})"))
+def kept_missing_days(fx: Fixtures) -> DataFrame:
+    return _lake(fx).missing_days(_requests(fx, "Trades"), FIRST, LAST)
+
+
+@query(f"""SELECT i.base_asset, i.quote_asset, i.exchange, i.instrument_type, f.feed, CAST(CAST(d.d AS DATE) AS VARCHAR) AS trading_day, p.instrument_id IS NOT NULL AS has_data
+FROM fx_instruments i CROSS JOIN (VALUES ('Trades'), ('OrdersLog')) f(feed)
+CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS d) d
+LEFT JOIN (SELECT DISTINCT instrument_id, trading_day FROM fx_trades WHERE {VALID}) p
+  ON f.feed = 'Trades' AND p.instrument_id = i.instrument_id AND p.trading_day = CAST(CAST(d.d AS DATE) AS VARCHAR)""")
+def kept_exists_on_day(fx: Fixtures) -> DataFrame:
+    """Which feed-days exist, when every third day lost its summary and is counted from the facts of its instruments."""
+    lake = _lake(fx)
+    path = lake.table(TRADES)
+    summaries.mark(fx.spark, path, sorted(summaries.table_days(fx.spark, path))[::3])
+    return lake.exists(_daily(_requests(fx, "Trades", "OrdersLog")))
+
+
 # ---- catalog queries --------------------------------------------------------------------------------------------------
 VIEW_COLUMNS = ", ".join(["instrument_id", "symbol_id", *IDENTITY, *INSTRUMENT_FIELDS])
 

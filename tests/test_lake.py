@@ -6,8 +6,8 @@ from conftest import DAY_MICROS, MIDNIGHT
 from pyspark.sql import functions as F
 
 from tapelake.lake import Lake
-from tapelake.operators import coverage
-from tapelake.plans import landing, load
+from tapelake.operators import coverage, layout
+from tapelake.plans import landing, load, summaries
 from tapelake.schemas import TRADES
 from tapelake.sources import facts
 
@@ -225,9 +225,53 @@ def test_coverage_prunes_days_and_never_runs_python(lake):
     for df in (lake.info(requests), lake.exists(requests), lake.missing_days(requests, "2024-01-15", "2024-01-15")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
-        filters = [p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:]]
-        assert any("trading_day" in f and "instr_bucket" in f for f in filters)
         assert "level_updates" not in plan  # a feed nobody asked for is not read
+        files = [f for f in df.inputFiles() if "/instruments/" not in f]
+        assert files and all("/trades/_summary/trading_day=" in f for f in files)  # no fact file is opened
+
+
+def test_days_without_summary_are_counted_by_folder(lake):
+    """Two requests ten years apart open two folders, those of their instruments."""
+    both = btc(lake).unionByName(btc(lake, day="2024-01-16"))
+    lake.load_trades(both)
+    path, ids = lake.table(TRADES), [f"x{n}" for n in range(20)]
+    held = lake.facts(TRADES)
+    assert held.count() == 10
+    far = held.withColumns({"ts": F.col("ts") - F.expr("INTERVAL 10 YEARS"), "trading_day": F.add_months("trading_day", -120)})
+    others = held.crossJoin(lake.spark.createDataFrame([(i,) for i in ids], "other string")).withColumn("instrument_id", F.col("other")).drop("other")
+    layout.write_layout(far.unionByName(others), path, lake.buckets_of(TRADES))
+    summaries.mark(lake.spark, path, [DAY, dt.date(2024, 1, 16)])
+    requests = btc(lake, feed="Trades").unionByName(btc(lake, day="2014-01-16", feed="Trades"))
+    info = lake.info(requests)
+    rows = {(r.trading_day, r.items_count) for r in info.collect()}
+    assert {d for d, _ in rows} == {DAY, dt.date(2014, 1, 16)}
+    plan = info._jdf.queryExecution().executedPlan().toString()
+    pruned = [p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:]]
+    assert any("trading_day" in f and "instr_bucket" in f for f in pruned)
+    wanted = summaries.in_pairs(coverage.requested_pairs(requests, lake.catalog, lake.buckets_of(TRADES)))
+    assert facts.read_feed(lake.spark, TRADES, path).where(wanted).select("trading_day", "instr_bucket").distinct().count() == 2
+    assert lake.exists(requests).where("has_data").count() == 2
+    mended = lake.mend_summaries()["Trades"]
+    assert len(mended) == 4 and {(r.trading_day, r.items_count) for r in lake.info(requests).collect()} == rows
+
+
+@pytest.mark.parametrize("lost_at", ["write_layout", "refresh"])
+def test_broken_loads_leave_no_wrong_summary(lake, monkeypatch, lost_at):
+    lake.load_trades(btc(lake))
+    before = lake.facts(TRADES).count()
+
+    def lost(*_args, **_options):
+        raise KeyboardInterrupt
+
+    rows = lake.facts(TRADES).withColumn("trade_id", F.col("trade_id") + 100)
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(load if lost_at == "write_layout" else summaries, lost_at, lost)
+        load.append_trades(rows, lake.table(TRADES), buckets=lake.buckets_of(TRADES))
+    info = lake.info(btc(lake, feed="Trades")).first()
+    assert info.items_count == lake.facts(TRADES).count() == before * (1 if lost_at == "write_layout" else 2)
+    load.append_trades(rows.withColumn("trade_id", F.col("trade_id") + 100), lake.table(TRADES), buckets=lake.buckets_of(TRADES))
+    assert summaries.kept_days(lake.spark, lake.table(TRADES)) == {DAY}
+    assert lake.info(btc(lake, feed="Trades")).first().items_count == lake.facts(TRADES).count()
 
 
 def test_requests_with_unknown_instruments(lake):

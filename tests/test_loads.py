@@ -139,7 +139,7 @@ def test_layout_is_sorted_and_prunes(spark, folder):
         trade(n, (n * 37) % 600, day=DAY + dt.timedelta(days=n % 3), instrument=f"i{n % 5}") for n in range(600)
     ]
     load.append_trades(trades(spark, *rows), f"{folder}/t", buckets=4)
-    files = glob.glob(f"{folder}/t/**/*.parquet", recursive=True)
+    files = glob.glob(f"{folder}/t/trading_day=*/**/*.parquet", recursive=True)
     assert len({os.path.dirname(f) for f in files}) > 3
     for file in files:
         table = pq.ParquetFile(file).read(columns=["instrument_id", "ts"]).to_pylist()
@@ -177,7 +177,7 @@ def test_hot_partition_is_split_at_the_write(spark, folder):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert report.inserted == 60_000
-    assert len(glob.glob(f"{folder}/t/**/*.parquet", recursive=True)) > 1
+    assert len(glob.glob(f"{folder}/t/trading_day=*/**/*.parquet", recursive=True)) > 1
 
 
 def test_keep_first_limits_groups_before_the_shuffle(spark):
