@@ -2,12 +2,13 @@
 
 1. Every line of every text is normalised (lower case, digits as 0, ASCII punctuation as spaces, single spaces), hashed, and given a
    64-bit SimHash of its distinct words (counted words would make all long lines alike by their common words). Lines whose
-   normalised form has fewer than ``LEAST`` characters have no SimHash and are never compared with different ones; with ``short``
-   equal ones are one group, without it they all stay. Equal normalised lines become one row, before anything else is joined.
+   normalised form has fewer than ``LEAST`` characters have no SimHash and are never compared with different ones; equal ones
+   are one group, or all stay unless ``short``. Equal normalised lines become one row, before anything else is joined.
 2. Two SimHashes that differ in at most ``DISTANCE`` bits agree in ``take`` of ``DISTANCE + take`` blocks, whichever bits differ. A
    line is sent to one bucket per choice of ``take`` blocks. ``take`` grows with the number of lines so that buckets stay small;
    the pairs found are the same for every ``take``. Buckets of more than ``SPLIT`` lines are cut into blocks that meet in pairs.
-   Within a bucket the bits that vary are cut into ``DISTANCE + 1`` parts, and only lines that agree in one of them are compared.
+   Within a bucket the bits that vary are cut into ``DISTANCE + 1`` parts, and only lines that agree in one of them are compared; and of
+   these, sorted by length, only those whose lengths allow the similarity: a longer line has at most 1 / ``SIMILARITY`` times as many characters.
 3. A line with at most ``FEW`` neighbours in a bucket is paired with all of them; lines with more are paired with the smallest
    one. Pairs whose normalised lines reach ``SIMILARITY`` (1 - edit distance / longer length) are links.
 4. Of the lines with more neighbours, pairs that the links so far leave in different groups are verified too, so every pair of
@@ -16,8 +17,7 @@
 
 A 64-bit hash stands for a normalised line.
 
-The query and the pipeline pass ``WHOLE``. Of pairs that reach ``SIMILARITY``, 37 % are within ``DISTANCE`` bits and 91 % within those
-of ``WHOLE`` (349 pairs of sf0.01 that share a rare pair of words).
+Of pairs that reach ``SIMILARITY``, 91 % are within ``DISTANCE`` bits, 37 % within 4 (349 pairs of sf0.01 that share a rare pair of words).
 
 Defined results: null and empty texts have no lines; blank lines always stay; rows that repeat a doc_id and a text are one document,
 each gets the same lines; a document that loses all its lines is dropped by ``dedup_lines``, documents without text stay. Further
@@ -41,14 +41,12 @@ from tapelake.llm.shingles import as_bytes, word_hashes
 from tapelake.plans.staging import stage
 
 LEAST = 20
-DISTANCE = 4
+DISTANCE = 10
 SIMILARITY = 0.8
 FEW = 4
 SPLIT = 1 << 17
 # Lines per bucket that the choice of ``take`` aims at.
 AIM = 1 << 16
-# What the query and the pipeline ask for.
-WHOLE = {"distance": 10, "short": True}
 
 _UPPER_TO_LOWER = bytes(range(256)).lower()
 _TABLE = bytes(
@@ -89,35 +87,37 @@ def simhashes(lines: list[list[bytes]]) -> np.ndarray:
     return out
 
 
-LINE = "doc_id long, tie long, line_no int, line long, sim long"
+LINE = "doc_id long, tie long, line_no int, line long, sim long, size int"
 
 
 def _line_rows(least: int, short: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
-            docs, numbers, keys, lines, compared = [], [], [], [], []
+            docs, numbers, keys, lines, sizes = [], [], [], [], []
             for at, text in enumerate(as_bytes(batch.column("text"))):
                 for number, words in enumerate(normalised_lines(text)):
                     if not words:
                         continue
                     whole = b" ".join(words)
-                    long = len(whole) >= 4 * least or len(whole.decode("utf-8", "replace")) >= least
+                    size = len(whole) if whole.isascii() else len(whole.decode("utf-8", "replace"))
+                    long = size >= least
                     docs.append(at)
                     numbers.append(number)
                     keys.append(xxhash.xxh3_64_intdigest(whole) if long or short else None)
                     lines.append(words if long else [])
-                    compared.append(long)
+                    sizes.append(size)
             sims = simhashes(lines).view(np.int64) if lines else np.zeros(0, np.int64)
             known = np.array([k is not None for k in keys], bool)
             key = np.array([k or 0 for k in keys], np.uint64).view(np.int64)
-            at = pa.array(docs, pa.int64())
+            at, size = pa.array(docs, pa.int64()), np.array(sizes, np.int32)
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id").take(at),
                     "tie": batch.column("tie").take(at),
                     "line_no": pa.array(numbers, pa.int32()),
                     "line": pa.array(key, mask=~known),
-                    "sim": pa.array(sims, mask=~np.array(compared, bool)),
+                    "sim": pa.array(sims, mask=size < least),
+                    "size": pa.array(size),
                 }
             )
 
@@ -129,9 +129,9 @@ def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
 
 
-def lines(documents: DataFrame, least: int = LEAST, short: bool = False) -> DataFrame:
-    """A row per line that isn't blank: doc_id, tie (of the text), line_no, line and sim. Short lines have no sim, and a line only
-    if ``short``."""
+def lines(documents: DataFrame, least: int = LEAST, short: bool = True) -> DataFrame:
+    """A row per line that isn't blank: doc_id, tie (of the text), line_no, line, sim and size in characters. Short lines have no sim,
+    and a line only if ``short``."""
     return _texts(documents).mapInArrow(_line_rows(least, short), LINE)
 
 
@@ -180,33 +180,50 @@ LONG_RUN = 32
 WIDE_RUN = 4096
 
 
-def _all_near(run: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for first in range(0, len(run), 512):
-        i, j = np.nonzero(np.bitwise_count(run[first : first + 512, None] ^ run[None, first:]) <= distance)
-        kept = i < j
-        if kept.any():
-            yield i[kept] + first, j[kept] + first
+# Rows compared with each other at a time, so that what is between stays in the cache.
+TILE = (256, 1024)
 
 
-def _near_in_run(run: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j), i < j, that are near. They agree in one of ``distance + 1`` parts of the bits, so a long run is sorted by each
-    part, and a pair is told by the first part that it agrees in."""
+def _reach(size: np.ndarray, similarity: float) -> np.ndarray:
+    """For each of the ascending sizes, up to where larger ones allow the similarity."""
+    return np.searchsorted(size, np.floor(size / similarity + 1e-6), side="right")
+
+
+def _all_near(run: np.ndarray, reach: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j), i < j < reach[i], that are near."""
+    rows, columns = TILE
+    for first in range(0, len(run), rows):
+        part = run[first : first + rows, None]
+        for start in range(first, reach[min(first + rows, len(run)) - 1], columns):
+            near = np.bitwise_count(part ^ run[None, start : start + columns]) <= distance
+            if near.any():
+                i, j = np.nonzero(near)
+                i, j = i + first, j + start
+                kept = (i < j) & (j < reach[i])
+                if kept.any():
+                    yield i[kept], j[kept]
+
+
+def _near_in_run(run: np.ndarray, size: np.ndarray, distance: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j), i < j, of rows in order of size that are near and whose sizes allow the similarity. They agree in one of
+    ``distance + 1`` parts of the bits, so a long run is cut by each part, and a pair is told by the first part that it agrees in."""
+    reach = _reach(size, similarity)
     bits = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(run ^ run[0], keepdims=True).view(np.uint8), bitorder="little")).astype(np.uint64)
     if len(run) < WIDE_RUN or len(bits) <= distance:
-        yield from _all_near(run, distance)
+        yield from _all_near(run, reach, distance)
         return
     masks = [np.bitwise_or.reduce(np.uint64(1) << part) for part in np.array_split(bits, distance + 1)]
     cuts = []
     for mask in masks:
-        order = np.argsort(run & mask, kind="stable")
+        order = np.argsort(run & mask, kind="stable")  # rows of a part stay in order of size
         keys = (run & mask)[order]
         cuts.append(np.split(order, np.flatnonzero(keys[1:] != keys[:-1]) + 1))
     if sum(len(rows) ** 2 for cut in cuts for rows in cut) >= len(run) ** 2:
-        yield from _all_near(run, distance)
+        yield from _all_near(run, reach, distance)
         return
     for number, cut in enumerate(cuts):
         for rows in cut:
-            for i, j in _all_near(run[rows], distance):
+            for i, j in _all_near(run[rows], _reach(size[rows], similarity), distance):
                 i, j = rows[i], rows[j]
                 new = np.ones(len(i), bool)
                 for mask in masks[:number]:
@@ -214,15 +231,17 @@ def _near_in_run(run: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, n
                 yield i[new], j[new]
 
 
-def _neighbours(sim: np.ndarray, ends: np.ndarray, side: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows (i, j), i < j, of one run that are near; rows of two blocks only meet across the blocks."""
+def _neighbours(sim: np.ndarray, size: np.ndarray, ends: np.ndarray, side: np.ndarray, distance: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows (i, j), i < j, of one run that are near and of fitting sizes; rows of two blocks only meet across the blocks."""
     starts = np.flatnonzero(np.append(True, ends[1:] != ends[:-1])) if len(ends) else ends
     lengths = ends[starts] - starts
     for start, length in zip(starts[lengths >= LONG_RUN], lengths[lengths >= LONG_RUN], strict=True):
-        for i, j in _near_in_run(sim[start : start + length], distance):
+        run = slice(start, start + length)
+        for i, j in _near_in_run(sim[run], size[run], distance, similarity):
             yield _across(i + start, j + start, side)
     rows, step = np.flatnonzero(np.repeat(lengths < LONG_RUN, lengths)), 1
     while len(rows := rows[rows + step < ends[rows]]):
+        rows = rows[size[rows + step] <= np.floor(size[rows] / similarity + 1e-6)]  # further ones are larger still
         found = rows[np.bitwise_count(sim[rows] ^ sim[rows + step]) <= distance]
         yield _across(found, found + step, side)
         step += 1
@@ -240,15 +259,15 @@ def _run_ends(bucket: np.ndarray) -> np.ndarray:
 PAIR = "a long, b long, crowded boolean"
 
 
-def _near_pairs(distance: int, crowd: int):
+def _near_pairs(distance: int, similarity: float, crowd: int):
     """Step 3. Rows with a true flag and a = b tell the lines that have more neighbours."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, line, sim, side in sorted_runs(batches, ("bucket", "line", "sim", "side")):
+        for bucket, line, sim, size, side in sorted_runs(batches, ("bucket", "line", "sim", "size", "side")):
             ends, sims = _run_ends(bucket), sim.view(np.uint64)
             degree, smallest = np.zeros(len(line), np.int64), line.copy()
             held, count = [], 0  # the pairs found, if they aren't too many to keep
-            for i, j in _neighbours(sims, ends, side, distance):
+            for i, j in _neighbours(sims, size, ends, side, distance, similarity):
                 count += len(i)
                 if len(i) and count <= PAIRS:
                     held.append((i, j))
@@ -258,7 +277,7 @@ def _near_pairs(distance: int, crowd: int):
                 np.minimum.at(smallest, j, line[i])
             crowded = degree > crowd
             out = [(line[crowded], smallest[crowded], np.zeros(crowded.sum(), bool)), (line[crowded], line[crowded], np.ones(crowded.sum(), bool))]
-            for i, j in held if count <= PAIRS else _neighbours(sims, ends, side, distance):
+            for i, j in held if count <= PAIRS else _neighbours(sims, size, ends, side, distance, similarity):
                 kept = ~(crowded[i] & crowded[j])
                 out.append((line[i[kept]], line[j[kept]], np.zeros(kept.sum(), bool)))
             yield from _pair_batches(out)
@@ -275,12 +294,12 @@ def _pair_batches(out: list[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"a": pa.array(np.minimum(a[part], b[part])), "b": pa.array(np.maximum(a[part], b[part])), "crowded": pa.array(crowded[part])})
 
 
-def _far_pairs(distance: int):
+def _far_pairs(distance: int, similarity: float):
     """Step 4: near pairs of different groups."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, line, sim, side, group in sorted_runs(batches, ("bucket", "line", "sim", "side", "group")):
-            for i, j in _neighbours(sim.view(np.uint64), _run_ends(bucket), side, distance):
+        for bucket, line, sim, size, side, group in sorted_runs(batches, ("bucket", "line", "sim", "size", "side", "group")):
+            for i, j in _neighbours(sim.view(np.uint64), size, _run_ends(bucket), side, distance, similarity):
                 apart = group[i] != group[j]
                 if apart.any():
                     yield from _pair_batches([(line[i[apart]], line[j[apart]], np.zeros(apart.sum(), bool))])
@@ -289,10 +308,10 @@ def _far_pairs(distance: int):
 
 
 def dealt(sims: DataFrame, distance: int, take: int, split: int) -> DataFrame:
-    """Rows (line, sim, ...) in their buckets, sorted within partitions."""
+    """Rows (line, sim, size, ...) in their buckets, sorted by size within them."""
     rows = sims.withColumn("bucket", F.explode(bucket_keys(F.col("sim"), distance, take)))
     rows = in_blocks(rows, "bucket", "line", split)
-    return rows.repartition(shuffle_partitions(sims.sparkSession), "bucket").sortWithinPartitions("bucket", "line")
+    return rows.repartition(shuffle_partitions(sims.sparkSession), "bucket").sortWithinPartitions("bucket", "size")
 
 
 def _same_start(x: str, y: str) -> int:
@@ -360,32 +379,32 @@ def similar(documents: DataFrame, distinct: DataFrame, pairs: DataFrame, similar
 
 
 def line_groups(documents: DataFrame, distinct: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, crowd: int = FEW, split: int = SPLIT, take: int | None = None) -> DataFrame:
-    """(node, component) for the lines that have similar lines, from staged (line, sim, place) of the distinct lines."""
-    sims = distinct.select("line", "sim").where("sim IS NOT NULL")
+    """(node, component) for the lines that have similar lines, from staged (line, sim, size, place) of the distinct lines."""
+    sims = distinct.select("line", "sim", "size").where("sim IS NOT NULL")
     take = take or choose_take(sims.count(), distance)
-    pairs = dealt(sims, distance, take, split).mapInArrow(_near_pairs(distance, crowd), PAIR)
+    pairs = dealt(sims, distance, take, split).mapInArrow(_near_pairs(distance, similarity, crowd), PAIR)
     pairs = stage(pairs.distinct(), "pairs")
     links = stage(similar(documents, distinct, pairs.where("NOT crowded").select("a", "b"), similarity), "links")
     groups = stage(components(links, "a", "b"), "groups")
     crowded = sims.join(pairs.where("crowded").select(F.col("a").alias("line")).distinct(), "line")
-    crowded = stage(crowded.join(groups.withColumnRenamed("node", "line"), "line", "left").select("line", "sim", F.coalesce("component", "line").alias("group")), "crowded")
+    crowded = stage(crowded.join(groups.withColumnRenamed("node", "line"), "line", "left").select("line", "sim", "size", F.coalesce("component", "line").alias("group")), "crowded")
     if not crowded.limit(1).count():
         return groups
-    more = dealt(crowded, distance, take, split).mapInArrow(_far_pairs(distance), PAIR).select("a", "b").distinct()
+    more = dealt(crowded, distance, take, split).mapInArrow(_far_pairs(distance, similarity), PAIR).select("a", "b").distinct()
     more = stage(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "more")
     if not more.limit(1).count():
         return groups
     return components(links.unionByName(similar(documents, distinct, more, similarity)), "a", "b")
 
 
-def group_lines(documents: DataFrame, least: int = LEAST, short: bool = False, **options) -> DataFrame:
+def group_lines(documents: DataFrame, least: int = LEAST, short: bool = True, **options) -> DataFrame:
     """A row per line that isn't blank: doc_id, tie, line_no, first_doc_id, first_tie, first_line_no, kept.
 
     ``first_*`` tell the occurrence that stays of the line's group. A short line is of the group of its equals if ``short``, else its own.
     """
     found = stage(lines(documents, least, short), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie", "line_no")
-    distinct = found.where("line IS NOT NULL").groupBy("line").agg(F.min(place).alias("place"), F.min("sim").alias("sim"))
+    distinct = found.where("line IS NOT NULL").groupBy("line").agg(F.min(place).alias("place"), F.min("sim").alias("sim"), F.min("size").alias("size"))
     distinct = stage(distinct, "distinct")
     groups = line_groups(documents, distinct, **options)
     distinct = stage(distinct.join(groups.withColumnRenamed("node", "line"), "line", "left").withColumn("group", F.coalesce("component", "line")), "labels")

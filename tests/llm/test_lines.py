@@ -18,7 +18,7 @@ def distance(a, b):
     return row[-1]
 
 
-def brute(docs, least=20, bits=4, similarity=0.8):
+def brute(docs, least=lines.LEAST, bits=lines.DISTANCE, similarity=lines.SIMILARITY):
     found = []
     for doc, text in docs:
         for number, line in enumerate((text or "").split("\n")):
@@ -35,11 +35,11 @@ def brute(docs, least=20, bits=4, similarity=0.8):
                 if distance(long[a], long[b]) <= room + 1e-6:
                     groups.join(a, b)
     number = {norm: k for k, norm in enumerate(long)}
+    group = {norm: groups.find(number[norm]) if norm in number else norm for _, _, norm in found}
     first = {}
     for doc, at, norm in sorted(found):
-        if norm in number:
-            first.setdefault(groups.find(number[norm]), (doc, at))
-    return {(doc, at): first[groups.find(number[norm])] if norm in number else (doc, at) for doc, at, norm in found}
+        first.setdefault(group[norm], (doc, at))
+    return {(doc, at): first[group[norm]] for doc, at, norm in found}
 
 
 def corpus(seed):
@@ -86,7 +86,7 @@ def test_texts_left(spark):
     got = {r.doc: (r.doc_id, r.text, r.tie, r.n_chars) for r in lines.dedup_lines(docs).collect()}
     assert got == {
         1: (1, f"{one}\nshort\n\n{two}", "a", 7),
-        2: (2, f"short\n{three}", "b", 6 + len(three)),
+        2: (2, three, "b", len(three)),
         4: (None, "mine", "d", 4),
         5: (4, None, None, None),
         6: (5, " ", "e", 1),
@@ -131,7 +131,7 @@ def test_equal_short_lines(spark, monkeypatch):
         (1, 0): (0, 0, False), (1, 1): (1, 1, True), (1, 2): (0, 3, False),
         (2, 0): (2, 0, True), (2, 1): (2, 0, False), (2, 2): (2, 2, True),
     }
-    left = {r.doc_id: r.text for r in lines.dedup_lines(docs, **lines.WHOLE).collect()}
+    left = {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()}
     assert left == {0: texts[0], 1: "shorts", 2: "x\nown", 3: None}
 
 
@@ -139,10 +139,15 @@ def test_wide_runs(monkeypatch):
     draw = np.random.default_rng(3)
     run = draw.integers(0, 2**63, 400, dtype=np.uint64) & np.uint64(0x00FFFFFFFFFFFF00)
     run[200:] = run[:200] ^ (np.uint64(1) << draw.integers(8, 56, 200, dtype=np.uint64)) ^ (np.uint64(1) << draw.integers(8, 56, 200, dtype=np.uint64))
-    want = {(i, j) for i in range(400) for j in range(i + 1, 400) if np.bitwise_count(run[i] ^ run[j]) <= 10}
-    monkeypatch.setattr(lines, "WIDE_RUN", 50)
-    got = [(int(a), int(b)) for i, j in lines._near_in_run(run, 10) for a, b in zip(i, j, strict=True)]
-    assert len(want) >= 200 and len(got) == len(set(got)) and set(got) == want
+    size = np.sort(draw.integers(20, 26, 400, dtype=np.int32))
+    order = draw.permutation(400)
+    run = run[order]
+    want = {(i, j) for i in range(400) for j in range(i + 1, 400) if np.bitwise_count(run[i] ^ run[j]) <= 10 and 10 * (size[j] - size[i]) <= 2 * size[j]}
+    monkeypatch.setattr(lines, "TILE", (7, 30))
+    for wide in (50, 1000):
+        monkeypatch.setattr(lines, "WIDE_RUN", wide)
+        got = [(int(a), int(b)) for i, j in lines._near_in_run(run, size, 10, 0.8) for a, b in zip(i, j, strict=True)]
+        assert len(want) >= 150 and len(got) == len(set(got)) and set(got) == want
 
 
 def test_edit_distance():
