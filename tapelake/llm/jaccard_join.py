@@ -3,7 +3,8 @@
 Two sets of sizes m and n reach a Jaccard similarity of p percent only if they share T = ceil(p (m + n) / (100 + p)) elements:
 a document has to occur on T of the inverted lists of the other one's shingles. The job:
 
-1. Documents with the same word sequence form one class; the smallest doc_id stands for it.
+1. Documents with the same word sequence form one class. Its node is its smallest doc_id; where that is the smallest one of several
+   classes, a doc_id standing on several texts, all but one of them have a number of their own.
 2. Most shingles occur in one class only. For linked documents, the first ``n - t + n / 8`` hashes of each set (t is the least
    overlap any link needs) hold at least about n / 10 common ones. Whoever shares fewer with all other classes is linked with
    nothing. The hashes are dealt by value to tasks that count them; one that several documents of a batch share is sent once.
@@ -15,8 +16,8 @@ a document has to occur on T of the inverted lists of the other one's shingles.
 5. Components of the links.
 
 Defined results: texts that are null, empty or without words have an empty set and are linked with nothing; rows without doc_id
-get their ``n_shingles`` and a null component; repeated rows and copies are one class, and each row is returned. Only the two
-columns named are read, so others may have any name.
+get their ``n_shingles`` and a null component; repeated rows and copies are one class, and each row is returned; different texts
+under one doc_id are documents of their own, whose links all count. Only the two columns named are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -176,13 +177,13 @@ def _token_rows(width: int):
                 words = split_words(text)
                 keys.append(class_key(words))
                 tokens.append(distinct_shingles(words, width).astype(np.int64))
-            yield pa.record_batch({"node": batch.column("doc_id"), "class": pa.array(keys, pa.binary()), "tokens": pa.array(tokens, pa.list_(pa.int64()))})
+            yield pa.record_batch({"least": batch.column("doc_id"), "class": pa.array(keys, pa.binary()), "tokens": pa.array(tokens, pa.list_(pa.int64()))})
 
     return rows
 
 
 def likely(documents: DataFrame, heads: DataFrame, width: int, percent: int) -> DataFrame:
-    """Step 2: (node, n) of the classes that share enough of their first hashes with others."""
+    """Step 2: (node, least, n, class) of the classes that share enough of their first hashes with others."""
     spark = documents.sparkSession
     total = heads.agg(F.sum("n")).first()[0] or 0
     parts = max(1, math.ceil(total * 0.4 / COUNTED))
@@ -192,15 +193,15 @@ def likely(documents: DataFrame, heads: DataFrame, width: int, percent: int) ->
     shared = dealt.mapInArrow(_shared_counts, "owner long, shared long").groupBy("owner").agg(F.sum("shared").alias("shared"))
     # A partner has at least least_overlap(n) elements and an eighth of them, one at least, beyond its own shortest prefix.
     asked = F.greatest(F.lit(1), F.floor(F.floor((F.lit(percent) * F.col("n") + 99) / 100) / 8))
-    return heads.join(shared, "owner").where(F.col("shared") >= asked).select("node", "n", "class")
+    return heads.join(shared, "owner").where(F.col("shared") >= asked).select("node", "least", "n", "class")
 
 
 def inverted(documents: DataFrame, chosen: DataFrame, width: int, percent: int) -> DataFrame:
     """Step 3: (node, n, tokens, family); the shared shingles of each class from rare to frequent."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    texts = rows.join(chosen.select("node"), "node", "left_semi").withColumnRenamed("node", "doc_id")
-    sets = stage(texts.mapInArrow(_token_rows(width), "node long, class binary, tokens array<long>"), "sets")
-    sets = sets.join(chosen, ["node", "class"]).dropDuplicates(["node"])
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = rows.join(chosen.select(F.col("least").alias("doc_id")), "doc_id", "left_semi")
+    sets = stage(texts.mapInArrow(_token_rows(width), "least long, class binary, tokens array<long>"), "sets")
+    sets = sets.join(chosen, ["least", "class"]).dropDuplicates(["node"])
     entries = sets.select("node", "n", F.explode("tokens").alias("token"))
     lists = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     kept = entries.join(lists, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("lists"))
@@ -306,15 +307,29 @@ def links(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFr
 
 
 def labelled(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Staged rows (doc_id, tie, class, owner, n_shingles) of all documents, and (class, node, label) of the classes: the smallest
-    doc_id of the class and of its component."""
+    """Staged rows (doc_id, tie, class, owner, n_shingles) of all documents, and (class, least, group, label) of the classes: the
+    smallest doc_id of the class, its component, and the smallest doc_id of that."""
     rows = stage(classes(documents, width), "classes")
     owned = rows.where("doc_id IS NOT NULL AND class IS NOT NULL")
-    heads = stage(owned.groupBy("class", "owner").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n")), "heads")
+    heads = stage(owned.groupBy("class", "owner").agg(F.min("doc_id").alias("least"), F.min("n_shingles").alias("n")), "heads")
+    heads = with_nodes(heads)
     chosen = stage(likely(documents, heads, width, percent), "likely")
     found = stage(links(inverted(documents, chosen, width, percent), percent, block), "links")
-    joined = heads.join(components(found, "a", "b"), "node", "left")
-    return rows, joined.select("class", "node", F.coalesce("component", "node").alias("label"))
+    reached = components(found, "a", "b").join(heads.select("node", "least", "class"), "node")
+    label = reached.groupBy("component").agg(F.min("least").alias("label"))
+    reached = reached.join(label, "component").select("class", F.col("component").alias("group"), "label")
+    joined = heads.join(reached, "class", "left")
+    return rows, joined.select("class", "least", F.coalesce("group", "node").alias("group"), F.coalesce("label", "least").alias("label"))
+
+
+def with_nodes(heads: DataFrame) -> DataFrame:
+    """Classes with a ``node`` that no other class has: ``least``, or a number beyond 2**62 where another class has it."""
+    shared = stage(heads.groupBy("least").agg(F.count("*").alias("classes"), F.min("class").alias("first")).where("classes > 1"), "shared-ids")
+    if not shared.limit(1).count():
+        return heads.withColumn("node", F.col("least"))
+    own = F.xxhash64("class").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    joined = heads.join(few(shared.select("least", "first")), "least", "left")
+    return joined.withColumn("node", F.when(F.col("first").isNull() | (F.col("first") == F.col("class")), F.col("least")).otherwise(own)).drop("first")
 
 
 def jaccard_components(documents: DataFrame, **options) -> DataFrame:
@@ -330,9 +345,9 @@ def keep_one(documents: DataFrame, **options) -> DataFrame:
     Documents without a doc_id or words stay; rows that repeat a doc_id and a text count as copies.
     """
     rows, labels = labelled(documents, **options)
-    first = labels.groupBy("label").agg(F.min(F.struct("node", "class")).alias("first"))
+    first = labels.groupBy("group").agg(F.min(F.struct("least", "class")).alias("first"))
     owned = rows.where("doc_id IS NOT NULL AND class IS NOT NULL")
-    leaders = first.select(F.col("first.class").alias("class"), F.col("first.node").alias("doc_id"))
+    leaders = first.select(F.col("first.class").alias("class"), F.col("first.least").alias("doc_id"))
     kept = owned.join(leaders, ["class", "doc_id"]).groupBy("class", "doc_id").agg(F.min("tie").alias("tie"))
     doc, tie = spare(documents.columns, "doc", "tie")
     named = [F.col("doc_id").alias(doc), F.col("tie").alias(tie)]

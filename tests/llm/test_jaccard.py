@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import WORDS, jaccard_components, near_copies
+from helpers import WORDS, jaccard_components, near_copies, shingles
 
 from tapelake.llm import jaccard_join
 from tapelake.llm.jaccard_join import divide_skip, keep_one
@@ -39,6 +39,23 @@ def test_repeated_rows_nulls_and_other_columns(spark):
     assert keep_one(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("block", [1_000_000, 50])
+def test_one_doc_id_on_several_texts(spark, block):
+    a, b, c = (" ".join(WORDS[k : k + 60]) for k in (0, 100, 200))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (1, a + " z"), (4, c), (5, c), (5, "alone " + c[:100]), (6, c + " x"), (7, b), (0, c[:50])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in joined(docs, block=block).collect()}
+    want = {
+        (1, 56, 1), (2, 57, 1), (3, 57, 1), (1, 57, 1), (7, 56, 1),
+        (4, 56, 4), (5, 56, 4), (6, 57, 4), (5, len(shingles("alone " + c[:100])), 5), (0, len(shingles(c[:50])), 0),
+    }
+    assert got == want
+    kept = sorted((r.doc_id, r.text) for r in keep_one(docs, block=block).collect())
+    assert len(kept) == 5 and {(4, c), (5, "alone " + c[:100]), (0, c[:50])} < set(kept)
+    assert (1, b) in kept and sum(doc == 1 and text in (a, a + " z") for doc, text in kept) == 1
+    assert kept == sorted((r.doc_id, r.text) for r in keep_one(docs.repartition(5), block=block).collect())
+
+
 def test_keep_one_of_repeated_rows(spark):
     docs = spark.createDataFrame([(1, " ".join(WORDS[:9]))] * 3 + [(2, "other")], "doc_id long, tie string")
     docs = docs.withColumnRenamed("tie", "text")
