@@ -78,11 +78,17 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(7 + sum(length({_ESCAPED.format("text")}) + CASE WHEN role = 'assistant' THEN 11 ELSE 19 + length({_ESCAPED.format("role")}) END) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id"""
 
+# Items of fewer than five words are looked for among the documents' runs of as many words.
 OP7 = f"""WITH {_shingles("d", "doc_id", "documents")}, {_shingles("q", "item_id", "benchmark")},
-sizes AS (SELECT item_id, count(*) AS n_item FROM q GROUP BY 1)
+long AS (SELECT item_id, s FROM q JOIN (SELECT item_id FROM q_words WHERE len(w) >= 5) USING (item_id)),
+short AS (SELECT item_id, len(w) AS l, array_to_string(w, ' ') AS s FROM q_words WHERE len(w) BETWEEN 1 AND 4),
+runs AS (SELECT DISTINCT doc_id, l, unnest(list_transform(range(1, len(w) - l + 2), lambda i: array_to_string(w[i:i + l - 1], ' '))) AS s
+  FROM d_words JOIN (SELECT DISTINCT l FROM short) ON len(w) >= l),
+sizes AS (SELECT item_id, count(*) AS n_item FROM long GROUP BY 1)
 SELECT d.doc_id, q.item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
-FROM d JOIN q ON d.s = q.s JOIN sizes ON sizes.item_id = q.item_id
-GROUP BY d.doc_id, q.item_id, n_item HAVING 100 * count(*) >= 75 * n_item"""
+FROM d JOIN long q ON d.s = q.s JOIN sizes ON sizes.item_id = q.item_id
+GROUP BY d.doc_id, q.item_id, n_item HAVING 100 * count(*) >= 75 * n_item
+UNION ALL SELECT doc_id, item_id, 1, 1, 1.0 FROM runs JOIN short ON runs.l = short.l AND runs.s = short.s"""
 
 OP9 = f"""WITH RECURSIVE {_shingles("d", "doc_id", "documents")},
 sizes AS (SELECT documents.doc_id AS id, count(s) AS n FROM documents LEFT JOIN d ON d.doc_id = documents.doc_id GROUP BY 1),
