@@ -320,7 +320,9 @@ def read_archives(entries: DataFrame, folder: str, index: list[tuple[str, str]])
 
     Payload size, digest and page_id of what a revisit refers to come from the record found through the index.
     """
-    names = entries.select("archive").distinct().repartition(shuffle_partitions(entries.sparkSession), "archive")
+    # Dealt first and made distinct then: the other way round the planner would drop the dealing and adaptive execution pack all
+    # names, tiny as they are, into one task.
+    names = entries.select("archive").repartition(shuffle_partitions(entries.sparkSession), "archive").distinct()
     rows = stage(names.mapInArrow(_read(folder), READ), "captures")
     revisits = rows.where("record_type = 'revisit'")
     found = lookup(revisits.select(F.col("refers_key").alias("key")).distinct(), folder, index)
