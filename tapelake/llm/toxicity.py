@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import small_batches
+from tapelake.llm.common import freed, small_batches
 from tapelake.plans.staging import stage
 
 SAMPLE = 20_000
@@ -325,14 +325,17 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     known = known.withColumn("fold", fold).where(F.col("fold") != HELD_OUT).groupBy("doc_id", "fold").agg(F.max(F.col("toxic").cast("long")).alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded, so it may be broadcast
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = stage(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "fold", "label", "text"), "labelled")
+    # Of several texts with one doc_id the one with the smallest hash is learned from, so reruns agree.
+    one = F.min(F.struct(F.xxhash64("text"), "text")).alias("one")
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "fold", "label").agg(one)
+    rows = stage(rows.select("doc_id", "fold", "label", F.col("one.text").alias("text")), "labelled")
     sums = rows.groupBy("fold").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).collect()
     toxic, total = {r.fold: r.toxic for r in sums}, {r.fold: r.n for r in sums}
     n_toxic, n = sum(toxic.values()), sum(total.values())
     nothing = np.zeros(0)
     if n_toxic in (0, n):
         return Model(dict.fromkeys(INSULTS, 3.0), {}, None, nothing, nothing, n_toxic / max(n, 1))
-    words = rows.mapInArrow(_vocabulary, "kind string, entry string, fold long, toxic long, n long")
+    words = rows.mapInArrow(freed(_vocabulary), "kind string, entry string, fold long, toxic long, n long")
     counted = words.groupBy("kind", "entry", "fold").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     # Only entries that could get a weight above 2 in some union of folds: at most the strongest few thousand reach the driver.
     marked = counted.groupBy("kind", "entry").agg(F.sum("toxic").alias("bad"), F.sum("n").alias("all"), F.collect_list(F.struct("fold", "toxic", "n")).alias("folds"))
@@ -341,7 +344,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     entries = [(r.kind, r.entry, f.fold, f.toxic, f.n) for r in marked.collect() for f in r.folds]
     parts = {one: tuple(f for f in FOLDS if f != one) for one in FOLDS}
     models = {one: lexicons(entries, toxic, total, others) for one, others in parts.items()}
-    made = rows.mapInArrow(_features(models), "doc_id long, fold long, label long, row array<double>").orderBy("doc_id").collect()
+    made = rows.mapInArrow(freed(_features(models)), "doc_id long, fold long, label long, row array<double>").orderBy("doc_id").collect()
     folds, marks, matrix = np.array([r.fold for r in made]), np.array([float(r.label) for r in made]), np.array([r.row for r in made])
     unseen = np.zeros(len(made))
     for one in FOLDS:
@@ -372,7 +375,7 @@ def _scored(model: Model):
 def score(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """A row per document (doc_id, text): doc_id, held_out, score, predicted."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = texts.mapInArrow(_scored(model), "doc_id long, score double")
+    scored = texts.mapInArrow(freed(_scored(model)), "doc_id long, score double")
     held = F.coalesce(remainder(F.col("doc_id")) == HELD_OUT, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -389,4 +392,4 @@ def _accepted(model: Model, threshold: float):
 
 def accepted(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below the threshold, all columns as they are."""
-    return documents.mapInArrow(_accepted(model, threshold), documents.schema)
+    return documents.mapInArrow(freed(_accepted(model, threshold)), documents.schema)

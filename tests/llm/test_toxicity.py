@@ -64,3 +64,15 @@ def test_trees_and_calibration():
     assert toxicity.predict(toxicity.boost(np.zeros((5, 2)), np.array([0, 0, 1, 0, 0.0])), np.zeros((1, 2))).shape == (1,)
     x, y = toxicity.isotonic(np.array([1, 2, 3, 4, 4.0]), np.array([0, 1, 0, 1, 1.0]))
     assert (np.diff(y) >= 0).all() and np.interp(2.5, x, y) == 0.5 and np.interp(9, x, y) == 1
+
+
+def test_several_texts_under_one_id(spark):
+    """Which of them is learned from doesn't depend on the order of the rows."""
+    words = ["idiot", "moron", "tree", "river", "stone", "cloud"]
+    rows = [(k % 150, " ".join(words[(k + j) % (2 if k % 3 == 0 else 6)] for j in range(8)) + f" {k}") for k in range(300)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(150)], "doc_id long, toxic int")
+    scores = []
+    for order in (rows, rows[::-1]):
+        documents = spark.createDataFrame(order, "doc_id long, text string").repartition(5 if order is rows else 3)
+        scores.append(sorted((r.doc_id, r.score) for r in toxicity.score(documents, toxicity.learn(documents, labels)).collect()))
+    assert scores[0] == scores[1]
