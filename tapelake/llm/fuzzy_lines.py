@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import components, few, in_blocks, shuffle_partitions, small_batches, sorted_runs, spare
+from tapelake.llm.common import components, few, freed, in_blocks, shuffle_partitions, small_batches, sorted_runs, spare
 from tapelake.llm.shingles import as_bytes, word_hashes
 from tapelake.plans.staging import stage
 
@@ -132,7 +132,7 @@ def _texts(documents: DataFrame) -> DataFrame:
 def lines(documents: DataFrame, least: int = LEAST, short: bool = True) -> DataFrame:
     """A row per line that isn't blank: doc_id, tie (of the text), line_no, line, sim and size in characters. Short lines have no sim,
     and a line only if ``short``."""
-    return _texts(documents).mapInArrow(_line_rows(least, short), LINE)
+    return _texts(documents).mapInArrow(freed(_line_rows(least, short)), LINE)
 
 
 def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,12 +176,12 @@ def bucket_keys(sim, distance: int, take: int):
 PAIRS = 1 << 21
 # Runs from this length on are compared row by row against the run, shorter ones all at once, step by step.
 LONG_RUN = 32
-# Runs from this length on are cut by parts of their bits first.
-WIDE_RUN = 4096
+# Runs from this length on are cut by parts of their bits first; shorter ones are compared sooner than cut.
+WIDE_RUN = 1 << 17
 
 
-# Rows compared with each other at a time, so that what is between stays in the cache.
-TILE = (256, 1024)
+# Rows compared with as many others, at least, at a time, so that what is between stays in the cache.
+TILE = (64, 512)
 
 
 def _reach(size: np.ndarray, similarity: float) -> np.ndarray:
@@ -192,14 +192,20 @@ def _reach(size: np.ndarray, similarity: float) -> np.ndarray:
 def _all_near(run: np.ndarray, reach: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (i, j), i < j < reach[i], that are near."""
     rows, columns = TILE
+    differ, bits = np.empty(TILE, np.uint64), np.empty(TILE, np.uint8)  # used again and again
+    not_later = np.arange(columns) <= np.arange(rows)[:, None]
     for first in range(0, len(run), rows):
         part = run[first : first + rows, None]
         for start in range(first, reach[min(first + rows, len(run)) - 1], columns):
-            near = np.bitwise_count(part ^ run[None, start : start + columns]) <= distance
-            if near.any():
-                i, j = np.nonzero(near)
+            other = run[None, start : start + columns]
+            tile = (slice(len(part)), slice(other.shape[1]))
+            count = np.bitwise_count(np.bitwise_xor(part, other, out=differ[tile]), out=bits[tile])
+            if start == first:
+                count[not_later[tile]] = 255
+            if count.min() <= distance:
+                i, j = np.nonzero(count <= distance)
                 i, j = i + first, j + start
-                kept = (i < j) & (j < reach[i])
+                kept = j < reach[i]
                 if kept.any():
                     yield i[kept], j[kept]
 
@@ -372,17 +378,17 @@ def similar(documents: DataFrame, distinct: DataFrame, pairs: DataFrame, similar
     holders = stage(asked.select("held").distinct(), "holders")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.join(few(holders), F.col("doc_id").eqNullSafe(F.col("held")), "left_semi").select("text")
-    norms = texts.mapInArrow(_line_texts, "line long, norm string").join(few(asked.select("line")), "line", "left_semi")
+    norms = texts.mapInArrow(freed(_line_texts), "line long, norm string").join(few(asked.select("line")), "line", "left_semi")
     norms = stage(norms.groupBy("line").agg(F.first("norm").alias("norm")), "norms")
     joined = pairs.join(norms.select(F.col("line").alias("a"), F.col("norm").alias("x")), "a").join(norms.select(F.col("line").alias("b"), F.col("norm").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(_alike_rows(similarity), "a long, b long")
+    return joined.select("a", "b", "x", "y").mapInArrow(freed(_alike_rows(similarity)), "a long, b long")
 
 
 def line_groups(documents: DataFrame, distinct: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, crowd: int = FEW, split: int = SPLIT, take: int | None = None) -> DataFrame:
     """(node, component) for the lines that have similar lines, from staged (line, sim, size, place) of the distinct lines."""
     sims = distinct.select("line", "sim", "size").where("sim IS NOT NULL")
     take = take or choose_take(sims.count(), distance)
-    pairs = dealt(sims, distance, take, split).mapInArrow(_near_pairs(distance, similarity, crowd), PAIR)
+    pairs = dealt(sims, distance, take, split).mapInArrow(freed(_near_pairs(distance, similarity, crowd)), PAIR)
     pairs = stage(pairs.distinct(), "pairs")
     links = stage(similar(documents, distinct, pairs.where("NOT crowded").select("a", "b"), similarity), "links")
     groups = stage(components(links, "a", "b"), "groups")
@@ -390,7 +396,7 @@ def line_groups(documents: DataFrame, distinct: DataFrame, distance: int = DISTA
     crowded = stage(crowded.join(groups.withColumnRenamed("node", "line"), "line", "left").select("line", "sim", "size", F.coalesce("component", "line").alias("group")), "crowded")
     if not crowded.limit(1).count():
         return groups
-    more = dealt(crowded, distance, take, split).mapInArrow(_far_pairs(distance, similarity), PAIR).select("a", "b").distinct()
+    more = dealt(crowded, distance, take, split).mapInArrow(freed(_far_pairs(distance, similarity)), PAIR).select("a", "b").distinct()
     more = stage(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "more")
     if not more.limit(1).count():
         return groups
