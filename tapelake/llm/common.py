@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tapelake.plans.staging import stage
 
+Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 # Characters of text that a Python worker holds as separate words at a time; a longer single text makes a batch of its own.
 BATCH_CHARS = 1 << 20
 
@@ -46,6 +49,24 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = B
         yield batch.slice(start)
 
 
+def freed(rows: Rows) -> Rows:
+    """The same function of Arrow batches, after which its worker gives unused memory back to the system.
+
+    Workers are used again for later stages; without this each keeps the most that any of its tasks held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:  # the GNU C library's
+                trim(0)
+
+    return run
+
+
 # Keys of a join side that may be broadcast once they are counted: 16 MB of longs.
 FEW_KEYS = 1_000_000
 
@@ -172,7 +193,7 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """
     pairs = edges.select(F.col(left).cast("long").alias("u"), F.col(right).cast("long").alias("v"))
     pairs = pairs.where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-    pairs = stage(pairs.mapInArrow(_local_stars, "u long, v long"), "edges")  # u > v
+    pairs = stage(pairs.mapInArrow(freed(_local_stars), "u long, v long"), "edges")  # u > v
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

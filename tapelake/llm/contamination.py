@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import small_batches
+from tapelake.llm.common import freed, small_batches
 from tapelake.llm.shingles import WIDTH, as_bytes, distinct_shingles, roll, split_words, word_hashes
 from tapelake.plans.staging import stage
 
@@ -104,7 +104,7 @@ def item_blocks(benchmark: DataFrame, width: int, limit: int) -> Iterator[Block]
     """The benchmark in blocks of at most ``limit`` shingles, or of one item; a block is a list of items for each shingle length and
     size class."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    sets = stage(rows.mapInArrow(_item_rows(width), "item_id long, n long, width long, shingles binary").where("n > 0"), "items")
+    sets = stage(rows.mapInArrow(freed(_item_rows(width)), "item_id long, n long, width long, shingles binary").where("n > 0"), "items")
     held: dict[tuple[int, int], list] = {}
     load = 0
     for row in sets.orderBy("width", "n", "item_id").toLocalIterator():
@@ -137,7 +137,7 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, width: int = WID
     schema = "doc_id long, item_id long, n_item long, n_shared long"
     found = spark.createDataFrame([], schema)
     for block in item_blocks(benchmark, width, limit):
-        found = found.unionByName(rows.mapInArrow(_pairs(spark.sparkContext.broadcast(block), percent), schema))
+        found = found.unionByName(rows.mapInArrow(freed(_pairs(spark.sparkContext.broadcast(block), percent)), schema))
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
@@ -157,5 +157,5 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH
     """The documents that contain no item, all columns as they are."""
     spark = documents.sparkSession
     for block in item_blocks(benchmark, width, limit):
-        documents = documents.mapInArrow(_clean(spark.sparkContext.broadcast(block), percent), documents.schema)
+        documents = documents.mapInArrow(freed(_clean(spark.sparkContext.broadcast(block), percent)), documents.schema)
     return documents

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import Forest, components, few, shuffle_partitions, small_batches, spare
+from tapelake.llm.common import Forest, components, few, freed, shuffle_partitions, small_batches, spare
 from tapelake.llm.shingles import WIDTH, as_bytes, distinct_shingles, split_words
 from tapelake.plans.staging import stage
 
@@ -83,7 +83,7 @@ def classes(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     """A row per document: doc_id, tie (of its text), class (null without words), owner (the class's number in step 2), n_shingles."""
     text = F.col("text").cast("string")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    return rows.mapInArrow(_class_rows(width), "doc_id long, tie long, class binary, owner long, n_shingles long")
+    return rows.mapInArrow(freed(_class_rows(width)), "doc_id long, tie long, class binary, owner long, n_shingles long")
 
 
 def _prefix_blobs(width: int, percent: int, parts: int):
@@ -188,9 +188,9 @@ def likely(documents: DataFrame, heads: DataFrame, width: int, percent: int) ->
     total = heads.agg(F.sum("n")).first()[0] or 0
     parts = max(1, math.ceil(total * 0.4 / COUNTED))
     rows = documents.select(F.col("text").cast("string").alias("text"))
-    blobs = rows.mapInArrow(_prefix_blobs(width, percent, max(parts, shuffle_partitions(spark))), "part long, tokens binary, owners binary")
+    blobs = rows.mapInArrow(freed(_prefix_blobs(width, percent, max(parts, shuffle_partitions(spark)))), "part long, tokens binary, owners binary")
     dealt = blobs.repartition(max(parts, shuffle_partitions(spark)), "part").sortWithinPartitions("part")
-    shared = dealt.mapInArrow(_shared_counts, "owner long, shared long").groupBy("owner").agg(F.sum("shared").alias("shared"))
+    shared = dealt.mapInArrow(freed(_shared_counts), "owner long, shared long").groupBy("owner").agg(F.sum("shared").alias("shared"))
     # A partner has at least least_overlap(n) elements and an eighth of them, one at least, beyond its own shortest prefix.
     asked = F.greatest(F.lit(1), F.floor(F.floor((F.lit(percent) * F.col("n") + 99) / 100) / 8))
     return heads.join(shared, "owner").where(F.col("shared") >= asked).select("node", "least", "n", "class")
@@ -200,7 +200,7 @@ def inverted(documents: DataFrame, chosen: DataFrame, width: int, percent: int)
     """Step 3: (node, n, tokens, family); the shared shingles of each class from rare to frequent."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = rows.join(chosen.select(F.col("least").alias("doc_id")), "doc_id", "left_semi")
-    sets = stage(texts.mapInArrow(_token_rows(width), "least long, class binary, tokens array<long>"), "sets")
+    sets = stage(texts.mapInArrow(freed(_token_rows(width)), "least long, class binary, tokens array<long>"), "sets")
     sets = sets.join(chosen, ["least", "class"]).dropDuplicates(["node"])
     entries = sets.select("node", "n", F.explode("tokens").alias("token"))
     lists = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tapelake.llm.common import shuffle_partitions
+from tapelake.llm.common import freed, shuffle_partitions
 from tapelake.plans.staging import stage
 
 BLOCK = 256
@@ -171,12 +171,12 @@ def drawn(plan: DataFrame, block: int, shard_slots: int, seed: int) -> DataFrame
     """The mix: source_no, shard, slot, block, words (of the block, from its start)."""
     total = plan.agg(F.sum("slots")).first()[0] or 0
     shards = max(1, math.ceil(total / shard_slots))
-    counts = plan.select("source", "source_no", "slots").mapInArrow(_draws(shards, seed), "source_no int, shard long, first long, count long").where("count > 0")
+    counts = plan.select("source", "source_no", "slots").mapInArrow(freed(_draws(shards, seed)), "source_no int, shard long, first long, count long").where("count > 0")
     rows = counts.join(plan.select("source", "source_no", "full", "tail", "passes", "last", "cut"), "source_no")
     # A few draws are many slots: deal them out over a number of tasks that adaptive execution leaves as it is.
     tasks = max(shuffle_partitions(plan.sparkSession), math.ceil(total / TASK_SLOTS))
     rows = rows.repartition(tasks, "source_no", "shard")
-    return rows.mapInArrow(_slots(block, seed), "source_no int, shard long, slot long, block long, words long")
+    return rows.mapInArrow(freed(_slots(block, seed)), "source_no int, shard long, slot long, block long, words long")
 
 
 def pieces(located: DataFrame, block: int) -> DataFrame:
