@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,17 @@ def test_dropped_days_stay_dropped(spark, folder):
     assert len(stored(spark, path)) == 1
 
 
+def test_storage_report(spark, folder):
+    """Files and bytes as they are listed; what is hidden beside a table doesn't count."""
+    for name, parts in (("one", 1), ("two", 3)):
+        fragmented(spark, f"{folder}/{name}", parts)
+    load.append_trades(trades(spark, trade(500)), f"{folder}/one", buckets=1)  # keeps a summary
+    found = {r.table_name: (r.files, r.total_bytes) for r in maintenance.storage_report(spark, {n: f"{folder}/{n}" for n in ("one", "two")}).collect()}
+    for name, files in (("one", 2), ("two", 3)):
+        paths = glob.glob(f"{folder}/{name}/trading_day=*/*/*.parquet")
+        assert found[name] == (files, sum(map(os.path.getsize, paths))) and len(paths) == files
+
+
 def test_many_days_a_few_at_a_time(spark, folder, monkeypatch):
     path = f"{folder}/t"
     days = [DAY + dt.timedelta(days=n) for n in range(4)]
