@@ -4,13 +4,14 @@ Built-in functions only. A *unit* is a line of a file (a header or notice, where
 each word, the number of times it occurs times its inverse document frequency over all files, ln((1 + files) / (1 + files with it)) + 1;
 words that no template has weigh as words of no file. Templates are weighted alike.
 
-1. Document frequencies of the templates' words over all whole texts.
+1. Document frequencies of the templates' words over all whole texts, in one pass without a shuffle of words.
 2. Anchors: the fewest words, heaviest first, such that the part of each template without them is shorter than the threshold
    times the template. By Cauchy-Schwarz a unit without anchors can't reach the threshold, so only lines with one are compared.
 3. Sparse cosines: units' words joined with templates' words, summed per unit and template; the best template of each unit, and the
    best line of each file (ties: smaller template name, earlier line).
-   Whole files are also compared to the texts of licence files (``licenses/``), with weights of those texts' own words. A file that
-   reaches ``TEXT_COSINE`` with one has that licence, whatever notices stand in it.
+   Whole files are also compared to the texts of licence files (``licenses/``), with weights of those texts' own words. By the same
+   bound a file needs a certain number of a text's words, so one more pass finds all files that either comparison can concern, and
+   only those are compared. A file that reaches ``TEXT_COSINE`` with one has that licence, whatever notices stand in it.
 4. A file is a licence file of its directory if its name says so or if as a whole it reaches ``FILE_COSINE``. A directory's licence is
    that of its most similar licence file. Each distinct directory is expanded into its ancestors, joined by path with the licensed
    ones, and takes the deepest. A file has its own licence, else its directory's.
@@ -74,12 +75,17 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), GAP), lambda word: word != "")
 
 
+def known_words(text: Column, vocabulary: list[str]) -> Column:
+    """The words of a text that are in the vocabulary, each once."""
+    return F.array_intersect(F.split(F.lower(text), GAP), F.array(*map(F.lit, vocabulary)))
+
+
 def document_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
     """Number of files, and of files with each word."""
-    spark = files.sparkSession
-    known = spark.createDataFrame([(word,) for word in vocabulary], "word string")
-    found = files.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
-    counts = found.join(F.broadcast(known), "word").groupBy("word").count().collect()  # one row per template word at most
+    if not vocabulary:
+        return files.count(), {}
+    found = files.select(F.explode(known_words(F.col("text"), vocabulary)).alias("word"))
+    counts = found.groupBy("word").count().collect()  # one row per template word at most
     return files.count(), {row["word"]: row["count"] for row in counts}
 
 
@@ -109,6 +115,37 @@ def anchors(vectors: list[dict[str, float]], idf: dict[str, float], threshold: f
     return sorted(chosen)
 
 
+def least_words(vector: dict[str, float], threshold: float) -> int:
+    """The fewest distinct words of a template that a unit needs to reach the threshold with it.
+
+    The part of the template on the unit's words must be as long as the threshold, and no set of fewer words is, the longest ones
+    included (Cauchy-Schwarz).
+    """
+    mass = 0.0
+    for n, value in enumerate(sorted(vector.values(), reverse=True), 1):
+        mass += value * value
+        if mass >= threshold * threshold * (1 - 1e-9):
+            return n
+    return len(vector)
+
+
+def may_reach(text: Column, vectors: list[dict[str, float]], idf: dict[str, float], threshold: float) -> Column:
+    """Whether a whole text has an anchor and enough of the words of any template; the text is cut into words once."""
+    needed = [(sorted(vector), least_words(vector, threshold)) for vector in vectors if vector]
+    if not needed:
+        return F.lit(False)
+    marks = F.array(*map(F.lit, anchors(vectors, idf, threshold)))
+
+    def enough(known: Column) -> Column:
+        some = F.lit(False)
+        for words, least in needed:
+            some = some | (F.size(F.array_intersect(known, F.array(*map(F.lit, words)))) >= least)
+        return (F.size(known) >= min(least for _, least in needed)) & F.arrays_overlap(known, marks) & some
+
+    # A lambda over an array of one binds the words, which would else be cut anew for each template.
+    return F.coalesce(F.exists(F.array(known_words(text, sorted(idf))), enough), F.lit(False))
+
+
 def cosines(units: DataFrame, keys: list[str], vectors: list[dict[str, float]], idf: dict[str, float], other: float, names: list[str]) -> DataFrame:
     """For units (keys, words): keys, license, score of the best template; units without a common word are left out."""
     spark = units.sparkSession
@@ -145,17 +182,6 @@ def has_anchor(vectors: list[dict[str, float]], idf: dict[str, float], threshold
     return F.lower("text").rlike(rf"(?<![\p{{L}}\p{{N}}])({words})(?![\p{{L}}\p{{N}}])")
 
 
-def whole_texts(files: DataFrame, keys: list[str], texts: list[tuple[str, str]]) -> DataFrame:
-    """(file, text_license, text_score) of the files that are the text of a licence."""
-    counts = template_words(texts)
-    total, frequency = document_frequencies(files, sorted({word for words in counts for word in words}))
-    vectors, idf, other = weights(counts, total, frequency)
-    some = files.where(has_anchor(vectors, idf, TEXT_COSINE)).dropDuplicates(keys)
-    units = some.select(F.struct(*keys).alias("unit"), words_of(F.col("text")).alias("words"))
-    found = cosines(units, ["unit"], vectors, idf, other, [name for name, _ in texts]).where(F.col("score") >= TEXT_COSINE)
-    return found.select(F.col("unit").alias("file"), F.col("license").alias("text_license"), F.col("score").alias("text_score"))
-
-
 def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, line_cosine: float = LINE_COSINE, file_cosine: float = FILE_COSINE, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """A row per file (file_id, path, text): file_id, path, own_license, own_score, license, from_directory.
 
@@ -164,17 +190,30 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, line_
     templates = templates or TEMPLATES
     names = [name for name, _ in templates]
     files = files.select("file_id", F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
-    counts = template_words(templates)
-    total, frequency = document_frequencies(files, sorted({word for words in counts for word in words}))
+    texts = TEXTS if texts is None else texts
+    counts, text_counts = template_words(templates), template_words(texts)
+    total, frequency = document_frequencies(files, sorted({word for words in counts + text_counts for word in words}))
     vectors, idf, other = weights(counts, total, frequency)
+    text_vectors, text_idf, _ = weights(text_counts, total, frequency)
 
     def anchored(threshold: float) -> Column:
         return has_anchor(vectors, idf, threshold)
 
     keys = ["file_id", "path", "tie"]
-    full = whole_texts(files.withColumn("tie", F.xxhash64("text")), keys, TEXTS if texts is None else texts)
-    some = files.withColumn("tie", F.xxhash64("text")).where(anchored(min(line_cosine, file_cosine)))
-    some = stage(some.dropDuplicates(keys), "anchored")
+    lowest = min(line_cosine, file_cosine)
+    flagged = files.select(
+        "file_id",
+        "path",
+        "text",
+        F.xxhash64("text").alias("tie"),
+        may_reach(F.col("text"), text_vectors, text_idf, TEXT_COSINE).alias("full"),
+        F.coalesce(F.arrays_overlap(F.split(F.lower("text"), GAP), F.array(*map(F.lit, anchors(vectors, idf, lowest)))), F.lit(False)).alias("noticed"),
+    )
+    some = stage(flagged.where("full OR noticed").dropDuplicates(keys), "anchored")
+    long = some.where("full").select(F.struct(*keys).alias("unit"), words_of(F.col("text")).alias("words"))
+    full = cosines(long, ["unit"], text_vectors, text_idf, other, [name for name, _ in texts]).where(F.col("score") >= TEXT_COSINE)
+    full = full.select(F.col("unit").alias("file"), F.col("license").alias("text_license"), F.col("score").alias("text_score"))
+    some = some.where("noticed")
     lines = some.select(*keys, F.posexplode(F.split("text", r"\n", -1)).alias("line_no", "text")).where(anchored(line_cosine))
     # Nulls among the keys must not part a unit from itself: they are joined as structs.
     unit = F.struct(*keys)

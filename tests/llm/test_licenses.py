@@ -107,3 +107,47 @@ def test_texts_of_licence_files(spark):
     assert [got[k] for k in (2000, 2001)] == [("Apache-2.0", "Apache-2.0"), (None, "Apache-2.0")]
     assert [got[k] for k in (3000, 3001)] == [("GPL-3.0", "GPL-3.0"), (None, "GPL-3.0")]
     assert all(got[k] == (None, None) for k in range(40))
+
+
+def test_least_words_lose_nothing():
+    """No set of fewer words of a text is as long as the threshold, and the longest set of that many is."""
+    counts = scan.template_words(scan.TEXTS)
+    vectors, _, _ = scan.weights(counts, 1000, {"the": 900, "license": 40, "of": 800, "software": 300})
+    for vector in vectors:
+        least = scan.least_words(vector, scan.TEXT_COSINE)
+        values = sorted(vector.values(), reverse=True)
+        assert math.sqrt(sum(v * v for v in values[: least - 1])) < scan.TEXT_COSINE <= math.sqrt(sum(v * v for v in values[:least])) + 1e-6
+        assert 1 < least < len(vector)
+
+
+def test_texts_by_cosine_alone(spark):
+    """Parts of licence texts of all lengths: those that reach the cosine are found, and no others."""
+    words_of = lambda text: re.findall(r"[^\W_]+", (text or "").lower())
+    texts = scan.TEXTS
+    files = [(100 + k, f"s{k}/x", f"the work of others number {k} and the use of it") for k in range(30)] + [(1, "a/b", None), (2, "a/c", "")]
+    for k, (_, text) in enumerate(texts):
+        words = text.split()
+        for j, share in enumerate((0.2, 0.35, 0.5, 0.65, 0.8, 1.0)):
+            files.append((1000 + 10 * k + j, f"t{k}/{j}/x", " ".join(words[: int(len(words) * share)]) + " plain words besides" * (5 * j)))
+    total, known = len(files), {w for _, text in texts for w in words_of(text)}
+    have = {}
+    for _, _, text in files:
+        for word in set(words_of(text)) & known:
+            have[word] = have.get(word, 0) + 1
+
+    def vector(words):
+        return {w: words.count(w) * (math.log((1 + total) / (1 + have.get(w, 0))) + 1) for w in set(words)}
+
+    expected = {}
+    for key, _, text in files:
+        unit, scores = vector(words_of(text)), []
+        for name, other in texts:
+            side = vector(words_of(other))
+            dot = sum(unit.get(w, 0) * x for w, x in side.items())
+            score = dot / math.sqrt(sum(x * x for x in unit.values()) * sum(x * x for x in side.values())) if dot else 0.0
+            scores.append((-round(score, 6), name))
+        score, name = min(scores)
+        expected[key] = (-score, name) if -score >= scan.TEXT_COSINE else None
+    got = scan.scan(spark.createDataFrame(files, "file_id long, path string, text string"), templates=[("X", "qqqq zzzz")]).collect()
+    assert {r.file_id: (r.own_score, r.own_license) if r.own_license else None for r in got} == expected
+    assert 9 < sum(hit is not None for hit in expected.values()) < 50
