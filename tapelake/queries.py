@@ -15,7 +15,7 @@ from tapelake.functions import locations, sides, times, venues
 from tapelake.operators import catalog, coverage, dedup, layout, manifest, normalize, sequence, validate
 from tapelake.oracles import sql
 from tapelake.plans import importing, landing, load, maintenance, refresh, summaries
-from tapelake.plans.staging import new_folder, stage
+from tapelake.plans.staging import child_names, new_folder, stage
 from tapelake.schemas import IDENTITY, INSTRUMENT_FIELDS, LEVELS, PRICE, TRADES
 from tapelake.session import configure
 from tapelake.sources import facts, raw_files
@@ -1240,6 +1240,24 @@ def continuous_rollup(fx: Fixtures) -> DataFrame:
     return rows.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
 
 
+@query("""SELECT date_trunc('hour', ts) AS bucket, instrument_id, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_value
+FROM fx_trades GROUP BY 1, 2""")
+def rollup_begun_anew(fx: Fixtures) -> DataFrame:
+    """The rollup after a second stream, with a memory of its own, took the last day's files again and final days were folded."""
+    base = new_folder(fx.spark, "rollup")
+    rows = as_stored(fx.trades()).withColumn("price", F.col("price").cast("decimal(18,2)")).withColumn("d", F.col("trading_day"))
+    rows.repartition("d").write.partitionBy("d").parquet(f"{base}/trades")
+    schema = rows.drop("d").schema
+    last = child_names(fx.spark, f"{base}/trades")[-1]
+    for k, source in enumerate((f"{base}/trades", f"{base}/trades/{last}")):
+        stream = fx.spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        hourly = rollup.hourly_stream(stream, "instrument_id", "price")
+        rollup.write_rollup(hourly, f"{base}/rollup", f"{base}/checkpoint{k}", "instrument_id", once=True).awaitTermination()
+        rollup.fold_rollup(fx.spark, f"{base}/rollup", "instrument_id")
+    rows = rollup.read_rollup(fx.spark, f"{base}/rollup")
+    return rows.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
+
+
 @query("SELECT * FROM fx_trades WHERE trading_day >= '2024-01-16'")
 def retention_kept(fx: Fixtures) -> DataFrame:
     return maintenance.retained(fx.trades(), as_of="2024-04-15")

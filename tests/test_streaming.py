@@ -75,6 +75,64 @@ def test_continuous_rollup(spark, folder):
     assert feed(event(1, 5, "a", 100.0)) == later
 
 
+def hours(spark, path):
+    return {(r.bucket.day, r.bucket.hour, r.host): r.avg_value for r in rollup.read_rollup(spark, path).collect()}
+
+
+def rollup_source(spark, folder, parts):
+    """A file for each list of rows, in folders by day of the first row."""
+    for rows in parts:
+        frame = spark.createDataFrame(rows, "ts timestamp, host string, v double").withColumn("v", F.col("v").cast("decimal(18,2)"))
+        frame.coalesce(1).write.mode("append").parquet(f"{folder}/in/d{rows[0][0].day:02}")
+
+
+def run_rollup(spark, folder, source, checkpoint):
+    stream = spark.readStream.schema("ts timestamp, host string, v decimal(18,2)").option("recursiveFileLookup", "true").parquet(source)
+    hourly = rollup.hourly_stream(stream, "host", "v")
+    rollup.write_rollup(hourly, f"{folder}/out", checkpoint, "host", once=True).awaitTermination()
+
+
+def test_rollup_begun_anew_over_part_of_the_source(spark, folder):
+    rollup_source(spark, folder, [[event(1, 0, "a", 1.0), event(2, 0, "b", 5.0)], [event(1, 30, "a", 2.0), event(1, 0, None, 4.0)], [event(1, 10, "a", 9.0, day=2)]])
+    # Parts of hour 1 stand in the second day's folder too.
+    rollup_source(spark, folder, [[event(5, 0, "a", 1.0, day=2), event(1, 50, "a", 6.0)]])
+    run_rollup(spark, folder, f"{folder}/in", f"{folder}/one")
+    expected = {(1, 1, "a"): 3.0, (1, 2, "b"): 5.0, (1, 1, None): 4.0, (2, 1, "a"): 9.0, (2, 5, "a"): 1.0}
+    assert hours(spark, f"{folder}/out") == expected
+    run_rollup(spark, folder, f"{folder}/in/d02", f"{folder}/two")
+    assert hours(spark, f"{folder}/out") == expected
+    run_rollup(spark, folder, f"{folder}/in", f"{folder}/three")
+    assert hours(spark, f"{folder}/out") == expected
+
+
+def test_rollup_batch_cut_short(spark, folder):
+    """Some of a batch's files are there already, the newest hour among them, when the batch is repeated."""
+    rollup_source(spark, folder, [[event(1, 0, "a", 1.0), event(1, 0, "a", 3.0, day=20)]])
+    run_rollup(spark, folder, f"{folder}/in", f"{folder}/one")
+    kept = spark.read.parquet(f"{folder}/out").where("day > '2024-01-10'").collect()
+    schema = spark.read.parquet(f"{folder}/out").schema
+    spark.createDataFrame(kept, schema).write.partitionBy("day").parquet(f"{folder}/again/out")
+    run_rollup(spark, f"{folder}/again", f"{folder}/in", f"{folder}/two")
+    assert hours(spark, f"{folder}/again/out") == {(1, 1, "a"): 1.0, (20, 1, "a"): 3.0}
+
+
+def test_fold_rollup(spark, folder):
+    rollup_source(spark, folder, [[event(1, n, "a", float(n)), event(2, n, "b", 1.0)] for n in range(4)])
+    for k in range(2):  # repeated partial sums are folded once
+        run_rollup(spark, folder, f"{folder}/in", f"{folder}/cp{k}")
+    assert rollup.fold_rollup(spark, f"{folder}/out", "host") == 0
+    rollup_source(spark, folder, [[event(0, 0, "a", 7.0, day=9)]])
+    run_rollup(spark, folder, f"{folder}/in", f"{folder}/cp0")
+    expected = {(1, 1, "a"): 1.5, (1, 2, "b"): 1.0, (9, 0, "a"): 7.0}
+    assert hours(spark, f"{folder}/out") == expected
+    assert rollup.fold_rollup(spark, f"{folder}/out", "host") == 2
+    assert hours(spark, f"{folder}/out") == expected
+    assert rollup.fold_rollup(spark, f"{folder}/out", "host") == 0
+    # A stream begun anew finds the folded hours final.
+    run_rollup(spark, folder, f"{folder}/in", f"{folder}/cp9")
+    assert hours(spark, f"{folder}/out") == expected
+
+
 def test_unique_stream(spark, folder):
     rows = [(dt.datetime(2024, 1, 1, 0, n % 5), "i1", n % 5) for n in range(20)]
     spark.createDataFrame(rows, "ts timestamp, instrument_id string, trade_id long").write.parquet(f"{folder}/in")
