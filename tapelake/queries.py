@@ -19,7 +19,7 @@ from tapelake.plans.staging import child_names, new_folder, stage
 from tapelake.schemas import IDENTITY, INSTRUMENT_FIELDS, LEVELS, PRICE, TRADES
 from tapelake.session import configure
 from tapelake.sources import facts, raw_files
-from tapelake.streaming import ingest, ledger, rollup
+from tapelake.streaming import ingest, ledger, rollup, unique
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -922,12 +922,25 @@ def unique_stream(fx: Fixtures) -> DataFrame:
     rows = as_stored(fx.levels()).select(*LEVELS.key)
     rows.write.parquet(f"{base}/in")
     stream = fx.spark.readStream.schema(rows.schema).parquet(f"{base}/in")
-    unique = ingest.unique_stream(stream, LEVELS.key).writeStream.format("parquet").option("path", f"{base}/out")
-    unique.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows_once = unique.unique_stream(stream, LEVELS.key).writeStream.format("parquet").option("path", f"{base}/out")
+    rows_once.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     stored = fx.spark.read.schema(rows.schema).parquet(f"{base}/out")
     return stored.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
 
 
+@query("""SELECT DISTINCT instrument_id, ts, update_seq FROM fx_levels""")
+def unique_stream_late(fx: Fixtures) -> DataFrame:
+    """The table of an endless stream in several batches, newest rows first, all of them delivered twice, then by a stream begun anew."""
+    base = new_folder(fx.spark, "unique")
+    rows = as_stored(fx.levels()).select(*LEVELS.key)
+    for part in (F.dayofmonth("ts") % 2 == 0, F.dayofmonth("ts") % 2 == 1, F.lit(True)):
+        rows.where(part).coalesce(2).write.mode("append").parquet(f"{base}/in")
+    for k, files in enumerate((3, 100)):
+        stream = fx.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
+        unique.write_unique(stream, LEVELS.key, f"{base}/out", f"{base}/checkpoint{k}", once=True).awaitTermination()
+    return unique.read_unique(fx.spark, f"{base}/out").withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
+
+
 @query("""SELECT ts, venue AS dataset, CAST(CASE side WHEN 'buy' THEN 1 WHEN 'sell' THEN -1 ELSE 0 END AS BIGINT) AS side,
   price, amount AS quantity, id AS trade_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS trading_day
 FROM raw_trades WHERE timestamp IS NOT NULL AND price > 0 AND amount >= 0 AND venue <> 'KucoinSpot'""")

@@ -61,14 +61,3 @@ def ingest_new_files(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def unique_stream(stream: DataFrame, keys: list[str], delay: str = "1 day") -> DataFrame:
-    """An endless stream without repeated keys; copies arriving up to ``delay`` late are recognized.
-
-    Rows further behind the stream than ``delay`` are dropped, copies or not: this is for live streams. A backfill goes through
-    ``ingest_new_files``, whose keep-first load drops nothing but stored keys.
-    """
-    return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(keys)
-
-

@@ -1,11 +1,13 @@
 import datetime as dt
+import pathlib
 
+import pytest
 from conftest import MIDNIGHT
 from pyspark.sql import functions as F
 
 from tapelake.schemas import LEVELS, TRADES
 from tapelake.sources import facts
-from tapelake.streaming import ingest, rollup
+from tapelake.streaming import ingest, rollup, unique
 
 
 def names(spark):
@@ -138,7 +140,7 @@ def test_unique_stream(spark, folder):
     spark.createDataFrame(rows, "ts timestamp, instrument_id string, trade_id long").write.parquet(f"{folder}/in")
     stream = spark.readStream.schema("ts timestamp, instrument_id string, trade_id long").parquet(f"{folder}/in")
     query = (
-        ingest.unique_stream(stream, TRADES.key)
+        unique.unique_stream(stream, TRADES.key)
         .writeStream.format("parquet")
         .option("path", f"{folder}/out")
         .option("checkpointLocation", f"{folder}/cp")
@@ -147,3 +149,64 @@ def test_unique_stream(spark, folder):
     )
     query.awaitTermination()
     assert spark.read.parquet(f"{folder}/out").count() == 5
+
+
+NOW = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+IDS = "ts timestamp, instrument_id string, trade_id long"
+
+
+def trade(trade_id, **ago):
+    return (NOW - dt.timedelta(**ago), "i1", trade_id)
+
+
+def deliver(spark, folder, *rows):
+    spark.createDataFrame(rows, IDS).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+
+def run_unique(spark, folder, checkpoint="cp", **options):
+    stream = spark.readStream.schema(IDS).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    options = {"lead": dt.timedelta(minutes=1), "delay": dt.timedelta(hours=6), **options}
+    unique.write_unique(stream, TRADES.key, f"{folder}/out", f"{folder}/{checkpoint}", once=True, **options).awaitTermination()
+    return sorted(r.trade_id for r in unique.read_unique(spark, f"{folder}/out").collect())
+
+
+def test_unique_table_keeps_late_rows(spark, folder):
+    deliver(spark, folder, trade(1, minutes=1), trade(1, minutes=1), trade(2, hours=3))
+    deliver(spark, folder, trade(1, minutes=1), trade(3, days=2))  # a new row two days late
+    deliver(spark, folder, trade(3, days=2), trade(4, days=2), trade(5, days=9))
+    deliver(spark, folder, trade(5, days=9), trade(2, hours=3), (None, "i1", 6), (None, "i1", 6))
+    assert run_unique(spark, folder) == [1, 2, 3, 4, 5, 6]
+    # State that forgets at once: the table alone tells copies.
+    deliver(spark, folder, trade(4, days=2), trade(7, days=2), (None, "i1", 6))
+    assert run_unique(spark, folder) == [1, 2, 3, 4, 5, 6, 7]
+    assert run_unique(spark, folder, "another") == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_unique_table_without_state(spark, folder):
+    """Each batch by a new checkpoint: no state tells copies."""
+    for k, rows in enumerate([[trade(1, days=3), trade(2, days=1)], [trade(1, days=3), trade(3, days=3)], [trade(2, days=1)]]):
+        deliver(spark, folder, *rows)
+        got = run_unique(spark, folder, f"cp{k}")
+    assert got == [1, 2, 3]
+
+
+def test_unique_batch_replayed(spark, folder):
+    """A batch whose rows were added before it was committed is taken again."""
+    soon = [(NOW + dt.timedelta(minutes=30), "i1", n) for n in range(3)]
+    deliver(spark, folder, *soon)
+    assert run_unique(spark, folder) == [0, 1, 2]
+    deliver(spark, folder, (soon[0][0], "i1", 3), *soon)
+    assert run_unique(spark, folder) == [0, 1, 2, 3]
+    # The commit after the last batch's rows is taken away with all that followed, so that Spark repeats it.
+    last = int(next(pathlib.Path(f"{folder}/out/{unique.NOTES}").glob("*/last")).read_text())
+    for log, first in (("commits", last), ("offsets", last + 1)):
+        for file in pathlib.Path(f"{folder}/cp/{log}").iterdir():
+            if int(file.name.strip(".").removesuffix(".crc")) >= first:
+                file.unlink()
+    assert run_unique(spark, folder) == [0, 1, 2, 3]
+    assert (pathlib.Path(f"{folder}/cp/commits") / str(last)).exists()
+
+
+def test_unique_table_needs_the_time_among_keys(spark, folder):
+    with pytest.raises(ValueError):
+        unique.write_unique(spark.readStream.format("rate").load(), ["value"], f"{folder}/out", f"{folder}/cp")
