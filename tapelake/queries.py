@@ -928,17 +928,17 @@ def unique_stream(fx: Fixtures) -> DataFrame:
     return stored.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
 
 
-@query("""SELECT DISTINCT instrument_id, ts, update_seq FROM fx_levels""")
+@query("""SELECT DISTINCT instrument_id, ts, update_seq FROM fx_month""")
 def unique_stream_late(fx: Fixtures) -> DataFrame:
     """The table of an endless stream in several batches, newest rows first, all of them delivered twice, then by a stream begun anew."""
     base = new_folder(fx.spark, "unique")
-    rows = as_stored(fx.levels()).select(*LEVELS.key)
+    rows = as_stored(fx.month_levels()).select(*LEVELS.key)
     for part in (F.dayofmonth("ts") % 2 == 0, F.dayofmonth("ts") % 2 == 1, F.lit(True)):
         rows.where(part).coalesce(2).write.mode("append").parquet(f"{base}/in")
     for k, files in enumerate((3, 100)):
         stream = fx.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
         unique.write_unique(stream, LEVELS.key, f"{base}/out", f"{base}/checkpoint{k}", once=True).awaitTermination()
-    return unique.read_unique(fx.spark, f"{base}/out").withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
+    return unique.read_unique(fx.spark, f"{base}/out")
 
 
 @query("""SELECT ts, venue AS dataset, CAST(CASE side WHEN 'buy' THEN 1 WHEN 'sell' THEN -1 ELSE 0 END AS BIGINT) AS side,
