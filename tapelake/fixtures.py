@@ -302,21 +302,20 @@ class Fixtures:
         arrays.write.partitionBy("part").text(root)
 
     def write_cache(self, root: str, slug: str, kind: str) -> None:
-        """The raw trades as a cache tree with one data set per venue.
+        """The raw trades as a cache tree with one data set per venue, as many files per venue and day as their size demands."""
+        rows = self.raw_trades().select(*TRADES.raw.names, F.col("venue").alias("dataset"), F.col("file_day").alias("day"))
+        self._write_cache(rows.hint("rebalance", F.col("dataset"), F.col("day")), TRADES.tag, root, slug, kind)
 
-        Spark writes the text files, as many per venue and day as their size demands; then each gets the name a cached file
-        has (a list of files, on whatever file system ``root`` is on).
-        """
-        text = f"{root}-text"
-        day = F.col("file_day").alias("day")
-        rows = self.raw_trades().select(*TRADES.raw.names, F.col("venue").alias("dataset"), day)
-        (
-            rows.hint("rebalance", F.col("dataset"), F.col("day"))
-            .write.partitionBy("dataset", "day")
-            .option("header", True)
-            .option("compression", "gzip")
-            .csv(text)
-        )
+    def write_level_cache(self, root: str, slug: str, kind: str) -> None:
+        """``level_files`` as a cache tree, one file per data set and day; the files of LVL3 on even days are left out."""
+        rows = self.level_files().filter("NOT (dataset = 'LVL3' AND dayofmonth(day) % 2 = 0)").drop("order_key", "line")
+        self._write_cache(rows.repartition("dataset", "day").sortWithinPartitions("dataset", "day"), LEVELS.tag, root, slug, kind)
+
+    def _write_cache(self, rows: DataFrame, tag: str, root: str, slug: str, kind: str) -> None:
+        """Spark writes the text files; then each gets the name a cached file has (a list of files, on whatever file system
+        ``root`` is on)."""
+        text = f"{root}-{tag}-text"
+        rows.write.partitionBy("dataset", "day").option("header", True).option("compression", "gzip").csv(text)
         to_path = self.spark._jvm.org.apache.hadoop.fs.Path
         file_system = to_path(text).getFileSystem(self.spark._jsc.hadoopConfiguration())
         for status in file_system.globStatus(to_path(f"{text}/*/*/part-*")):
@@ -324,5 +323,5 @@ class Fixtures:
             part, day, dataset = file.getName(), file.getParent().getName(), file.getParent().getParent().getName()
             folder = f"{root}/{slug}/{kind}/{dataset.removeprefix('dataset=')}"
             file_system.mkdirs(to_path(folder))
-            name = f"{part.split('.')[0]}_{day.removeprefix('day=')}_{TRADES.tag}.csv.gz"
+            name = f"{part.split('.')[0]}_{day.removeprefix('day=')}_{tag}.csv.gz"
             file_system.rename(file, to_path(f"{folder}/{name}"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,12 +162,33 @@ class Lake:
     def load_level_updates(self, requests: DataFrame, on_absent: str = "report", **options) -> load.LoadReport:
         return self._load(LEVELS, requests, on_absent, options)
 
-    def land(self, requests: DataFrame, feed: str) -> None:
-        """Keep the delivered rows of instrument-days as they are; what other data sets have landed stays."""
-        spec = FEEDS[feed]
-        files = self.source_files(spec, load.requested_instruments(requests, self.catalog))
-        raw = self.source_rows(spec, files)
-        landing.land_requested(requests, self.catalog, raw, spec, f"{self.root.rstrip('/')}/landed/{spec.tag}")
+    def landed(self, feed: str) -> str:
+        return f"{self.root.rstrip('/')}/landed/{FEEDS[feed].tag}"
+
+    def land(self, requests: DataFrame, feed: str) -> landing.Landing:
+        """Keep the delivered rows of instrument-days as they are; what other data sets have landed stays.
+
+        Source files that were neither touched nor resized since they were landed aren't read.
+        """
+        spec, path, catalog = FEEDS[feed], self.landed(feed), self.catalog
+        wanted = load.requested_instruments(requests, catalog)
+        files = self.source_files(spec, wanted)
+        days = wanted.select(
+            exchange_slug(F.col("exchange")).alias("slug"), F.upper("dataset").alias("dataset"), F.col("trading_day").alias("file_day"),
+            F.col("exchange").alias("venue"),
+        )
+        named = files.join(days.distinct(), ["slug", "dataset", "file_day"]).withColumn("feed", F.lit(spec.tag))
+        named = named.withColumnRenamed("file_day", "trading_day")
+        versions = stage(landing.source_versions(named), "source-versions")
+        changed = stage(landing.changed_sources(versions, path), "changed-sources")
+        fresh = named.join(changed.select(*landing.LANDED), landing.LANDED, "left_semi").select("path").distinct()
+        raw = self.source_rows(spec, fresh)
+        done = landing.land_requested(requests, catalog, raw, spec, path, changed)
+        return replace(done, skipped=versions.count() - changed.count())
+
+    def fold_landed(self, feed: str) -> int:
+        """Remove landed rows that later landings replaced."""
+        return landing.fold_landed(self.spark, FEEDS[feed], self.landed(feed))
 
     def import_cache(self, cache: str, exchange: str, instrument_type: str, **options) -> dict[str, load.LoadReport]:
         tables = {spec.name: self.table(spec) for spec in (TRADES, LEVELS)}

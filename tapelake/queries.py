@@ -13,6 +13,7 @@ from tapelake.fixtures import Fixtures
 from tapelake.lake import Lake
 from tapelake.functions import locations, sides, times, venues
 from tapelake.operators import catalog, coverage, dedup, layout, manifest, normalize, sequence, validate
+from tapelake.operators import pages as pages_ops
 from tapelake.oracles import sql
 from tapelake.plans import importing, landing, load, maintenance, refresh, summaries
 from tapelake.plans.staging import child_names, new_folder, stage
@@ -311,6 +312,22 @@ def instrument_at(fx: Fixtures) -> DataFrame:
     return catalog.current_instrument(fx.instruments(), _identities(fx), "2024-01-20")
 
 
+@query(f"""SELECT {VIEW_COLUMNS} FROM (SELECT * FROM fx_instruments
+  UNION ALL SELECT * REPLACE (instrument_id + 1000000 AS instrument_id, listing + INTERVAL 1 DAY AS listing) FROM fx_instruments WHERE instrument_id % 2 = 0
+  UNION ALL SELECT * REPLACE (instrument_id + 2000000 AS instrument_id) FROM fx_instruments WHERE instrument_id % 3 = 0
+  UNION ALL SELECT * REPLACE (instrument_id - 3000000 AS instrument_id, NULL AS listing) FROM fx_instruments WHERE instrument_id % 5 = 0)
+QUALIFY row_number() OVER (PARTITION BY base_asset, quote_asset, exchange, instrument_type ORDER BY listing DESC NULLS LAST, instrument_id) = 1""")
+def instrument_current_of_several(fx: Fixtures) -> DataFrame:
+    """Identities that several instruments have: the latest listing wins, the smallest id among equal ones, an unknown listing last."""
+    one = fx.instruments()
+    key = F.col("instrument_id")
+    later = one.filter(key % 2 == 0).withColumns({"instrument_id": key + 1_000_000, "listing": F.col("listing") + F.expr("INTERVAL 1 DAY")})
+    equal = one.filter(key % 3 == 0).withColumn("instrument_id", key + 2_000_000)
+    unlisted = one.filter(key % 5 == 0).withColumns({"instrument_id": key - 3_000_000, "listing": F.lit(None).cast(one.schema["listing"].dataType)})
+    several = one.unionByName(later).unionByName(equal).unionByName(unlisted)
+    return catalog.current_instrument(several, _identities(fx))
+
+
 @query(f"SELECT {VIEW_COLUMNS} FROM fx_instruments WHERE instrument_id IN (SELECT s_suppkey FROM supplier)")
 def instrument_by_id(fx: Fixtures) -> DataFrame:
     ids = fx.table("supplier").select(F.col("s_suppkey").alias("instrument_id"))
@@ -700,7 +717,7 @@ LANDED_SQL = """SELECT exchange, symbol, timestamp, local_timestamp, id, side, p
 
 @query(LANDED_SQL)
 def land_raw(fx: Fixtures) -> DataFrame:
-    """Landed twice: the second landing replaces the first."""
+    """Landed twice: the second landing finds everything there."""
     path = new_folder(fx.spark, "landed")
     rows = landing.landed_rows(fx.raw_trades(), TRADES, F.col("venue"), F.col("file_day"))
     for _ in range(2):
@@ -719,6 +736,68 @@ def land_two_datasets(fx: Fixtures) -> DataFrame:
     return landing.read_landed(fx.spark, TRADES, path).drop(*landing.ORIGIN)
 
 
+@query("""SELECT exchange, symbol, timestamp, local_timestamp, id, side, price, amount, 'trades' AS feed,
+  file_day AS trading_day, venue, dataset FROM raw_trades WHERE side = 'buy' OR instrument_id % 2 = 0""")
+def land_changed(fx: Fixtures) -> DataFrame:
+    """Landed: the buys; a landing that broke off before its entry; then all rows of half the data sets, of which those with other
+    trades than buys are written anew; then what nobody reads is removed."""
+    path = new_folder(fx.spark, "landed")
+    raw = fx.raw_trades()
+    delivered = [raw.filter("side = 'buy'"), raw, raw.filter("instrument_id % 2 = 0")]
+    first, broken, second = [landing.landed_rows(rows, TRADES, F.col("venue"), F.col("file_day")) for rows in delivered]
+    landing.land_raw(first, path)
+    landing.write_rows(broken, path, "broken")
+    landing.land_raw(second, path)
+    landing.fold_landed(fx.spark, TRADES, path)
+    return landing.read_landed(fx.spark, TRADES, path).drop(*landing.ORIGIN)
+
+
+@query("""WITH d AS (SELECT count(DISTINCT (venue, dataset, file_day)) AS n,
+  count(DISTINCT (venue, dataset, file_day)) FILTER (instrument_id % 3 = 0) AS third FROM raw_trades)
+SELECT CAST(landing AS BIGINT) AS landing, CASE landing WHEN 1 THEN n WHEN 2 THEN 0 ELSE third END AS written,
+  CASE landing WHEN 1 THEN 0 WHEN 2 THEN n ELSE n - third END AS unchanged FROM d CROSS JOIN (VALUES (1), (2), (3)) l(landing)""")
+def landing_counts(fx: Fixtures) -> DataFrame:
+    """Data set days written and left alone by a landing, by the same again, and by one with other amounts in a third of them."""
+    path = new_folder(fx.spark, "landed")
+    raw = fx.raw_trades()
+    other = raw.withColumn("amount", F.when(F.col("instrument_id") % 3 == 0, (F.col("amount") + 1).cast(PRICE)).otherwise(F.col("amount")))
+    counts = []
+    for number, rows in enumerate((raw, raw, other), 1):
+        done = landing.land_raw(landing.landed_rows(rows, TRADES, F.col("venue"), F.col("file_day")), path)
+        counts.append((number, done.written, done.unchanged))
+    return fx.spark.createDataFrame(counts, "landing bigint, written bigint, unchanged bigint")
+
+
+@query("""SELECT 'binance-futures' AS exchange, 'lvl' || CAST(l_suppkey % 5 AS VARCHAR) AS symbol, timestamp,
+  timestamp + l_linenumber AS local_timestamp, l_linestatus = 'F' AS is_snapshot,
+  CASE l_returnflag WHEN 'R' THEN 'bid' WHEN 'A' THEN 'ask' ELSE 'BID' END AS side,
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price, CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+  place AS line, 'l2' AS feed, CAST(day AS VARCHAR) AS trading_day, 'BinanceFutures' AS venue, dataset FROM level_files""")
+def land_requested(fx: Fixtures) -> DataFrame:
+    """Delivered files landed by request, some of them twice; every row keeps its place in its file."""
+    lake = _delivered(fx)
+    requests = _level_requests(fx)
+    for part in (requests.filter("instrument_id IN ('i0', 'i1')"), requests):
+        lake.land(part, LEVELS.name)
+    rows = landing.read_landed(fx.spark, LEVELS, lake.landed(LEVELS.name))
+    first = rows.groupBy("_file").agg(F.min("_arrival").alias("_first"))
+    return rows.join(first, "_file").withColumn("line", F.col("_arrival") - F.col("_first")).drop("_file", "_arrival", "_first")
+
+
+@query("""WITH d AS (SELECT count(DISTINCT (dataset, day)) AS n, count(DISTINCT (dataset, day)) FILTER (dataset IN ('LVL0', 'LVL1')) AS part FROM level_files)
+SELECT CAST(landing AS BIGINT) AS landing, CASE landing WHEN 1 THEN part WHEN 2 THEN n - part ELSE 0 END AS written, CAST(0 AS BIGINT) AS unchanged,
+  CASE landing WHEN 1 THEN 0 WHEN 2 THEN part ELSE n END AS skipped FROM d CROSS JOIN (VALUES (1), (2), (3)) l(landing)""")
+def land_requested_counts(fx: Fixtures) -> DataFrame:
+    """What three landings by request write and skip: files landed before aren't read again."""
+    lake = _delivered(fx)
+    requests = _level_requests(fx)
+    counts = []
+    for number, part in enumerate((requests.filter("instrument_id IN ('i0', 'i1')"), requests, requests), 1):
+        done = lake.land(part, LEVELS.name)
+        counts.append((number, done.written, done.unchanged, done.skipped))
+    return fx.spark.createDataFrame(counts, "landing bigint, written bigint, unchanged bigint, skipped bigint")
+
+
 def _delivered(fx: Fixtures) -> Lake:
     """A lake with two buckets over the delivered files of five data sets."""
     base = new_folder(fx.spark, "lake")
@@ -915,6 +994,24 @@ def load_strict(fx: Fixtures) -> DataFrame:
     return facts.read_feed(fx.spark, LEVELS, path).drop("instr_bucket")
 
 
+@query(f"""WITH held AS (SELECT * FROM fx_month WHERE is_snapshot QUALIFY row_number() OVER (PARTITION BY instrument_id, ts, update_seq ORDER BY {LEVEL_REST}) = 1),
+single AS (SELECT * FROM fx_month QUALIFY count(*) OVER (PARTITION BY instrument_id, ts, update_seq) = 1)
+SELECT * FROM held UNION ALL SELECT s.* FROM single s ANTI JOIN held h ON s.instrument_id = h.instrument_id AND s.ts = h.ts AND s.update_seq = h.update_seq""")
+def load_strict_conflicts(fx: Fixtures) -> DataFrame:
+    """A strict load that meets stored and repeated keys is refused as a whole; without the rows of those keys it goes in."""
+    path = new_folder(fx.spark, "strict")
+    rows = fx.month_levels()
+    load.append_strict(dedup.first_per_key(rows.filter("is_snapshot"), LEVELS.key, LEVELS.rest), LEVELS, path, buckets=2)
+    held = facts.read_feed(fx.spark, LEVELS, path).drop("instr_bucket")
+    conflicts = stage(dedup.conflicting_keys(rows, held, LEVELS.key), "conflicts")
+    try:
+        load.append_strict(rows, LEVELS, path, buckets=2)
+    except load.LoadRejected:
+        pass
+    load.append_strict(rows.join(conflicts.select(*LEVELS.key), LEVELS.key, "left_anti").select(*rows.columns), LEVELS, path, buckets=2)
+    return facts.read_feed(fx.spark, LEVELS, path).drop("instr_bucket")
+
+
 @query("""SELECT DISTINCT instrument_id, ts, update_seq FROM fx_levels""")
 def unique_stream(fx: Fixtures) -> DataFrame:
     """Keys of an endless stream of level updates, each once."""
@@ -964,6 +1061,27 @@ def import_cache(fx: Fixtures) -> DataFrame:
     return rows.withColumnRenamed("instrument_id", "dataset").drop("instr_bucket")
 
 
+@query("""SELECT make_timestamp(timestamp) AS ts, dataset, CAST(CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN -1 ELSE 0 END AS BIGINT) AS side,
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price, CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DOUBLE) AS quantity,
+  l_linestatus = 'F' AS is_snapshot, row_number() OVER (PARTITION BY dataset, day ORDER BY timestamp, l_linenumber,
+    CAST(l_extendedprice AS DECIMAL(18,2)), CAST(l_quantity AS DECIMAL(18,2)),
+    CASE l_returnflag WHEN 'R' THEN 'bid' WHEN 'A' THEN 'ask' ELSE 'BID' END, l_linestatus = 'F') AS update_seq,
+  CAST(day AS VARCHAR) AS trading_day FROM level_files WHERE dataset <> 'LVL2'""")
+def import_cache_levels(fx: Fixtures) -> DataFrame:
+    """A cache tree with files of level updates, imported twice and numbered in sorted order; the catalog lacks one data set."""
+    base = new_folder(fx.spark, "cache")
+    fx.write_level_cache(f"{base}/cache", "okx-futures", "future")
+    known = fx.level_catalog().filter("dataset <> 'LVL2'")
+    names = known.select(F.col("dataset").alias("instrument_id"), "dataset", F.lit("OkexFutures").alias("exchange"), F.lit("future").alias("instrument_type"))
+    tables = {TRADES.name: f"{base}/trades", LEVELS.name: f"{base}/levels"}
+    for _ in range(2):
+        importing.import_cache(
+            fx.spark, f"{base}/cache", names, "OkexFutures", "future", tables, start=FIRST, end=LAST, on_invalid="reject", buckets=2
+        )
+    rows = facts.read_feed(fx.spark, LEVELS, f"{base}/levels")
+    return rows.withColumnRenamed("instrument_id", "dataset").drop("instr_bucket")
+
+
 @query("SELECT * FROM fx_trades")
 def compact_cold(fx: Fixtures) -> DataFrame:
     path = new_folder(fx.spark, "compact")
@@ -1220,6 +1338,24 @@ def page_level_updates(fx: Fixtures) -> DataFrame:
     return raw_files.page(fx.raw_levels().select(*order), 50, 20, *order)
 
 
+@query("""SELECT *, row_number() OVER (ORDER BY trade_id) - 1 AS position FROM fx_trades
+QUALIFY position >= count(*) OVER () // 2 AND position < count(*) OVER () // 2 + 50""")
+def page_trades_by_position(fx: Fixtures) -> DataFrame:
+    """Fifty trades from the middle of all trades, found by the positions of slices."""
+    pages = pages_ops.index_pages(fx.trades(), new_folder(fx.spark, "pages"), "trade_id", slices=16)
+    return pages.page(50, len(pages) // 2)
+
+
+@query("""SELECT symbol, timestamp, local_timestamp, price, amount, side, is_snapshot,
+  row_number() OVER (ORDER BY timestamp, local_timestamp, price, amount, symbol, side, is_snapshot) - 1 AS position FROM raw_levels
+QUALIFY position >= count(*) OVER () - 30""")
+def page_level_updates_by_position(fx: Fixtures) -> DataFrame:
+    """The last level updates, by a page that reaches beyond the end."""
+    order = ["timestamp", "local_timestamp", "price", "amount", "symbol", "side", "is_snapshot"]
+    pages = pages_ops.index_pages(fx.raw_levels().select(*order), new_folder(fx.spark, "pages"), *order, slices=16)
+    return pages.page(1000, len(pages) - 30)
+
+
 @query("""SELECT date_trunc('hour', ts) AS bucket, instrument_id, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_value
 FROM fx_trades GROUP BY 1, 2""")
 def hourly_rollup(fx: Fixtures) -> DataFrame:
@@ -1279,3 +1415,12 @@ def retention_kept(fx: Fixtures) -> DataFrame:
 @query("SELECT DISTINCT trading_day FROM fx_trades WHERE trading_day < '2024-01-16'")
 def retention_expired(fx: Fixtures) -> DataFrame:
     return maintenance.expired_days(fx.trades(), as_of="2024-04-15")
+
+
+@query("SELECT * FROM fx_trades WHERE trading_day >= '2024-01-16' AND price > 0 AND quantity >= 0")
+def retention_dropped(fx: Fixtures) -> DataFrame:
+    """A loaded table after its expired day folders were dropped."""
+    path = new_folder(fx.spark, "retention")
+    load.append_trades(as_stored(fx.trades()), path, on_invalid="reject", buckets=BUCKETS)
+    maintenance.drop_expired_days(fx.spark, path, as_of="2024-04-15")
+    return _stored(fx, TRADES, path)

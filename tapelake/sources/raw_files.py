@@ -104,12 +104,14 @@ def list_cache(spark: SparkSession, root: str) -> DataFrame:
 
 
 def list_delivered(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Path, size, slug, data set and day of the delivered files in some day folders (patterns); contents are not read."""
+    """Path, size, time of change, slug, data set and day of the delivered files in some day folders (patterns); contents are not
+    read."""
     found = [path for pattern in folders for path in existing_paths(spark, pattern)]
     if found:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv.gz").load(found).select("path", "length")
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv.gz").load(found)
+        files = files.select("path", "length", F.col("modificationTime").alias("modified"))
     else:
-        files = spark.createDataFrame([], "path string, length bigint")
+        files = spark.createDataFrame([], "path string, length bigint, modified timestamp")
     return files.withColumns(delivered_parts(F.col("path")))
 
 
@@ -133,10 +135,21 @@ def feed_list(feeds: Iterable[str]) -> list[str]:
 
 
 def page(rows: DataFrame, count: int, skip: int = 0, *order: str) -> DataFrame:
-    """``count`` rows after the first ``skip``, in source order (or by the given columns)."""
+    """``count`` rows after the first ``skip``, in source order (or by the given columns).
+
+    This sorts for one page and gathers what is before it; who turns many pages, or deep ones, indexes the rows first
+    (``operators/pages.py``).
+    """
     return rows.orderBy(*(order or ("_file", "_arrival"))).offset(skip).limit(count)
 
 
 def page_file(spark: SparkSession, spec: Feed, path: str, count: int, skip: int = 0) -> DataFrame:
-    """A page of one raw file."""
-    return page(read_raw(spark, spec, path), count, skip)
+    """A page of one raw file.
+
+    One task reads a gzip file from its top, so ``_arrival`` is the number of the line: only the wanted lines leave the task,
+    and it stops at the last of them. Other files may be split over tasks; their lines are put in order first.
+    """
+    rows = read_raw(spark, spec, path)
+    if not path.endswith(".gz"):
+        return page(rows, count, skip)
+    return rows.filter(F.col("_arrival") >= skip).limit(count)
