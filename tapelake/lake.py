@@ -278,3 +278,15 @@ class Lake:
 
     def drop_expired(self, feed: str, as_of: dt.date | str, days: int = maintenance.RETAIN_DAYS) -> int:
         return maintenance.drop_expired_days(self.spark, self.table(FEEDS[feed]), as_of, days)
+
+    def rollup_path(self, feed: str) -> str:
+        return f"{self.root.rstrip('/')}/hourly_{FEEDS[feed].tag}"
+
+    def refresh_rollup(self, feed: str, now: dt.datetime | None = None) -> int:
+        """Compute the hours of the refresh window anew in the kept hourly rollup of prices."""
+        now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        return maintenance.keep_rollup(self.spark, FEEDS[feed], self.table(FEEDS[feed]), self.rollup_path(feed), now)
+
+    def rollup(self, feed: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+        """Hourly average prices per instrument, as the refreshes left them."""
+        return maintenance.read_kept_rollup(self.spark, self.rollup_path(feed), first, last).drop("day")

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tapelake.functions.times import as_day, instant_like
 from tapelake.operators.layout import BUCKETS, arrange
 from tapelake.plans import replacement, summaries
-from tapelake.plans.staging import child_names, delete_folder, file_lengths
+from tapelake.plans.staging import child_names, delete_folder, file_lengths, make_folder, stage
+from tapelake.schemas import Feed
 from tapelake.session import configure
+from tapelake.sources.facts import read_feed_days
 
 # Ages of the documented policies.
 COMPACT_AFTER_DAYS = 7
@@ -55,6 +57,50 @@ def refresh_rollup(held: DataFrame, df: DataFrame, now: dt.datetime, key: str, v
     return held.filter(~in_refresh(held, now, "bucket")).select(*recomputed.columns).unionByName(recomputed)
 
 
+# A kept rollup: a folder per day of its hours.
+ROLLUP = "bucket timestamp, instrument_id string, avg_value double, day date"
+
+
+def read_kept_rollup(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """The hours of a kept rollup, of all days or a range; folders of other days aren't listed."""
+
+    def wanted(name: str) -> bool:
+        day = dt.date.fromisoformat(name.removeprefix("day="))
+        return (first is None or first <= day) and (last is None or day <= last)
+
+    return replacement.read_table(spark, spark.createDataFrame([], ROLLUP).schema, path, wanted)
+
+
+def keep_rollup(spark: SparkSession, spec: Feed, facts: str, path: str, now: dt.datetime, value: str = "price") -> int:
+    """Refresh a kept hourly rollup of a fact table: the hours of the refresh window are computed anew, older ones stay.
+
+    Only the days of the window are read and rewritten, whatever the length of the history, and compacting the facts changes nothing.
+    The files of these days are replaced as a set (``replacement``), so a refresh that dies loses no hour, and readers see each
+    once. An hour whose facts are gone is dropped if it is in the window. One refresh at a time; returns the hours of these days.
+    """
+    path = path.rstrip("/")
+    replacement.settle(spark, path)
+    start, end = refresh_bounds(now)
+    first, last = start.date(), (end - dt.timedelta(microseconds=1)).date()
+    held = read_kept_rollup(spark, path, first, last)
+    rows = read_feed_days(spark, spec, facts, lambda day: first <= day <= last)
+    fresh = refresh_rollup(held, rows, now, "instrument_id", value)
+    fresh = stage(fresh.withColumn("day", F.to_date("bucket")).select(*held.columns), "rollup")
+    old = [f"{folder}/{file}" for folder in _rollup_days(spark, path, first, last) for file in file_lengths(spark, f"{path}/{folder}")]
+    name, data = replacement.new_data(path)
+    fresh.hint("rebalance", "day").sortWithinPartitions("day", "instrument_id", "bucket").write.partitionBy("day").parquet(data)
+    for folder in child_names(spark, data):
+        if folder.startswith("day="):
+            make_folder(spark, f"{path}/{folder}")
+    replacement.finish(spark, replacement.decide(spark, path, name, old, 0))
+    return fresh.count()
+
+
+def _rollup_days(spark: SparkSession, path: str, first: dt.date, last: dt.date) -> list[str]:
+    names = [name for name in child_names(spark, path) if name.startswith("day=")]
+    return [name for name in names if first <= dt.date.fromisoformat(name.removeprefix("day=")) <= last]
+
+
 def retained(df: DataFrame, as_of: dt.date | str, days: int = RETAIN_DAYS) -> DataFrame:
     """Rows of days not older than ``days`` before ``as_of``."""
     return df.filter(F.col("trading_day") >= F.lit(as_day(as_of) - dt.timedelta(days=days)))

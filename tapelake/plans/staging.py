@@ -101,6 +101,13 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder, and those above it, if it isn't there."""
+    file_system, hadoop_path = _file_system(spark, path)
+    if not file_system.mkdirs(hadoop_path):
+        raise OSError(f"{path} could not be made")
+
+
 def remove_file(spark: SparkSession, path: str) -> None:
     """Remove a file, if it is there."""
     file_system, hadoop_path = _file_system(spark, path)

@@ -1407,6 +1407,26 @@ def rollup_begun_anew(fx: Fixtures) -> DataFrame:
     return rows.withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
 
 
+@query(f"""SELECT date_trunc('hour', ts) AS bucket, CAST(instrument_id AS VARCHAR) AS instrument_id,
+  CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_value FROM fx_trades
+WHERE {VALID} AND ((ts >= TIMESTAMP '2024-01-03 13:00:00' AND ts < TIMESTAMP '2024-01-10 11:00:00')
+  OR (ts >= TIMESTAMP '2024-01-09 01:00:00' AND ts < TIMESTAMP '2024-01-15 23:00:00')) GROUP BY ALL""")
+def kept_rollup(fx: Fixtures) -> DataFrame:
+    """The lake's hourly rollup after two refreshes whose windows overlap, with a compaction of the trades between them."""
+    lake = _lake(fx)
+    lake.refresh_rollup(TRADES.name, dt.datetime(2024, 1, 10, 12, 40))
+    lake.compact(TRADES.name, "2024-01-31")
+    lake.refresh_rollup(TRADES.name, dt.datetime(2024, 1, 16, 0, 30))
+    return lake.rollup(TRADES.name)
+
+
+@query("""SELECT CAST(instrument_id AS VARCHAR) AS instrument_id, dataset, CAST(current_date - 1 AS VARCHAR) AS trading_day FROM fx_instruments""")
+def requested_without_day(fx: Fixtures) -> DataFrame:
+    """Requests that name no day mean yesterday."""
+    names = fx.instruments().withColumn("instrument_id", F.col("instrument_id").cast("string"))
+    return load.requested_instruments(names.select("instrument_id"), names).select("instrument_id", "dataset", "trading_day")
+
+
 @query("SELECT * FROM fx_trades WHERE trading_day >= '2024-01-16'")
 def retention_kept(fx: Fixtures) -> DataFrame:
     return maintenance.retained(fx.trades(), as_of="2024-04-15")
