@@ -213,7 +213,8 @@ def read_landed(
 def fold_landed(spark: SparkSession, spec: Feed, path: str) -> int:
     """Remove what nobody reads: rows of replaced data set days and of landings that broke off, and older ledger entries.
 
-    Only days that hold such rows are rewritten, as a set of files (see ``replacement``). Returns the rows removed.
+    Only days that hold such rows are rewritten, as a set of files (see ``replacement``). DataFrames read before a fold name files
+    that it removes, so read anew after it. Returns the rows removed.
     """
     path = path.rstrip("/")
     replacement.settle(spark, path)

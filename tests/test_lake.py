@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import re
 
 import pytest
@@ -187,6 +188,21 @@ def test_land_keeps_other_data_sets(lake, spark, folder, trades_file):
     assert [r.id for r in lines] == [1, 2, 2, 3, 4, 5, 6] and all("ETHUSDT" in r._file for r in lines)
 
 
+def test_land_reads_touched_files_only(lake, spark, trades_file):
+    place = f"{lake.source}/v1/binance-futures/trades/2024/01/15/BTCUSDT.csv.gz"
+    assert lake.land(btc(lake), "Trades") == landing.Landing(1, 0, 0)
+    assert lake.land(btc(lake), "Trades") == landing.Landing(0, 0, 1)
+    os.utime(place, (1, 1))  # touched, and the same: read, not written; then known by its new time
+    assert lake.land(btc(lake), "Trades") == landing.Landing(0, 1, 0)
+    assert lake.land(btc(lake), "Trades") == landing.Landing(0, 0, 1)
+    trades_file(place, "BTCUSDT", MIDNIGHT + 1)
+    assert lake.land(btc(lake), "Trades") == landing.Landing(1, 0, 0)
+    rows = landing.read_landed(spark, TRADES, lake.landed("Trades"))
+    assert rows.count() == 7 and rows.agg(F.min("timestamp")).first()[0] == MIDNIGHT + 1
+    assert lake.fold_landed("Trades") == 7
+    assert landing.read_landed(spark, TRADES, lake.landed("Trades")).count() == 7
+
+
 def test_one_feed_day(lake):
     lake.load_trades(btc(lake))
     is_btc = (F.col("base_asset") == "BTC") & (F.col("exchange") == "BinanceFutures")
