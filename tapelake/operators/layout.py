@@ -45,6 +45,16 @@ def instrument_bucket(instrument_id: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(instrument_id.cast("string")), F.lit(buckets)).cast("int")
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Deal rows that are about to become many each (a row per day, say) over all shuffle partitions, by the hash of some columns.
+
+    A small table is read by one task, and what its rows become would all be made, and aggregated, in that task. A number of
+    partitions is given because adaptive execution would pack the few bytes there are before that into one partition again.
+    """
+    number = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(number, *[F.col(c) for c in columns])
+
+
 def arrange(
     df: DataFrame,
     buckets: int = BUCKETS,

@@ -182,7 +182,8 @@ def requested_instruments(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     """
     key = ["instrument_id"] if "instrument_id" in requests.columns else IDENTITY
     day = F.coalesce("trading_day", yesterday()) if "trading_day" in requests.columns else yesterday()
-    found = requests.select(*key, day.alias("trading_day")).distinct().join(catalog, key)
+    # Spark takes requests that were made from a small table, a row per day, for as small as that table; so the catalog is hashed.
+    found = requests.select(*key, day.alias("trading_day")).distinct().join(catalog.hint("shuffle_hash"), key)
     missing = F.col("dataset").isNull() | (F.col("dataset") == "")
     dataset = F.when(missing, F.raise_error(F.lit("instrument has no data set"))).otherwise(F.col("dataset"))
     return found.select("instrument_id", *IDENTITY, dataset.alias("dataset"), "trading_day")

@@ -14,6 +14,7 @@ from tapelake.lake import Lake
 from tapelake.functions import locations, sides, times, venues
 from tapelake.operators import catalog, coverage, dedup, layout, manifest, normalize, sequence, validate
 from tapelake.operators import pages as pages_ops
+from tapelake.operators.layout import spread
 from tapelake.oracles import sql
 from tapelake.plans import importing, landing, load, maintenance, refresh, summaries
 from tapelake.plans.staging import child_names, new_folder, stage
@@ -92,7 +93,8 @@ def feed_day_info_levels(fx: Fixtures) -> DataFrame:
 
 def _requests(fx: Fixtures, *feeds: str) -> DataFrame:
     """Every instrument with every given feed."""
-    return fx.instruments().select(*IDENTITY, F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed"))
+    names = spread(fx.instruments().select(*IDENTITY), *IDENTITY)
+    return names.select(*IDENTITY, F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed"))
 
 
 def _daily(requests: DataFrame) -> DataFrame:
@@ -959,7 +961,7 @@ def load_by_request(fx: Fixtures) -> DataFrame:
     """The trades of every instrument-day of the month, requested by identity and loaded from raw rows."""
     path = new_folder(fx.spark, "by-request")
     names = fx.instruments().withColumn("instrument_id", F.col("instrument_id").cast("string"))
-    requests = _daily(names.select(*IDENTITY))
+    requests = _daily(spread(names.select(*IDENTITY), *IDENTITY))
     raw = fx.raw_trades().drop("instrument_id")
     load.load_trades(requests, names, raw, path, on_invalid="reject", buckets=BUCKETS)
     return _stored(fx, TRADES, path)
@@ -977,7 +979,7 @@ def requested_levels(fx: Fixtures) -> DataFrame:
         *[F.lit("any").alias(c) for c in IDENTITY],
     )
     days = coverage.calendar(F.lit(dt.date(1995, 1, 1)), F.lit(dt.date(2001, 12, 31)))
-    requests = names.select("instrument_id", days.alias("trading_day"))
+    requests = spread(names.select("instrument_id"), "instrument_id").select("instrument_id", days.alias("trading_day"))
     raw = fx.raw_levels().drop("instrument_id").withColumn("dataset", F.upper("symbol"))
     rows = load.for_requests(raw, load.requested_instruments(requests, names))
     levels = normalize.normalize_levels(load.numbered_levels(rows, "sorted", ["dataset", "file_day"]))

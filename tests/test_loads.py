@@ -283,3 +283,25 @@ def test_hot_instrument_is_split_in_a_shuffled_join(spark):
             spark.conf.unset(key)
         configure(spark)
     assert "skew=true" in plan or "isSkew=true" in plan or "AQEShuffleRead skewed" in plan
+
+
+def test_requests_by_day_are_not_broadcast(spark):
+    """Spark takes requests that a small table becomes, a row per day, for as small as that table."""
+    configure(spark)
+    catalog = spark.range(50).select(
+        F.concat(F.lit("i"), F.col("id").cast("string")).alias("instrument_id"),
+        F.concat(F.lit("A"), F.col("id").cast("string")).alias("base_asset"),
+        F.lit("USDT").alias("quote_asset"), F.lit("OkexSpot").alias("exchange"), F.lit("spot").alias("instrument_type"), F.lit("d").alias("dataset"),
+    )
+    days = F.explode(F.sequence(F.lit(DAY), F.lit(DAY + dt.timedelta(days=30))))
+    requests = catalog.select("base_asset", "quote_asset", "exchange", "instrument_type", days.alias("trading_day"))
+    wanted = load.requested_instruments(requests.unionByName(requests), catalog)
+    assert "Broadcast" not in wanted._jdf.queryExecution().executedPlan().toString()
+    assert wanted.count() == 50 * 31
+
+
+def test_rows_are_dealt_out_before_they_multiply(spark):
+    few = spark.range(100).coalesce(1)
+    tasks = layout.spread(few, "id").select("id", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("n"), F.spark_partition_id().alias("task"))
+    counts = {row.task: row["count"] for row in tasks.groupBy("task").count().collect()}
+    assert sum(counts.values()) == 1000 and len(counts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
