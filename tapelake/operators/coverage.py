@@ -49,8 +49,11 @@ def both_feeds(per_feed: dict[str, DataFrame]) -> DataFrame:
 
 
 def resolve(requests: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Requests with their ``instrument_id``, null for an unknown identity."""
-    return requests.join(catalog.select(*IDENTITY, "instrument_id"), IDENTITY, "left")
+    """Requests with their ``instrument_id``, null for an unknown identity.
+
+    Either side may be far larger than Spark takes it for, so neither is broadcast: each task hashes its part of the catalog.
+    """
+    return requests.join(catalog.select(*IDENTITY, "instrument_id").hint("shuffle_hash"), IDENTITY, "left")
 
 
 @dataclass(frozen=True)
@@ -129,7 +132,7 @@ def feed_day_info(
 
 def info_of_days(requests: DataFrame, catalog: DataFrame, days: dict[str, DataFrame]) -> DataFrame:
     """``feed_day_info`` from a row per instrument and day of each feed, as summaries hold them."""
-    wanted = resolve(requests, catalog).filter(F.col("instrument_id").isNotNull())
+    wanted = resolve(requests.filter(F.col("feed").isin(list(days))), catalog).filter(F.col("instrument_id").isNotNull())
     found = both_feeds({feed: df.select(*FEED_DAY, *MEASURES) for feed, df in days.items()})
     return wanted.join(found, FEED_DAY).select(*IDENTITY, *FEED_DAY, *MEASURES)
 

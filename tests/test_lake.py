@@ -332,3 +332,17 @@ def test_unresolved_default_end(lake):
 def test_dataset_map(lake):
     rows = facts.dataset_map(lake.catalog, "BinanceFutures", "perpetual").collect()
     assert {r.dataset for r in rows} == {"BTCUSDT", "ETHUSDT", "OLD"}
+
+
+def test_requests_are_resolved_without_broadcast(spark):
+    """Neither requests by day nor the catalog has the size Spark takes it for; unsupported feeds never meet the summaries."""
+    identity = {"base_asset": "A", "quote_asset": "USDT", "exchange": "OkexSpot", "instrument_type": "spot"}
+    catalog = spark.range(3).select(F.col("id").cast("string").alias("instrument_id"), *[F.concat(F.lit(v), F.col("id").cast("string")).alias(c) for c, v in identity.items()])
+    requests = catalog.drop("instrument_id").select("*", F.explode(F.array(F.lit("Trades"), F.lit("OrdersLog"), F.lit(None))).alias("feed"))
+    requests = requests.withColumn("trading_day", coverage.calendar(F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 1, 9))))
+    resolved = coverage.resolve(requests, catalog)
+    assert "Broadcast" not in resolved._jdf.queryExecution().executedPlan().toString()
+    assert resolved.count() == 81 and resolved.filter("instrument_id IS NULL").count() == 0
+    facts_of = catalog.select("instrument_id", F.lit(dt.date(2024, 1, 5)).alias("trading_day"), F.timestamp_seconds(F.lit(1_704_412_800)).alias("ts"))
+    info = coverage.info_of_days(requests, catalog, {"Trades": coverage.feed_days(facts_of, "Trades")})
+    assert sorted((r.instrument_id, r.feed, r.items_count) for r in info.collect()) == [(str(i), "Trades", 1) for i in range(3)]
