@@ -1033,8 +1033,9 @@ def unique_stream_late(fx: Fixtures) -> DataFrame:
     base = new_folder(fx.spark, "unique")
     rows = as_stored(fx.month_levels()).select(*LEVELS.key)
     for part in (F.dayofmonth("ts") % 2 == 0, F.dayofmonth("ts") % 2 == 1, F.lit(True)):
-        rows.where(part).coalesce(2).write.mode("append").parquet(f"{base}/in")
-    for k, files in enumerate((3, 100)):
+        rows.where(part).coalesce(max(2, fx.spark.sparkContext.defaultParallelism)).write.mode("append").parquet(f"{base}/in")
+    written = len([name for name in child_names(fx.spark, f"{base}/in") if name.startswith("part-")])
+    for k, files in enumerate((max(3, written // 2), max(100, written))):
         stream = fx.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
         unique.write_unique(stream, LEVELS.key, f"{base}/out", f"{base}/checkpoint{k}", once=True).awaitTermination()
     return unique.read_unique(fx.spark, f"{base}/out")
