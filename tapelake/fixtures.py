@@ -270,11 +270,16 @@ class Fixtures:
         }
         return self.spark.range(5).select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in INSTRUMENT])
 
+    def text_levels(self) -> DataFrame:
+        """``level_files`` for text: prices and amounts with the two decimals they have; the files of LVL3 on even days are left out."""
+        rows = self.level_files().filter("NOT (dataset = 'LVL3' AND dayofmonth(day) % 2 = 0)")
+        return rows.withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("price", "amount")})
+
     def deliver_levels(self, root: str) -> None:
         """``level_files`` as delivered files below ``root``, one per data set and day, lines in order; the files of LVL3 on
         even days are left out."""
         text = f"{root}-text"
-        rows = self.level_files().filter("NOT (dataset = 'LVL3' AND dayofmonth(day) % 2 = 0)")
+        rows = self.text_levels()
         (
             rows.repartition("dataset", "day")
             .sortWithinPartitions("dataset", "day", "order_key", "line", "price", "amount", "side", "is_snapshot")
@@ -282,6 +287,7 @@ class Fixtures:
             .write.partitionBy("dataset", "day")
             .option("header", True)
             .option("compression", "gzip")
+            .option("zlib.compress.level", "BEST_SPEED")
             .csv(text)
         )
         to_path = self.spark._jvm.org.apache.hadoop.fs.Path
@@ -308,14 +314,14 @@ class Fixtures:
 
     def write_level_cache(self, root: str, slug: str, kind: str) -> None:
         """``level_files`` as a cache tree, one file per data set and day; the files of LVL3 on even days are left out."""
-        rows = self.level_files().filter("NOT (dataset = 'LVL3' AND dayofmonth(day) % 2 = 0)").drop("order_key", "line")
+        rows = self.text_levels().drop("order_key", "line")
         self._write_cache(rows.repartition("dataset", "day").sortWithinPartitions("dataset", "day"), LEVELS.tag, root, slug, kind)
 
     def _write_cache(self, rows: DataFrame, tag: str, root: str, slug: str, kind: str) -> None:
         """Spark writes the text files; then each gets the name a cached file has (a list of files, on whatever file system
         ``root`` is on)."""
         text = f"{root}-{tag}-text"
-        rows.write.partitionBy("dataset", "day").option("header", True).option("compression", "gzip").csv(text)
+        rows.write.partitionBy("dataset", "day").option("header", True).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").csv(text)
         to_path = self.spark._jvm.org.apache.hadoop.fs.Path
         file_system = to_path(text).getFileSystem(self.spark._jsc.hadoopConfiguration())
         for status in file_system.globStatus(to_path(f"{text}/*/*/part-*")):

@@ -147,6 +147,7 @@ class Lake:
         if expected and on_absent == "fail":
             raise load.FilesMissing(f"{expected} source files of trading days are not there")
         run = load.load_trades if spec is TRADES else load.load_level_updates
+        options = {"unique": True, **options} if spec is LEVELS else options
         report = run(requests, catalog, self.source_rows(spec, files), self.table(spec), buckets=self.buckets_of(spec), **options)
         report.unknown = load.unknown_requests(requests, catalog).count()
         report.absent, report.absent_expected = absent, expected

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapelake.functions.sides import order_side, script_side, trade_side
 from tapelake.functions.times import micros_to_timestamp, trading_day
-from tapelake.operators.sequence import GROUP_ROWS, number_rows
+from tapelake.operators.sequence import GROUP_ROWS, number_consecutive, number_rows
 from tapelake.schemas import LEVELS, TRADES, Feed
 
 # The order of the sorted numbering. The last two columns only separate rows the first four tie on.
@@ -68,7 +68,9 @@ def sequence_sorted(raw: DataFrame, source: list[str], group_rows: int = GROUP_R
 
 
 def sequence_arrival(
-    raw: DataFrame, source: list[str], arrival: str = "_arrival", group_rows: int = GROUP_ROWS
+    raw: DataFrame, source: list[str], arrival: str = "_arrival", group_rows: int = GROUP_ROWS, unique: bool = False
 ) -> DataFrame:
-    """0-based ``update_seq`` in arrival order within one source."""
+    """0-based ``update_seq`` in arrival order within one source; ``unique`` says that no two rows of a source have one arrival."""
+    if unique:
+        return number_consecutive(with_raw_time(raw), source, arrival, start=0, group_rows=group_rows)
     return number_rows(with_raw_time(raw), source, [arrival], start=0, group_rows=group_rows)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapelake.plans import replacement
-from tapelake.plans.load import for_requests, requested_instruments
+from tapelake.plans.load import few_requested, for_requests, requested_instruments
 from tapelake.plans.staging import child_names, delete_folder, file_lengths, path_exists, stage, write_text
 from tapelake.schemas import Feed
 
@@ -174,8 +174,9 @@ def land_requested(
 ) -> Landing:
     """Land the requested instrument-days, each data set by itself; unknown instruments are left out."""
     # A data set that several instruments name is landed once.
-    wanted = requested_instruments(requests, catalog).withColumn("instrument_id", F.lit(None).cast("string"))
-    rows = for_requests(raw, wanted)
+    few = few_requested(requests, catalog)
+    wanted = requested_instruments(requests, catalog) if few is None else few
+    rows = for_requests(raw, wanted.withColumn("instrument_id", F.lit(None).cast("string")), few is not None)
     return land_raw(landed_rows(rows, spec, F.col("venue"), F.col("file_day")), path, versions)
 
 

@@ -71,11 +71,16 @@ def _load(
     catalog: DataFrame | None,
     on_invalid: str,
     buckets: int,
+    staged: bool = False,
 ) -> LoadReport:
     spark = batch.sparkSession
     check_buckets(spark, path, buckets)  # the note is written with the first rows, after all checks
-    staged = stage(batch.select(*spec.columns), f"load-{spec.tag}")
-    checked = check_facts(staged, spec, catalog)
+    if catalog is None:  # what the checks say is staged with the rows, so that counting it reads no values
+        checked = check_facts(batch.select(*spec.columns), spec)
+        checked = checked if staged else stage(checked, f"load-{spec.tag}")
+    else:
+        rows = batch.select(*spec.columns)
+        checked = check_facts(rows if staged else stage(rows, f"load-{spec.tag}"), spec, catalog)
     # One row per (day, bucket, reason): bounded by the calendar and the layout, not by the data.
     bucket = instrument_bucket(F.col("instrument_id"), buckets).alias("bucket")
     summary = checked.groupBy("trading_day", bucket, "reason").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -119,12 +124,14 @@ def append_feed(
     catalog: DataFrame | None = None,
     on_invalid: str = "fail",
     buckets: int = BUCKETS,
+    staged: bool = False,
 ) -> LoadReport:
     """Keep-first insert on (instrument, ts, ordinal). Rows already stored win; of duplicates in the batch one remains.
 
     ``on_invalid="fail"`` rejects the whole batch for one bad row; ``"reject"`` loads the good rows and reports the others.
+    ``staged`` says that the batch is little more than a read of staged rows, which needn't be written once more.
     """
-    return _load(batch, spec, path, _keep_first(spec.key, spec.rest), catalog, on_invalid, buckets)
+    return _load(batch, spec, path, _keep_first(spec.key, spec.rest), catalog, on_invalid, buckets, staged)
 
 
 def append_trades(batch: DataFrame, path: str, **options) -> LoadReport:
@@ -212,27 +219,52 @@ def source_gaps(wanted: DataFrame, files: DataFrame, catalog: DataFrame) -> Data
     return gaps.join(spans, "instrument_id").select("instrument_id", "dataset", "trading_day", expected.alias("expected"))
 
 
-def for_requests(raw: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Raw rows (with dataset and file_day) of the wanted data sets and days, with instrument id and exchange.
+# Requested instrument-days that a join side may be broadcast for.
+FEW_REQUESTED = 100_000
 
-    Where the rows know the slug of their exchange it must agree too: two exchanges may use one data set name.
-    """
-    days = wanted.select(
+
+def few_requested(requests: DataFrame, catalog: DataFrame) -> DataFrame | None:
+    """``requested_instruments``, staged, if there are few; none if they are many."""
+    if requests.limit(FEW_REQUESTED + 1).count() > FEW_REQUESTED:
+        return None
+    wanted = stage(requested_instruments(requests, catalog), "requested")
+    return wanted if wanted.limit(FEW_REQUESTED + 1).count() <= FEW_REQUESTED else None
+
+
+def _requested_days(wanted: DataFrame) -> DataFrame:
+    return wanted.select(
         exchange_slug(F.col("exchange")).alias("slug"),
         F.upper("dataset").alias("dataset"),
         F.col("trading_day").alias("file_day"),
         "instrument_id",
         F.col("exchange").alias("venue"),
     ).distinct()
-    key = [c for c in ("slug", "dataset", "file_day") if c in raw.columns]
-    return raw.drop("venue").join(days, key)
+
+
+def _day_key(raw: DataFrame) -> list[str]:
+    return [c for c in ("slug", "dataset", "file_day") if c in raw.columns]
+
+
+def for_requests(raw: DataFrame, wanted: DataFrame, few: bool = False) -> DataFrame:
+    """Raw rows (with dataset and file_day) of the wanted data sets and days, with instrument id and exchange.
+
+    Where the rows know the slug of their exchange it must agree too: two exchanges may use one data set name. If the wanted days were
+    counted and are ``few``, they are broadcast and no raw row is shuffled.
+    """
+    days = _requested_days(wanted)
+    return raw.drop("venue").join(F.broadcast(days) if few else days, _day_key(raw))
+
+
+def requested_rows(requests: DataFrame, catalog: DataFrame, raw: DataFrame) -> DataFrame:
+    few = few_requested(requests, catalog)
+    return for_requests(raw, requested_instruments(requests, catalog) if few is None else few, few is not None)
 
 
 def load_trades(
     requests: DataFrame, catalog: DataFrame, raw: DataFrame, path: str, side_coding: str = "service", **options
 ) -> LoadReport:
     """Load the requested instrument-days of trades from raw rows."""
-    rows = for_requests(raw, requested_instruments(requests, catalog))
+    rows = requested_rows(requests, catalog, raw)
     return append_trades(normalize_trades(rows, side_coding), path, **options)
 
 
@@ -244,21 +276,29 @@ def load_level_updates(
     side_coding: str = "service",
     sequence: str = "arrival",
     source: list[str] | None = None,
+    unique: bool = False,
     **options,
 ) -> LoadReport:
-    """Load the requested instrument-days of level updates from raw rows, numbered per source file."""
-    rows = for_requests(raw, requested_instruments(requests, catalog))
-    numbered = numbered_levels(rows, sequence, source or ["_file"])
+    """Load the requested instrument-days of level updates from raw rows, numbered per source file.
+
+    ``unique`` says that no two rows of a source have one ``_arrival``, which holds for what one read gives.
+    """
+    few = few_requested(requests, catalog)
+    rows = for_requests(raw, requested_instruments(requests, catalog) if few is None else few, few is not None)
+    # Two instruments of one data set each get its rows, so that an arrival occurs twice.
+    single = unique and few is not None and dedup.repeated_keys(_requested_days(few), _day_key(raw)).isEmpty()
+    numbered = numbered_levels(rows, sequence, source or ["_file"], single)
     return append_level_updates(normalize_levels(numbered, side_coding), path, **options)
 
 
-def numbered_levels(raw: DataFrame, sequence: str, source: list[str]) -> DataFrame:
-    """Raw level updates with ``update_seq``: in arrival order from 0, or in sorted order from 1, per source."""
+def numbered_levels(raw: DataFrame, sequence: str, source: list[str], unique: bool = False) -> DataFrame:
+    """Raw level updates with ``update_seq``: in arrival order from 0, or in sorted order from 1, per source. ``unique`` says that no two
+    rows of a source have one arrival."""
     if sequence not in ("arrival", "sorted"):
         raise ValueError(f"unknown sequence: {sequence}")
     # Numbering reads its input more than once; raw text should be parsed only once.
     staged = stage(raw, "raw-levels")
-    numbered = sequence_arrival(staged, source) if sequence == "arrival" else sequence_sorted(staged, source)
+    numbered = sequence_arrival(staged, source, unique=unique) if sequence == "arrival" else sequence_sorted(staged, source)
     return numbered.withColumn("update_seq", F.col("update_seq").cast("int"))
 
 

@@ -142,7 +142,7 @@ def take(rows: DataFrame, spec: Feed, names: DataFrame, table: str, sequence: st
         raw = stage(rows, "taken")
         odd = raw.where(F.col(BROKEN).isNotNull() | F.col("timestamp").isNull())
         fine = raw.where(F.col(BROKEN).isNull() & F.col("timestamp").isNotNull())
-        rows = numbered_levels(fine, sequence, VERSION).unionByName(odd, allowMissingColumns=True)
+        rows = numbered_levels(fine, sequence, VERSION, unique=True).unionByName(odd, allowMissingColumns=True)
     known = rows.withColumn("dataset", F.upper("symbol")).join(names, _key(names), "left")
     normal = (normalize_trades if spec is TRADES else normalize_levels)(known, keep=[*VERSION, *DATASET, BROKEN], timed=False)
     reason = F.when(F.col(BROKEN).isNotNull(), MALFORMED).otherwise(F.col("reason"))
@@ -151,7 +151,7 @@ def take(rows: DataFrame, spec: Feed, names: DataFrame, table: str, sequence: st
     good = states.where(F.col("state") == LOADED).select(*VERSION).distinct()
     loadable = F.col("instrument_id").isNotNull() & F.col("ts").isNotNull() & ~F.col("reason").eqNullSafe(MALFORMED)
     loaded = checked.where(loadable).join(good, VERSION, "left_semi").select(*spec.columns)
-    report = append_feed(loaded, spec, table, on_invalid="reject", buckets=stored_buckets(spark, table) or buckets)
+    report = append_feed(loaded, spec, table, on_invalid="reject", buckets=stored_buckets(spark, table) or buckets, staged=True)
     _note(states, table)
     return report
 

@@ -305,3 +305,58 @@ def test_rows_are_dealt_out_before_they_multiply(spark):
     tasks = layout.spread(few, "id").select("id", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("n"), F.spark_partition_id().alias("task"))
     counts = {row.task: row["count"] for row in tasks.groupBy("task").count().collect()}
     assert sum(counts.values()) == 1000 and len(counts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_without_gaps_are_numbered_without_a_shuffle(spark):
+    whole = [("a", n) for n in range(40, 60)] + [("b", 7)]
+    gaps = [("c", n) for n in (3, 4, 9)] + [("d", n) for n in (0, 5)]
+    for rows, shuffled in ((whole, False), (whole + gaps, True), (gaps, True), ([], False)):
+        df = spark.createDataFrame(rows[::-1], "source string, place bigint")
+        got = sequence.number_consecutive(df, ["source"], "place", start=0)
+        want = sequence.number_rows(df, ["source"], ["place"], start=0)
+        assert got.schema["update_seq"].dataType == want.schema["update_seq"].dataType
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert ("Window" in plan(got)) == shuffled
+
+
+def requested(spark):
+    """Requests of two days for two instruments of one data set and one of another, the catalog, and raw rows, some without a time."""
+    catalog = spark.createDataFrame(
+        [("i1", "A", "OkexSpot", "d"), ("i2", "B", "OkexSpot", "d"), ("i3", "C", "OkexSpot", "e")],
+        "instrument_id string, base_asset string, exchange string, dataset string",
+    ).withColumns({"quote_asset": F.lit("USDT"), "instrument_type": F.lit("spot")})
+    days = F.explode(F.sequence(F.lit(DAY), F.lit(DAY + dt.timedelta(days=1))))
+    start = int(dt.datetime(DAY.year, DAY.month, DAY.day, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    rows = [(name, day, place, None if (place, name) == (3, "D") else start + day * 86_400_000_000 + place % 4) for name in "DEF" for day in (0, 1, 2) for place in range(10)]
+    raw = spark.createDataFrame(rows, "dataset string, day int, _arrival bigint, timestamp bigint").select(
+        "*", F.date_add(F.lit(DAY), F.col("day")).alias("file_day"), F.concat("dataset", F.col("day").cast("string")).alias("_file"),
+        F.lit(False).alias("is_snapshot"), F.lit("bid").alias("side"), F.lit(1).cast("decimal(38,18)").alias("price"), F.col("_arrival").cast("decimal(38,18)").alias("amount"),
+    )
+    return catalog.select("instrument_id", days.alias("trading_day")), catalog, raw
+
+
+def test_few_requests_shuffle_no_raw_row(spark, monkeypatch):
+    configure(spark)
+    requests, catalog, raw = requested(spark)
+    few = load.requested_rows(requests, catalog, raw)
+    assert "BroadcastHashJoin" in plan(few) and "SortMergeJoin" not in plan(few)
+    monkeypatch.setattr(load, "FEW_REQUESTED", 1)
+    many = load.requested_rows(requests, catalog, raw)
+    assert few.columns == many.columns and few.count() == 60
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
+@pytest.mark.parametrize("ids", [["i1", "i3"], ["i1", "i2", "i3"]])
+def test_levels_are_numbered_alike_by_either_way(spark, folder, ids):
+    """Also where a row lacks its time, or two instruments share a data set, so that a line occurs twice."""
+    requests, catalog, raw = requested(spark)
+    requests = requests.filter(F.col("instrument_id").isin(ids))
+    for unique in (False, True):
+        load.load_level_updates(requests, catalog, raw, f"{folder}/{unique}", source=["_file"], unique=unique)
+    one, other = (stored(spark, f"{folder}/{unique}", LEVELS) for unique in (False, True))
+    columns = ["trading_day", "update_seq", "price", "side"] + (["instrument_id", "quantity"] if len(ids) == 2 else [])
+    assert sorted(map(str, one.select(*columns).collect())) == sorted(map(str, other.select(*columns).collect())) and one.count() == len(ids) * 20 - 2 * (len(ids) - 1)
