@@ -37,16 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.llm.common import components, few, freed, in_blocks, shuffle_partitions, small_batches, sorted_runs, spare
-from tapelake.llm.shingles import as_bytes, word_hashes
+from tapelake.llm.shingles import as_bytes
 from tapelake.plans.staging import stage
 
 LEAST = 20
 DISTANCE = 10
 SIMILARITY = 0.8
 FEW = 4
-SPLIT = 1 << 17
+SPLIT = 1 << 20
 # Lines per bucket that the choice of ``take`` aims at.
-AIM = 1 << 16
+AIM = 1 << 19
 
 _UPPER_TO_LOWER = bytes(range(256)).lower()
 _TABLE = bytes(
@@ -54,13 +54,29 @@ _TABLE = bytes(
 )
 
 
+def _lowered(text: bytes) -> bytes:
+    return text if text.isascii() else text.decode("utf-8", "replace").lower().encode("utf-8", "replace")
+
+
 def normalised_lines(text: bytes | None) -> list[list[bytes]]:
     """The words of the normalised form of each line."""
     if not text:
         return []
-    if not text.isascii():
-        text = text.decode("utf-8", "replace").lower().encode("utf-8", "replace")
-    return [line.split() for line in text.translate(_TABLE).split(b"\n")]
+    return [line.split() for line in _lowered(text).translate(_TABLE).split(b"\n")]
+
+
+def _whole_lines(texts: list[bytes]) -> list[bytes]:
+    """The normalised forms of the lines of all texts, one text after another; a null or empty one must not be among them."""
+    if not texts:
+        return []
+    data = np.frombuffer(b"\n".join(map(_lowered, texts)).translate(_TABLE), np.uint8)
+    word, end = data > ord(" "), data == ord("\n")
+    kept = word | end
+    kept[1:] |= word[:-1]  # the first space behind a word
+    data, end = data[kept], end[kept]
+    kept = data != ord(" ")
+    kept[:-1] |= ~end[1:]  # but not at the end of a line
+    return data[kept].tobytes().split(b"\n")
 
 
 # Each byte as its eight bits in eight bytes, so that bits are counted eight at a time, up to 255 of each.
@@ -68,22 +84,82 @@ _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np
 _COUNTED = 255
 
 
-def simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """A 64-bit SimHash of each line's distinct words."""
-    sets = [set(words) for words in lines]
-    counts = np.array([len(words) for words in sets])
-    out = np.zeros(len(lines), np.uint64)
-    if not counts.sum():
-        return out
-    spread = _SPREAD[word_hashes([word for words in sets for word in words]).view(np.uint8)].reshape(-1, 8)
-    some = counts > 0
-    sizes = counts[some]
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(values: np.ndarray, bits: int) -> np.ndarray:
+    return values << np.uint64(bits) | values >> np.uint64(64 - bits)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The XXH64 of words that lie in an array of bytes, computed for all words of a length at once; words of 32 bytes or more go one by one."""
+    out = np.empty(len(starts), np.uint64)
+    order = np.argsort(np.minimum(lengths, 32).astype(np.uint8), kind="stable")
+    ends = np.searchsorted(lengths[order], np.arange(33), side="left")
+    for length in range(1, 32):
+        rows = order[ends[length] : ends[length + 1]]
+        if not len(rows):
+            continue
+        at, left = starts[rows], length
+        value = np.full(len(rows), _P5 + np.uint64(length))
+        while left >= 8:
+            lane = data[at[:, None] + np.arange(8)].view(np.uint64).ravel()
+            value = _turned(value ^ _turned(lane * _P2, 31) * _P1, 27) * _P1 + _P4
+            at, left = at + 8, left - 8
+        if left >= 4:
+            lane = data[at[:, None] + np.arange(4)].view(np.uint32).ravel().astype(np.uint64)
+            value = _turned(value ^ lane * _P1, 23) * _P2 + _P3
+            at, left = at + 4, left - 4
+        for k in range(left):
+            value = _turned(value ^ data[at + k].astype(np.uint64) * _P5, 11) * _P1
+        value = (value ^ value >> np.uint64(33)) * _P2
+        value = (value ^ value >> np.uint64(29)) * _P3
+        out[rows] = value ^ value >> np.uint64(32)
+    for row in order[ends[32] :]:
+        out[row] = xxhash.xxh64_intdigest(data[starts[row] : starts[row] + lengths[row]].tobytes())
+    return out
+
+
+def _once(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """One place of each (group, value), ascending. Those that share a slot of a table go on to the next one."""
+    slots = np.uint64(max(2 * len(value) - 1, 1)).item().bit_length()
+    table = np.empty(1 << slots, np.int64)
+    kept, rows, spread = np.zeros(len(value), bool), np.arange(len(value)), value + group.astype(np.uint64) * _P1
+    while len(rows):
+        spread = (spread ^ spread >> np.uint64(32)) * _P2
+        slot = spread >> np.uint64(64 - slots)
+        table[slot] = rows
+        winner = table[slot]
+        kept[winner] = True
+        other = (value[winner] != value[rows]) | (group[winner] != group[rows])
+        rows, spread = rows[other], spread[other]
+    return np.flatnonzero(kept)
+
+
+def _simhashes(wholes: list[bytes]) -> np.ndarray:
+    """A 64-bit SimHash of the distinct words of each of some lines that have words, with one space between them."""
+    if not wholes:
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(b"\n".join(wholes), np.uint8)
+    gaps = np.flatnonzero(data <= ord(" "))
+    starts, ends = np.append(0, gaps + 1), np.append(gaps, len(data))
+    line = np.append(0, np.cumsum(data[gaps] == ord("\n")))
+    hashes = word_hashes(data, starts, ends - starts)
+    once = _once(line, hashes)
+    spread = _SPREAD[hashes[once].view(np.uint8)].reshape(-1, 8)
+    sizes = np.bincount(line[once])
     parts = -(-sizes // _COUNTED)  # of each line
     first = np.cumsum(parts) - parts
     starts = np.repeat(np.cumsum(sizes) - sizes - first * _COUNTED, parts) + np.arange(parts.sum()) * _COUNTED
     bits = np.add.reduceat(spread, starts, axis=0).view(np.uint8).reshape(-1, 64)
     ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
-    out[some] = np.packbits(2 * ones > sizes[:, None], axis=1).view(np.uint64).ravel()
+    return np.packbits(2 * ones > sizes[:, None], axis=1).view(np.uint64).ravel()
+
+
+def simhashes(lines: list[list[bytes]]) -> np.ndarray:
+    """A 64-bit SimHash of each line's distinct words; 0 without words."""
+    out = np.zeros(len(lines), np.uint64)
+    out[[k for k, words in enumerate(lines) if words]] = _simhashes([b" ".join(words) for words in lines if words])
     return out
 
 
@@ -93,29 +169,25 @@ LINE = "doc_id long, tie long, line_no int, line long, sim long, size int"
 def _line_rows(least: int, short: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
-            docs, numbers, keys, lines, sizes = [], [], [], [], []
-            for at, text in enumerate(as_bytes(batch.column("text"))):
-                for number, words in enumerate(normalised_lines(text)):
-                    if not words:
-                        continue
-                    whole = b" ".join(words)
-                    size = len(whole) if whole.isascii() else len(whole.decode("utf-8", "replace"))
-                    long = size >= least
-                    docs.append(at)
-                    numbers.append(number)
-                    keys.append(xxhash.xxh3_64_intdigest(whole) if long or short else None)
-                    lines.append(words if long else [])
-                    sizes.append(size)
-            sims = simhashes(lines).view(np.int64) if lines else np.zeros(0, np.int64)
-            known = np.array([k is not None for k in keys], bool)
-            key = np.array([k or 0 for k in keys], np.uint64).view(np.int64)
-            at, size = pa.array(docs, pa.int64()), np.array(sizes, np.int32)
+            texts = as_bytes(batch.column("text"))
+            having = np.array([k for k, text in enumerate(texts) if text], np.int64)
+            texts = [text for text in texts if text]
+            wholes = _whole_lines(texts)
+            # Which text each line is of, and its number there.
+            counts = np.array([text.count(b"\n") + 1 for text in texts], np.int64)
+            docs, numbers = np.repeat(having, counts), np.arange(len(wholes)) - np.repeat(np.cumsum(counts) - counts, counts)
+            full = np.array([whole != b"" for whole in wholes], bool)
+            docs, numbers, wholes = docs[full], numbers[full], [whole for whole in wholes if whole]
+            size = np.array([len(whole) if whole.isascii() else len(whole.decode("utf-8", "replace")) for whole in wholes], np.int32)
+            sims = _simhashes(wholes).view(np.int64)
+            key = np.fromiter(map(xxhash.xxh3_64_intdigest, wholes), np.uint64, len(wholes)).view(np.int64)
+            at = pa.array(docs)
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id").take(at),
                     "tie": batch.column("tie").take(at),
-                    "line_no": pa.array(numbers, pa.int32()),
-                    "line": pa.array(key, mask=~known),
+                    "line_no": pa.array(numbers.astype(np.int32)),
+                    "line": pa.array(key, mask=(size < least) & (not short)),
                     "sim": pa.array(sims, mask=size < least),
                     "size": pa.array(size),
                 }
@@ -137,16 +209,9 @@ def lines(documents: DataFrame, least: int = LEAST, short: bool = True) -> DataF
 
 def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
-        keys, wholes, seen = [], [], set()
-        for text in as_bytes(batch.column("text")):
-            for words in normalised_lines(text):
-                whole = b" ".join(words)
-                key = xxhash.xxh3_64_intdigest(whole)
-                if whole and key not in seen:
-                    seen.add(key)
-                    keys.append(key)
-                    wholes.append(whole)
-        yield pa.record_batch({"line": pa.array(np.array(keys, np.uint64).view(np.int64)), "norm": pa.array(wholes, pa.binary()).cast(pa.string())})
+        wholes = list(dict.fromkeys(whole for whole in _whole_lines([text for text in as_bytes(batch.column("text")) if text]) if whole))
+        keys = np.fromiter(map(xxhash.xxh3_64_intdigest, wholes), np.uint64, len(wholes))
+        yield pa.record_batch({"line": pa.array(keys.view(np.int64)), "norm": pa.array(wholes, pa.binary()).cast(pa.string())})
 
 
 # ---- buckets ------------------------------------------------------------------------------------------------------------
@@ -158,17 +223,23 @@ def choose_take(count: int, distance: int = DISTANCE) -> int:
     return take
 
 
+def _edges(blocks: int) -> list[int]:
+    """Where the blocks of a SimHash begin and end."""
+    return [64 * k // blocks for k in range(blocks + 1)]
+
+
 def bucket_keys(sim, distance: int, take: int):
     """Array column of the keys of a SimHash column, one for each choice of ``take`` of ``distance + take`` blocks."""
     blocks = distance + take
-    edges = [64 * k // blocks for k in range(blocks + 1)]
+    edges = _edges(blocks)
     values = [F.shiftrightunsigned(sim, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in itertools.pairwise(edges)]
+    widest = take * -(-64 // blocks)
     keys = []
     for number, chosen in enumerate(itertools.combinations(range(blocks), take)):
-        key = F.lit(number).cast("long")
+        key = F.lit(0).cast("long")
         for k in chosen:
             key = F.shiftleft(key, edges[k + 1] - edges[k]).bitwiseOR(values[k])
-        keys.append(key)
+        keys.append(key + F.lit(number << widest).cast("long"))
     return F.array(*keys)
 
 
@@ -177,10 +248,10 @@ PAIRS = 1 << 21
 # Runs from this length on are compared row by row against the run, shorter ones all at once, step by step.
 LONG_RUN = 32
 # Runs from this length on are cut by parts of their bits first; shorter ones are compared sooner than cut.
-WIDE_RUN = 1 << 17
+WIDE_RUN = 1 << 12
 
 
-# Rows compared with as many others, at least, at a time, so that what is between stays in the cache.
+# Each of how many rows is compared with how many later ones at a time, so that what is between stays in the cache: steps, rows.
 TILE = (64, 512)
 
 
@@ -191,59 +262,91 @@ def _reach(size: np.ndarray, similarity: float) -> np.ndarray:
 
 def _all_near(run: np.ndarray, reach: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (i, j), i < j < reach[i], that are near."""
-    rows, columns = TILE
-    differ, bits = np.empty(TILE, np.uint64), np.empty(TILE, np.uint8)  # used again and again
-    not_later = np.arange(columns) <= np.arange(rows)[:, None]
+    steps, rows = TILE
+    differ, bits = np.empty(steps * rows, np.uint64), np.empty(steps * rows, np.uint8)  # used again and again
+    width = reach - np.arange(len(run))
+    padded = np.append(run, np.zeros(width.max(initial=0), np.uint64))
     for first in range(0, len(run), rows):
-        part = run[first : first + rows, None]
-        for start in range(first, reach[min(first + rows, len(run)) - 1], columns):
-            other = run[None, start : start + columns]
-            tile = (slice(len(part)), slice(other.shape[1]))
-            count = np.bitwise_count(np.bitwise_xor(part, other, out=differ[tile]), out=bits[tile])
-            if start == first:
-                count[not_later[tile]] = 255
-            if count.min() <= distance:
-                i, j = np.nonzero(count <= distance)
-                i, j = i + first, j + start
+        part = run[first : first + rows]
+        last = width[first : first + rows].max()
+        for step in range(1, last, steps):
+            shape = (min(steps, last - step), len(part))
+            cells = shape[0] * shape[1]
+            others = np.ndarray(shape, np.uint64, padded, 8 * (first + step), (8, 8))  # each row begins one later than that before
+            np.bitwise_count(np.bitwise_xor(part, others, out=differ[:cells].reshape(shape)), out=bits[:cells].reshape(shape))
+            if bits[:cells].min() <= distance:
+                ahead, i = np.divmod(np.flatnonzero(bits[:cells] <= distance), shape[1])
+                i = i + first
+                j = i + ahead + step
                 kept = j < reach[i]
                 if kept.any():
                     yield i[kept], j[kept]
 
 
-def _near_in_run(run: np.ndarray, size: np.ndarray, distance: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j), i < j, of rows in order of size that are near and whose sizes allow the similarity. They agree in one of
-    ``distance + 1`` parts of the bits, so a long run is cut by each part, and a pair is told by the first part that it agrees in."""
+def _near_in_cut(key: np.ndarray, run: np.ndarray, size: np.ndarray, distance: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Near pairs of equal (small, not negative) keys, as places in ``run``, which is in order of size; up to ``PAIRS`` or so at a time."""
+    order = np.argsort(key, kind="stable")  # rows of a key stay in order of size
+    runs, sizes, keys = run[order], size[order].astype(np.int64), key[order].astype(np.int64) << 32
+    reach = np.searchsorted(keys | sizes, keys | np.floor(sizes / similarity + 1e-6).astype(np.int64), side="right")
+    held, count = [], 0
+    for i, j in _all_near(runs, reach, distance):
+        held.append((i, j))
+        count += len(i)
+        if count > PAIRS:
+            yield tuple(order[np.concatenate(part)] for part in zip(*held, strict=True))
+            held, count = [], 0
+    if held:
+        yield tuple(order[np.concatenate(part)] for part in zip(*held, strict=True))
+
+
+def _near_in_run(run: np.ndarray, size: np.ndarray, distance: int, similarity: float, first: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j), i < j, of rows in order of size that are near and whose sizes allow the similarity.
+
+    A long run is cut by each of ``distance + 1`` blocks of the bits, and a pair is told by the first block that it agrees in. If all
+    rows agree in a block, as those of a bucket of one block do, it is told by the first other one; a pair that agrees in no other differs
+    in exactly one bit of each, so the rows have opposite parities in all of them. ``first``: pairs that agree in a block before that of
+    the run are told in that block's bucket and may be left out.
+    """
     reach = _reach(size, similarity)
-    bits = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(run ^ run[0], keepdims=True).view(np.uint8), bitorder="little")).astype(np.uint64)
-    if len(run) < WIDE_RUN or len(bits) <= distance:
+    varying = np.bitwise_or.reduce(run ^ run[0])
+    if len(run) < WIDE_RUN or np.bitwise_count(varying) <= distance:
         yield from _all_near(run, reach, distance)
         return
-    masks = [np.bitwise_or.reduce(np.uint64(1) << part) for part in np.array_split(bits, distance + 1)]
-    cuts = []
-    for mask in masks:
-        order = np.argsort(run & mask, kind="stable")  # rows of a part stay in order of size
-        keys = (run & mask)[order]
-        cuts.append(np.split(order, np.flatnonzero(keys[1:] != keys[:-1]) + 1))
-    if sum(len(rows) ** 2 for cut in cuts for rows in cut) >= len(run) ** 2:
+    edges = _edges(distance + 1)
+    masks = [np.uint64((1 << b) - (1 << a)) for a, b in itertools.pairwise(edges)]
+    agreed = next((k for k, mask in enumerate(masks) if not varying & mask), None)
+    if agreed is None:
+        bits = np.flatnonzero(np.unpackbits(varying.reshape(1).view(np.uint8), bitorder="little")).astype(np.uint64)
+        masks = [np.bitwise_or.reduce(np.uint64(1) << part) for part in np.array_split(bits, distance + 1)]
+    others = [k for k in range(distance + 1) if k != agreed]
+    keys = {}
+    for k in others:
+        if agreed is None or not first or k > agreed:
+            keys[k] = np.unique(run & masks[k], return_inverse=True)[1].astype(np.min_scalar_type(len(run))) if agreed is None else ((run & masks[k]) >> np.uint64(edges[k])).astype(np.uint16)
+    if sum((np.bincount(key).astype(float) ** 2).sum() for key in keys.values()) >= float(len(run)) ** 2:
         yield from _all_near(run, reach, distance)
         return
-    for number, cut in enumerate(cuts):
-        for rows in cut:
-            for i, j in _all_near(run[rows], _reach(size[rows], similarity), distance):
-                i, j = rows[i], rows[j]
-                new = np.ones(len(i), bool)
-                for mask in masks[:number]:
-                    new &= (run[i] ^ run[j]) & mask != 0
-                yield i[new], j[new]
-
-
-def _neighbours(sim: np.ndarray, size: np.ndarray, ends: np.ndarray, side: np.ndarray, distance: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    if agreed is not None:
+        parity = np.zeros(len(run), np.int64)
+        for k in others:
+            parity = parity << 1 | np.bitwise_count(run & masks[k]) & 1
+        keys[None] = np.minimum(parity, parity ^ ((1 << len(others)) - 1))
+    for k, key in keys.items():
+        for i, j in _near_in_cut(key, run, size, distance, similarity):
+            differ, new = run[i] ^ run[j], np.ones(len(i), bool)
+            for other in others[: others.index(k)] if k is not None else others:
+                new &= differ & masks[other] != 0
+            i, j = i[new], j[new]
+            yield np.minimum(i, j), np.maximum(i, j)
+
+
+def _neighbours(sim: np.ndarray, size: np.ndarray, ends: np.ndarray, side: np.ndarray, distance: int, similarity: float, first: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows (i, j), i < j, of one run that are near and of fitting sizes; rows of two blocks only meet across the blocks."""
     starts = np.flatnonzero(np.append(True, ends[1:] != ends[:-1])) if len(ends) else ends
     lengths = ends[starts] - starts
     for start, length in zip(starts[lengths >= LONG_RUN], lengths[lengths >= LONG_RUN], strict=True):
         run = slice(start, start + length)
-        for i, j in _near_in_run(sim[run], size[run], distance, similarity):
+        for i, j in _near_in_run(sim[run], size[run], distance, similarity, first):
             yield _across(i + start, j + start, side)
     rows, step = np.flatnonzero(np.repeat(lengths < LONG_RUN, lengths)), 1
     while len(rows := rows[rows + step < ends[rows]]):
@@ -258,22 +361,27 @@ def _across(i: np.ndarray, j: np.ndarray, side: np.ndarray) -> tuple[np.ndarray,
     return i[kept], j[kept]
 
 
-def _run_ends(bucket: np.ndarray) -> np.ndarray:
-    return np.searchsorted(bucket, bucket, side="right")
+def _sized_runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
+    """Whole buckets at a time, as the end of each row's bucket instead of the bucket, size, and the other columns; in order of size within a bucket."""
+    for bucket, size, *others in sorted_runs(batches, ("bucket", "size", *names)):
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+        lengths = np.diff(np.append(starts, len(bucket)))
+        order = np.argsort(np.repeat(np.arange(len(starts)) << 32, lengths) | size)
+        yield [np.repeat(starts + lengths, lengths), *(column[order] for column in (size, *others))]
 
 
 PAIR = "a long, b long, crowded boolean"
 
 
-def _near_pairs(distance: int, similarity: float, crowd: int):
+def _near_pairs(distance: int, similarity: float, crowd: int, first: bool):
     """Step 3. Rows with a true flag and a = b tell the lines that have more neighbours."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, line, sim, size, side in sorted_runs(batches, ("bucket", "line", "sim", "size", "side")):
-            ends, sims = _run_ends(bucket), sim.view(np.uint64)
+        for ends, size, line, sim, side in _sized_runs(batches, ("line", "sim", "side")):
+            sims = sim.view(np.uint64)
             degree, smallest = np.zeros(len(line), np.int64), line.copy()
             held, count = [], 0  # the pairs found, if they aren't too many to keep
-            for i, j in _neighbours(sims, size, ends, side, distance, similarity):
+            for i, j in _neighbours(sims, size, ends, side, distance, similarity, first):
                 count += len(i)
                 if len(i) and count <= PAIRS:
                     held.append((i, j))
@@ -283,7 +391,7 @@ def _near_pairs(distance: int, similarity: float, crowd: int):
                 np.minimum.at(smallest, j, line[i])
             crowded = degree > crowd
             out = [(line[crowded], smallest[crowded], np.zeros(crowded.sum(), bool)), (line[crowded], line[crowded], np.ones(crowded.sum(), bool))]
-            for i, j in held if count <= PAIRS else _neighbours(sims, size, ends, side, distance, similarity):
+            for i, j in held if count <= PAIRS else _neighbours(sims, size, ends, side, distance, similarity, first):
                 kept = ~(crowded[i] & crowded[j])
                 out.append((line[i[kept]], line[j[kept]], np.zeros(kept.sum(), bool)))
             yield from _pair_batches(out)
@@ -300,12 +408,12 @@ def _pair_batches(out: list[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"a": pa.array(np.minimum(a[part], b[part])), "b": pa.array(np.maximum(a[part], b[part])), "crowded": pa.array(crowded[part])})
 
 
-def _far_pairs(distance: int, similarity: float):
+def _far_pairs(distance: int, similarity: float, first: bool):
     """Step 4: near pairs of different groups."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, line, sim, size, side, group in sorted_runs(batches, ("bucket", "line", "sim", "size", "side", "group")):
-            for i, j in _neighbours(sim.view(np.uint64), size, _run_ends(bucket), side, distance, similarity):
+        for ends, size, line, sim, side, group in _sized_runs(batches, ("line", "sim", "side", "group")):
+            for i, j in _neighbours(sim.view(np.uint64), size, ends, side, distance, similarity, first):
                 apart = group[i] != group[j]
                 if apart.any():
                     yield from _pair_batches([(line[i[apart]], line[j[apart]], np.zeros(apart.sum(), bool))])
@@ -314,10 +422,10 @@ def _far_pairs(distance: int, similarity: float):
 
 
 def dealt(sims: DataFrame, distance: int, take: int, split: int) -> DataFrame:
-    """Rows (line, sim, size, ...) in their buckets, sorted by size within them."""
+    """Rows (line, sim, size, ...) in their buckets."""
     rows = sims.withColumn("bucket", F.explode(bucket_keys(F.col("sim"), distance, take)))
     rows = in_blocks(rows, "bucket", "line", split)
-    return rows.repartition(shuffle_partitions(sims.sparkSession), "bucket").sortWithinPartitions("bucket", "size")
+    return rows.repartition(shuffle_partitions(sims.sparkSession), "bucket").sortWithinPartitions("bucket")
 
 
 def _same_start(x: str, y: str) -> int:
@@ -329,24 +437,46 @@ def _same_start(x: str, y: str) -> int:
     return low
 
 
-def edit_distance(x: str, y: str) -> int:
-    """Levenshtein distance, a column of the table at a time as the bits of whole numbers."""
-    if not x or not y:
-        return len(x) + len(y)
+def _trimmed(x: str, y: str) -> tuple[str, str]:
+    """Two texts without what both have at their ends."""
+    start = _same_start(x, y)
+    x, y = x[start:], y[start:]
+    end = _same_start(x[::-1], y[::-1])
+    return x[: len(x) - end], y[: len(y) - end]
+
+
+# Columns after which the rows near the diagonal are chosen anew.
+STRIP = 256
+
+
+def edit_distance(x: str, y: str, room: int | None = None) -> int:
+    """Levenshtein distance, a column of the table at a time as the bits of whole numbers: where it grows by one from a row to the next,
+    and where it gets less. A distance above ``room`` is only told to be above it: rows that are further from the diagonal
+    are left out, as if they grew by one in each column."""
+    room = max(len(x), len(y)) if room is None else room
+    if abs(len(x) - len(y)) > room:
+        return room + 1
     places: dict[str, int] = {}
     for at, char in enumerate(x):
         places[char] = places.get(char, 0) | 1 << at
-    every, last = (1 << len(x)) - 1, 1 << (len(x) - 1)
-    up, down, score = every, 0, len(x)
-    for char in y:
-        equal = places.get(char, 0)
-        across = (((equal & up) + up) ^ up) | equal | down
-        more, less = down | ~(across | up) & every, up & across
-        score += bool(more & last) - bool(less & last)
-        more, less = (more << 1 | 1) & every, less << 1 & every
-        equal |= down
-        up, down = less | ~(equal | more) & every, more & equal
-    return score
+    low = high = up = down = 0
+    score = len(y)
+    for start in range(0, max(len(y), 1), STRIP):
+        gone, more = max(0, start - room) - low, min(len(x), start + STRIP + room) - high
+        score += (up & (1 << gone) - 1).bit_count() - (down & (1 << gone) - 1).bit_count()
+        up = (up | (1 << more) - 1 << high - low) >> gone
+        down >>= gone
+        low, high = low + gone, high + more
+        every = (1 << high - low) - 1
+        near = {char: bits >> low & every for char, bits in places.items()}
+        for char in y[start : start + STRIP]:
+            equal = near.get(char, 0)
+            across = (((equal & up) + up) ^ up) | equal | down
+            more, less = down | ~(across | up) & every, up & across
+            more, less = (more << 1 | 1) & every, less << 1 & every
+            equal |= down
+            up, down = less | ~(equal | more) & every, more & equal
+    return score + up.bit_count() - down.bit_count()
 
 
 def alike(x: str, y: str, similarity: float) -> bool:
@@ -354,17 +484,111 @@ def alike(x: str, y: str, similarity: float) -> bool:
     room = math.floor(round((1 - similarity) * max(len(x), len(y)), 6))
     if abs(len(x) - len(y)) > room:
         return False
-    start = _same_start(x, y)
-    x, y = x[start:], y[start:]
-    end = _same_start(x[::-1], y[::-1])
-    x, y = x[: len(x) - end], y[: len(y) - end]
-    return max(len(x), len(y)) <= room or edit_distance(x, y) <= room
+    x, y = _trimmed(x, y)
+    return max(len(x), len(y)) <= room or edit_distance(x, y, room) <= room
+
+
+# Pairs whose edit distances are computed together: the most, and the characters of one text of each. Texts longer than ``TEXT`` go one by one.
+TOGETHER, CHARS, TEXT = 1 << 11, 1 << 21, 1 << 11
+
+
+def _numbered(texts: list[str], pairs: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The characters of the texts (the first ones of all pairs, then the second ones), numbered from 0 within each pair, where each
+    text begins and ends, and how many numbers there are."""
+    whole = "".join(texts)
+    codes = np.frombuffer(whole.encode(), np.uint8) if whole.isascii() else np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+    used = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    used[codes] = True
+    number = np.cumsum(used) - 1
+    sizes = np.array([len(text) for text in texts], np.int64)
+    at = np.repeat(np.tile(np.arange(pairs), 2) * (number[-1] + 1), sizes) + number[codes]
+    held = np.zeros((pairs, number[-1] + 1), bool)
+    held.ravel()[at] = True
+    own = np.cumsum(held, axis=1, dtype=np.int32)
+    return own.ravel()[at] - 1, np.append(0, np.cumsum(sizes)), int(own.max(initial=0))
+
+
+def edit_distances(xs: list[str], ys: list[str], room: int) -> np.ndarray:
+    """Levenshtein distances of pairs of texts, like ``edit_distance``, a column of all tables at a time; best of texts of like lengths.
+    Distances above ``room`` are only told to be above it: rows that are further from the diagonal are left out, as if they grew by one."""
+    length = np.array([len(y) for y in ys], np.int64)
+    down = np.argsort(-length, kind="stable")  # the pairs that still have a column stay in front
+    xs, ys, length = [xs[k] for k in down], [ys[k] for k in down], length[down]
+    count = len(xs)
+    codes, edges, kinds = _numbered(xs + ys, count)
+    sizes, begins = np.diff(edges[: count + 1]), edges[count:-1]
+    words = -(-int(sizes.max(initial=1)) // 64)
+    one, top = np.uint64(1), np.uint64(63)
+    places = np.zeros((words, count * kinds), np.uint64)  # of each number in the first text of each pair
+    own = np.arange(count) * kinds
+    short = np.argsort(sizes, kind="stable")
+    for at in range(int(sizes.max(initial=0))):
+        having = short[np.searchsorted(sizes[short], at, side="right") :]
+        places[at // 64, own[having] + codes[edges[having] + at]] |= one << np.uint64(at % 64)
+    up, less = np.full((words, count), ~np.uint64(0)), np.zeros((words, count), np.uint64)
+    for at in range(int(length.max(initial=0))):
+        live = int(np.searchsorted(-length, -at, side="left"))  # texts of more than ``at`` characters
+        chars = own[:live] + codes[begins[:live] + at]
+        # From the word below; the first row grows by one a column.
+        carry_up, carry_down = np.ones(live, np.uint64), np.zeros(live, np.uint64)
+        for word in range(max(0, at - room) // 64, min(words, (at + room) // 64 + 1)):
+            equal, p, m = places[word].take(chars), up[word, :live], less[word, :live]
+            vertical = equal | m
+            equal |= carry_down
+            across = equal & p
+            across += p
+            across ^= p
+            across |= equal
+            minus = p & across
+            across |= p
+            plus = np.invert(across, out=across)
+            plus |= m
+            next_up, next_down = plus >> top, minus >> top
+            plus <<= one
+            plus |= carry_up
+            minus <<= one
+            minus |= carry_down
+            np.bitwise_and(plus, vertical, out=m)
+            vertical |= plus
+            np.invert(vertical, out=vertical)
+            np.bitwise_or(minus, vertical, out=p)
+            carry_up, carry_down = next_up, next_down
+    # The last column's last value: its first one and the steps down to the end of the first text.
+    out = length.copy()
+    for word in range(words):
+        bits = np.clip(sizes - 64 * word, 0, 64)
+        mask = np.where(bits == 64, ~np.uint64(0), (one << np.minimum(bits, 63).astype(np.uint64)) - one)
+        out += np.bitwise_count(up[word] & mask).astype(np.int64) - np.bitwise_count(less[word] & mask)
+    back = np.empty_like(out)
+    back[down] = out
+    return back
+
+
+def all_alike(xs: list[str], ys: list[str], similarity: float) -> np.ndarray:
+    """``alike`` of many pairs."""
+    sizes = np.array([(len(x), len(y)) for x, y in zip(xs, ys, strict=True)], np.int64).reshape(-1, 2)
+    room = np.floor(np.round((1 - similarity) * sizes.max(axis=1), 6)).astype(np.int64)
+    fitting = np.flatnonzero(np.abs(sizes[:, 0] - sizes[:, 1]) <= room)
+    rests = [_trimmed(xs[k], ys[k]) for k in fitting]
+    longer = np.array([max(len(x), len(y)) for x, y in rests], np.int64)
+    out = np.zeros(len(xs), bool)
+    out[fitting[longer <= room[fitting]]] = True
+    for k in np.flatnonzero((longer > room[fitting]) & (longer > TEXT)):
+        out[fitting[k]] = edit_distance(*rests[k], int(room[fitting[k]])) <= room[fitting[k]]
+    asked = np.flatnonzero((longer > room[fitting]) & (longer <= TEXT))
+    asked = asked[np.argsort(-room[fitting[asked]], kind="stable")]
+    while len(asked):
+        count = min(TOGETHER, CHARS // int(longer[asked].max()))
+        part, asked = asked[:count], asked[count:]
+        limit = room[fitting[part]]
+        out[fitting[part]] = edit_distances([rests[k][0] for k in part], [rests[k][1] for k in part], int(limit.max())) <= limit
+    return out
 
 
 def _alike_rows(similarity: float):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [alike(x, y, similarity) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
+            kept = all_alike(batch.column("x").to_pylist(), batch.column("y").to_pylist(), similarity)
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     return rows
@@ -388,7 +612,7 @@ def line_groups(documents: DataFrame, distinct: DataFrame, distance: int = DISTA
     """(node, component) for the lines that have similar lines, from staged (line, sim, size, place) of the distinct lines."""
     sims = distinct.select("line", "sim", "size").where("sim IS NOT NULL")
     take = take or choose_take(sims.count(), distance)
-    pairs = dealt(sims, distance, take, split).mapInArrow(freed(_near_pairs(distance, similarity, crowd)), PAIR)
+    pairs = dealt(sims, distance, take, split).mapInArrow(freed(_near_pairs(distance, similarity, crowd, take == 1)), PAIR)
     pairs = stage(pairs.distinct(), "pairs")
     links = stage(similar(documents, distinct, pairs.where("NOT crowded").select("a", "b"), similarity), "links")
     groups = stage(components(links, "a", "b"), "groups")
@@ -396,7 +620,7 @@ def line_groups(documents: DataFrame, distinct: DataFrame, distance: int = DISTA
     crowded = stage(crowded.join(groups.withColumnRenamed("node", "line"), "line", "left").select("line", "sim", "size", F.coalesce("component", "line").alias("group")), "crowded")
     if not crowded.limit(1).count():
         return groups
-    more = dealt(crowded, distance, take, split).mapInArrow(freed(_far_pairs(distance, similarity)), PAIR).select("a", "b").distinct()
+    more = dealt(crowded, distance, take, split).mapInArrow(freed(_far_pairs(distance, similarity, take == 1)), PAIR).select("a", "b").distinct()
     more = stage(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "more")
     if not more.limit(1).count():
         return groups
@@ -413,9 +637,11 @@ def group_lines(documents: DataFrame, least: int = LEAST, short: bool = True, **
     distinct = found.where("line IS NOT NULL").groupBy("line").agg(F.min(place).alias("place"), F.min("sim").alias("sim"), F.min("size").alias("size"))
     distinct = stage(distinct, "distinct")
     groups = line_groups(documents, distinct, **options)
-    distinct = stage(distinct.join(groups.withColumnRenamed("node", "line"), "line", "left").withColumn("group", F.coalesce("component", "line")), "labels")
-    firsts = distinct.groupBy("group").agg(F.min("place").alias("first"))
-    labels = distinct.join(firsts, "group").select("line", "first")
+    grouped = stage(distinct.select("line", "place").join(groups.withColumnRenamed("node", "line"), "line"), "grouped")
+    firsts = grouped.groupBy("component").agg(F.min("place").alias("first"))
+    firsts = stage(grouped.join(firsts, "component").select("line", "first"), "labels")
+    # A line without similar ones is a group by itself.
+    labels = distinct.select("line", "place").join(firsts, "line", "left").select("line", F.coalesce("first", "place").alias("first"))
     out = found.join(labels, "line", "left").withColumn("first", F.coalesce("first", place))
     kept = place.eqNullSafe(F.col("first"))
     return out.select(
