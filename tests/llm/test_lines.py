@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from helpers import WORDS, Groups
 
 from tapelake.llm import fuzzy_lines as lines
@@ -159,6 +160,67 @@ def test_edit_distance():
         assert lines.alike(x, y, 0.8) == (distance(x, y) <= 0.2 * max(len(x), len(y)) + 1e-6)
 
 
+def test_buckets_of_one_block_tell_each_pair(monkeypatch):
+    """Long runs leave out pairs that another block's bucket tells; together they tell every near pair, comparing few."""
+    draw = np.random.default_rng(5)
+    sims = draw.integers(0, 2**64, 3000, dtype=np.uint64)
+    for k in range(1, 1500):
+        bits = draw.choice(64, draw.integers(0, 14), replace=False)
+        sims[k] = sims[draw.integers(1500, 3000)] ^ np.bitwise_or.reduce(np.uint64(1) << bits.astype(np.uint64), initial=np.uint64(0))
+    edges = [64 * k // 11 for k in range(12)]
+    ones = np.uint64(sum(1 << at for at in edges[:10]))  # one bit in each of the blocks but the last
+    sims[0] = sims[2000] ^ ones
+    size = np.sort(draw.integers(100, 132, 3000, dtype=np.int32))
+    near = np.bitwise_count(sims[:, None] ^ sims) <= 10
+    want = {(i, j) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True) if 10 * (size[j] - size[i]) <= 2 * size[j]}
+    monkeypatch.setattr(lines, "WIDE_RUN", 8)
+    got = []
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        block = (sims >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)
+        for value in np.unique(block):
+            rows = np.flatnonzero(block == value)
+            for i, j in lines._near_in_run(sims[rows], size[rows], 10, 0.8, first=True):
+                got += zip(rows[i].tolist(), rows[j].tolist(), strict=True)
+    assert (0, 2000) in want and len(want) > 500 and set(got) == want
+
+
+def test_bucket_keys_of_different_blocks_differ(spark):
+    draw = np.random.default_rng(6)
+    sims = spark.createDataFrame([(int(x),) for x in draw.integers(-(2**63), 2**63, 400)], "sim long")
+    for take in (1, 2):
+        keys = list(zip(*(r[0] for r in sims.select(lines.bucket_keys(sims["sim"], 10, take)).collect()), strict=True))
+        assert sum(len(set(part)) for part in keys) == len(set().union(*keys))
+
+
+def test_simhashes_of_many_lines():
+    """As by a set of words and a hash for each, one line at a time."""
+    draw = random.Random(12)
+    letters = ["a", "b", "0", "é", "字"]
+    found = [[("".join(draw.choice(letters) for _ in range(draw.choice([1, 2, 3, 5, 8, 13, 31, 40])))).encode() for _ in range(draw.randrange(30))] for _ in range(200)]
+    found.append([str(k).encode() for k in range(700)])
+    for words, sim in zip(found, lines.simhashes(found).tolist(), strict=True):
+        hashes = [xxhash.xxh64_intdigest(word) for word in set(words)]
+        plain = sum(1 << at for at in range(64) if 2 * sum(h >> at & 1 for h in hashes) > len(hashes))
+        assert sim == plain
+    texts = [b" The  Quick-Brown 42\t\n\n A", b"!", "Ünï-code \r\n  x ".encode(), b"\n"]
+    assert lines._whole_lines(texts) == [b" ".join(words) for text in texts for words in lines.normalised_lines(text)]
+
+
+def test_edit_distances_of_many_pairs():
+    draw = random.Random(10)
+    xs = ["".join(draw.choice("abcé字") for _ in range(draw.randrange(200))) for _ in range(400)] + ["", "", "abc"]
+    ys = ["".join(c for c in x if draw.random() < draw.choice([0.7, 0.9, 0.99])) + draw.choice(["", "b", "aé"]) for x in xs[:400]] + ["", "ab", ""]
+    want = [distance(x, y) for x, y in zip(xs, ys, strict=True)]
+    assert lines.edit_distances(xs, ys, 300).tolist() == want
+    for room in (0, 3, 20):
+        told = lines.edit_distances(xs, ys, room).tolist()
+        one = [lines.edit_distance(x, y, room) for x, y in zip(xs, ys, strict=True)]
+        assert all(min(a, room + 1) == min(b, room + 1) == min(c, room + 1) for a, b, c in zip(told, one, want, strict=True))
+    alike = [d <= 0.2 * max(len(x), len(y)) + 1e-6 for x, y, d in zip(xs, ys, want, strict=True)]
+    assert lines.all_alike(xs, ys, 0.8).tolist() == alike and 50 < sum(alike) < 350
+    assert lines.all_alike([], [], 0.8).tolist() == []
+
+
 def test_pieces():
     assert lines.normalised_lines("The  Quick-Brown 42\tÄ_b\n\nA".encode()) == [[b"the", b"quick", b"brown", b"00", "ä".encode(), b"b"], [], [b"a"]]
     assert lines.normalised_lines(None) == []
