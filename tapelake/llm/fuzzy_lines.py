@@ -163,12 +163,15 @@ def simhashes(lines: list[list[bytes]]) -> np.ndarray:
     return out
 
 
+# Characters of text whose words are hashed at a time, so that what is between stays in the cache.
+TEXTS = 1 << 19
+
 LINE = "doc_id long, tie long, line_no int, line long, sim long, size int"
 
 
 def _line_rows(least: int, short: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXTS):
             texts = as_bytes(batch.column("text"))
             having = np.array([k for k, text in enumerate(texts) if text], np.int64)
             texts = [text for text in texts if text]
@@ -252,7 +255,7 @@ WIDE_RUN = 1 << 12
 
 
 # Each of how many rows is compared with how many later ones at a time, so that what is between stays in the cache: steps, rows.
-TILE = (64, 512)
+TILE = (32, 2048)
 
 
 def _reach(size: np.ndarray, similarity: float) -> np.ndarray:
@@ -266,10 +269,12 @@ def _all_near(run: np.ndarray, reach: np.ndarray, distance: int) -> Iterator[tup
     differ, bits = np.empty(steps * rows, np.uint64), np.empty(steps * rows, np.uint8)  # used again and again
     width = reach - np.arange(len(run))
     padded = np.append(run, np.zeros(width.max(initial=0), np.uint64))
-    for first in range(0, len(run), rows):
-        part = run[first : first + rows]
-        last = width[first : first + rows].max()
+    for begin in range(0, len(run), rows):
+        wide = width[begin : begin + rows]
+        last = wide.max()
         for step in range(1, last, steps):
+            live = np.flatnonzero(wide > step)
+            first, part = begin + live[0], run[begin + live[0] : begin + live[-1] + 1]
             shape = (min(steps, last - step), len(part))
             cells = shape[0] * shape[1]
             others = np.ndarray(shape, np.uint64, padded, 8 * (first + step), (8, 8))  # each row begins one later than that before
@@ -451,18 +456,21 @@ STRIP = 256
 
 def edit_distance(x: str, y: str, room: int | None = None) -> int:
     """Levenshtein distance, a column of the table at a time as the bits of whole numbers: where it grows by one from a row to the next,
-    and where it gets less. A distance above ``room`` is only told to be above it: rows that are further from the diagonal
-    are left out, as if they grew by one in each column."""
+    and where it gets less. A distance above ``room`` is only told to be above it: rows that are too far from the diagonal to go there and
+    back are left out, as if they grew by one in each column."""
     room = max(len(x), len(y)) if room is None else room
-    if abs(len(x) - len(y)) > room:
+    longer = len(x) - len(y)
+    if abs(longer) > room:
         return room + 1
+    aside = (room - abs(longer)) // 2
+    below, above = aside + max(longer, 0), aside + max(-longer, 0)
     places: dict[str, int] = {}
     for at, char in enumerate(x):
         places[char] = places.get(char, 0) | 1 << at
     low = high = up = down = 0
     score = len(y)
     for start in range(0, max(len(y), 1), STRIP):
-        gone, more = max(0, start - room) - low, min(len(x), start + STRIP + room) - high
+        gone, more = max(0, start - above) - low, min(len(x), start + STRIP + below) - high
         score += (up & (1 << gone) - 1).bit_count() - (down & (1 << gone) - 1).bit_count()
         up = (up | (1 << more) - 1 << high - low) >> gone
         down >>= gone
@@ -508,9 +516,9 @@ def _numbered(texts: list[str], pairs: int) -> tuple[np.ndarray, np.ndarray, int
     return own.ravel()[at] - 1, np.append(0, np.cumsum(sizes)), int(own.max(initial=0))
 
 
-def edit_distances(xs: list[str], ys: list[str], room: int) -> np.ndarray:
-    """Levenshtein distances of pairs of texts, like ``edit_distance``, a column of all tables at a time; best of texts of like lengths.
-    Distances above ``room`` are only told to be above it: rows that are further from the diagonal are left out, as if they grew by one."""
+def edit_distances(xs: list[str], ys: list[str], room: int | np.ndarray) -> np.ndarray:
+    """Levenshtein distances of pairs of texts, like ``edit_distance``, a column of all tables at a time; best of texts of like lengths
+    and with like ``room``, of each pair or of all."""
     length = np.array([len(y) for y in ys], np.int64)
     down = np.argsort(-length, kind="stable")  # the pairs that still have a column stay in front
     xs, ys, length = [xs[k] for k in down], [ys[k] for k in down], length[down]
@@ -518,6 +526,10 @@ def edit_distances(xs: list[str], ys: list[str], room: int) -> np.ndarray:
     codes, edges, kinds = _numbered(xs + ys, count)
     sizes, begins = np.diff(edges[: count + 1]), edges[count:-1]
     words = -(-int(sizes.max(initial=1)) // 64)
+    longer, room = sizes - length, np.broadcast_to(room, count)[down]
+    aside = np.maximum(room - np.abs(longer), 0) // 2
+    fits = np.abs(longer) <= room  # of the others any result is above it
+    below, above = (int((aside + np.maximum(side, 0))[fits].max(initial=0)) for side in (longer, -longer))
     one, top = np.uint64(1), np.uint64(63)
     places = np.zeros((words, count * kinds), np.uint64)  # of each number in the first text of each pair
     own = np.arange(count) * kinds
@@ -531,7 +543,7 @@ def edit_distances(xs: list[str], ys: list[str], room: int) -> np.ndarray:
         chars = own[:live] + codes[begins[:live] + at]
         # From the word below; the first row grows by one a column.
         carry_up, carry_down = np.ones(live, np.uint64), np.zeros(live, np.uint64)
-        for word in range(max(0, at - room) // 64, min(words, (at + room) // 64 + 1)):
+        for word in range(max(0, at - above) // 64, min(words, (at + below) // 64 + 1)):
             equal, p, m = places[word].take(chars), up[word, :live], less[word, :live]
             vertical = equal | m
             equal |= carry_down
@@ -569,19 +581,19 @@ def all_alike(xs: list[str], ys: list[str], similarity: float) -> np.ndarray:
     sizes = np.array([(len(x), len(y)) for x, y in zip(xs, ys, strict=True)], np.int64).reshape(-1, 2)
     room = np.floor(np.round((1 - similarity) * sizes.max(axis=1), 6)).astype(np.int64)
     fitting = np.flatnonzero(np.abs(sizes[:, 0] - sizes[:, 1]) <= room)
-    rests = [_trimmed(xs[k], ys[k]) for k in fitting]
+    rests = [_trimmed(*sorted((xs[k], ys[k]), key=len)) for k in fitting]
     longer = np.array([max(len(x), len(y)) for x, y in rests], np.int64)
     out = np.zeros(len(xs), bool)
     out[fitting[longer <= room[fitting]]] = True
     for k in np.flatnonzero((longer > room[fitting]) & (longer > TEXT)):
         out[fitting[k]] = edit_distance(*rests[k], int(room[fitting[k]])) <= room[fitting[k]]
     asked = np.flatnonzero((longer > room[fitting]) & (longer <= TEXT))
-    asked = asked[np.argsort(-room[fitting[asked]], kind="stable")]
+    asked = asked[np.argsort(-room[fitting[asked]] - np.abs(sizes[:, 0] - sizes[:, 1])[fitting[asked]], kind="stable")]
     while len(asked):
         count = min(TOGETHER, CHARS // int(longer[asked].max()))
         part, asked = asked[:count], asked[count:]
         limit = room[fitting[part]]
-        out[fitting[part]] = edit_distances([rests[k][0] for k in part], [rests[k][1] for k in part], int(limit.max())) <= limit
+        out[fitting[part]] = edit_distances([rests[k][0] for k in part], [rests[k][1] for k in part], limit) <= limit
     return out
 
 
