@@ -651,9 +651,10 @@ def group_lines(documents: DataFrame, least: int = LEAST, short: bool = True, **
     groups = line_groups(documents, distinct, **options)
     grouped = stage(distinct.select("line", "place").join(groups.withColumnRenamed("node", "line"), "line"), "grouped")
     firsts = grouped.groupBy("component").agg(F.min("place").alias("first"))
-    firsts = stage(grouped.join(firsts, "component").select("line", "first"), "labels")
-    # A line without similar ones is a group by itself.
+    firsts = stage(grouped.join(firsts, "component").select("line", "first"), "firsts")
+    # A line without similar ones is a group by itself. Staged, so that Spark may split a line that is very common.
     labels = distinct.select("line", "place").join(firsts, "line", "left").select("line", F.coalesce("first", "place").alias("first"))
+    labels = stage(labels, "labels")
     out = found.join(labels, "line", "left").withColumn("first", F.coalesce("first", place))
     kept = place.eqNullSafe(F.col("first"))
     return out.select(
