@@ -7,7 +7,7 @@
 2. Two SimHashes that differ in at most ``DISTANCE`` bits agree in ``take`` of ``DISTANCE + take`` blocks, whichever bits differ. A
    line is sent to one bucket per choice of ``take`` blocks. ``take`` grows with the number of lines so that buckets stay small;
    the pairs found are the same for every ``take``. Buckets of more than ``SPLIT`` lines are cut into blocks that meet in pairs.
-   Within a bucket the bits that vary are cut into ``DISTANCE + 1`` parts, and only lines that agree in one of them are compared; and of
+   A long bucket is cut by a second block (or, for pairs that agree in no other, by the parities of the blocks), so that fewer lines meet; and of
    these, sorted by length, only those whose lengths allow the similarity: a longer line has at most 1 / ``SIMILARITY`` times as many characters.
 3. A line with at most ``FEW`` neighbours in a bucket is paired with all of them; lines with more are paired with the smallest
    one. Pairs whose normalised lines reach ``SIMILARITY`` (1 - edit distance / longer length) are links.
